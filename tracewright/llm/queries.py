@@ -7,18 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import packing, token_output
-from tracewright.llm.common import table
+from tracewright.llm import language, packing, resampling, token_output, toxicity
+from tracewright.llm.common import crc_mod, table
 from tracewright.llm.tokenizing import tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = token_output.write_shards(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return token_output.digests(token_output.read_shards(*shards))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(crc_mod("doc_id", 3) != 1))
+    held_out = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out")
+    return docs.select("doc_id", held_out, language.language_of(spark, model).alias("l")).select("doc_id", "held_out", "l.lang_pred", "l.score")
+
+
 def packed(docs: DataFrame) -> DataFrame:
     pieces = packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
@@ -29,7 +44,10 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_importance_resampling": op1_importance_resampling,
     "op5_token_output": op5_token_output,
+    "op6_toxicity": op6_toxicity,
+    "op7_language_id": op7_language_id,
     "op9_packing": op9_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
