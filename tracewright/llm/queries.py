@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import language, packing, resampling, token_output, toxicity
+from tracewright.llm import language, licences, neighbours, packing, resampling, simhash, token_output, toxicity
 from tracewright.llm.common import crc_mod, table
 from tracewright.llm.tokenizing import tokenizer_path
 
@@ -18,6 +18,10 @@ def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = token_output.write_shards(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return token_output.digests(token_output.read_shards(*shards))
@@ -34,6 +38,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", held_out, language.language_of(spark, model).alias("l")).select("doc_id", "held_out", "l.lang_pred", "l.score")
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def packed(docs: DataFrame) -> DataFrame:
     pieces = packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
@@ -43,11 +51,18 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_importance_resampling": op1_importance_resampling,
+    "op3_simhash": op3_simhash,
     "op5_token_output": op5_token_output,
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
+    "op8_neighbours": op8_neighbours,
     "op9_packing": op9_packing,
+    "op10_licences": op10_licences,
 }
 ORACLE_SQL: dict[str, str] = {}
