@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts of a batch are handled in slices of about so many characters, so that long texts do not add up.
-SLICE_CHARS = 1 << 21
-#: Rows that Spark hands to Python at once.
-ARROW_ROWS = 500
+SLICE_CHARS = 1 << 22
+#: Rows and bytes that Spark hands to Python at once.
+ARROW_ROWS = 2_000
+ARROW_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +52,7 @@ def discard(df: DataFrame) -> None:
 def small_batches(spark: SparkSession) -> None:
     """Texts can be long: hand few rows at once to Python."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
 def ranked(df: DataFrame, order: list[Column], name: str, first: int = 1) -> DataFrame:

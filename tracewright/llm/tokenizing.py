@@ -17,10 +17,19 @@ _STOPS = ".,;:!?|#$%&*"
 #: White space runs stay with what follows; runs of letters and digits end before white space or plain punctuation.
 _BYTE_PIECES = re.compile(rf"[ \n]*[{_LATIN}]+(?=[ \n{_STOPS}]|$)|[ \n]*[^ \n]+|[ \n]+")
 _WORD_PIECES = re.compile(rf"[a-z0-9ß-öø-ÿ]+(?=[ \n{_STOPS}]|$)|[^ \n]+")
+_BYTE_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LOWER_WORD = re.compile(r"[a-zß-öø-ÿ]+")
 _ODD_SPACE = re.compile(r"[^\S \n]")
 
 #: Distinct pieces that a worker remembers (about 200 bytes each) before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
+
+
+def byte_alphabet() -> dict[int, int]:
+    """The character that byte-level vocabularies write for each byte; the line feed stays, as the separator of words."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(hidden) if b != 10}
 
 
 class Encoder:
@@ -36,16 +45,21 @@ class Encoder:
             made = json.load(f)
         self.vocabulary = self.library.get_vocab_size()
         self.code, self.dtype = ("H", "<u2") if self.vocabulary <= 1 << 16 else ("I", "<u4")
+        self.model = self.library.model
+        self.spelled: dict[int, int] = {}
+        self.one_word = _BYTE_WORD
         self.pieces = self._cut_for(made)
         self.known: dict[str, bytes] = {}
 
     def _cut_for(self, made: dict):
         before, normal = made.get("pre_tokenizer") or {}, made.get("normalizer") or {}
         if before.get("type") == "ByteLevel" and not normal and not before.get("add_prefix_space") and before.get("use_regex", True):
+            self.spelled, self.one_word = byte_alphabet(), _BYTE_WORD
             return self._byte_pieces
         steps = [s.get("type") for s in before.get("pretokenizers", ())]
         normals = [n.get("type") for n in normal.get("normalizers", ())]
         if steps == ["Split", "ByteLevel"] and normals == ["NFC", "Replace", "Lowercase"] and before["pretokenizers"][0]["behavior"] == "Removed" and not before["pretokenizers"][1].get("add_prefix_space"):
+            self.spelled, self.one_word = byte_alphabet(), _LOWER_WORD
             return self._word_pieces
         return lambda text: [text]
 
@@ -70,6 +84,11 @@ class Encoder:
         code = self.code
         for lo in range(0, len(new), 4096):
             some = new[lo : lo + 4096]
+            if self.spelled:  # a single pre-token each: straight to the model, in its own alphabet
+                plain = [p for p in some if self.one_word.fullmatch(p)]
+                for piece, word in zip(plain, "\n".join(plain).encode().decode("latin-1").translate(self.spelled).split("\n"), strict=True):
+                    known[piece] = array(code, [t.id for t in self.model.tokenize(word)]).tobytes()
+                some = [p for p in some if p not in known]
             for piece, found in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
                 known[piece] = array(code, found.ids).tobytes()
         get = known.__getitem__
