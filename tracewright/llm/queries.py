@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import language, licences, neighbours, packing, resampling, simhash, token_output, toxicity
+from tracewright.llm import contamination, language, licences, neighbours, packing, pseudonyms, resampling, simhash, token_output, toxicity
 from tracewright.llm.common import crc_mod, table
 from tracewright.llm.tokenizing import tokenizer_path
 
@@ -18,10 +18,18 @@ def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise_report(table(spark, sf_dir, "documents"))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = token_output.write_shards(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return token_output.digests(token_output.read_shards(*shards))
@@ -57,7 +65,9 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_importance_resampling": op1_importance_resampling,
+    "op2_contamination": op2_contamination,
     "op3_simhash": op3_simhash,
+    "op4_pseudonyms": op4_pseudonyms,
     "op5_token_output": op5_token_output,
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
