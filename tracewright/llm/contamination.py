@@ -1,6 +1,6 @@
 """Benchmark decontamination by template canonicalisation, with DataFrame functions only.
 
-Texts become templates: numbers, names (capitalised words) and units after numbers turn into typed placeholders,
+Texts become templates: numbers, names (capitalised words within a sentence) and units after numbers turn into typed placeholders,
 other words are lower-cased. Windows of template words are hashed and joined with those of the benchmark. Where
 windows of an item meet a text on one diagonal, the words under them are compared one by one and the fillings of
 the placeholders must agree: every filling of the item stands for one filling of the text, and names one to one. So
@@ -19,7 +19,7 @@ from tracewright.llm.common import discard, written
 WINDOW = 8
 #: Items with fewer template words than WINDOW are searched by windows of this size; shorter ones are not searched.
 SHORT_WINDOW = 5
-#: Template words that must be covered, or the whole item if it has fewer.
+#: Template words that must be covered, or all but one of an item that has fewer.
 COVERED = 13
 #: Tables up to so many rows of at most a few hundred bytes are broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 200_000
@@ -31,28 +31,43 @@ UNITS = (
     "hours day days week weeks month months year years dollar dollars cent cents euro euros percent degrees degree mph kmh km/h "
     "w kw kwh v volt volts hz khz mhz ghz kb mb gb tb"
 ).split()
-_TOKEN = r"[0-9]+(?:[.,:/][0-9]+)*|[\p{L}\p{M}]+"
+#: A number, or a word with what ends the sentence before it, if anything.
+_TOKEN = r"[0-9]+(?:[.,:/][0-9]+)*|(?:[.!?:\n][^\p{L}\p{M}0-9]*)?[\p{L}\p{M}]+"
+_ENDS = "^[.!?:\n]"
 NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
 
 
-def words(text: Column) -> Column:
-    """Numbers and words of a text, in order."""
+def tokens(text: Column) -> Column:
+    """Numbers and words of a text, in order; a word that begins a sentence still has the end of the last before it."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_TOKEN), F.lit(0))
 
 
+def words(found: Column) -> Column:
+    """The bare words of tokens()."""
+    return F.transform(found, lambda w: F.when(w.rlike(_ENDS), F.regexp_replace(w, r"^[^\p{L}\p{M}]+", "")).otherwise(w))
+
+
 def template(found: Column) -> Column:
-    """The template words of words()."""
+    """The template words of tokens(). Names are capitalised words within a sentence; words all in capitals are not."""
 
     def typed(w: Column, i: Column) -> Column:
         low = F.lower(w)
         unit = low.isin(UNITS) & (i > 0) & F.get(found, i - 1).rlike("^[0-9]")
-        return F.when(w.rlike("^[0-9]"), F.lit(NUMBER)).when(unit, F.lit(UNIT)).when(low != w, F.lit(NAME)).otherwise(low)
+        name = (low != w) & (i > 0) & (F.upper(w) != w)
+        return (
+            F.when(w.rlike(_ENDS), F.regexp_replace(low, r"^[^\p{L}\p{M}]+", ""))
+            .when(w.rlike("^[0-9]"), F.lit(NUMBER))
+            .when(unit, F.lit(UNIT))
+            .when(name, F.lit(NAME))
+            .otherwise(low)
+        )
 
     return F.transform(found, typed)
 
 
 def _described(texts: DataFrame, key: str) -> DataFrame:
-    return texts.select(key, words(F.col("text")).alias("words")).withColumn("template", template(F.col("words")))
+    found = texts.select(key, tokens(F.col("text")).alias("tokens"))
+    return found.select(key, words(F.col("tokens")).alias("words"), template(F.col("tokens")).alias("template"))
 
 
 def _windows(hashes: Column, size: int) -> Column:
@@ -61,8 +76,8 @@ def _windows(hashes: Column, size: int) -> Column:
     return F.when(last >= 0, F.transform(F.sequence(F.lit(1), F.greatest(last + 1, F.lit(1))), lambda i: F.xxhash64(F.slice(hashes, i, size)))).otherwise(F.array().cast("array<long>"))
 
 
-def _hashed(described: DataFrame) -> Column:
-    return F.transform("template", lambda t: F.xxhash64(t))
+def _hashed(template_words: Column) -> Column:
+    return F.transform(template_words, lambda t: F.xxhash64(t))
 
 
 def joined(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
@@ -74,8 +89,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each text and item that it holds: text_hash, item_id, covered, item_words, slots, changed_slots.
 
     docs needs text, benchmark item_id and text; texts are told apart by XXH64 of the whole text (text_hash). An
-    item is held if windows on one diagonal cover at least min(COVERED, its template words) and the fillings under
-    them are consistent; of several diagonals the one that covers most is reported. covered counts the words under
+    item is held if windows on one diagonal cover at least COVERED of its template words, or all but one if it has
+    fewer (within another sentence its first word can look like a name), and the fillings under them are consistent; of several diagonals the one that covers most is reported. covered counts the words under
     matching windows, slots the placeholders among them, changed_slots those filled differently (0: a copy). Null
     and empty texts hold nothing; repeated rows of either table count once. Windows of documents are joined where
     they are made; only matches go on, so what is shuffled grows with the contamination.
@@ -87,12 +102,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     wanted = []
     for size in sizes:
         fitting = items.where(F.col("item_words") >= WINDOW) if size == WINDOW else items.where(F.col("item_words").between(SHORT_WINDOW, WINDOW - 1))
-        wanted.append(fitting.select("item_key", "item_words", F.lit(size).alias("size"), F.posexplode(_windows(_hashed(items), size)).alias("item_at", "hash")))
+        wanted.append(fitting.select("item_key", "item_words", F.lit(size).alias("size"), F.posexplode(_windows(_hashed(F.col("template")), size)).alias("item_at", "hash")))
     windows = written(reduce(DataFrame.unionByName, wanted), "windows")
     hashes = written(windows.select("hash").distinct(), "hashes")
 
     texts = docs.where("text IS NOT NULL").select("text").withColumn("text_hash", F.xxhash64("text"))
-    own = texts.select("text_hash", F.transform(template(words(F.col("text"))), lambda t: F.xxhash64(t)).alias("h"))
+    own = texts.select("text_hash", tokens(F.col("text")).alias("tokens")).select("text_hash", _hashed(template(F.col("tokens"))).alias("h"))
     made = [own.select("text_hash", F.posexplode(_windows(F.col("h"), size)).alias("at", "hash")) for size in sizes]
     hits = written(joined(reduce(DataFrame.unionByName, made), hashes, ["hash"], "left_semi").distinct(), "hits")
 
@@ -101,13 +116,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .groupBy("text_hash", "item_key", "item_words", "size", (F.col("at") - F.col("item_at")).alias("shift"))
         .agg(F.collect_set("item_at").alias("starts"))
         .withColumn("under", F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + F.col("size") - 1)))))
-        .where(F.size("under") >= F.least(F.lit(COVERED), F.col("item_words")))
+        .where(F.size("under") >= F.least(F.lit(COVERED), F.col("item_words") - 1))
         .select("text_hash", "item_key", "item_words", "shift", "under")
     )
     diagonals = written(diagonals, "diagonals")
     keys = written(diagonals.select("text_hash").distinct(), "keys")
     suspects = joined(texts, keys, ["text_hash"], "left_semi").dropDuplicates(["text_hash"])
-    suspects = suspects.select("text_hash", words(F.col("text")).alias("text_words")).withColumn("text_template", template(F.col("text_words")))
+    suspects = _described(suspects, "text_hash").withColumnsRenamed({"words": "text_words", "template": "text_template"})
     pairs = diagonals.join(suspects, "text_hash").join(items.select("item_key", "item_id", "words", "template"), "item_key")
 
     def slot(i: Column) -> Column:
