@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import discard, shared_dir, small_batches, written
+from tracewright.llm.common import discard, small_batches, written
 from tracewright.llm.components import connected
 
 BUDGET = 3
@@ -244,21 +244,38 @@ def links(fingerprints: DataFrame, leaf: int = LEAF) -> DataFrame:
     return joined
 
 
+def classes(marked: DataFrame, first: Column) -> DataFrame:
+    """(fp, smallest): for every fingerprint of marked (column fp, written), the least value of the aggregate `first`
+    over all rows that links lead to."""
+    distinct = written(marked.groupBy("fp").agg(first.alias("first")), "distinct")
+    members = connected(links(distinct))
+    roots = distinct.join(members, distinct["fp"] == members["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    linked = roots.where(F.col("root") != F.col("fp")).select("root").distinct()
+    smallest = roots.join(linked, "root").groupBy("root").agg(F.min("first").alias("smallest"))
+    return written(roots.join(smallest, "root", "left").select("fp", F.coalesce("smallest", "first").alias("smallest")), "classes")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 lower-case hex digits), component_id of every row of docs.
 
     component_id is the smallest doc_id that is reachable by links of at most three differing bits, the row's own
     included. A null or empty text has fingerprint zero and is linked like any other. Rows with equal doc_id are
-    rows of their own; a null doc_id is never the smallest unless it is alone (then component_id is null).
+    rows of their own; a null doc_id is never the smallest unless there is no other (then component_id is null).
     Empty docs give no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
-    shared_dir(spark)
-    marked = written(docs.select("doc_id", fingerprint_of(spark).alias("fp")), "fingerprints")
-    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    members = connected(links(distinct))
-    roots = distinct.join(members, distinct["fp"] == members["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    linked = roots.where(F.col("root") != F.col("fp")).select("root").distinct()
-    smallest = roots.join(linked, "root").groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = written(roots.join(smallest, "root", "left").select("fp", F.coalesce("component_id", "first").alias("component_id")), "classes")
-    return marked.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    marked = written(docs.select("doc_id", fingerprint_of(docs.sparkSession).alias("fp")), "fingerprints")
+    found = classes(marked, F.min("doc_id"))
+    return marked.join(found, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("smallest").alias("component_id"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """docs with one row of each group of near duplicates, that of the smallest doc_id (null last), all columns kept.
+
+    Of repeated rows one stays. The rows are numbered, so the join that keeps them has one row a key however large
+    a group of copies is.
+    """
+    fp, row = (next(x for x in (name, f"_{name}", f"__{name}", f"___{name}") if x not in docs.columns) for name in ("fp", "row_number"))
+    marked = written(docs.withColumn(fp, fingerprint_of(docs.sparkSession)).withColumn(row, F.monotonically_increasing_id()), "fingerprints")
+    ids = marked.select(F.col(fp).alias("fp"), F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col(row).alias("row")).alias("who"))
+    kept = classes(ids, F.min("who")).select(F.col("smallest.row").alias(row)).distinct()
+    return marked.join(kept, row, "left_semi").drop(fp, row).select(docs.columns)
