@@ -39,7 +39,12 @@ def pack_values(values: np.ndarray) -> tuple[bytes, bytes]:
     codes[: len(values)] = lengths - 1
     quads = codes.reshape(-1, 4)
     control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
+    at = np.cumsum(lengths) - lengths
+    data = np.empty(int(lengths.sum()), np.uint8)
+    data[at] = values & 0xFF
+    for k in (1, 2, 3):
+        longer = np.flatnonzero(lengths > k)
+        data[at[longer] + k] = (values[longer] >> np.uint32(8 * k)) & 0xFF
     return control.astype(np.uint8).tobytes(), data.tobytes()
 
 
@@ -111,17 +116,14 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 2) -> tuple[Data
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, offsets = shared.value
         for batch in batches:
-            rows = batch.to_pylist()
+            part, pos, doc_id, local, sizes, ids = (batch.column(c).to_pylist() for c in ("part", "pos", "doc_id", "local_start", "n_tokens", "ids"))
             lo = size = 0
-            for i, row in enumerate(rows):
-                size += row["n_tokens"]
-                if size >= BLOCK_TOKENS or i + 1 == len(rows) or rows[i + 1]["part"] != row["part"]:
-                    some = rows[lo : i + 1]
-                    control, data = pack_values(ranks[np.frombuffer(b"".join(r["ids"] for r in some), dtype)])
-                    yield batch_of(
-                        _arrow_blocks, part=[row["part"]], seq=[some[0]["pos"]], doc_id=[[r["doc_id"] for r in some]],
-                        start=[[offsets[r["part"]] + r["local_start"] for r in some]], n_tokens=[[r["n_tokens"] for r in some]], control=[control], data=[data],
-                    )
+            for i, n in enumerate(sizes):
+                size += n
+                if size >= BLOCK_TOKENS or i + 1 == len(sizes) or part[i + 1] != part[i]:
+                    control, data = pack_values(ranks[np.frombuffer(b"".join(ids[lo : i + 1]), dtype)])
+                    starts = [offsets[part[i]] + x for x in local[lo : i + 1]]
+                    yield batch_of(_arrow_blocks, part=[part[i]], seq=[pos[lo]], doc_id=[doc_id[lo : i + 1]], start=[starts], n_tokens=[sizes[lo : i + 1]], control=[control], data=[data])
                     lo, size = i + 1, 0
 
     docs_only = tokens.where("pos >= 0").select("part", "pos", "doc_id", "local_start", "n_tokens", "ids")
