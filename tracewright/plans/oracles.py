@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tracewright.functions import contract as c
-from tracewright.functions import rules, signatures
+from tracewright.functions import rules, signatures, targets
 from tracewright.plans.bridge import CORPUS_SQL, SCORES_SQL, quoted, telemetry_sql
 
 
@@ -155,3 +155,96 @@ def metrics_sql(keys: str, grouping: str) -> str:
     return f"""SELECT {keys} count(*) AS n, {avg('pred = gold')} AS accuracy, {avg(f'{r} < {g}')} AS under_call, {avg(f'{r} > {g}')} AS over_call, {avg('pred = gold', "gold = 'malicious'")} AS malicious_recall,
  {avg('pred = gold', "gold = 'suspicious'")} AS suspicious_recall, {avg("pred = 'benign'", "gold = 'malicious'")} AS missed_threat, {avg('pred = gold', "pred = 'benign'")} AS benign_precision,
  round(avg(CASE WHEN pred = gold THEN margin END), 6) AS margin_correct, round(avg(CASE WHEN pred <> gold THEN margin END), 6) AS margin_wrong FROM preds {grouping}"""
+
+
+class SqlOps:
+    """The operations of the target rules in DuckDB's SQL."""
+
+    def field(self, name):
+        return f"coalesce({name}, '')"
+
+    def text(self, value):
+        return quoted(value)
+
+    def matches(self, x, pattern):
+        return f"regexp_matches({x}, {quoted(pattern)})"
+
+    def one_of(self, x, values):
+        return f"({x} IN ({', '.join(quoted(v) if isinstance(v, str) else str(v) for v in values)}))"
+
+    def contains(self, x, part):
+        return f"contains({x}, {quoted(part)})"
+
+    def ends(self, x, part):
+        return f"suffix({x}, {quoted(part)})"
+
+    def lower(self, x):
+        return f"lower({x})"
+
+    def base(self, path):
+        return basename(path)
+
+    def folder(self, path):
+        return f"(CASE WHEN contains({slashed(path)}, '\\') THEN lower(regexp_replace({slashed(path)}, '\\\\[^\\\\]*$', '')) ELSE '' END)"
+
+    def clip(self, x, n=120):
+        v = f"trim(regexp_replace({x}, '\\s+', ' ', 'g'))"
+        return f"(CASE WHEN length({v}) <= {n} THEN {v} ELSE substr({v}, 1, {n - 1}) || '\u2026' END)"
+
+    def join(self, *parts):
+        return "(" + " || ".join(p if p.startswith(("coalesce", "lower")) else quoted(p) for p in parts) + ")"
+
+    def number(self, x):
+        return f"coalesce(TRY_CAST(trim({x}) AS BIGINT), -1)"
+
+    def all(self, *c):
+        return "(" + " AND ".join(c) + ")"
+
+    def any(self, *c):
+        return "(" + " OR ".join(c) + ")"
+
+    def no(self, c):
+        return f"(NOT {c})"
+
+    def is_(self, x, value):
+        return f"({x} = {quoted(value)})"
+
+    def at_least(self, x, n):
+        return f"({x} >= {n})"
+
+    def pick(self, *pairs, otherwise):
+        return "(CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in pairs) + f" ELSE {otherwise} END)"
+
+
+_D = SqlOps()
+_SLOTS = f"list_filter([{', '.join(f'CASE WHEN {c} THEN {{key: {quoted(k)}, value: {_D.clip(v)}}} END' for k, c, v in targets.slots(_D))}], lambda x: x IS NOT NULL)"
+_HAS_PARENT, _LINE, _PLACE = targets.fallback(_D)
+_OTHERWISE = f"CASE WHEN {_HAS_PARENT} THEN {{key: 'expected_parent', value: {_D.clip(_LINE)}}} ELSE {{key: 'system32_path', value: {_D.clip(_PLACE)}}} END"
+
+
+def _any(names) -> str:
+    return f"list_has_any(keys, [{', '.join(map(quoted, names))}])"
+
+
+_CMD = "concat_ws(' ', nullif(CommandLine, ''), nullif(TargetFilename, ''))"
+THREAT = f"""CASE WHEN gold = 'benign' THEN NULL WHEN EventID = '4625' THEN 'credential_stuffing'
+ WHEN {_any(['privilege_escalation'])} OR ({_any(['system_context_exec'])} AND {_any(['masquerading_name', 'temp_path_exec'])}) THEN 'privilege_escalation'
+ WHEN {_any(targets.THREATS_BY_INDICATOR['lateral'])} THEN 'lateral_movement' WHEN regexp_matches({_CMD}, {quoted(targets.EXFILTRATION)}) THEN 'data_exfiltration' WHEN {_any(['discovery_command'])} THEN 'reconnaissance'
+ WHEN {_any(targets.THREATS_BY_INDICATOR['malware'])} THEN 'malware' WHEN regexp_matches({_CMD}, {quoted(targets.MINING)}) THEN 'cryptomining' WHEN regexp_matches({_CMD}, {quoted(targets.ANTIFORENSIC)}) THEN 'ransomware'
+ WHEN (EventID IN ('11', '12', '13', '14') AND regexp_matches({_CMD}, {quoted(targets.AUTORUN)})) OR {_any(targets.THREATS_BY_INDICATOR['weak'])} THEN 'malware' ELSE 'unknown' END"""
+
+
+def case_of(x: str, values: dict, otherwise: str = "NULL") -> str:
+    return f"CASE {x} " + " ".join(f"WHEN {quoted(k)} THEN {quoted(v)}" for k, v in values.items()) + f" ELSE {otherwise} END"
+
+
+_BENIGN = in_list(targets.BENIGN_KEYS)
+_PHRASE = case_of("k", targets.PHRASES)
+REASONING = f"""{case_of('EventID', targets.ACTIONS, "'Event'")} || ' by ' || coalesce(nullif({basename('Image')}, ''), nullif({basename('TargetFilename')}, ''), 'the subject') || ': '
+ || array_to_string((CASE WHEN len(bad) > 0 THEN bad ELSE good END)[1:2], ' and ') || '. ' || {case_of('gold', targets.VERDICTS)} || CASE WHEN len(bad) > 0 AND len(good) > 0 AND gold <> 'benign' THEN ' The mitigating evidence (' || good[1] || ') does not outweigh it.'
+ WHEN len(bad) > 0 AND len(good) > 0 AND gold = 'benign' THEN ' ' || upper(good[1][1]) || lower(substr(good[1], 2)) || ', which accounts for it.' WHEN len(bad) > 0 AND gold = 'benign' THEN ' The pattern is documented normal behaviour for this binary.' ELSE '' END"""
+#: Rendered attack and benign events with gold classes, indicators and their names.
+TARGETS = f"""{SIGNED_EVENTS}, pol AS (SELECT * REPLACE (CASE WHEN EventID IN ('1', '7', '4688') THEN {SIGNED} END AS Signed, CASE WHEN EventID IN ('1', '7', '4688') THEN {SIGNER} END AS Signer) FROM norm),
+ classed AS (SELECT *, CASE ord % 3 WHEN 0 THEN 'benign' WHEN 1 THEN 'suspicious' ELSE 'malicious' END AS gold, {_SLOTS} AS found FROM pol),
+ ind AS (SELECT *, CASE WHEN len(found) > 0 THEN found[1:4] ELSE [{_OTHERWISE}] END AS indicators FROM classed), keyed AS (SELECT *, list_transform(indicators, lambda x: x.key) AS keys FROM ind),
+ argued AS (SELECT *, list_transform(list_filter(keys, lambda k: k NOT IN {_BENIGN}), lambda k: {_PHRASE}) AS bad, list_transform(list_filter(keys, lambda k: k IN {_BENIGN}), lambda k: {_PHRASE}) AS good FROM keyed)"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.functions import contract, rules, signatures
+from tracewright.functions import contract, rules, signatures, targets
 from tracewright.operators import audit, labels, metrics, queue, sampling
 from tracewright.plans import bridge
 from tracewright.plans import oracles as o
@@ -316,6 +316,37 @@ def apportion(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.apportion(mix, bridge.table(spark, sf, "documents").count())
 
 
+# ---- targets
+
+
+def _targets(spark: SparkSession, sf: str) -> DataFrame:
+    rows = contract.rendered(bridge.telemetry(spark, sf)).withColumns({
+        "gold": F.expr("CASE ord % 3 WHEN 0 THEN 'benign' WHEN 1 THEN 'suspicious' ELSE 'malicious' END"),
+        "severity": F.expr("CASE ord % 3 WHEN 0 THEN 'none' WHEN 1 THEN 'medium' ELSE 'high' END"),
+    })
+    return targets.with_targets(rows)
+
+
+@query(f"{o.TARGETS} SELECT ord, array_to_string(list_transform(indicators, lambda x: x.key || '=' || x.value), '; ') AS indicators FROM argued")
+def indicators(spark: SparkSession, sf: str) -> DataFrame:
+    return _targets(spark, sf).select("ord", F.array_join(F.transform("indicators", lambda x: F.concat(x["key"], F.lit("="), x["value"])), "; ").alias("indicators"))
+
+
+@query(f"{o.TARGETS} SELECT EventID, {o.THREAT} AS threat_type, count(*) AS n FROM argued GROUP BY ALL")
+def threat_types(spark: SparkSession, sf: str) -> DataFrame:
+    return _targets(spark, sf).groupBy("EventID", "threat_type").agg(F.count("*").alias("n"))
+
+
+@query(f"{o.TARGETS} SELECT ord, {o.REASONING} AS reasoning FROM argued")
+def reasoning(spark: SparkSession, sf: str) -> DataFrame:
+    return _targets(spark, sf).select("ord", "reasoning")
+
+
+@query(f"{o.TARGETS}, names AS (SELECT unnest([{', '.join(map(bridge.quoted, targets.PHRASES))}]) AS key), counted AS (SELECT key, count(*) AS n FROM (SELECT unnest(keys) AS key FROM argued) GROUP BY 1) SELECT key, coalesce(n, 0) AS n FROM names LEFT JOIN counted USING (key)")
+def indicator_frequency(spark: SparkSession, sf: str) -> DataFrame:
+    return targets.indicator_frequency(_targets(spark, sf))
+
+
 # ---- audit
 
 
