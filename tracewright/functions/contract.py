@@ -127,4 +127,8 @@ def violations(event: Column) -> Column:
 def fields_of(event: Column) -> Column:
     """struct of the contract fields of a rendered body; lines without a colon are skipped, the last of equal keys wins."""
     lines = F.transform(F.split(event, "\n"), lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("k"), F.regexp_replace(F.regexp_replace(x, r"^[^:]*:", ""), r"^\s+|\s+$", "").alias("v"), x.contains(":").alias("ok")))
-    return F.struct(*(F.try_element_at(F.filter(lines, lambda x, f=f: x["ok"] & (x["k"] == f)), F.lit(-1))["v"].alias(f) for f in FIELDS))
+
+    def last(name: str) -> Column:
+        return F.try_element_at(F.filter(lines, lambda x: x["ok"] & (x["k"] == name)), F.lit(-1))["v"]
+
+    return F.struct(*(last(f).alias(f) for f in FIELDS))
