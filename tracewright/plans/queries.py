@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.functions import contract, rules, signatures, targets
-from tracewright.operators import audit, labels, metrics, queue, sampling
+from tracewright.functions import contract, prompts, rewriting, rules, signatures, targets
+from tracewright.operators import audit, generate, labels, metrics, queue, sampling
 from tracewright.plans import bridge
 from tracewright.plans import oracles as o
+from tracewright.sources.readers import parse_events
+from tracewright.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -441,3 +443,67 @@ def agreement(spark: SparkSession, sf: str) -> DataFrame:
 @query("""WITH s AS (SELECT n_chars AS v, row_number() OVER (ORDER BY n_chars) - 1 AS i, count(*) OVER () AS n FROM documents) SELECT max(n) AS n, max(v) FILTER (i = n // 2) AS p50, max(v) FILTER (i = CAST(floor(n * 0.95) AS BIGINT)) AS p95, max(v) AS longest FROM s""")
 def length_percentiles(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.length_percentiles(bridge.table(spark, sf, "documents"), "n_chars")
+
+
+# ---- prompts, sources, streams, generators
+
+_SYSTEM_SQL = bridge.quoted(prompts.system_prompt())
+
+
+@query(f"SELECT conv_id, turn, sha256({_SYSTEM_SQL}) AS prompt_hash, {_SYSTEM_SQL} AS system, 'Event:' || chr(10) || text || chr(10) || chr(10) || 'Classify.' AS user FROM conversations")
+def chat_messages(spark: SparkSession, sf: str) -> DataFrame:
+    m = prompts.messages(F.col("text"))
+    return bridge.table(spark, sf, "conversations").select("conv_id", "turn", prompts.prompt_hash().alias("prompt_hash"), m[0]["content"].alias("system"), m[1]["content"].alias("user"))
+
+
+@query(f"""{_MAJORITY}, val AS (SELECT signature FROM major QUALIFY row_number() OVER (PARTITION BY gold ORDER BY sha256('s4|' || signature), signature) <= greatest(1, CAST(round_even(count(*) OVER (PARTITION BY gold) * 0.1, 0) AS BIGINT)))
+ SELECT ord AS id, CASE ord % 3 WHEN 0 THEN 'none' WHEN 1 THEN 'medium' ELSE 'high' END AS severity, CASE WHEN signature IN (SELECT signature FROM val) THEN 'val' ELSE 'train' END AS split FROM sig""")
+def training_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    signed = _gold_events(spark, sf)
+    rows = _targets(spark, sf).join(signed.select("ord", "signature"), "ord").withColumn("id", F.col("ord"))
+    return prompts.training_pairs(rows, sampling.validation_signatures(signed, 0.1, "s4")).select("id", "severity", "split")
+
+
+_CARRIED = [f for f in contract.FIELDS[2:] if f in bridge.CHOICES and f not in ("ParentCommandLine",)]
+
+
+@query(f"{o.TELEMETRY} SELECT ord, EventID, {', '.join(f'CASE WHEN length({f}) > 512 THEN substr({f}, 1, 512) || {bridge.quoted("...")} ELSE {f} END AS {f}' if f == 'CommandLine' else f for f in _CARRIED)} FROM telemetry WHERE coalesce(Image, TargetFilename, DestinationIp, \"User\") IS NOT NULL")
+def xml_events(spark: SparkSession, sf: str) -> DataFrame:
+    data = F.concat_ws("", *(F.when(F.col(f).isNotNull(), F.concat(F.lit(f"<Data Name='{ {'AuthPackage': 'AuthenticationPackageName'}.get(f, f) }'>"), F.col(f), F.lit("</Data>"))) for f in _CARRIED))
+    xml = F.concat(F.lit('<Event xmlns="http://schemas.microsoft.com/win/2004/08/events/event"><System><EventID Qualifiers="0">'), F.col("EventID"), F.lit("</EventID></System><EventData>"), data, F.lit("</EventData></Event>"))
+    return parse_events(bridge.telemetry(spark, sf).select("ord", xml.alias("xml")), "xml").select("ord", "EventID", *_CARRIED)
+
+
+@query(f"{o.SIGNED_EVENTS}, raw AS (SELECT {o.SIGNATURE} AS signature FROM telemetry) SELECT signature, count(*) AS n FROM raw GROUP BY 1")
+def stream_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """The running profile after all events of a file stream have arrived."""
+    records = bridge.telemetry(spark, sf).select(*contract.FIELDS)
+    folder = bridge.staged(records, "stream")
+    stream = ingest.running_profile(spark.readStream.schema(records.schema).parquet(folder))
+    name = bridge.unique("profile")
+    stream.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{folder}-state").trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name)
+
+
+@query()
+def generated_benign(spark: SparkSession, sf: str) -> DataFrame:
+    return generate.generated(spark, bridge.table(spark, sf, "benchmark").count() * 5, "benign")
+
+
+@query()
+def generated_suspicious(spark: SparkSession, sf: str) -> DataFrame:
+    return generate.generated(spark, bridge.table(spark, sf, "benchmark").count() * 5, "suspicious", prefix="S")
+
+
+#: Tool names of the bridge's events, and what may stand for them.
+_NAMES, _NEUTRAL = ("tool", "drop", "backdoor"), ("svc", "upd", "helper", "task", "agent")
+
+
+@query()
+def scrub_names(spark: SparkSession, sf: str) -> DataFrame:
+    return _signed(spark, sf).select("ord", rewriting.scrub_names(F.col("event"), F.col("ord"), _NAMES, _NEUTRAL, "s6").alias("event"))
+
+
+@query()
+def identity_rewrite(spark: SparkSession, sf: str) -> DataFrame:
+    return _signed(spark, sf).select("ord", rewriting.rewrite_identity(F.col("event"), F.col("ord"), "s7").alias("event"))
