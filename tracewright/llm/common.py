@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts of a batch are handled in slices of about so many characters, so that long texts do not add up.
-SLICE_CHARS = 1 << 22
+SLICE_CHARS = 1 << 20
 #: Rows and bytes that Spark hands to Python at once.
-ARROW_ROWS = 2_000
-ARROW_BYTES = 16 << 20
+ARROW_ROWS = 1_000
+ARROW_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,11 +30,23 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: later stages start from it whatever executors are lost."""
+#: For rows of packed bytes of many kilobytes: their size is looked at row by row, and they are not compressed again.
+WIDE_ROWS = {"compression": "uncompressed", "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.enable.dictionary": "false"}
+
+
+#: Rows of a few numbers that go to one file.
+ROWS_A_FILE = 1 << 20
+
+
+def written(df: DataFrame, name: str, wide: bool = False, rows: int | None = None) -> DataFrame:
+    """df as a Parquet table in the shared folder: later stages start from it whatever executors are lost.
+
+    rows: about how many rows of a few numbers it has, if they come from a shuffle; its files follow from that.
+    """
     spark = df.sparkSession
+    df = df if rows is None else df.coalesce(1 + rows // ROWS_A_FILE)
     path = f"{shared_dir(spark)}/tracewright/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**(WIDE_ROWS if wide else {})).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out

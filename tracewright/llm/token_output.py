@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from tracewright.llm.common import batch_of, discard, slices, small_batches, written
 from tracewright.llm.tokenizing import encoder
 
+#: Distinct pieces that a worker keeps encoded while it makes tokens.
+REMEMBERED = 1_000_000
 #: Tokens after which a block is closed.
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS = 1 << 16
 
 _TOKENS = "part int, pos long, doc_id long, local_start long, n_tokens long, ids binary, seen_ids array<int>, seen_counts array<long>"
 _BLOCKS = "part int, seq long, doc_id array<long>, start array<long>, n_tokens array<long>, control binary, data binary"
@@ -60,9 +62,9 @@ def unpack_values(control: bytes, data: bytes, n: int) -> np.ndarray:
     return values
 
 
-def _tokenise(path: str, end_id: int):
+def _tokenise(path: str, end_id: int, remembered: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, remembered)
         end = np.array([end_id], enc.dtype).tobytes()
         part, pos, total = TaskContext.get().partitionId(), 0, 0
         counts = np.zeros(max(enc.vocabulary, end_id + 1), np.int64)
@@ -86,22 +88,21 @@ def _tokenise(path: str, end_id: int):
 
 _arrow_tokens = pa.schema([("part", pa.int32()), ("pos", pa.int64()), ("doc_id", pa.int64()), ("local_start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("seen_ids", pa.list_(pa.int32())), ("seen_counts", pa.list_(pa.int64()))])
 _arrow_blocks = pa.schema([("part", pa.int32()), ("seq", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("start", pa.list_(pa.int64())), ("n_tokens", pa.list_(pa.int64())), ("control", pa.binary()), ("data", pa.binary())])
-_arrow_documents = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.binary())])
 
 
-def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 2) -> tuple[DataFrame, DataFrame]:
+def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 2, remembered: int = REMEMBERED) -> tuple[DataFrame, DataFrame]:
     """Encode whole texts and write the shards; returns (blocks, rank table), both read back from files.
 
     docs needs doc_id and text. A null text is empty: its document holds the end id alone. Documents ascend by
     doc_id (null first), rows with equal doc_id by a hash of the text; each row is a document of its own. An
     empty table gives no blocks. Other columns are ignored.
     Tokens are made once, in document order, and written; counts of ids (one row a task and id) and one token
-    total a task are all that is gathered.
+    total a task are all that is gathered. `remembered` bounds the pieces that a worker keeps encoded.
     """
     spark = docs.sparkSession
     small_batches(spark)
     in_order = docs.select("doc_id", "text").orderBy("doc_id", F.xxhash64("text"))
-    tokens = written(in_order.mapInArrow(_tokenise(tokenizer, end_id), _TOKENS), "tokens")
+    tokens = written(in_order.mapInArrow(_tokenise(tokenizer, end_id, remembered), _TOKENS), "tokens")
     ends = tokens.where("pos = -1")
     counts = ends.select(F.explode(F.arrays_zip("seen_ids", "seen_counts")).alias("s")).groupBy(F.col("s.seen_ids").alias("id")).agg(F.sum("s.seen_counts").alias("n")).toPandas()
     by_rank = counts.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy(np.int64)
@@ -127,31 +128,33 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = 2) -> tuple[Data
                     lo, size = i + 1, 0
 
     docs_only = tokens.where("pos >= 0").select("part", "pos", "doc_id", "local_start", "n_tokens", "ids")
-    blocks = written(docs_only.mapInArrow(encode, _BLOCKS), "shards")
+    blocks = written(docs_only.mapInArrow(encode, _BLOCKS), "shards", wide=True)
     rank_table = written(spark.createDataFrame([(i, int(t)) for i, t in enumerate(by_rank)], "rank long, id long"), "ranks")
     discard(tokens)
     return blocks, rank_table
 
 
-def read_shards(blocks: DataFrame, rank_table: DataFrame) -> DataFrame:
-    """One row a document: doc_id, start, n_tokens, ids (little-endian unsigned 32-bit)."""
-    spark = blocks.sparkSession
-    by_rank = spark.sparkContext.broadcast(rank_table.toPandas().sort_values("rank")["id"].to_numpy(np.uint32))
+def _decoded(blocks: DataFrame, rank_table: DataFrame, last: str, made, kind: pa.DataType) -> DataFrame:
+    """doc_id, start, n_tokens of the documents in blocks, and made(ids) as column `last`."""
+    by_rank = blocks.sparkSession.sparkContext.broadcast(rank_table.toPandas().sort_values("rank")["id"].to_numpy(np.uint32))
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), (last, kind)])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                ids = by_rank.value[unpack_values(row["control"], row["data"], sum(row["n_tokens"]))].astype("<u4")
-                cuts = np.cumsum(row["n_tokens"])[:-1]
-                yield batch_of(_arrow_documents, doc_id=row["doc_id"], start=row["start"], n_tokens=row["n_tokens"], ids=[x.tobytes() for x in np.split(ids, cuts)])
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in ("doc_id", "start", "n_tokens", "control", "data")}
+                ids = by_rank.value[unpack_values(row["control"], row["data"], sum(row["n_tokens"]))].astype("<u4", copy=False)
+                ends = np.cumsum(row["n_tokens"]).tolist()
+                yield batch_of(schema, doc_id=row["doc_id"], start=row["start"], n_tokens=row["n_tokens"], **{last: [made(ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)]})
 
-    return blocks.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
+    return blocks.mapInArrow(decode, f"doc_id long, start long, n_tokens long, {last} {'binary' if kind == pa.binary() else 'long'}")
 
 
-def digests(documents: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of read_shards()."""
-    return documents.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+def read_shards(blocks: DataFrame, rank_table: DataFrame) -> DataFrame:
+    """One row a document: doc_id, start, n_tokens, ids (little-endian unsigned 32-bit)."""
+    return _decoded(blocks, rank_table, "ids", np.ndarray.tobytes, pa.binary())
 
 
-def checksum(ids: np.ndarray) -> int:
-    return zlib.crc32(np.asarray(ids, "<u4").tobytes())
+def digests(blocks: DataFrame, rank_table: DataFrame) -> DataFrame:
+    """One row a document: doc_id, start, n_tokens, ids_crc32, from the ids read back."""
+    return _decoded(blocks, rank_table, "ids_crc32", zlib.crc32, pa.int64())

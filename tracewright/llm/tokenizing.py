@@ -15,30 +15,53 @@ from array import array
 _LATIN = "A-Za-z0-9À-ÖØ-öø-ÿ"
 _STOPS = ".,;:!?|#$%&*"
 #: White space runs stay with what follows; runs of letters and digits end before white space or plain punctuation.
-_BYTE_PIECES = re.compile(rf"[ \n]*[{_LATIN}]+(?=[ \n{_STOPS}]|$)|[ \n]*[^ \n]+|[ \n]+")
-_WORD_PIECES = re.compile(rf"[a-z0-9ß-öø-ÿ]+(?=[ \n{_STOPS}]|$)|[^ \n]+")
+_BYTE_PIECES = re.compile(rf"[ \n]*+[{_LATIN}]++(?=[ \n{_STOPS}]|$)|[ \n]*+[^ \n]++|[ \n]++")
+_WORD_PIECES = re.compile(rf"[a-z0-9ß-öø-ÿ]++(?=[ \n{_STOPS}]|$)|[^ \n]++")
 _BYTE_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _LOWER_WORD = re.compile(r"[a-zß-öø-ÿ]+")
 _ODD_SPACE = re.compile(r"[^\S \n]")
 
-#: Distinct pieces that a worker remembers (about 200 bytes each) before it starts anew.
-REMEMBERED = 700_000
+#: Distinct pieces that a worker remembers (about 250 bytes each) before it starts anew.
+REMEMBERED = 250_000
 
 
 def byte_alphabet() -> dict[int, int]:
-    """The character that byte-level vocabularies write for each byte; the line feed stays, as the separator of words."""
+    """The character that byte-level vocabularies write for each byte."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in shown]
-    return {b: 256 + i for i, b in enumerate(hidden) if b != 10}
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
+class Known(dict):
+    """ids of pieces, encoded when they are first asked for; None for a piece that must not be cut off its text."""
+
+    def __init__(self, owner: Encoder):
+        super().__init__()
+        self.most = owner.remembered
+        self.word, self.uncut, self.spelled, self.model, self.library, self.code = owner.one_word.fullmatch, owner.uncut, owner.spelled, owner.model.tokenize, owner.library.encode, owner.code
+
+    def __missing__(self, piece: str) -> bytes | None:
+        if len(self) >= self.most:
+            self.clear()
+        if self.uncut and self.uncut(piece):
+            self[piece] = None
+            return None
+        if self.spelled and self.word(piece):  # a single pre-token: straight to the model, in its own alphabet
+            ids = [t.id for t in self.model(piece.encode().decode("latin-1").translate(self.spelled))]
+        else:
+            ids = self.library(piece, add_special_tokens=False).ids
+        made = self[piece] = array(self.code, ids).tobytes()
+        return made
 
 
 class Encoder:
     """ids of texts as little-endian bytes of `dtype`; no special tokens are added, and their strings are plain text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.remembered = remembered
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
@@ -47,15 +70,16 @@ class Encoder:
         self.code, self.dtype = ("H", "<u2") if self.vocabulary <= 1 << 16 else ("I", "<u4")
         self.model = self.library.model
         self.spelled: dict[int, int] = {}
-        self.one_word = _BYTE_WORD
+        self.one_word, self.uncut = _BYTE_WORD, None
         self.pieces = self._cut_for(made)
-        self.known: dict[str, bytes] = {}
+        self.known = Known(self)
 
     def _cut_for(self, made: dict):
         before, normal = made.get("pre_tokenizer") or {}, made.get("normalizer") or {}
         if before.get("type") == "ByteLevel" and not normal and not before.get("add_prefix_space") and before.get("use_regex", True):
             self.spelled, self.one_word = byte_alphabet(), _BYTE_WORD
-            return self._byte_pieces
+            self.uncut = _ODD_SPACE.search  # it may belong to a run with the spaces around it
+            return _BYTE_PIECES.findall
         steps = [s.get("type") for s in before.get("pretokenizers", ())]
         normals = [n.get("type") for n in normal.get("normalizers", ())]
         if steps == ["Split", "ByteLevel"] and normals == ["NFC", "Replace", "Lowercase"] and before["pretokenizers"][0]["behavior"] == "Removed" and not before["pretokenizers"][1].get("add_prefix_space"):
@@ -63,10 +87,6 @@ class Encoder:
             return self._word_pieces
         return lambda text: [text]
 
-    @staticmethod
-    def _byte_pieces(text: str) -> list[str]:
-        return [text] if _ODD_SPACE.search(text) else _BYTE_PIECES.findall(text)
-
     @staticmethod
     def _word_pieces(text: str) -> list[str]:
         try:
@@ -76,32 +96,23 @@ class Encoder:
         return _WORD_PIECES.findall(text.lower())
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        cut = [self.pieces(text) for text in texts]
-        new = list(set().union(*cut) - known.keys()) if cut else []
-        code = self.code
-        for lo in range(0, len(new), 4096):
-            some = new[lo : lo + 4096]
-            if self.spelled:  # a single pre-token each: straight to the model, in its own alphabet
-                plain = [p for p in some if self.one_word.fullmatch(p)]
-                for piece, word in zip(plain, "\n".join(plain).encode().decode("latin-1").translate(self.spelled).split("\n"), strict=True):
-                    known[piece] = array(code, [t.id for t in self.model.tokenize(word)]).tobytes()
-                some = [p for p in some if p not in known]
-            for piece, found in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[piece] = array(code, found.ids).tobytes()
-        get = known.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
+        get, out = self.known.__getitem__, []
+        for text in texts:
+            try:
+                out.append(b"".join(map(get, self.pieces(text))))
+            except TypeError:
+                out.append(array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes())
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One per worker process and file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
+    """One per worker process; a worker that turns to another file forgets the first."""
+    if path not in _encoders or _encoders[path].remembered != remembered:
+        _encoders.clear()
+        _encoders[path] = Encoder(path, remembered)
     return _encoders[path]
 
 
