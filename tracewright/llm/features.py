@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-WINDOW_CHARS = 1 << 19
+WINDOW_CHARS = 1 << 18
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)

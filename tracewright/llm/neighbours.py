@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tracewright.llm.common import batch_of, written
 
-CANDIDATES = 4096
+CANDIDATES = 1024
 QUERIES = 1024
 #: Pairs recomputed at once.
 RECOMPUTED = 1 << 14
@@ -122,13 +122,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     spark = vectors.sparkSession
     rows = written(usable(vectors), "vectors")
     order = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
-    candidates = written(rows.withColumn("_n", order).where(F.col("_n") <= k + 1).select("vec_id", "v").mapInArrow(_packed(CANDIDATES), _BLOCK), "blocks")
-    queries = written(rows.where(is_query).mapInArrow(_packed(QUERIES), _BLOCK), "queries")
+    candidates = written(rows.withColumn("_n", order).where(F.col("_n") <= k + 1).select("vec_id", "v").mapInArrow(_packed(CANDIDATES), _BLOCK), "blocks", wide=True)
+    queries = written(rows.where(is_query).mapInArrow(_packed(QUERIES), _BLOCK), "queries", wide=True)
     n_candidates, n_queries = candidates.count(), queries.count()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stripes = max(1, min(n_candidates, -(-2 * parts // max(1, n_queries))))
     dealt = queries.select(F.monotonically_increasing_id().alias("block"), *(F.col(c).alias(f"q_{c}") for c in _block.names))
-    dealt = written(dealt, "dealt")
+    dealt = written(dealt, "dealt", wide=True)
     blocks = F.broadcast(dealt.select("block"))  # ids only, one for every QUERIES queries
     left = candidates.withColumn("stripe", F.pmod(F.xxhash64("ids"), F.lit(stripes).cast("long"))).join(blocks)
     right = dealt.withColumn("stripe", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(stripes - 1).cast("long"))))

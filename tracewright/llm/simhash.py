@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.llm.common import discard, small_batches, written
+from tracewright.llm.common import small_batches, written
 from tracewright.llm.components import connected
 
 BUDGET = 3
@@ -205,7 +205,6 @@ def links(fingerprints: DataFrame, leaf: int = LEAF) -> DataFrame:
     n = fingerprints.count()
     work = spark.createDataFrame([(t, 0, 0, 0, 2 * n) for t in (0, 1)], "turn int, p long, q long, used int, size long")
     light, depth = [], 0
-    made: list[DataFrame] = []
     while True:
         light.append((depth, work.where(F.col("size") <= leaf) if depth < 60 else work))
         heavy = work.where(F.col("size") > leaf)
@@ -220,8 +219,7 @@ def links(fingerprints: DataFrame, leaf: int = LEAF) -> DataFrame:
         used = F.col("used") + F.bit_count(F.col("cp").bitwiseXOR(F.col("cq")).bitwiseAND(F.lit((1 << STEP) - 1)))
         limit = HALF_BUDGET if depth <= 32 else BUDGET
         children = children.select("turn", F.col("cp").alias("p"), F.col("cq").alias("q"), used.cast("int").alias("used"), (F.col("np") + F.col("nq")).alias("size"))
-        work = written(children.where((F.col("used") <= limit) & ((F.col("p") < F.col("q")) | ((F.col("p") == F.col("q")) & (F.col("used") == 0)))), f"nodes{depth}")
-        made.append(work)
+        work = written(children.where((F.col("used") <= limit) & ((F.col("p") < F.col("q")) | ((F.col("p") == F.col("q")) & (F.col("used") == 0)))), f"nodes{depth}", rows=n)
     found = None
     for depth, pairs in light:
         pairs = pairs.withColumn("depth", F.lit(depth))
@@ -238,21 +236,19 @@ def links(fingerprints: DataFrame, leaf: int = LEAF) -> DataFrame:
             a, b = (x << np.uint64(32) | x >> np.uint64(32) for x in (a, b))
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    joined = written(found.groupBy("turn", "depth", "p", "q").applyInArrow(join, "a long, b long"), "links")
-    for x in made:
-        discard(x)
-    return joined
+    return found.groupBy("turn", "depth", "p", "q").applyInArrow(join, "a long, b long")
 
 
 def classes(marked: DataFrame, first: Column) -> DataFrame:
     """(fp, smallest): for every fingerprint of marked (column fp, written), the least value of the aggregate `first`
     over all rows that links lead to."""
-    distinct = written(marked.groupBy("fp").agg(first.alias("first")), "distinct")
-    members = connected(links(distinct))
+    rows = marked.count()
+    distinct = written(marked.groupBy("fp").agg(first.alias("first")), "distinct", rows=rows)
+    members = connected(links(distinct), rows)
     roots = distinct.join(members, distinct["fp"] == members["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     linked = roots.where(F.col("root") != F.col("fp")).select("root").distinct()
     smallest = roots.join(linked, "root").groupBy("root").agg(F.min("first").alias("smallest"))
-    return written(roots.join(smallest, "root", "left").select("fp", F.coalesce("smallest", "first").alias("smallest")), "classes")
+    return written(roots.join(smallest, "root", "left").select("fp", F.coalesce("smallest", "first").alias("smallest")), "classes", rows=rows)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
