@@ -96,20 +96,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     they are made; only matches go on, so what is shuffled grows with the contamination.
     """
     items = written(_described(benchmark.where("item_id IS NOT NULL").select("item_id", "text").distinct(), "item_id"), "items")
+    rows = docs.count()  # what is found is about as many rows at most
+    n_windows = 100 * items.count()
     items = items.withColumn("item_key", F.xxhash64("item_id", "words")).withColumn("item_words", F.size("template"))
     shortest = items.where(F.col("item_words").between(SHORT_WINDOW, WINDOW - 1)).limit(1).count()
     sizes = [WINDOW] + [SHORT_WINDOW] * shortest
+    # texts all in capitals have no names: windows with the item's names as plain words stand for these
+    plain = F.zip_with("template", "words", lambda t, w: F.when(t == NAME, F.lower(w)).otherwise(t))
     wanted = []
     for size in sizes:
         fitting = items.where(F.col("item_words") >= WINDOW) if size == WINDOW else items.where(F.col("item_words").between(SHORT_WINDOW, WINDOW - 1))
-        wanted.append(fitting.select("item_key", "item_words", F.lit(size).alias("size"), F.posexplode(_windows(_hashed(F.col("template")), size)).alias("item_at", "hash")))
-    windows = written(reduce(DataFrame.unionByName, wanted), "windows")
-    hashes = written(windows.select("hash").distinct(), "hashes")
+        for form in (F.col("template"), plain):
+            wanted.append(fitting.select("item_key", "item_words", F.lit(size).alias("size"), F.posexplode(_windows(_hashed(form), size)).alias("item_at", "hash")))
+    windows = written(reduce(DataFrame.unionByName, wanted).distinct(), "windows", rows=n_windows)
+    hashes = written(windows.select("hash").distinct(), "hashes", rows=n_windows)
 
     texts = docs.where("text IS NOT NULL").select("text").withColumn("text_hash", F.xxhash64("text"))
     own = texts.select("text_hash", tokens(F.col("text")).alias("tokens")).select("text_hash", _hashed(template(F.col("tokens"))).alias("h"))
     made = [own.select("text_hash", F.posexplode(_windows(F.col("h"), size)).alias("at", "hash")) for size in sizes]
-    hits = written(joined(reduce(DataFrame.unionByName, made), hashes, ["hash"], "left_semi").distinct(), "hits")
+    hits = written(joined(reduce(DataFrame.unionByName, made), hashes, ["hash"], "left_semi").distinct(), "hits", rows=rows)
 
     diagonals = (
         joined(hits, windows, ["hash"])
@@ -119,8 +124,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .where(F.size("under") >= F.least(F.lit(COVERED), F.col("item_words") - 1))
         .select("text_hash", "item_key", "item_words", "shift", "under")
     )
-    diagonals = written(diagonals, "diagonals")
-    keys = written(diagonals.select("text_hash").distinct(), "keys")
+    diagonals = written(diagonals, "diagonals", rows=rows)
+    keys = written(diagonals.select("text_hash").distinct(), "keys", rows=rows)
     suspects = joined(texts, keys, ["text_hash"], "left_semi").dropDuplicates(["text_hash"])
     suspects = _described(suspects, "text_hash").withColumnsRenamed({"words": "text_words", "template": "text_template"})
     pairs = diagonals.join(suspects, "text_hash").join(items.select("item_key", "item_id", "words", "template"), "item_key")
@@ -128,7 +133,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     def slot(i: Column) -> Column:
         return F.struct(F.get("template", i).alias("kind"), F.lower(F.get("words", i)).alias("item"), F.lower(F.get("text_words", i + F.col("shift"))).alias("text"))
 
-    same = F.forall("under", lambda i: F.get("template", i) == F.get("text_template", i + F.col("shift")))
+    there = lambda i: F.get("text_template", i + F.col("shift"))
+    same = F.forall("under", lambda i: (F.get("template", i) == there(i)) | ((F.get("template", i) == NAME) & (F.lower(F.get("words", i)) == there(i))))
     slots = F.transform(F.filter("under", lambda i: F.get("template", i).isin(NUMBER, NAME, UNIT)), slot)
     distinct = lambda c, *names: F.size(F.array_distinct(F.transform(c, lambda s: F.struct(*(s[n] for n in names)))))
     names = F.filter("slots", lambda s: s["kind"] == NAME)
@@ -136,7 +142,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     checked = pairs.where(same).withColumn("slots", slots).where(consistent)
     held = checked.select("text_hash", "item_id", F.struct(F.size("under").alias("covered"), (-F.size(F.filter("slots", lambda s: s["item"] != s["text"]))).alias("unchanged"), F.size("slots").alias("n"), "item_words").alias("m"))
     best = held.groupBy("text_hash", "item_id").agg(F.max("m").alias("m"))
-    out = written(best.select("text_hash", "item_id", "m.covered", "m.item_words", F.col("m.n").alias("slots"), (-F.col("m.unchanged")).alias("changed_slots")), "contaminated")
+    out = written(best.select("text_hash", "item_id", "m.covered", "m.item_words", F.col("m.n").alias("slots"), (-F.col("m.unchanged")).alias("changed_slots")), "contaminated", rows=rows)
     for done in (hits, diagonals, keys, hashes, windows):
         discard(done)
     return out
@@ -149,6 +155,6 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of docs whose text holds no item, with all their columns."""
-    found = written(contaminated(docs, benchmark).select(F.col("text_hash").alias("_text_hash")).distinct(), "dropped")
+    found = written(contaminated(docs, benchmark).select(F.col("text_hash").alias("_text_hash")).distinct(), "dropped", rows=docs.count())
     marked = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
     return docs.join(marked, F.xxhash64(docs["text"]) == marked["_text_hash"], "left_anti")

@@ -25,6 +25,7 @@ TERM_BITS = 20
 ROWS_PER_LABEL = 4_000
 TERMS = 4_096
 MIN_CHI_SQUARE = 30.0
+MIN_ROWS = 6
 NEIGHBOURS = 25
 BLOCK = 64
 
@@ -98,7 +99,7 @@ class Index:
 
     def vote(self, terms: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[float, np.ndarray, np.ndarray]:
         rows, cosine = self.nearest(terms, weights, k)
-        w = self.importance[rows] * cosine**2 / (1.05 - np.minimum(cosine, 1.0))
+        w = self.importance[rows] * cosine**2
         return (w @ self.toxic[rows] + self.prior) / (w.sum() + 1), rows, cosine
 
 
@@ -192,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows_per_label: int =
 
 
 def telling_terms(found: list[np.ndarray], toxic: np.ndarray, most: int = TERMS) -> np.ndarray:
-    """Terms whose presence depends on the label: chi-square of at least MIN_CHI_SQUARE, the `most` highest."""
+    """Terms whose presence depends on the label: chi-square of at least MIN_CHI_SQUARE in MIN_ROWS rows or more, the `most` highest."""
     n, n1 = len(toxic), toxic.sum()
     if not n or not 0 < n1 < n:
         return np.zeros(0, np.int64)
@@ -201,7 +202,7 @@ def telling_terms(found: list[np.ndarray], toxic: np.ndarray, most: int = TERMS)
     expected = every * n1 / n
     spread = expected * (1 - n1 / n) * (1 - every / n)
     chi = np.divide((ones - expected) ** 2, spread, out=np.zeros_like(spread), where=spread > 0)
-    good = np.flatnonzero(chi >= MIN_CHI_SQUARE)
+    good = np.flatnonzero((chi >= MIN_CHI_SQUARE) & (every >= MIN_ROWS))
     return np.sort(good[np.argsort(-chi[good], kind="stable")[:most]])
 
 
