@@ -98,8 +98,11 @@ def latest_decisions(log: DataFrame) -> DataFrame:
 
 
 def decision_tokens(lines: DataFrame) -> DataFrame:
-    """gid, severity, ok of each `Gxxxx=severity` token of text lines (ord, text); # begins a comment. Bad ones stay, ok false."""
-    words = lines.select("ord", F.explode(F.filter(F.split(F.element_at(F.split("text", "#"), 1), r"\s+"), lambda t: t != "")).alias("token"))
+    """gid, severity, ok of each `Gxxxx=severity` token of text lines (ord, text); # begins a comment. Bad ones stay, ok false.
+
+    Words without = are no tokens.
+    """
+    words = lines.select("ord", F.explode(F.filter(F.split(F.element_at(F.split("text", "#"), 1), r"\s+"), lambda t: t.contains("="))).alias("token"))
     severity = F.lower(F.substring_index("token", "=", -1))
     ok = F.col("token").rlike(r"^[Gg]\d+=\w+$") & severity.isin(*rules.RANK)
     return words.select("ord", "token", F.upper(F.substring_index("token", "=", 1)).alias("gid"), severity.alias("severity"), ok.alias("ok"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.functions import contract, prompts, rewriting, rules, signatures, targets
-from tracewright.operators import audit, generate, labels, metrics, queue, sampling
+from tracewright.operators import audit, decisions, generate, labels, metrics, queue, sampling
 from tracewright.plans import bridge
 from tracewright.plans import oracles as o
 from tracewright.sources.readers import parse_events
@@ -207,7 +207,7 @@ def boundary_reconcile(spark: SparkSession, sf: str) -> DataFrame:
 _LINES = "SELECT conv_id * 1000 + turn AS ord, 'G' || (conv_id % 90) || '=' || CASE turn % 4 WHEN 0 THEN 'high' WHEN 1 THEN 'NONE' WHEN 2 THEN 'bogus' ELSE 'low' END || ' x' || conv_id || ' # ' || role AS text FROM"
 
 
-@query(f"""WITH lines AS ({_LINES} conversations), words AS (SELECT ord, unnest(list_filter(string_split_regex(split_part(text, '#', 1), '\\s+'), lambda t: t <> '')) AS token FROM lines)
+@query(f"""WITH lines AS ({_LINES} conversations), words AS (SELECT ord, unnest(list_filter(string_split_regex(split_part(text, '#', 1), '\\s+'), lambda t: contains(t, '='))) AS token FROM lines)
  SELECT ord, token, upper(split_part(token, '=', 1)) AS gid, lower(regexp_extract(token, '[^=]*$')) AS severity, regexp_matches(token, '^[Gg]\\d+=\\w+$') AND lower(regexp_extract(token, '[^=]*$')) IN {o.in_list(rules.RANK)} AS ok FROM words""")
 def decision_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return labels.decision_tokens(spark.sql(f"{_LINES} {{c}}", c=bridge.table(spark, sf, "conversations")))
@@ -221,6 +221,63 @@ def decision_latest(spark: SparkSession, sf: str) -> DataFrame:
     return labels.latest_decisions(spark.sql(f"{_LOG} {{e}}", e=bridge.table(spark, sf, "events")))
 
 
+_TOKENS = f"""WITH lines AS ({_LINES} conversations), words AS (SELECT ord, unnest(list_filter(string_split_regex(split_part(text, '#', 1), '\\s+'), lambda t: contains(t, '='))) AS token FROM lines),
+ toks AS (SELECT ord, token, upper(split_part(token, '=', 1)) AS gid, lower(regexp_extract(token, '[^=]*$')) AS severity FROM words), valid AS (SELECT * FROM toks WHERE severity IN {o.in_list(rules.RANK)} AND TRY_CAST(substr(gid, 2) AS INT) % 3 <> 0),
+ last AS (SELECT 'S' || substr(gid, 2) AS signature, arg_max(severity, ord) AS s, gid FROM valid GROUP BY gid)"""
+
+
+@query(f"""{_TOKENS} SELECT signature, CASE WHEN s <> 'drop' THEN s END AS severity, CASE s {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in rules.BUCKET.items())} END AS gold, 'model' AS decided_by, gid, coalesce(n, 0) AS n
+ FROM last LEFT JOIN (SELECT 'S' || (user_id % 500) AS signature, count(*) AS n FROM events GROUP BY 1) USING (signature)""")
+def apply_decisions(spark: SparkSession, sf: str) -> DataFrame:
+    tokens = labels.decision_tokens(spark.sql(f"{_LINES} {{c}}", c=bridge.table(spark, sf, "conversations")))
+    gids = spark.range(90).where("id % 3 <> 0")
+    index = gids.select(F.concat(F.lit("G"), "id").alias("gid"), F.concat(F.lit("S"), "id").alias("signature"))
+    counts = bridge.table(spark, sf, "events").groupBy(F.concat(F.lit("S"), F.col("user_id") % 500).alias("signature")).agg(F.count("*").alias("n"))
+    return decisions.applied_tokens(tokens, index, counts)[0]
+
+
+@query(f"""{o.GROUPS} SELECT signature, n, score, prelabel FROM grouped WHERE signature NOT IN (SELECT signature FROM autos) AND score >= 1.0 AND prelabel = 'review'""")
+def open_groups(spark: SparkSession, sf: str) -> DataFrame:
+    q = _queue(spark, sf)
+    return decisions.worklist(queue.groups(q), queue.auto_labels(q), 1.0, "review").select("signature", "n", "score", "prelabel")
+
+
+@query(f"""{o.GROUPS} SELECT signature, CAST(NULL AS VARCHAR) AS severity, 'drop' AS gold, 'bulk tail drop' AS decided_by, 'below score 0.5 at bulk drop' AS rule, n FROM grouped WHERE signature NOT IN (SELECT signature FROM autos) AND score <= 0.5""")
+def tail_drop(spark: SparkSession, sf: str) -> DataFrame:
+    q = _queue(spark, sf)
+    return decisions.tail_dropped(decisions.worklist(queue.groups(q), queue.auto_labels(q)), 0.5)
+
+
+@query(f"""{o.GROUPS}, proposed AS (SELECT signature, n, {o.PROPOSED_SEVERITY} AS severity, {o.PROPOSED_RULE} AS rule FROM grouped WHERE signature NOT IN (SELECT signature FROM autos))
+ SELECT signature, severity, 'malicious' AS gold, 'accepted in bulk' AS decided_by, rule, n FROM proposed WHERE rule = 'payload-drop'""")
+def bulk_accept(spark: SparkSession, sf: str) -> DataFrame:
+    q = _queue(spark, sf)
+    return decisions.accepted(decisions.worklist(queue.groups(q), queue.auto_labels(q)), queue.proposals(q), "payload-drop")
+
+
+_HUMAN = "CASE ord % 5 WHEN 0 THEN 'none' WHEN 1 THEN 'high' WHEN 2 THEN 'low' END"
+
+
+@query(f"""{o.SIGNED_EVENTS}, rows AS (SELECT ord AS id, coalesce({o.SEVERITY_OF}, 'none') AS severity, {_HUMAN} AS human FROM sig), news AS (SELECT id, severity AS old, CASE WHEN human IS NOT NULL AND {o.RANK.format('human')} > {o.RANK.format('severity')} THEN human ELSE severity END AS severity FROM rows)
+ SELECT id, severity, CASE severity {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in rules.BUCKET.items())} END AS gold, severity <> old AS changed FROM news""")
+def verified_max(spark: SparkSession, sf: str) -> DataFrame:
+    rows = bridge.telemetry(spark, sf).select(F.col("ord").alias("id"), F.expr(f"coalesce({o.SEVERITY_OF}, 'none')").alias("severity"), F.expr(_HUMAN).alias("human"))
+    human = rows.where("human IS NOT NULL").select("id", F.col("human").alias("severity"))
+    return decisions.verified(rows.select("id", "severity", rules.bucket(F.col("severity")).alias("gold")), human)
+
+
+@query(f"""{o.SIGNED_EVENTS}, l AS (SELECT signature, {o.SEVERITY_OF} AS severity, {o.GOLD_OF} AS gold FROM sig WHERE attack QUALIFY row_number() OVER (PARTITION BY signature ORDER BY ord) = 1), held AS (SELECT signature FROM sig WHERE NOT attack AND ord % 9 = 0)
+ SELECT ord, signature, l.severity, l.gold FROM sig JOIN l USING (signature) WHERE attack AND l.gold <> 'drop' AND signature NOT IN (SELECT signature FROM held)""")
+def label_expand(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _signed(spark, sf)
+    return decisions.expanded(_labelled(spark, sf), rows.where("attack"), rows.where("NOT attack AND ord % 9 = 0")).select("ord", "signature", "severity", "gold")
+
+
+@query(f"{o.TELEMETRY} SELECT src, ord FROM telemetry QUALIFY row_number() OVER (PARTITION BY src ORDER BY ord) <= 3")
+def per_file_cap(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.capped(bridge.telemetry(spark, sf), ["src"], 3, [F.col("ord")]).select("src", "ord")
+
+
 # ---- caps, splits and sets
 
 
@@ -339,6 +396,12 @@ def threat_types(spark: SparkSession, sf: str) -> DataFrame:
     return _targets(spark, sf).groupBy("EventID", "threat_type").agg(F.count("*").alias("n"))
 
 
+@query(f"""{o.TARGETS}, typed AS (SELECT ord, CASE ord % 3 WHEN 0 THEN 'none' WHEN 1 THEN 'medium' ELSE 'high' END AS severity, {o.THREAT} AS threat_type FROM argued)
+ SELECT ord, threat_type, severity IN {o.in_list(decisions.ESCALATED_SEVERITIES)} OR coalesce(threat_type IN {o.in_list(decisions.ESCALATED_THREATS)}, false) AS escalate, CASE severity WHEN 'none' THEN 0.05::DOUBLE WHEN 'medium' THEN 0.5 ELSE 0.85 END AS confidence FROM typed""")
+def routing(spark: SparkSession, sf: str) -> DataFrame:
+    return decisions.routed(_targets(spark, sf)).select("ord", "threat_type", "escalate", "confidence")
+
+
 @query(f"{o.TARGETS} SELECT ord, {o.REASONING} AS reasoning FROM argued")
 def reasoning(spark: SparkSession, sf: str) -> DataFrame:
     return _targets(spark, sf).select("ord", "reasoning")
