@@ -9,6 +9,8 @@ Mail addresses and secrets have no numeric format; they become keyed hashes, whi
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,17 +26,21 @@ PATTERNS: tuple[tuple[str, str], ...] = (
     ("hex", r"\b(?:[0-9a-f]{32,}|[0-9A-F]{32,})\b"),
     ("ip", r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"),
     ("date", r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\1[0-9]{4})(?![0-9]|[./-][0-9])"),
-    ("phone", r"\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9.-])[0-9]{3}([.-])[0-9]{3}\2[0-9]{4}(?![0-9]|[.-][0-9])"),
+    ("phone", r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9.-])[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}(?![0-9]|[.-][0-9])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"),
-    ("card", r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"),
+    ("card", r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9])"),
 )
 #: 1900-01-01 to 2099-12-31 has 73,049 days, which is 17 times 4,297.
 DAYS = (17, 4297)
 
 
 def _any() -> str:
-    """One alternation; the two groups that are referred to keep their numbers."""
-    return "|".join(f"(?:{p})" for _, p in PATTERNS)
+    """One alternation of all patterns; references to groups count from the first pattern on."""
+    out, groups = [], 0
+    for _, pattern in PATTERNS:
+        out.append("(?:" + re.sub(r"\\([1-9])", lambda m: f"\\{int(m[1]) + groups}", pattern) + ")")
+        groups += re.compile(pattern).groups
+    return "|".join(out)
 
 
 def _keyed(key: str, tag: str, *values: Column) -> Column:
@@ -212,7 +218,7 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
     }
     out: Column | None = None
     for kind, pattern in PATTERNS:
-        fits, found = m.rlike(f"^(?:{pattern})$".replace(r"\2", r"\1") if kind == "phone" else f"^(?:{pattern})$"), F.struct(F.lit(kind).alias("kind"), made[kind].alias("value"))
+        fits, found = m.rlike(f"^(?:{pattern})$"), F.struct(F.lit(kind).alias("kind"), made[kind].alias("value"))
         out = F.when(fits, found) if out is None else out.when(fits, found)
     return out
 
