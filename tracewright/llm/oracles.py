@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tracewright.llm import contamination as c
 from tracewright.llm import licences
+from tracewright.llm import pseudonyms as p
 
 
 def quoted(value: str) -> str:
@@ -46,3 +47,42 @@ LICENCES = f"""WITH templates AS (SELECT licence, {_PAIRS} AS grams FROM (SELECT
  best AS (SELECT doc_id, licence, max(dice) AS dice FROM scored WHERE dice >= {licences.THRESHOLD} GROUP BY 1, 2),
  firsts AS (SELECT doc_id, licence, dice, count(*) OVER (PARTITION BY doc_id) AS n FROM best QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, licence) = 1)
  SELECT doc_id, licence, coalesce(dice, 0.0)::DOUBLE AS dice, coalesce(n, 0)::INT AS n_licences FROM documents LEFT JOIN firsts USING (doc_id)"""
+
+
+def _pseudonyms() -> str:
+    """Mail addresses, keys, secrets, hex strings, addresses, phones and cards; RE2 has no look-around, so borders are
+    left out, and the other kinds are left to the tests."""
+    key = p.KEY
+    by = dict(p.PATTERNS)
+    kinds = {
+        "email": by["email"], "key": by["key"], "secret": by["secret"], "hex": by["hex"], "ip": r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}",
+        "phone": r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}", "card": "[0-9]{13,19}",
+    }
+    every = quoted("|".join(f"(?:{x})" for x in kinds.values()))
+    kind = "CASE " + " ".join(f"WHEN regexp_full_match(m, {quoted(x)}) THEN '{k}'" for k, x in kinds.items()) + " END"
+    luhn = lambda x: f"CAST((10 - list_sum(list_transform(range(0, len({x})), lambda i: CASE WHEN i % 2 = 1 THEN CAST({x}[len({x}) - i] AS INT) WHEN CAST({x}[len({x}) - i] AS INT) > 4 THEN CAST({x}[len({x}) - i] AS INT) * 2 - 9 ELSE CAST({x}[len({x}) - i] AS INT) * 2 END)) % 10) % 10 AS VARCHAR)"
+    octet = lambda i: f"CAST(split_part(m, '.', {i}) AS BIGINT)"
+    hashed = lambda tag, value, n: f"substr(repeat(sha256('{key}|{tag}|' || {value}) || sha256('{key}|{tag}|2|' || {value}), CAST(ceil({n} / 128.0) AS BIGINT)), 1, {n})"
+    rounds = "halves"
+    for r in range(p.ROUNDS):
+        here, there, size = ("a", "b", "sa") if r % 2 == 0 else ("b", "a", "sb")
+        added = f"(CAST({here} AS HUGEINT) + CAST('0x' || substr(sha256('{key}|' || kind || '|' || sa || '|' || sb || '|{r}|' || {there}), 1, 15) AS BIGINT)) % {size}"
+        rounds = f"(SELECT * REPLACE (CASE WHEN sa IS NOT NULL THEN CAST({added} AS BIGINT) END AS {here}) FROM {rounds})"
+    value = "regexp_extract(m, '([A-Za-z0-9_+/-]+)$', 1)"
+    ip = "concat_ws('.', a // 256, a % 256, b // 256, b % 256)"
+    made = f"""CASE kind WHEN 'email' THEN 'u' || {hashed('email', 'lower(m)', 12)} || '@' || {hashed('domain', "lower(split_part(m, '@', 2))", 8)} || '.invalid'
+ WHEN 'key' THEN 'AKIA' || upper({hashed('key', 'm', 16)}) WHEN 'secret' THEN left(m, len(m) - len({value})) || {hashed('secret', value, f'len({value})')}
+ WHEN 'hex' THEN CASE WHEN regexp_matches(m, '[A-F]') THEN upper({hashed('hex', 'lower(m)', 'len(m)')}) ELSE {hashed('hex', 'lower(m)', 'len(m)')} END
+ WHEN 'ip' THEN CASE WHEN sa IS NOT NULL THEN {ip} END WHEN 'phone' THEN array_to_string(list_transform(range(1, len(m) + 1), lambda i: CASE WHEN regexp_matches(m[i], '[0-9]') THEN n[len(regexp_replace(substr(m, 1, i), '[^0-9]', '', 'g'))] ELSE m[i] END), '')
+ WHEN 'card' THEN CASE WHEN ok THEN n || {luhn('n')} END END"""
+    return f"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, text, coalesce(regexp_extract_all(text, {every}), []) AS ms, string_split_regex(text, {every}) AS gaps FROM documents),
+ found AS (SELECT r, unnest(ms) AS m, unnest(range(1, len(ms) + 1)) AS i FROM docs), typed AS (SELECT *, {kind} AS kind, regexp_replace(m, '[^0-9]', '', 'g') AS d FROM found),
+ checked AS (SELECT *, kind = 'card' AND right(d, 1) = {luhn('left(d, len(d) - 1)')} AS ok, CASE kind WHEN 'card' THEN substr(d, 2, len(d) - 2) WHEN 'phone' THEN right(d, 10) END AS body FROM typed),
+ halves AS (SELECT *, CASE WHEN kind = 'ip' THEN {octet(1)} * 256 + {octet(2)} WHEN body IS NOT NULL THEN CAST(left(body, len(body) // 2) AS BIGINT) END AS a, CASE WHEN kind = 'ip' THEN {octet(3)} * 256 + {octet(4)} WHEN body IS NOT NULL THEN CAST(substr(body, len(body) // 2 + 1) AS BIGINT) END AS b,
+ CASE WHEN kind = 'ip' THEN CASE WHEN greatest({octet(1)}, {octet(2)}, {octet(3)}, {octet(4)}) < 256 THEN 65536 END WHEN body IS NOT NULL THEN CAST(pow(10, len(body) // 2) AS BIGINT) END AS sa, CASE WHEN kind = 'ip' THEN 65536 WHEN body IS NOT NULL THEN CAST(pow(10, len(body) - len(body) // 2) AS BIGINT) END AS sb FROM checked),
+ permuted AS (SELECT *, CASE WHEN body IS NOT NULL THEN left(d, CASE kind WHEN 'card' THEN 1 ELSE len(d) - 10 END) || lpad(CAST(a AS VARCHAR), CAST(len(body) // 2 AS INT), '0') || lpad(CAST(b AS VARCHAR), CAST(len(body) - len(body) // 2 AS INT), '0') END AS n FROM {rounds}),
+ news AS (SELECT r, i, m, kind, {made} AS new FROM permuted), lists AS (SELECT r, list(coalesce(new, m) ORDER BY i) AS vs, count(new) AS n, list_sort(list_distinct(list(kind) FILTER (new IS NOT NULL))) AS ks FROM news GROUP BY r)
+ SELECT doc_id, CASE WHEN vs IS NULL THEN text ELSE array_to_string(list_transform(range(1, len(gaps) + 1), lambda i: gaps[i] || coalesce(vs[i], '')), '') END AS text, coalesce(n, 0)::INT AS n_replaced, coalesce(array_to_string(ks, ','), '') AS kinds FROM docs LEFT JOIN lists USING (r)"""
+
+
+PSEUDONYMS = _pseudonyms()

@@ -78,5 +78,6 @@ QUERIES: dict[str, Query] = {
 #: XXH64, tokenizers, trained models and unrounded double products have no SQL; tests compare these with brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_contamination": oracles.CONTAMINATION,
+    "op4_pseudonyms": oracles.PSEUDONYMS,
     "op10_licences": oracles.LICENCES,
 }
