@@ -12,6 +12,7 @@ from tracewright.operators import audit, decisions, generate, labels, metrics, q
 from tracewright.plans import bridge
 from tracewright.plans import oracles as o
 from tracewright.sources.readers import parse_events
+from tracewright.sources.writers import upserted
 from tracewright.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -570,3 +571,48 @@ def scrub_names(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def identity_rewrite(spark: SparkSession, sf: str) -> DataFrame:
     return _signed(spark, sf).select("ord", rewriting.rewrite_identity(F.col("event"), F.col("ord"), "s7").alias("event"))
+
+
+# ---- smaller operators
+
+
+@query(f"{o.TELEMETRY}, s AS (SELECT DISTINCT src FROM telemetry) SELECT src, array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split_regex(regexp_replace({o._STEM}, '([a-z])([A-Z])', '\\1 \\2', 'g'), '[^A-Za-z0-9]+'), lambda t: lower(t)), lambda t: length(t) > 3 AND t NOT IN {o.in_list(rules.STOP_TOKENS)} AND NOT regexp_matches(t, '^[0-9]+$')))), ' ') AS tokens FROM s")
+def source_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    src = bridge.telemetry(spark, sf).select("src").distinct()
+    return src.select("src", F.array_join(F.array_sort(rules.source_tokens(F.col("src"))), " ").alias("tokens"))
+
+
+_NOW = "SELECT id, CASE WHEN id % 9 = 0 THEN 'malicious' ELSE gold END AS gold, 'v' || (id % 2) AS subset FROM"
+
+
+@query(f"{o.PREDICTIONS}, now AS ({_NOW} preds WHERE id % 4 <> 0) SELECT p.id, coalesce(n.gold, p.gold) AS gold, coalesce(n.subset, CAST(p.subset AS VARCHAR)) AS subset, pred FROM preds p LEFT JOIN now n ON p.id = n.id")
+def refresh_gold(spark: SparkSession, sf: str) -> DataFrame:
+    results = _predictions(spark, sf).select("id", "gold", F.col("subset").cast("string").alias("subset"), "pred")
+    return metrics.refreshed(results, spark.sql(f"{_NOW} {{p}} WHERE id % 4 <> 0", p=results)).select("id", "gold", "subset", "pred")
+
+
+@query(f"{o.PREDICTIONS} SELECT severity, pred, count(*) AS n FROM preds GROUP BY ALL")
+def prediction_spread(spark: SparkSession, sf: str) -> DataFrame:
+    return _predictions(spark, sf).groupBy("severity", "pred").agg(F.count("*").alias("n"))
+
+
+_OWN = "SELECT 'S' || id AS signature, CASE WHEN id % 2 = 0 THEN 'high' END AS severity FROM range(0, 300)"
+_DEFAULT = "SELECT 'S' || id AS signature, 'low' AS severity FROM range(200, 500)"
+
+
+@query(f"WITH own AS ({_OWN.replace('FROM range', 'FROM (SELECT range AS id FROM range')})), rest AS ({_DEFAULT.replace('FROM range', 'FROM (SELECT range AS id FROM range')})) SELECT * FROM own UNION ALL SELECT * FROM rest WHERE signature NOT IN (SELECT signature FROM own)")
+def default_labels(spark: SparkSession, sf: str) -> DataFrame:
+    return labels.with_defaults(spark.sql(_OWN), spark.sql(_DEFAULT))
+
+
+@query("SELECT round(sum(l_extendedprice * l_quantity) / sum(l_quantity), 4) AS loss FROM lineitem")
+def weighted_loss(spark: SparkSession, sf: str) -> DataFrame:
+    tokens = bridge.table(spark, sf, "lineitem").select(F.col("l_extendedprice").alias("ce"), F.col("l_quantity").alias("w"))
+    return metrics.weighted_loss(tokens).select(F.round("loss", 4).alias("loss"))
+
+
+@query("WITH first AS (SELECT event_type, count(*) AS n FROM events WHERE event_id % 2 = 0 GROUP BY 1), second AS (SELECT event_type, count(*) AS n FROM events WHERE event_id % 3 = 0 AND event_type <> 'click' GROUP BY 1) SELECT * FROM second UNION ALL SELECT * FROM first WHERE event_type NOT IN (SELECT event_type FROM second)")
+def keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    e = bridge.table(spark, sf, "events")
+    count = lambda c: e.where(c).groupBy("event_type").agg(F.count("*").alias("n"))
+    return upserted(count("event_id % 2 = 0"), count("event_id % 3 = 0 AND event_type <> 'click'"), "event_type")
