@@ -21,11 +21,15 @@ from tracewright.llm.common import batch_of, crc_mod, slices, small_batches
 from tracewright.llm.features import tokens
 
 TERM_BITS = 20
+#: Terms are words and, for inflected and compound ones, their first so many bytes.
+BEGINNINGS = (4, 5, 6, 7, 8)
 #: Labelled rows of each label that are learned from (about), and terms that are kept.
 ROWS_PER_LABEL = 4_000
 TERMS = 4_096
 MIN_CHI_SQUARE = 30.0
 MIN_ROWS = 6
+#: Least share of the label's variance that a term must explain (chi-square a row), whatever the number of rows.
+MIN_EFFECT = 0.01
 NEIGHBOURS = 25
 BLOCK = 64
 
@@ -33,13 +37,25 @@ _rows = pa.schema([("part", pa.int32()), ("toxic", pa.int32()), ("doc_id", pa.in
 _terms = pa.schema([("term", pa.int32()), ("n", pa.int64())])
 
 
-def term_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row starts, terms, counts): the distinct hashed words of each text, terms ascending."""
-    keys = [(d.astype(np.int64) << TERM_BITS) | (h >> np.uint64(64 - TERM_BITS)).astype(np.int64) for d, h in tokens(texts, marks=False)]
-    found, n = np.unique(np.concatenate([*keys, np.zeros(0, np.int64)]), return_counts=True)
+def term_counts(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row starts, terms, counts): the distinct hashed terms of each text, ascending; only those that `wanted` marks."""
+    keys = [np.zeros(0, np.int64)]
+    for docs, hashes in tokens(texts, marks=False, beginnings=BEGINNINGS):
+        terms = (hashes >> np.uint64(64 - TERM_BITS)).astype(np.int64)
+        if wanted is not None:
+            kept = np.flatnonzero(wanted[terms])
+            docs, terms = docs[kept], terms[kept]
+        keys.append((docs.astype(np.int64) << TERM_BITS) | terms)
+    found, n = np.unique(np.concatenate(keys), return_counts=True)
     return np.searchsorted(found >> TERM_BITS, np.arange(len(texts) + 1)), found & ((1 << TERM_BITS) - 1), n
 
 
+def marked(terms: np.ndarray) -> np.ndarray:
+    table = np.zeros(1 << TERM_BITS, bool)
+    table[terms] = True
+    return table
+
+
 @dataclass
 class Index:
     """Examples as rows of unit vectors, in blocks of BLOCK rows; postings hold each term's largest weight by block."""
@@ -110,13 +126,15 @@ class Model:
     index: Index
     raw: np.ndarray  # calibration: votes and the shares of toxic rows they stand for
     share: np.ndarray
+    wanted: np.ndarray | None = None
 
     def vectors(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-        starts, found, n = term_counts(texts)
-        at = np.minimum(np.searchsorted(self.terms, found), max(len(self.terms) - 1, 0))
-        known = self.terms[at] == found if len(self.terms) else np.zeros(len(found), bool)
-        weight = (1 + np.log(n)) * (self.idf[at] if len(self.terms) else 1.0)
-        return [unit(at[lo:hi][known[lo:hi]], weight[lo:hi][known[lo:hi]]) for lo, hi in zip(starts[:-1], starts[1:], strict=True)]
+        if self.wanted is None:
+            self.wanted = marked(self.terms)
+        starts, found, n = term_counts(texts, self.wanted)
+        at = np.searchsorted(self.terms, found)
+        weight = (1 + np.log(n)) * self.idf[at] if len(at) else np.zeros(0)
+        return [unit(at[lo:hi], weight[lo:hi]) for lo, hi in zip(starts[:-1], starts[1:], strict=True)]
 
     def calibrated(self, vote: float) -> float:
         return float(np.interp(vote, self.raw, self.share)) if len(self.raw) else vote
@@ -193,7 +211,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows_per_label: int =
 
 
 def telling_terms(found: list[np.ndarray], toxic: np.ndarray, most: int = TERMS) -> np.ndarray:
-    """Terms whose presence depends on the label: chi-square of at least MIN_CHI_SQUARE in MIN_ROWS rows or more, the `most` highest."""
+    """Terms whose presence depends on the label: chi-square of at least MIN_CHI_SQUARE and MIN_EFFECT a row, in MIN_ROWS rows
+    or more; the `most` highest."""
     n, n1 = len(toxic), toxic.sum()
     if not n or not 0 < n1 < n:
         return np.zeros(0, np.int64)
@@ -202,7 +221,7 @@ def telling_terms(found: list[np.ndarray], toxic: np.ndarray, most: int = TERMS)
     expected = every * n1 / n
     spread = expected * (1 - n1 / n) * (1 - every / n)
     chi = np.divide((ones - expected) ** 2, spread, out=np.zeros_like(spread), where=spread > 0)
-    good = np.flatnonzero((chi >= MIN_CHI_SQUARE) & (every >= MIN_ROWS))
+    good = np.flatnonzero((chi >= max(MIN_CHI_SQUARE, MIN_EFFECT * n)) & (every >= MIN_ROWS))
     return np.sort(good[np.argsort(-chi[good], kind="stable")[:most]])
 
 
@@ -212,12 +231,13 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.nd
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, n_docs = shared.value, 0
+        wanted = marked(terms)
         total = np.zeros(1 << TERM_BITS, np.int64)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             n_docs += len(texts)
             for lo, hi in slices(texts):
-                total += np.bincount(term_counts(texts[lo:hi])[1], minlength=1 << TERM_BITS)
+                total += np.bincount(term_counts(texts[lo:hi], wanted)[1], minlength=1 << TERM_BITS)
         seen = terms[total[terms] > 0]
         yield batch_of(_terms, term=[-1, *seen.tolist()], n=[n_docs, *total[seen].tolist()])
 
