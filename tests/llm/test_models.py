@@ -102,11 +102,13 @@ def test_resampling_prefers_target_like_text(spark, medium):
     truth = {r["doc_id"]: r["quality"] for r in table(spark, medium, "labels").collect()}
     got = QUERIES["op1_importance_resampling"](spark, medium).collect()
     assert sorted(r["rank"] for r in got) == list(range(1, len(got) + 1))
-    assert sum(r["selected"] for r in got) == int(np.ceil(0.8 * len(got)))
+    assert sum(r["selected"] for r in got) == int(np.ceil(resampling.KEEP * len(got)))
     by_key = sorted(got, key=lambda r: (-r["gumbel_key"], r["doc_id"]))
     assert [r["rank"] for r in by_key] == list(range(1, len(got) + 1))
     weight = lambda q: np.median([r["log_weight"] for r in got if truth.get(r["doc_id"]) == q])
     assert weight(1) > weight(0)
+    share = lambda q: np.mean([r["selected"] for r in got if truth.get(r["doc_id"]) == q])
+    assert share(1) > 0.9 > 0.5 > share(0)
 
 
 def test_log_ratio_matches_brute_force(spark):

@@ -18,6 +18,8 @@ BUCKETS = 10_000
 SMOOTHING = 1.0
 #: About so many labelled rows make the target model.
 TARGET_ROWS = 20_000
+#: Share of the documents that is sampled.
+KEEP = 0.85
 
 _counts = pa.schema([("bucket", pa.list_(pa.int32())), ("raw", pa.list_(pa.int64())), ("target", pa.list_(pa.int64()))])
 
@@ -66,7 +68,7 @@ def target_sample(labels: DataFrame, rows: int = TARGET_ROWS) -> DataFrame:
     return good.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, rows / max(n, 1)))))
 
 
-def resample(docs: DataFrame, labels: DataFrame, keep: float = 0.8, seed: int = 7, target_rows: int = TARGET_ROWS) -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, keep: float = KEEP, seed: int = 7, target_rows: int = TARGET_ROWS) -> DataFrame:
     """One row a document: doc_id, log_weight, n_features, gumbel_key, rank, selected.
 
     log_weight sums the log ratio over the text's tokens and token pairs; gumbel_key adds Gumbel noise from a
