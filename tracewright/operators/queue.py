@@ -10,9 +10,9 @@ from tracewright.functions.contract import body, normalised
 from tracewright.functions.signatures import basename, with_behaviour
 
 
-def profile(benign: DataFrame, by: str) -> DataFrame:
-    """How often each signature (by: signature or coarse) occurs in benign events."""
-    return with_behaviour(benign).groupBy(by).agg(F.count("*").alias("n"))
+def profile(benign: DataFrame) -> DataFrame:
+    """How often each signature, with its coarse one, occurs in benign events."""
+    return with_behaviour(benign).groupBy("signature", "coarse").agg(F.count("*").alias("n"))
 
 
 def ubiquity(attack: DataFrame) -> DataFrame:
@@ -32,8 +32,9 @@ def scored(attack: DataFrame, benign: DataFrame, ambient_min: int = 2) -> DataFr
     if it is small, and otherwise shuffles both sides by signature. Null signatures cannot occur.
     """
     a = prepared(attack)
-    fine = profile(benign, "signature").withColumnRenamed("n", "amb")
-    coarse = profile(benign, "coarse").withColumnRenamed("n", "camb")
+    ambient = profile(benign)  # both counts start from one exchange, which Spark reuses
+    fine = ambient.groupBy("signature").agg(F.sum("n").alias("amb"))
+    coarse = ambient.groupBy("coarse").agg(F.sum("n").alias("camb"))
     a = a.join(fine, "signature", "left").join(ubiquity(a), "signature").join(coarse, "coarse", "left")
     a = a.withColumns({"amb": F.coalesce("amb", F.lit(0)), "camb": F.coalesce("camb", F.lit(0))})
     ambient, common = F.col("amb") >= ambient_min, F.col("camb") >= 20
