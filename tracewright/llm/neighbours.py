@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracewright.llm.common import batch_of, written
 
@@ -29,23 +30,26 @@ _hits = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", p
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v: array<double>) of vectors that take part, repeated rows once.
+    """(vec_id, v: array<float> or array<double>, as they come) of vectors that take part, repeated rows once.
 
     Left out: null vec_id, null or empty vectors, null or non-finite components, all components zero.
     """
-    v = vectors.where("vec_id IS NOT NULL AND embedding IS NOT NULL").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
+    single = isinstance(vectors.schema["embedding"].dataType.elementType, T.FloatType)
+    kept = F.col("embedding") if single else F.col("embedding").cast("array<double>")
+    v = vectors.where("vec_id IS NOT NULL AND embedding IS NOT NULL").select(F.col("vec_id").cast("long").alias("vec_id"), kept.alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return v.where(~bad & F.exists("v", lambda x: x != 0)).distinct()
 
 
-def _pack(ids: np.ndarray, raw: np.ndarray) -> dict[str, bytes]:
+def _pack(ids: np.ndarray, given: np.ndarray) -> dict[str, bytes]:
+    raw = given.astype(np.float64)
     largest = np.abs(raw).max(axis=1, keepdims=True)
     unit = raw / largest
     unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
     scale = np.abs(unit).max(axis=1) / 127
     rounded = np.rint(unit / scale[:, None]).astype(np.int8)
     error = np.sqrt(((unit - rounded * scale[:, None]) ** 2).sum(axis=1))
-    return {"ids": ids.astype("<i8").tobytes(), "rounded": rounded.tobytes(), "scale": scale.tobytes(), "error": error.tobytes(), "raw": raw.astype("<f8").tobytes()}
+    return {"ids": ids.astype("<i8").tobytes(), "rounded": rounded.tobytes(), "scale": scale.tobytes(), "error": error.tobytes(), "raw": given.tobytes()}
 
 
 def _packed(size: int):
@@ -84,7 +88,8 @@ class Side:
         self.dim = row[prefix + "dim"]
         self.ids, self.scale, self.error = get("ids", "<i8"), get("scale", "<f8"), get("error", "<f8")
         self.rounded = get("rounded", np.int8).reshape(-1, self.dim).astype(np.float32)
-        self.raw = get("raw", "<f8").reshape(-1, self.dim)
+        wide = len(row[prefix + "raw"]) == 8 * len(self.ids) * self.dim
+        self.raw = get("raw", "<f8" if wide else "<f4").reshape(-1, self.dim).astype(np.float64)
         largest = np.abs(self.raw).max(axis=1, keepdims=True)
         unit = self.raw / largest
         self.norm = np.sqrt((unit * unit).sum(axis=1)) * largest[:, 0]
