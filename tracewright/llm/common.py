@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,18 +63,21 @@ def discard(df: DataFrame) -> None:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Texts can be long: hand few rows at once to Python."""
+    """Texts can be long: hand few rows at once to Python. Its workers find this package where the driver has it."""
+    root, given = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in given.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{root}:{given}".rstrip(":")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
-def ranked(df: DataFrame, order: list[Column], name: str, first: int = 1) -> DataFrame:
+def ranked(df: DataFrame, order: list[Column], name: str, first: int = 1, wide: bool = False) -> DataFrame:
     """df with a dense global row number in that order.
 
     A range sort numbers the rows of each partition; one count per partition goes to the driver and
     comes back as that partition's offset. No window over the whole table, so no single task.
     """
-    numbered = written(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    numbered = written(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "ranked", wide=wide)
     part = F.shiftright("_at", 33)
     counts = sorted(numbered.groupBy(part.alias("p")).count().collect())
     starts, total = [], first
