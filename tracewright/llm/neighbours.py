@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracewright.llm.common import batch_of, written
+from tracewright.llm.common import batch_of, ranked, small_batches, written
 
 CANDIDATES = 1024
 QUERIES = 1024
@@ -125,6 +125,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     candidates (found by a limit within each task before the shuffle). No rows, or no queries: no rows.
     """
     spark = vectors.sparkSession
+    small_batches(spark)
     rows = written(usable(vectors), "vectors")
     order = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     candidates = written(rows.withColumn("_n", order).where(F.col("_n") <= k + 1).select("vec_id", "v").mapInArrow(_packed(CANDIDATES), _BLOCK), "blocks", wide=True)
@@ -132,10 +133,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     n_candidates, n_queries = candidates.count(), queries.count()
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stripes = max(1, min(n_candidates, -(-2 * parts // max(1, n_queries))))
-    dealt = queries.select(F.monotonically_increasing_id().alias("block"), *(F.col(c).alias(f"q_{c}") for c in _block.names))
-    dealt = written(dealt, "dealt", wide=True)
-    blocks = F.broadcast(dealt.select("block"))  # ids only, one for every QUERIES queries
-    left = candidates.withColumn("stripe", F.pmod(F.xxhash64("ids"), F.lit(stripes).cast("long"))).join(blocks)
+    if not n_queries:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    dealt = ranked(queries, [F.xxhash64("ids")], "block", first=0, wide=True).select("block", *(F.col(c).alias(f"q_{c}") for c in _block.names))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_queries - 1).cast("long")))  # a stated set of query blocks
+    left = candidates.withColumn("stripe", F.pmod(F.xxhash64("ids"), F.lit(stripes).cast("long"))).withColumn("block", every)
     right = dealt.withColumn("stripe", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(stripes - 1).cast("long"))))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
