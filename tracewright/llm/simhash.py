@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.llm import near_copies
 from tracewright.llm.common import small_batches, written
 from tracewright.llm.components import connected
 
@@ -265,13 +266,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs with one row of each group of near duplicates, that of the smallest doc_id (null last), all columns kept.
+    """docs with one row of each group of near copies, that of the smallest doc_id (null last), all columns kept.
 
+    Near copies are linked by the similarity of their five-word shingles (near_copies), not by the fingerprint.
     Of repeated rows one stays. The rows are numbered, so the join that keeps them has one row a key however large
     a group of copies is.
     """
-    fp, row = (next(x for x in (name, f"_{name}", f"__{name}", f"___{name}") if x not in docs.columns) for name in ("fp", "row_number"))
-    marked = written(docs.withColumn(fp, fingerprint_of(docs.sparkSession)).withColumn(row, F.monotonically_increasing_id()), "fingerprints")
-    ids = marked.select(F.col(fp).alias("fp"), F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col(row).alias("row")).alias("who"))
-    kept = classes(ids, F.min("who")).select(F.col("smallest.row").alias(row)).distinct()
-    return marked.join(kept, row, "left_semi").drop(fp, row).select(docs.columns)
+    mark, row = (next(x for x in (name, f"_{name}", f"__{name}", f"___{name}") if x not in docs.columns) for name in ("mark", "row_number"))
+    marked = written(docs.withColumn(mark, near_copies.described(docs.sparkSession)).withColumn(row, F.monotonically_increasing_id()), "marked")
+    who = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col(row).alias("row"))
+    nodes = written(marked.groupBy(F.col(mark)["id"].alias("id")).agg(F.min(who).alias("first"), F.first(F.col(mark)["size"]).alias("size"), F.first(F.col(mark)["bands"]).alias("bands")), "nodes")
+    texts = marked.select(F.col(row).alias("row"), "text").join(nodes.select("id", F.col("first.row").alias("row")), "row").select("id", "text")
+    members = near_copies.components(nodes, texts)
+    roots = nodes.join(members, nodes["id"] == members["node"], "left").select("first", F.coalesce("root", "id").alias("root"))
+    kept = roots.groupBy("root").agg(F.min("first").alias("smallest")).select(F.col("smallest.row").alias(row))
+    return marked.join(kept, row, "left_semi").select(docs.columns)
