@@ -17,16 +17,35 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 KEY = "pseudonym-key"
 
+#: Length of an account number by country; what follows one is no part of it.
+ACCOUNTS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _accounts() -> str:
+    """Accounts of the known countries by their lengths; of other countries any length."""
+    known = "|".join(c for names in ACCOUNTS.values() for c in names.split())
+    by_length = []
+    for length, names in ACCOUNTS.items():
+        groups, rest = divmod(length - 4, 4)
+        by_length.append(rf"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (rf" ?[A-Z0-9]{{{rest}}}" if rest else ""))
+    return rf"\b(?:{'|'.join(by_length)}|(?!{known})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)\b"
+
+
 #: What is looked for, in this order; kind, pattern.
 PATTERNS: tuple[tuple[str, str], ...] = (
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
-    ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"),
+    ("iban", _accounts()),
     ("key", r"\bAKIA[0-9A-Z]{16}\b"),
     ("secret", r"(?i:password|passwd|pwd|secret|token|api_?key)\s*[=:]\s*[\"']?[A-Za-z0-9_+/-]{8,}"),
     ("hex", r"\b(?:[0-9a-f]{32,}|[0-9A-F]{32,})\b"),
     ("ip", r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"),
     ("date", r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\1[0-9]{4})(?![0-9]|[./-][0-9])"),
-    ("phone", r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9.-])[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}(?![0-9]|[.-][0-9])"),
+    ("phone", r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9.-])[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}(?![0-9]|[.-][0-9])|(?<![0-9.-])1([ .-])[0-9]{3}\2[0-9]{3}\2[0-9]{4}(?![0-9]|[.-][0-9])|(?<![0-9.-])1[ .-]?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9]|[.-][0-9])|(?<![0-9.-])[0-9]{3} [0-9]{3} [0-9]{4}(?![0-9]|[.-][0-9])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"),
     ("card", r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9])"),
 )
@@ -184,7 +203,8 @@ def _mod97(account: Column) -> Column:
 
 
 def _iban(m: Column, key: str) -> Column:
-    def made(a: Column) -> Column:
+    def made(m: Column) -> Column:
+        a = F.regexp_replace(m, " ", "")
         body = F.substr(a, F.lit(5))
         new = _refilled(body, permuted_digits(_digits(body), key, "iban"))
 
@@ -194,9 +214,11 @@ def _iban(m: Column, key: str) -> Column:
             spaced = F.transform(F.sequence(F.lit(1), F.length(m)), lambda i: F.when(F.substr(m, i, F.lit(1)) == " ", F.lit(" ")).otherwise(F.substr(whole, F.length(F.regexp_replace(F.substr(m, F.lit(1), i), " ", "")), F.lit(1))))
             return F.array_join(spaced, "")
 
-        return F.when((_mod97(a) == 1) & _digits(body).rlike("^[0-9]{1,30}$"), _let(new, checked))
+        return F.when(_digits(body).rlike("^[0-9]{1,30}$"), _let(new, checked))
 
-    return _let(F.regexp_replace(m, " ", ""), made)
+    # of a country without a known length: up to the last space or end where the check digits hold; the rest is put back
+    ends = F.filter(F.sequence(F.length(m), F.lit(12), F.lit(-1)), lambda i: F.substr(m, i + 1, F.lit(1)).isin("", " ") & (_mod97(F.regexp_replace(F.substr(m, F.lit(1), i), " ", "")) == 1))
+    return _let(F.get(ends, F.lit(0)), lambda end: F.concat(_let(F.substr(m, F.lit(1), end), made), F.substr(m, end + 1, F.length(m))))
 
 
 def _hashed(value: Column, key: str, tag: str, n: Column) -> Column:
