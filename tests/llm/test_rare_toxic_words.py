@@ -1,0 +1,14 @@
+import numpy as np
+
+from tracewright.llm import toxicity
+
+
+def test_a_word_in_one_of_a_hundred_toxic_rows_is_a_term():
+    rows = [np.array([7] + ([9] if i < 40 else []), np.int64) for i in range(4_000)] + [np.array([7], np.int64)] * 4_000
+    toxic = np.repeat([1.0, 0.0], 4_000)
+    assert toxicity.telling_terms(rows, toxic).tolist() == [9]
+
+
+def test_no_number_of_terms_is_too_large():
+    rows = [np.arange(10_000)] * 100 + [np.zeros(0, np.int64)] * 100
+    assert len(toxicity.telling_terms(rows, np.repeat([1.0, 0.0], 100))) == 10_000

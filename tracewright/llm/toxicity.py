@@ -23,13 +23,10 @@ from tracewright.llm.features import tokens
 TERM_BITS = 20
 #: Terms are words and, for inflected and compound ones, their first so many bytes.
 BEGINNINGS = (4, 5, 6, 7, 8)
-#: Labelled rows of each label that are learned from (about), and terms that are kept.
+#: Labelled rows of each label that are learned from (about).
 ROWS_PER_LABEL = 4_000
-TERMS = 4_096
 MIN_CHI_SQUARE = 30.0
 MIN_ROWS = 6
-#: Least share of the label's variance that a term must explain (chi-square a row), whatever the number of rows.
-MIN_EFFECT = 0.01
 NEIGHBOURS = 25
 BLOCK = 64
 
@@ -210,9 +207,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, rows_per_label: int =
     return model
 
 
-def telling_terms(found: list[np.ndarray], toxic: np.ndarray, most: int = TERMS) -> np.ndarray:
-    """Terms whose presence depends on the label: chi-square of at least MIN_CHI_SQUARE and MIN_EFFECT a row, in MIN_ROWS rows
-    or more; the `most` highest."""
+def telling_terms(found: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """All terms whose presence depends on the label: chi-square of at least MIN_CHI_SQUARE in MIN_ROWS rows or more."""
     n, n1 = len(toxic), toxic.sum()
     if not n or not 0 < n1 < n:
         return np.zeros(0, np.int64)
@@ -221,8 +217,7 @@ def telling_terms(found: list[np.ndarray], toxic: np.ndarray, most: int = TERMS)
     expected = every * n1 / n
     spread = expected * (1 - n1 / n) * (1 - every / n)
     chi = np.divide((ones - expected) ** 2, spread, out=np.zeros_like(spread), where=spread > 0)
-    good = np.flatnonzero((chi >= max(MIN_CHI_SQUARE, MIN_EFFECT * n)) & (every >= MIN_ROWS))
-    return np.sort(good[np.argsort(-chi[good], kind="stable")[:most]])
+    return np.flatnonzero((chi >= MIN_CHI_SQUARE) & (every >= MIN_ROWS))
 
 
 def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[int, np.ndarray]:
