@@ -21,6 +21,10 @@ ODD = [
     (5, "12345 !!! ###", "fr"),
     (6, "word " * 30_000, "en"),
     (7, "é中文 \U0001f600 ñandú", None),
+    (8, "1," * 5_000, "en"),
+    (9, "." * 20_000, "en"),
+    (10, "see <|endoftext|> and <|startoftext|> here", "en"),
+    (11, "QUJD+/" * 5_000, "en"),
 ]
 
 

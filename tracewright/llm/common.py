@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -23,9 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; where none is named (tests), one of our own."""
+    """The folder that driver and executors share, spark.checkpoint.dir; only with a local master one of our own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = f"file://{tempfile.mkdtemp(prefix='tracewright-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
@@ -35,24 +38,44 @@ def shared_dir(spark: SparkSession) -> str:
 WIDE_ROWS = {"compression": "uncompressed", "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.enable.dictionary": "false"}
 
 
-#: Rows of a few numbers that go to one file.
-ROWS_A_FILE = 1 << 20
+#: Tables written inside each open temporary() block.
+_open: list[list[DataFrame]] = []
 
 
-def written(df: DataFrame, name: str, wide: bool = False, rows: int | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
     """df as a Parquet table in the shared folder: later stages start from it whatever executors are lost.
 
-    rows: about how many rows of a few numbers it has, if they come from a shuffle; its files follow from that.
+    How many files it has is left to adaptive execution, which merges small partitions by their bytes.
     """
     spark = df.sparkSession
-    df = df if rows is None else df.coalesce(1 + rows // ROWS_A_FILE)
     path = f"{shared_dir(spark)}/tracewright/{name}-{uuid.uuid4().hex}"
     df.write.options(**(WIDE_ROWS if wide else {})).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
+    if _open:
+        _open[-1].append(out)
     return out
 
 
+@contextmanager
+def temporary() -> Iterator[None]:
+    """Tables that are written inside are deleted at its end, but those that kept() names."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for table in _open.pop():
+            discard(table)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """A written table that outlives the temporary() block it was written in."""
+    _open[-1].remove(df)
+    if len(_open) > 1:
+        _open[-2].append(df)
+    return df
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by written() once nothing reads it any more."""
     path = getattr(df, "written_to", None)
@@ -71,6 +94,15 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+#: Tables up to so many rows of at most a few hundred bytes are broadcast; larger ones are shuffled.
+BROADCAST_ROWS = 200_000
+
+
+def joined(left: DataFrame, right: DataFrame, on: list[str] | Column, how: str = "inner") -> DataFrame:
+    """A join that broadcasts the right side (a written table) only if its counted rows are few."""
+    return left.join(F.broadcast(right) if right.count() <= BROADCAST_ROWS else right, on, how)
+
+
 def ranked(df: DataFrame, order: list[Column], name: str, first: int = 1, wide: bool = False) -> DataFrame:
     """df with a dense global row number in that order.
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.llm import near_copies
-from tracewright.llm.common import small_batches, written
+from tracewright.llm.common import joined, kept, small_batches, temporary, written
 from tracewright.llm.components import connected
 
 BUDGET = 3
@@ -62,7 +62,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprint_of(spark, text: str = "text") -> Column:
-    """The fingerprint of a text column as a signed 64-bit integer."""
+    """The fingerprint of a text column as a signed 64-bit integer; null and empty texts give 0, equal texts the same."""
 
     @F.pandas_udf("long")
     def make(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -220,7 +220,7 @@ def links(fingerprints: DataFrame, leaf: int = LEAF) -> DataFrame:
         used = F.col("used") + F.bit_count(F.col("cp").bitwiseXOR(F.col("cq")).bitwiseAND(F.lit((1 << STEP) - 1)))
         limit = HALF_BUDGET if depth <= 32 else BUDGET
         children = children.select("turn", F.col("cp").alias("p"), F.col("cq").alias("q"), used.cast("int").alias("used"), (F.col("np") + F.col("nq")).alias("size"))
-        work = written(children.where((F.col("used") <= limit) & ((F.col("p") < F.col("q")) | ((F.col("p") == F.col("q")) & (F.col("used") == 0)))), f"nodes{depth}", rows=n)
+        work = written(children.where((F.col("used") <= limit) & ((F.col("p") < F.col("q")) | ((F.col("p") == F.col("q")) & (F.col("used") == 0)))), f"nodes{depth}")
     found = None
     for depth, pairs in light:
         pairs = pairs.withColumn("depth", F.lit(depth))
@@ -243,13 +243,13 @@ def links(fingerprints: DataFrame, leaf: int = LEAF) -> DataFrame:
 def classes(marked: DataFrame, first: Column) -> DataFrame:
     """(fp, smallest): for every fingerprint of marked (column fp, written), the least value of the aggregate `first`
     over all rows that links lead to."""
-    rows = marked.count()
-    distinct = written(marked.groupBy("fp").agg(first.alias("first")), "distinct", rows=rows)
-    members = connected(links(distinct), rows)
-    roots = distinct.join(members, distinct["fp"] == members["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    linked = roots.where(F.col("root") != F.col("fp")).select("root").distinct()
-    smallest = roots.join(linked, "root").groupBy("root").agg(F.min("first").alias("smallest"))
-    return written(roots.join(smallest, "root", "left").select("fp", F.coalesce("smallest", "first").alias("smallest")), "classes", rows=rows)
+    with temporary():
+        distinct = written(marked.groupBy("fp").agg(first.alias("first")), "distinct")
+        members = connected(links(distinct))
+        roots = distinct.join(members, distinct["fp"] == members["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+        linked = roots.where(F.col("root") != F.col("fp")).select("root").distinct()
+        smallest = roots.join(linked, "root").groupBy("root").agg(F.min("first").alias("smallest"))
+        return kept(written(roots.join(smallest, "root", "left").select("fp", F.coalesce("smallest", "first").alias("smallest")), "classes"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -269,15 +269,21 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """docs with one row of each group of near copies, that of the smallest doc_id (null last), all columns kept.
 
     Near copies are linked by the similarity of their five-word shingles (near_copies), not by the fingerprint.
-    Of repeated rows one stays. The rows are numbered, so the join that keeps them has one row a key however large
-    a group of copies is.
+    Of repeated rows one stays; null and empty texts are one group; empty docs give no rows. Rows are numbered, and
+    the numbers of those that go are joined against the rows, so no text is shuffled where these are few.
     """
     mark, row = (next(x for x in (name, f"_{name}", f"__{name}", f"___{name}") if x not in docs.columns) for name in ("mark", "row_number"))
-    marked = written(docs.withColumn(mark, near_copies.described(docs.sparkSession)).withColumn(row, F.monotonically_increasing_id()), "marked")
-    who = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col(row).alias("row"))
-    nodes = written(marked.groupBy(F.col(mark)["id"].alias("id")).agg(F.min(who).alias("first"), F.first(F.col(mark)["size"]).alias("size"), F.first(F.col(mark)["bands"]).alias("bands")), "nodes")
-    texts = marked.select(F.col(row).alias("row"), "text").join(nodes.select("id", F.col("first.row").alias("row")), "row").select("id", "text")
-    members = near_copies.components(nodes, texts)
-    roots = nodes.join(members, nodes["id"] == members["node"], "left").select("first", F.coalesce("root", "id").alias("root"))
-    kept = roots.groupBy("root").agg(F.min("first").alias("smallest")).select(F.col("smallest.row").alias(row))
-    return marked.join(kept, row, "left_semi").select(docs.columns)
+    with temporary():
+        marked = written(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(mark, near_copies.described(docs.sparkSession)), "marked")
+        who = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col(row).alias("row"))
+        nodes = written(marked.groupBy(F.col(mark)["id"].alias("id")).agg(F.min(who).alias("first"), F.first(F.col(mark)["size"]).alias("size"), F.first(F.col(mark)["bands"]).alias("bands")), "nodes")
+
+        def texts(ids: DataFrame) -> DataFrame:
+            wanted = written(nodes.join(ids, "id").select("id", F.col("first.row").alias("row")), "wanted")
+            return joined(marked.select(F.col(row).alias("row"), "text"), wanted, ["row"]).select("id", "text")
+
+        members = near_copies.components(nodes, texts)
+        roots = nodes.join(members, nodes["id"] == members["node"], "left").select("first", F.coalesce("root", "id").alias("root"))
+        stay = written(roots.groupBy("root").agg(F.min("first").alias("smallest")).select(F.col("smallest.row").alias(row)), "stay")
+        go = written(marked.select(row).join(stay, row, "left_anti"), "go")
+        return joined(kept(marked), kept(go), [row], "left_anti").select(docs.columns)
