@@ -1,4 +1,9 @@
-"""Licence scan: parts of a text against licence templates by the Dice coefficient over word bigrams."""
+"""Licence scan: parts of a text against licence templates by the Dice coefficient over word bigrams.
+
+Compared are the whole text, its paragraphs, lines and sentences, and every run of as many words as a template has, so a
+licence of several paragraphs is found in the middle of a longer text. Size bounds prune: a part can only reach the
+threshold with templates of a similar number of bigrams, and a text only with those whose bigrams it shares enough of.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +11,8 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -63,6 +70,10 @@ License as published by the Free Software Foundation, either version 3 of the Li
 program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
 MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public
+License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This
+program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
@@ -78,6 +89,17 @@ compile, sell, or distribute this software, either in source code form or as a c
 non-commercial, and by any means."""),
 )
 
+#: Full texts of the longer licences, one file each, named by the licence; texts of public licences are fixed values.
+TEXTS = Path(__file__).parent / "licence_texts"
+
+
+@cache
+def templates_of(folder: str | None = str(TEXTS)) -> tuple[tuple[str, str], ...]:
+    """TEMPLATES and, of each file of a folder (on the driver), its licence and text."""
+    files = sorted(Path(folder).glob("*.txt")) if folder else []
+    return TEMPLATES + tuple((f.stem, f.read_text(encoding="utf-8")) for f in files)
+
+
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?;])\s+|\n+")
 _PARAGRAPH = re.compile(r"\n\s*\n")
@@ -101,43 +123,75 @@ def parts(text: str) -> Iterator[str]:
 
 
 class Scanner:
-    def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD):
+    def __init__(self, templates: tuple[tuple[str, str], ...], threshold: float = THRESHOLD):
         self.threshold = threshold
-        made = sorted(((len(g), name, g) for name, t in templates if (g := bigrams(words(t)))), key=lambda x: (x[0], x[1]))
-        self.sizes, self.names = [n for n, _, _ in made], [x for _, x, _ in made]
+        made = sorted(((len(g), name, g, len(w)) for name, t in templates if (g := bigrams(w := words(t)))), key=lambda x: (x[0], x[1]))
+        self.sizes, self.names, self.grams, self.lengths = ([x[i] for x in made] for i in range(4))
         self.holders: dict[tuple[str, str], list[int]] = {}
-        for i, (_, _, grams) in enumerate(made):
+        for i, grams in enumerate(self.grams):
             for gram in grams:
                 self.holders.setdefault(gram, []).append(i)
+        # dice = 2 shared / (n + m) with n >= shared, so of the m bigrams of a template at least so many are shared
+        self.least = [m * threshold / (2 - threshold) - 1e-9 for m in self.sizes]
+
+    def _shared(self, grams: set[tuple[str, str]]) -> dict[int, int]:
+        """Templates that a text of these bigrams can hold, with the number of bigrams they share."""
+        counts = Counter(i for g in grams & self.holders.keys() for i in self.holders[g])
+        return {i: n for i, n in counts.items() if n >= self.least[i]}
+
+    def _windows(self, grams: list[tuple[str, str]], i: int) -> float:
+        """The largest coefficient of template i over all runs of as many words as it has."""
+        wanted, m, span, best = self.grams[i], self.sizes[i], self.lengths[i] - 1, 0.0
+        inside: Counter = Counter()
+        shared = 0
+        for at, gram in enumerate(grams):
+            inside[gram] += 1
+            shared += inside[gram] == 1 and gram in wanted
+            if at >= span:
+                old = grams[at - span]
+                inside[old] -= 1
+                if not inside[old]:
+                    del inside[old]
+                    shared -= old in wanted
+            if at >= span - 1 and shared >= self.least[i]:
+                best = max(best, 2 * shared / (len(inside) + m))
+        return best
 
     def scan(self, text: str | None) -> dict[str, float]:
         """Licences whose Dice coefficient with some part of the text reaches the threshold, and the largest."""
         found: dict[str, float] = {}
-        known = self.holders.keys()
         seen = words(text or "")
-        if known.isdisjoint(zip(seen, seen[1:], strict=False)):
+        grams = list(zip(seen, seen[1:], strict=False))
+        possible = self._shared(set(grams))
+        if not possible:
             return found
+
+        def keep(i: int, dice: float) -> None:
+            if dice >= self.threshold and dice > found.get(self.names[i], 0):
+                found[self.names[i]] = dice
+
+        for i in possible:
+            keep(i, self._windows(grams, i))
         t = self.threshold
         for part in parts(text):
-            seen = words(part)
-            if known.isdisjoint(zip(seen, seen[1:], strict=False)):
-                continue
-            grams = bigrams(seen)
-            n = len(grams)
+            own = bigrams(words(part))
+            n = len(own)
             # dice <= 2 min(n, m) / (n + m), so only templates of such sizes m can reach the threshold
             lo, hi = bisect_left(self.sizes, n * t / (2 - t) - 1e-9), bisect_right(self.sizes, n * (2 - t) / t + 1e-9)
-            if lo >= hi:
-                continue
-            shared = Counter(i for g in grams & known for i in self.holders[g] if lo <= i < hi)
-            for i, both in shared.items():
-                dice = 2 * both / (n + self.sizes[i])
-                if dice >= t and dice > found.get(self.names[i], 0):
-                    found[self.names[i]] = dice
+            if any(lo <= i < hi for i in possible):
+                for i, both in self._shared(own).items():
+                    if lo <= i < hi:
+                        keep(i, 2 * both / (n + self.sizes[i]))
         return found
 
 
-def licences_of(spark, text: str = "text", templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD) -> Column:
-    """array<struct<licence, dice>> of a text column, the largest coefficient first, ties by name; empty if none."""
+def licences_of(spark, text: str = "text", templates: tuple[tuple[str, str], ...] | None = None, threshold: float = THRESHOLD) -> Column:
+    """array<struct<licence, dice>> of a text column, the largest coefficient first, ties by name; empty if none.
+
+    templates: (licence, text) pairs, templates_of() where none are given. Null and empty texts hold none; equal
+    texts get equal results.
+    """
+    templates = templates_of() if templates is None else templates
 
     @F.pandas_udf("array<struct<licence: string, dice: double>>")
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -150,11 +204,11 @@ def licences_of(spark, text: str = "text", templates: tuple[tuple[str, str], ...
     return scan.asNondeterministic()(F.col(text))
 
 
-def scan_documents(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def scan_documents(docs: DataFrame, templates: tuple[tuple[str, str], ...] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, licence, dice, n_licences, licences of every row of docs.
 
-    licence and dice are the best match over the whole text, its paragraphs, lines and sentences; null and 0 where
-    no template reaches the threshold, as for null and empty texts. Repeated rows are scanned alike; an empty
+    licence and dice are the best match over the whole text, its paragraphs, lines and sentences and all runs of as
+    many words as a template has; null and 0 where no template reaches the threshold, as for null and empty texts. Repeated rows are scanned alike; an empty
     table gives no rows; other columns are ignored.
     """
     found = docs.select("doc_id", licences_of(docs.sparkSession, "text", templates, threshold).alias("licences"))

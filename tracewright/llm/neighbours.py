@@ -1,9 +1,13 @@
 """Nearest neighbours by cosine as a block matrix join.
 
 Vectors are scaled to length one, rounded to int8 and packed into blocks. Every query block meets every candidate
-block once, as a tile: one matrix product of the int8 values (exact, as they fit float32) gives each cosine within
-a bound that follows from the two rounding errors. Pairs that can still be among the k nearest are recomputed in
-double precision from the original vectors and pushed onto the query's heap; the heaps of the tasks are merged.
+block once, as a tile: one matrix product of the int8 values (exact: float32 holds the sums of EXACT_DIMS products, and
+longer vectors are added up from such parts) gives each cosine within a bound that follows from the two rounding
+errors. Pairs that can still be among the k nearest are recomputed in double precision from the original vectors and
+pushed onto the query's heap; the heaps of the tasks are merged.
+
+Tasks form a grid: queries are dealt to rows of as many blocks as a task can hold, candidates to columns. So a candidate
+block is sent once for each row of the grid, not for each query block, and is read by a task one at a time.
 """
 
 from __future__ import annotations
@@ -17,10 +21,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracewright.llm.common import batch_of, ranked, small_batches, written
+from tracewright.llm.common import batch_of, kept, small_batches, temporary, written
 
 CANDIDATES = 1024
 QUERIES = 1024
+#: Bytes of query blocks that a task holds while candidates pass.
+HELD_BYTES = 64 << 20
+#: 127 * 127 * 1,040 is below 2 ** 24.
+EXACT_DIMS = 1_024
 #: Pairs recomputed at once.
 RECOMPUTED = 1 << 14
 
@@ -41,10 +49,15 @@ def usable(vectors: DataFrame) -> DataFrame:
     return v.where(~bad & F.exists("v", lambda x: x != 0)).distinct()
 
 
-def _pack(ids: np.ndarray, given: np.ndarray) -> dict[str, bytes]:
+def _scaled(given: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings their largest component to between 1/2 and 1: cosines stay as they are to
+    the last bit, and no square is too large or too small."""
     raw = given.astype(np.float64)
-    largest = np.abs(raw).max(axis=1, keepdims=True)
-    unit = raw / largest
+    return np.ldexp(raw, -np.frexp(np.abs(raw).max(axis=1, keepdims=True))[1])
+
+
+def _pack(ids: np.ndarray, given: np.ndarray) -> dict[str, bytes]:
+    unit = _scaled(given)
     unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
     scale = np.abs(unit).max(axis=1) / 127
     rounded = np.rint(unit / scale[:, None]).astype(np.int8)
@@ -83,22 +96,25 @@ def _packed(size: int):
 
 
 class Side:
-    def __init__(self, row: dict, prefix: str):
-        get = lambda c, t: np.frombuffer(row[prefix + c], t)
-        self.dim = row[prefix + "dim"]
+    """A block as arrays."""
+
+    def __init__(self, row: dict):
+        get = lambda c, t: np.frombuffer(row[c], t)
+        self.dim = row["dim"]
         self.ids, self.scale, self.error = get("ids", "<i8"), get("scale", "<f8"), get("error", "<f8")
         self.rounded = get("rounded", np.int8).reshape(-1, self.dim).astype(np.float32)
-        wide = len(row[prefix + "raw"]) == 8 * len(self.ids) * self.dim
-        self.raw = get("raw", "<f8" if wide else "<f4").reshape(-1, self.dim).astype(np.float64)
-        largest = np.abs(self.raw).max(axis=1, keepdims=True)
-        unit = self.raw / largest
-        self.norm = np.sqrt((unit * unit).sum(axis=1)) * largest[:, 0]
+        wide = len(row["raw"]) == 8 * len(self.ids) * self.dim
+        self.raw = _scaled(get("raw", "<f8" if wide else "<f4").reshape(-1, self.dim))
+        self.norm = np.sqrt((self.raw * self.raw).sum(axis=1))
         self.length = np.sqrt((self.rounded.astype(np.float64) ** 2).sum(axis=1)) * self.scale
 
 
 def tile(query: Side, other: Side, heaps: list[list[tuple[float, int]]], k: int) -> None:
     """Push what may be among the k nearest of each query; heaps hold (score, -vec_id), the worst first."""
-    near = (query.rounded @ other.rounded.T) * (query.scale[:, None] * other.scale[None, :])
+    near = np.zeros((len(query.ids), len(other.ids)))
+    for lo in range(0, query.dim, EXACT_DIMS):
+        near += query.rounded[:, lo : lo + EXACT_DIMS] @ other.rounded[:, lo : lo + EXACT_DIMS].T
+    near *= query.scale[:, None] * other.scale[None, :]
     near[query.ids[:, None] == other.ids[None, :]] = -np.inf
     slack = query.error[:, None] * other.length[None, :] + (query.length + query.error)[:, None] * other.error[None, :] + 1e-9
     floor = np.array([h[0][0] if len(h) == k else -np.inf for h in heaps]) - 1e-12
@@ -126,35 +142,49 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """
     spark = vectors.sparkSession
     small_batches(spark)
-    rows = written(usable(vectors), "vectors")
-    order = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
-    candidates = written(rows.withColumn("_n", order).where(F.col("_n") <= k + 1).select("vec_id", "v").mapInArrow(_packed(CANDIDATES), _BLOCK), "blocks", wide=True)
-    queries = written(rows.where(is_query).mapInArrow(_packed(QUERIES), _BLOCK), "queries", wide=True)
-    n_candidates, n_queries = candidates.count(), queries.count()
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stripes = max(1, min(n_candidates, -(-2 * parts // max(1, n_queries))))
+    with temporary():
+        rows = written(usable(vectors), "vectors")
+        order = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
+        candidates = kept(written(rows.withColumn("_n", order).where(F.col("_n") <= k + 1).select("vec_id", "v").mapInArrow(_packed(CANDIDATES), _BLOCK), "blocks", wide=True))
+        queries = kept(written(rows.where(is_query).mapInArrow(_packed(QUERIES), _BLOCK), "queries", wide=True))
+    n_candidates = candidates.count()
+    n_queries, held = queries.agg(F.count("*"), F.sum(F.col("n").cast("long") * F.col("dim") * 12)).first()
     if not n_queries:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dealt = ranked(queries, [F.xxhash64("ids")], "block", first=0, wide=True).select("block", *(F.col(c).alias(f"q_{c}") for c in _block.names))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_queries - 1).cast("long")))  # a stated set of query blocks
-    left = candidates.withColumn("stripe", F.pmod(F.xxhash64("ids"), F.lit(stripes).cast("long"))).withColumn("block", every)
-    right = dealt.withColumn("stripe", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(stripes - 1).cast("long"))))
+    down = max(1, -(-held // HELD_BYTES))
+    across = max(1, min(n_candidates, -(-2 * int(spark.conf.get("spark.sql.shuffle.partitions")) // down)))
+
+    def sent(blocks: DataFrame, side: int, own: int, other: int) -> DataFrame:
+        """Blocks of one side, each to the cells of its row or column of the grid."""
+        place = F.pmod(F.xxhash64("ids"), F.lit(own)).cast("int")
+        cell = place * across + F.col("to") if not side else F.col("to") * across + place
+        return blocks.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(other - 1)))).select(cell.alias("cell"), F.lit(side).alias("side"), *_block.names)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[Side, list[list[tuple[float, int]]]]] = {}
+        cell, held = None, []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for side, heaps in held:
+                found = [(int(q), -v, s) for q, heap in zip(side.ids, heaps, strict=True) for s, v in heap]
+                yield batch_of(_hits, query_id=[x[0] for x in found], vec_id=[x[1] for x in found], score=[x[2] for x in found])
+
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                if row["block"] not in held:
-                    side = Side(row, "q_")
-                    held[row["block"]] = side, [[] for _ in side.ids]
-                side, heaps = held[row["block"]]
-                if side.dim == row["dim"]:
-                    tile(side, Side(row, ""), heaps, k)
-        for side, heaps in held.values():
-            found = [(int(q), -v, s) for q, heap in zip(side.ids, heaps, strict=True) for s, v in heap]
-            yield batch_of(_hits, query_id=[x[0] for x in found], vec_id=[x[1] for x in found], score=[x[2] for x in found])
-
-    hits = left.hint("merge").join(right, ["block", "stripe"]).mapInArrow(meet, "query_id long, vec_id long, score double")
+                if row["cell"] != cell:
+                    yield from out()
+                    cell, held = row["cell"], []
+                block = Side(row)
+                if not row["side"]:
+                    held.append((block, [[] for _ in block.ids]))
+                    continue
+                for side, heaps in held:
+                    if side.dim == block.dim:
+                        tile(side, block, heaps, k)
+        yield from out()
+
+    cells = sent(queries, 0, down, across).unionByName(sent(candidates, 1, across, down))
+    dealt = cells.repartitionById(down * across, F.col("cell")).sortWithinPartitions("cell", "side")
+    hits = dealt.mapInArrow(meet, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -11,7 +11,7 @@ def quoted(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-_TOKENS = f"regexp_extract_all(text, {quoted(c._TOKEN.replace(chr(92) + 'n', chr(10)))})"
+_TOKENS = r"regexp_extract_all(text, '[0-9]+(?:[.,:/][0-9]+)*|(?:[.!?:\n][^\p{L}\p{M}0-9]*)?[\p{L}\p{M}]+')"
 _START = "regexp_matches(w, '^[.!?:\\n]')"
 _BARE = "regexp_replace(w, '^[^\\p{L}\\p{M}]+', '')"
 _UNITS = ", ".join(map(quoted, c.UNITS))
@@ -19,31 +19,45 @@ _TEMPLATE = f"""list_transform(toks, lambda w, i: CASE WHEN {_START} THEN lower(
  WHEN lower(w) IN ({_UNITS}) AND i > 1 AND regexp_matches(toks[i - 1], '^[0-9]') THEN '{c.UNIT}' WHEN lower(w) <> w AND i > 1 AND upper(w) <> w THEN '{c.NAME}' ELSE lower(w) END)"""
 
 
+def _sentence(text: str) -> str:
+    return f"array_to_string(regexp_extract_all(lower({text}), '[0-9]+|[\\p{{L}}\\p{{M}}]+'), ' ')"
+
+
 def _described(table: str, key: str) -> str:
     return f"""SELECT {key}, list_transform(toks, lambda w: CASE WHEN {_START} THEN {_BARE} ELSE w END) AS words, {_TEMPLATE} AS tmpl FROM (SELECT {key}, {_TOKENS} AS toks FROM {table})"""
 
 
+_PLAIN = f"list_transform(tmpl, lambda t, i: CASE WHEN t = '{c.NAME}' THEN lower(words[i]) ELSE t END)"
 CONTAMINATION = f"""WITH items0 AS ({_described("(SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL)", "item_id")}),
- items AS (SELECT *, len(tmpl) AS n, CASE WHEN len(tmpl) >= {c.WINDOW} THEN {c.WINDOW} ELSE {c.SHORT_WINDOW} END AS size, list_transform(tmpl, lambda t, i: CASE WHEN t = '{c.NAME}' THEN lower(words[i]) ELSE t END) AS plain FROM items0 WHERE len(tmpl) >= {c.SHORT_WINDOW}),
+ items AS (SELECT *, len(tmpl) AS n, CASE WHEN len(tmpl) >= {c.WINDOW} THEN {c.WINDOW} ELSE {c.SHORT_WINDOW} END AS size, {_PLAIN} AS plain FROM items0 WHERE len(tmpl) >= {c.SHORT_WINDOW}),
  starts AS (SELECT item_id, size, n, unnest(range(1, n - size + 2)) AS item_at, tmpl, plain FROM items),
  windows AS (SELECT DISTINCT item_id, size, item_at, array_to_string(form[item_at:item_at + size - 1], ' ') AS w FROM (SELECT *, tmpl AS form FROM starts UNION ALL SELECT *, plain FROM starts)),
  docs AS ({_described("(SELECT doc_id, text FROM documents WHERE text IS NOT NULL)", "doc_id")}),
- doc_windows AS (SELECT doc_id, size, spot, array_to_string(tmpl[spot:spot + size - 1], ' ') AS w FROM (SELECT doc_id, tmpl, size, unnest(range(1, len(tmpl) - size + 2)) AS spot FROM docs, (SELECT DISTINCT size FROM items))),
+ doc_windows AS (SELECT DISTINCT doc_id, size, spot, array_to_string(form[spot:spot + size - 1], ' ') AS w FROM (SELECT doc_id, form, size, unnest(range(1, len(form) - size + 2)) AS spot FROM (SELECT doc_id, tmpl AS form FROM docs UNION ALL SELECT doc_id, {_PLAIN} FROM docs), (SELECT DISTINCT size FROM items))),
  hits AS (SELECT d.doc_id, w.item_id, w.size, w.item_at, d.spot - w.item_at AS shift FROM doc_windows d JOIN windows w ON d.w = w.w AND d.size = w.size),
  diagonals AS (SELECT doc_id, item_id, shift, list_sort(list_distinct(flatten(list(range(item_at, item_at + size))))) AS under FROM hits GROUP BY 1, 2, 3),
  long AS (SELECT g.*, i.n, i.words, i.tmpl, d.words AS dwords FROM diagonals g JOIN items i USING (item_id) JOIN docs d USING (doc_id) WHERE len(under) >= least({c.COVERED}, i.n - 1)),
  slotted AS (SELECT doc_id, item_id, n, len(under) AS covered, list_transform(list_filter(under, lambda j: tmpl[j] IN ('{c.NUMBER}', '{c.NAME}', '{c.UNIT}')), lambda j: [tmpl[j], lower(words[j]), lower(dwords[j + shift])]) AS slots FROM long),
  good AS (SELECT *, len(list_filter(slots, lambda s: s[2] <> s[3])) AS changed FROM slotted WHERE len(list_distinct(slots)) = len(list_distinct(list_transform(slots, lambda s: s[1:2])))
  AND len(list_distinct(list_filter(slots, lambda s: s[1] = '{c.NAME}'))) = len(list_distinct(list_transform(list_filter(slots, lambda s: s[1] = '{c.NAME}'), lambda s: s[3]))))
+ , sentences AS (SELECT DISTINCT doc_id, {_sentence("s")} AS s FROM (SELECT doc_id, unnest(string_split_regex(text, '[.!?:]+\\s|[.!?:]+$|\\n+')) AS s FROM documents)),
+ few AS (SELECT item_id, len(tmpl)::INT AS n, {_sentence("array_to_string(words, ' ')")} AS s FROM items0 WHERE len(tmpl) < {c.SHORT_WINDOW})
+ SELECT doc_id, item_id, n AS covered, n AS item_words, 0 AS slots, 0 AS changed_slots FROM sentences JOIN few USING (s) WHERE s <> '' UNION ALL
  SELECT doc_id, item_id, covered::INT AS covered, n::INT AS item_words, len(slots)::INT AS slots, changed::INT AS changed_slots FROM good QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY covered DESC, changed, len(slots) DESC, n DESC) = 1"""
 
 _PAIRS = "list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))"
 _WORDS = "regexp_extract_all(replace(lower({0}), '_', ' '), '[\\p{{L}}\\p{{N}}]+')"
 _BREAKS = "string_split_regex(regexp_replace(text, '([.!?;])\\s+', '\\1' || chr(1), 'g'), chr(1) || '|\\n+')"
-LICENCES = f"""WITH templates AS (SELECT licence, {_PAIRS} AS grams FROM (SELECT licence, {_WORDS.format('body')} AS ws FROM (VALUES {', '.join(f'({quoted(n)}, {quoted(t)})' for n, t in licences.TEMPLATES)}) t(licence, body))),
+_GRAMS = "list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])"
+_ENOUGH = "len(list_intersect({0}, t.grams)) >= {1} * len(t.grams) - 1e-6"
+LICENCES = f"""WITH templates AS (SELECT licence, {_PAIRS} AS grams, len(ws) AS n FROM (SELECT licence, {_WORDS.format('body')} AS ws FROM (VALUES {', '.join(f'({quoted(n)}, {quoted(t)})' for n, t in licences.templates_of())}) t(licence, body))),
+ whole AS (SELECT doc_id, {_GRAMS} AS seq, {_PAIRS} AS grams FROM (SELECT doc_id, {_WORDS.format('text')} AS ws FROM (SELECT DISTINCT doc_id, text FROM documents))),
+ possible AS (SELECT doc_id, licence, t.grams, t.n, seq FROM whole w JOIN templates t ON {_ENOUGH.format('w.grams', licences.THRESHOLD / (2 - licences.THRESHOLD))}),
+ windows AS (SELECT doc_id, licence, grams AS tgrams, list_distinct(seq[s:s + n - 2]) AS grams FROM (SELECT *, unnest(range(1, len(seq) - n + 3)) AS s FROM possible)),
  parts AS (SELECT DISTINCT doc_id, part FROM (SELECT doc_id, text AS part FROM documents UNION ALL SELECT doc_id, unnest(string_split_regex(text, '\\n\\s*\\n')) FROM documents UNION ALL SELECT doc_id, unnest(string_split(text, chr(10))) FROM documents
- UNION ALL SELECT doc_id, unnest({_BREAKS}) FROM documents)), grams AS (SELECT doc_id, {_PAIRS} AS grams FROM (SELECT doc_id, {_WORDS.format('part')} AS ws FROM parts)),
- scored AS (SELECT doc_id, licence, 2 * len(list_intersect(g.grams, t.grams)) / (len(g.grams) + len(t.grams)) AS dice FROM grams g JOIN templates t ON len(g.grams) > 0 AND 2.0 * least(len(g.grams), len(t.grams)) >= {licences.THRESHOLD} * (len(g.grams) + len(t.grams)) - 1e-6),
+ UNION ALL SELECT doc_id, unnest({_BREAKS}) FROM documents)), grams AS (SELECT doc_id, {_PAIRS} AS grams FROM (SELECT doc_id, {_WORDS.format('part')} AS ws FROM parts SEMI JOIN possible USING (doc_id))),
+ pairs AS (SELECT doc_id, licence, g.grams AS g, t.grams AS t FROM grams g JOIN templates t ON len(g.grams) > 0 AND 2.0 * least(len(g.grams), len(t.grams)) >= {licences.THRESHOLD} * (len(g.grams) + len(t.grams)) - 1e-6 UNION ALL SELECT doc_id, licence, grams, tgrams FROM windows),
+ scored AS (SELECT doc_id, licence, 2 * len(list_intersect(g, t)) / (len(g) + len(t)) AS dice FROM pairs),
  best AS (SELECT doc_id, licence, max(dice) AS dice FROM scored WHERE dice >= {licences.THRESHOLD} GROUP BY 1, 2),
  firsts AS (SELECT doc_id, licence, dice, count(*) OVER (PARTITION BY doc_id) AS n FROM best QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, licence) = 1)
  SELECT doc_id, licence, coalesce(dice, 0.0)::DOUBLE AS dice, coalesce(n, 0)::INT AS n_licences FROM documents LEFT JOIN firsts USING (doc_id)"""
@@ -55,7 +69,7 @@ def _pseudonyms() -> str:
     key = p.KEY
     by = dict(p.PATTERNS)
     kinds = {
-        "email": by["email"], "key": by["key"], "secret": by["secret"], "hex": by["hex"], "ip": r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}",
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "key": by["key"], "secret": by["secret"], "hex": by["hex"], "ip": r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}",
         "phone": r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}", "card": "[0-9]{13,19}",
     }
     every = quoted("|".join(f"(?:{x})" for x in kinds.values()))
