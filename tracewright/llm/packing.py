@@ -1,5 +1,6 @@
 """Hierarchical packing: documents are routed to context sizes, each size is packed, gaps of long windows
-take documents of shorter sizes, and sequences are dealt to step groups of equal token counts.
+take documents of shorter sizes, and sequences are dealt to step groups of equal token counts: all groups of a task
+have STEP_SEQUENCES times the longest size, but the last one, which takes what is left.
 
 Every task packs the documents of its own partition, so nothing is shuffled. Windows are powers of two and
 are always filled to the last token (a document is cut only where no whole one fits), so no sequence needs
@@ -38,7 +39,7 @@ class Packer:
         self.tokens = {t: 0 for t in self.tiers}
         self.sequences = self.arrivals = 0
         self.step_tokens = step_sequences * self.tiers[-1]
-        self.filled: dict[int, tuple[int, int]] = {}
+        self.open: dict[int, list[list[tuple]]] = {}  # sequences of a size that wait for a full step group
         self.groups = 0
         self.done: list[tuple] = []
 
@@ -83,16 +84,19 @@ class Packer:
         self._emit(size, got)
 
     def _emit(self, size: int, pieces: list[tuple]) -> None:
-        group, used = self.filled.get(size, (None, self.step_tokens))
-        if used + size > self.step_tokens:
-            group, used = self.groups, 0
-            self.groups += 1
-        self.filled[size] = (group, used + size)
-        offset = 0
+        offset, made = 0, []
         for n, _, key, start in pieces:
-            self.done.append((key, start, n, self.base + self.sequences, offset, size, self.base + group))
+            made.append((key, start, n, self.base + self.sequences, offset, size))
             offset += n
         self.sequences += 1
+        waiting = self.open.setdefault(size, [])
+        waiting.append(made)
+        if len(waiting) * size >= self.step_tokens:
+            self._close(self.open.pop(size))
+
+    def _close(self, sequences: list[list[tuple]]) -> None:
+        self.done += [(*piece, self.base + self.groups) for sequence in sequences for piece in sequence]
+        self.groups += 1
 
     def finish(self) -> None:
         for tier in reversed(self.tiers):
@@ -100,6 +104,18 @@ class Packer:
                 self._fill(tier, tier)
         while left := sum(self.tokens.values()):
             self._fill(min(self.tiers[-1], 1 << (left.bit_length() - 1)), self.tiers[-1])
+        # sizes are powers of two: the longest first fill every mixed group to the last token
+        group, used = [], 0
+        for size in sorted(self.open, reverse=True):
+            for sequence in self.open[size]:
+                group.append(sequence)
+                used += size
+                if used >= self.step_tokens:
+                    self._close(group)
+                    group, used = [], 0
+        if group:
+            self._close(group)
+        self.open = {}
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, tiers: tuple[int, ...] = TIERS, step_sequences: int = STEP_SEQUENCES) -> DataFrame:

@@ -55,7 +55,8 @@ class Known(dict):
 
 
 class Encoder:
-    """ids of texts as little-endian bytes of `dtype`; no special tokens are added, and their strings are plain text."""
+    """ids of texts as little-endian bytes of `dtype`, as the library gives them with add_special_tokens=False: none are
+    added, but the strings of added tokens in a text have the ids of these tokens."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -63,9 +64,9 @@ class Encoder:
 
         self.remembered = remembered
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             made = json.load(f)
+        self.added = [t["content"] for t in made.get("added_tokens") or ()]
         self.vocabulary = self.library.get_vocab_size()
         self.code, self.dtype = ("H", "<u2") if self.vocabulary <= 1 << 16 else ("I", "<u4")
         self.model = self.library.model
@@ -73,6 +74,7 @@ class Encoder:
         self.one_word, self.uncut = _BYTE_WORD, None
         self.pieces = self._cut_for(made)
         self.known = Known(self)
+        self.lowers = self.pieces == self._word_pieces or any(t.get("normalized") for t in made.get("added_tokens") or ())
 
     def _cut_for(self, made: dict):
         before, normal = made.get("pre_tokenizer") or {}, made.get("normalizer") or {}
@@ -95,13 +97,24 @@ class Encoder:
             return [x for x in text.replace("\n", " ").split(" ") if x]
         return _WORD_PIECES.findall(text.lower())
 
+    def _whole(self, text: str) -> bytes:
+        return array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _has_added(self, text: str) -> bool:
+        """Whether a text has the string of an added token, or its pieces could have it once they are lower-cased."""
+        low = text.lower() if self.lowers else text
+        return any(x in text or x.lower() in low for x in self.added)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         get, out = self.known.__getitem__, []
         for text in texts:
+            if self._has_added(text):
+                out.append(self._whole(text))
+                continue
             try:
                 out.append(b"".join(map(get, self.pieces(text))))
             except TypeError:
-                out.append(array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes())
+                out.append(self._whole(text))
         return out
 
 
