@@ -1,9 +1,12 @@
 """Models learned here: held-out accuracy and odd rows."""
 
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from llm.helpers import ODD, empty, odd
 from tracewright.llm import features, language, resampling, toxicity
@@ -43,6 +46,49 @@ def test_language_accuracy_on_held_out_documents(spark, medium):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def by_hand(labelled, texts):
+    """Naive Bayes by plain loops: the language and posterior of each text."""
+    counts, prior = {}, {}
+    for text, lang in labelled:
+        prior[lang] = prior.get(lang, 0) + 1
+    for text, lang in sorted(set(labelled)):
+        own = counts.setdefault(lang, np.full(1 << language.BITS, language.SMOOTHING))
+        for _, buckets in features.char_ngrams([text], language.ORDERS, language.BITS):
+            np.add.at(own, buckets, 1)
+    names = sorted(counts)
+    logs = {x: np.log(counts[x] / counts[x].sum()) for x in names}
+    for text in texts:
+        if not any(c.isalpha() for c in text or ""):
+            yield "und", 0.0
+            continue
+        score = {x: np.log(prior[x] / sum(prior.values())) for x in names}
+        for _, buckets in features.char_ngrams([text], language.ORDERS, language.BITS):
+            for x in names:
+                score[x] += logs[x][buckets].sum()
+        best = max(names, key=lambda x: (score[x], [-ord(c) for c in x]))
+        yield best, 1 / sum(np.exp(v - score[best]) for v in score.values())
+
+
+def test_language_query_matches_brute_force(spark, sf):
+    docs = table(spark, sf, "documents").collect()
+    labelled = [(r["text"], r["lang"]) for r in docs if r["text"] is not None and r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1]
+    want = dict(zip([r["doc_id"] for r in docs], by_hand(labelled, [r["text"] for r in docs]), strict=True))
+    got = QUERIES["op7_language_id"](spark, sf).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert r["lang_pred"] == want[r["doc_id"]][0] and abs(r["score"] - want[r["doc_id"]][1]) < 1e-6
+
+
+def test_languages_are_never_left_out(spark):
+    rows = [("ein text aus vielen kopien", "de")] * 40 + [(f"text number {i} of this language", f"l{i % 7}") for i in range(70)]
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    assert language.fit(labelled, rows_per_language=1).languages == sorted({x for _, x in rows})
+    model = language.fit(labelled, rows_per_language=1)
+    assert np.allclose(np.exp(model.log_prior), [40 / 110] + [10 / 110] * 7) and (np.ptp(model.log_probability, axis=1) > 0).all()
+    with pytest.raises(ValueError, match="languages"):
+        language.fit(labelled, most_languages=7)
+
+
 def test_language_of_odd_rows(spark):
     docs = odd(spark)
     model = language.fit(docs)
@@ -65,6 +111,63 @@ def test_toxicity_on_held_out_documents(spark):
     assert all(r["predicted"] == (r["score"] >= 0.5) and 0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_toxicity_query_matches_brute_force(spark, sf):
+    """Scores again from dense vectors: all words, plain counts, every cosine."""
+    docs, labels = table(spark, sf, "documents").collect(), table(spark, sf, "labels").collect()
+    words = lambda t: Counter(w[: toxicity.STEM] for w in re.findall(rb"[0-9a-z\x80-\xff]+", (t or "").lower().encode()))
+    held = {d: zlib.crc32(str(d).encode()) % 5 for d in (r["doc_id"] for r in docs)}
+    text_of = {r["doc_id"]: r["text"] for r in docs}
+    label = {r["doc_id"]: r["toxic"] for r in labels if r["toxic"] is not None and held.get(r["doc_id"])}
+    seen, sample = set(), []
+    for d in sorted(label):
+        if (text_of[d], label[d]) not in seen:
+            seen.add((text_of[d], label[d]))
+            sample.append(d)
+    n, n1 = len(sample), sum(label[d] for d in sample)
+    place = {w: i for i, w in enumerate(sorted({w for d in sample for w in words(text_of[d])}))}
+    df, every, ones = np.zeros(len(place)), np.zeros(len(place)), np.zeros(len(place))
+    for r in docs:
+        df[[place[w] for w in words(r["text"]) if w in place]] += 1
+    for d in sample:
+        own = [place[w] for w in words(text_of[d])]
+        every[own] += 1
+        ones[own] += label[d]
+    phi = np.abs(n * ones - every * n1) / np.sqrt(np.maximum(every * (n - every) * n1 * (n - n1), 1e-300))
+    weight = (np.log((1 + len(docs)) / (1 + df)) + 1) * (toxicity.FLOOR + np.where(every < n, phi, 0))
+
+    def vector(text):
+        v = np.zeros(len(place))
+        for w, k in words(text).items():
+            if w in place:
+                v[place[w]] = (1 + np.log(k)) * weight[place[w]]
+        return v / max(np.sqrt(v @ v), 1e-300)
+
+    known = np.array([d for d in sample if held[d] != 1])
+    matrix, toxic = np.array([vector(text_of[d]) for d in known]), np.array([label[d] for d in known], float)
+    empty = ~matrix.any(axis=1)
+    prior = (toxic[empty].sum() + toxic.mean()) / (empty.sum() + 1)
+
+    def vote(text):
+        cosine = matrix @ vector(text)
+        best = np.argsort(-cosine, kind="stable")[: toxicity.NEIGHBOURS]
+        w = np.where(cosine[best] > 0, cosine[best], 0) ** 2
+        return (w @ toxic[best] + prior) / (w.sum() + 1)
+
+    aside = [d for d in sample if held[d] == 1]
+    raw, share = toxicity.isotonic(np.array([vote(text_of[d]) for d in aside]), np.array([label[d] for d in aside], float), np.ones(len(aside)))
+    got = {r["doc_id"]: r for r in QUERIES["op6_toxicity"](spark, sf).collect()}
+    off = [d for d, t in text_of.items() if abs(got[d]["score"] - np.interp(vote(t), raw, share)) > 1e-6]
+    assert len(got) == len(docs) and len(off) <= 0.02 * len(docs), off  # of equal cosines at the k-th place others can be taken
+
+
+def test_examples_are_bounded(spark):
+    docs = spark.createDataFrame([(i % 50, " ".join(f"w{(i * j) % 997}" for j in range(200))) for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    rows, scale = toxicity.examples(docs, labels, F.lit(True), 4_000, 5_000)
+    assert 0 < sum(len(t) // 8 for t in rows["term"]) < 10_000 and scale[0] == scale[1] < 0.1
+    assert toxicity.fit(docs, labels, F.lit(True), entries=5_000).index.doc_id.size > 0
+
+
 def test_nearest_examples_are_exact():
     rng = np.random.default_rng(4)
     vectors = []
@@ -123,6 +226,25 @@ def test_log_ratio_matches_brute_force(spark):
     assert np.allclose(ratio, np.log(target / target.sum()) - np.log(raw / raw.sum()))
 
 
+def test_resampling_query_matches_brute_force(spark, sf):
+    docs = {r["doc_id"]: r["text"] for r in table(spark, sf, "documents").collect()}
+    good = {r["doc_id"] for r in table(spark, sf, "labels").collect() if r["quality"] == 1}
+    raw, target = np.ones(resampling.BUCKETS), np.ones(resampling.BUCKETS)
+    found = {d: np.concatenate([b for _, b in resampling._features([t])] or [np.zeros(0, int)]) for d, t in docs.items()}
+    for d, buckets in found.items():
+        np.add.at(raw, buckets, 1)
+        if d in good:
+            np.add.at(target, buckets, 1)
+    ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
+    noise = {r["doc_id"]: r["h"] for r in table(spark, sf, "documents").select("doc_id", F.xxhash64("doc_id", F.lit(7)).alias("h")).collect()}
+    key = {d: ratio[b].sum() - np.log(-np.log(((noise[d] % 2**64 >> 11) + 0.5) / 2**53)) for d, b in found.items()}
+    got = {r["doc_id"]: r for r in QUERIES["op1_importance_resampling"](spark, sf).collect()}
+    assert got.keys() == key.keys()
+    assert all(abs(r["log_weight"] - ratio[found[d]].sum()) < 1e-6 and r["n_features"] == len(found[d]) and abs(r["gumbel_key"] - key[d]) < 1e-6 for d, r in got.items())
+    chosen = sorted(key, key=lambda d: (-key[d], d))[: int(np.ceil(resampling.KEEP * len(key)))]
+    assert {d for d, r in got.items() if r["selected"]} == set(chosen)
+
+
 def test_resampling_of_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     got = resampling.resample(odd(spark), labels).collect()

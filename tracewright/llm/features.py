@@ -71,10 +71,9 @@ def windows(texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[str]]]:
         yield np.array(numbers), parts
 
 
-def tokens(texts: list[str | None], marks: bool, beginnings: tuple[int, ...] = ()) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def tokens(texts: list[str | None], marks: bool, stem: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(number of the text, 64-bit hash) of the lower-cased tokens in order: runs of letters and digits and, with
-    marks, runs of other visible characters. After the tokens of a window come, for each size in `beginnings`, the
-    first so many bytes of its longer tokens."""
+    marks, runs of other visible characters. With `stem`, the first so many bytes stand for a longer token."""
     for numbers, parts in windows(texts):
         raw = [p.lower().encode("utf-8", "surrogatepass") for p in parts]
         a = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
@@ -88,12 +87,8 @@ def tokens(texts: list[str | None], marks: bool, beginnings: tuple[int, ...] = (
         np.cumsum((a.astype(np.uint64) + _U(1)) * _power(_BASE, len(a)), out=sums[1:])
         back = _power(_BASE_INVERSE, len(a))
         docs = numbers[np.searchsorted(np.cumsum([len(r) + 1 for r in raw]), starts, side="right")]
-        found = [(docs, mixed((sums[ends] - sums[starts]) * back[starts]))]
-        for size in beginnings:
-            longer = ends - starts > size
-            at = starts[longer]
-            found.append((docs[longer], mixed((sums[at + size] - sums[at]) * back[at] + _U(size))))
-        yield np.concatenate([d for d, _ in found]), np.concatenate([h for _, h in found])
+        ends = ends if stem is None else np.minimum(ends, starts + stem)
+        yield docs, mixed((sums[ends] - sums[starts]) * back[starts])
 
 
 def word_pairs(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
