@@ -20,9 +20,10 @@ from tracewright.llm.features import char_ngrams, letter_table
 
 ORDERS = (1, 2, 3, 4)
 BITS = 16
-#: Labelled rows of each language that are learned from, and the number of languages (the most frequent).
+#: Distinct labelled texts of each language that are learned from (about), and the most languages that a model may
+#: have (half a megabyte each): more are an error, none is left out.
 ROWS_PER_LANGUAGE = 5_000
-LANGUAGES = 256
+LANGUAGES = 1_000
 SMOOTHING = 0.5
 UNKNOWN = "und"
 
@@ -36,21 +37,24 @@ class Model:
     log_probability: np.ndarray  # language x bucket
 
 
-def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
+def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE, most_languages: int = LANGUAGES) -> Model:
     """Learn from rows (text, lang). Rows where either is null are left out.
 
-    A language with more rows than rows_per_language gives about that many, chosen by a hash of the text; every
-    row counts for the prior. Repeated rows count as often as they occur. No rows: a model without languages.
+    A language with more distinct texts than rows_per_language gives about that many, chosen by a hash of the text,
+    and one at least; a repeated text is learned once, however many rows have it, but every row counts for the
+    prior. No rows: a model without languages. More than most_languages languages: ValueError.
     """
     small_batches(labelled.sparkSession)
-    rows = labelled.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = sorted(((r["n"], r["lang"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()), key=lambda x: x[1])
+    rows = labelled.select("text", "lang", F.xxhash64("text").alias("h")).where("text IS NOT NULL AND lang IS NOT NULL")
+    known = rows.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h", 0.02).alias("texts"), F.min("h").alias("least"))
+    sizes = sorted(known.limit(most_languages + 1).collect(), key=lambda r: r["lang"])
+    if len(sizes) > most_languages:
+        raise ValueError(f"more than {most_languages} languages: pass a larger most_languages or fewer labels")
     if not sizes:
         return Model([], np.zeros(0), np.zeros((0, 1 << BITS)))
-    share = F.lit(-1.0)
-    for n, lang in sizes:
-        share = F.when(F.col("lang") == lang, F.lit(rows_per_language / n)).otherwise(share)
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * F.lit(float(1 << 20)))
+    shares = labelled.sparkSession.createDataFrame([(r["lang"], float(1 << 20) * rows_per_language / max(1, r["texts"]), r["least"]) for r in sizes], "lang string, share double, least long")
+    chosen = rows.join(F.broadcast(shares), "lang").where((F.pmod("h", F.lit(1 << 20)) < F.col("share")) | (F.col("h") == F.col("least")))
+    sample = chosen.groupBy("lang", "h").agg(F.first("text").alias("text")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -72,11 +76,11 @@ def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Mode
         .agg(F.sum("x.n").alias("n"))
         .toPandas()
     )
-    languages = [lang for _, lang in sizes]
+    languages = [r["lang"] for r in sizes]
     matrix = np.full((len(languages), 1 << BITS), SMOOTHING)
     matrix[counts["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy(np.int64), counts["bucket"].to_numpy(np.int64)] += counts["n"].to_numpy(np.float64)
     matrix = np.log(matrix) - np.log(matrix.sum(axis=1, keepdims=True))
-    prior = np.array([n for n, _ in sizes], np.float64)
+    prior = np.array([r["n"] for r in sizes], np.float64)
     return Model(languages, np.log(prior / prior.sum()), matrix)
 
 
@@ -98,7 +102,7 @@ def language_of(spark, model: Model, text: str = "text") -> Column:
     """struct<lang_pred string, score double> of a text column.
 
     A null text, or one without a letter, is `und` with score 0; ties go to the language that sorts first.
-    score is the posterior probability of lang_pred.
+    score is the posterior probability of lang_pred. Rows are independent: repeated rows get equal results.
     """
     shared = spark.sparkContext.broadcast(model)
 
