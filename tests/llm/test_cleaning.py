@@ -2,11 +2,16 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 
 import corpus_pipeline
 from llm.helpers import ODD, documents, empty, odd, rows
+from llm.test_models import by_hand
+from llm.test_near_copies import plain_shingles, similar
+from llm.test_near_duplicates import components
+from llm.test_tokens import WORD, check_pieces, library_ids
 from pyspark.sql import functions as F
 from tracewright.llm import contamination, language, pseudonyms
 from tracewright.llm.common import table
@@ -33,8 +38,31 @@ def test_copies_and_reparameterised_questions_are_found(spark):
 
 
 def test_short_items_need_all_their_words(spark):
-    docs = [(1, "well, which river is the longest? the answer"), (2, "which river is long"), (3, "a b c")]
-    assert held(spark, docs, "Which river is the longest", "a b c") == [(1, 0)]
+    docs = [(1, "well, which river is the longest? the answer"), (2, "which river is long"), (3, "a b c"), (4, "So it is. A b, c! Yes"), (5, "well a b c"), (6, "Title\na B c\n")]
+    assert held(spark, docs, "Which river is the longest", "a b c") == [(1, 0), (3, 1), (4, 1), (6, 1)]
+
+
+def test_items_in_lower_case_meet_capitalised_texts(spark):
+    item = "what is the capital of france and which river flows through the city of paris"
+    docs = [(1, "So what Is the Capital of France and Which River Flows Through the City of Paris?"), (2, "what is the capital of France and which river flows through the city of Paris"), (3, "what is the capital of Spain and which river flows through the city of Madrid")]
+    assert held(spark, docs, item) == [(1, 0), (2, 0)]
+
+
+LONG = ["1," * 500_000, "." * 1_000_000, ". " * 500_000, "\n" * 1_000_000, "QUJD+/" * 170_000, "a@b" + ".c" * 500_000, "x" * 1_000_000, "a." * 500_000, "1.2.3.4." * 100_000, "+1 555 " * 150_000, "4111 1111 " * 100_000, "AB12 CD34 " * 100_000]
+
+
+def test_long_texts_of_any_kind_are_read_in_time(spark):
+    docs = documents(spark, list(enumerate(LONG))).repartition(4)
+    began = time.time()
+    assert contamination.report(docs, bench(spark, QUESTION, "1 2 3")).count() == 0
+    assert pseudonyms.pseudonymise_report(docs).count() == len(LONG)
+    assert time.time() - began < 240
+
+
+def test_a_text_may_hold_many_items(spark):
+    items = [QUESTION.replace("Yesterday", f"In week {i} of it") + f" And so on with number {i} of this very long list of all the questions." for i in range(60)]
+    report = contamination.report(documents(spark, [(1, " ".join(items)), (2, " ".join(items[:30]))]), bench(spark, *items))
+    assert rows(report.where("changed_slots = 0"), "doc_id", "item_id") == sorted([(1, i) for i in range(60)] + [(2, i) for i in range(30)], key=repr)
 
 
 def test_odd_rows_are_clean_and_keep_their_columns(spark):
@@ -81,9 +109,14 @@ def plain_contamination(docs, items):
             if len(it) < 5:
                 continue
             diagonals = {}
-            for j in range(len(it) - size + 1):
+            plain = lambda kinds, own: [o if k == "<name>" else k for k, o in zip(kinds, own, strict=True)]
+            where = {}
+            for form in (it, plain(it, iw)):
+                for j in range(len(it) - size + 1):
+                    where.setdefault(" ".join(form[j : j + size]), []).append(j)
+            for form in (t, plain(t, w)):
                 for i in range(len(t) - size + 1):
-                    if t[i : i + size] == it[j : j + size]:
+                    for j in where.get(" ".join(form[i : i + size]), ()):
                         diagonals.setdefault(i - j, set()).update(range(j, j + size))
             for shift, under in diagonals.items():
                 slots = {(it[j], iw[j], w[j + shift]) for j in under if it[j].startswith("<")}
@@ -96,11 +129,8 @@ def plain_contamination(docs, items):
 def test_query_matches_brute_force(spark, sf):
     docs = [(r["doc_id"], r["text"]) for r in table(spark, sf, "documents").collect()]
     items = [(r["item_id"], r["text"]) for r in table(spark, sf, "benchmark").collect()]
-    near = [d for d in docs if len(d[1]) < 4000]
-    want = plain_contamination(near, items)
-    got = set(rows(QUERIES["op2_contamination"](spark, sf), "doc_id", "item_id"))
-    ids = {d for d, _ in near}
-    assert want and {x for x in got if x[0] in ids} == want
+    want = plain_contamination(docs, items)
+    assert want and set(rows(QUERIES["op2_contamination"](spark, sf), "doc_id", "item_id")) == want
 
 
 # ---- pseudonyms
@@ -185,8 +215,18 @@ def test_stages_keep_the_columns_and_do_their_work(spark, sf):
     assert 0.8 * before < docs.count() < before
     contaminated = {r["doc_id"] for r in QUERIES["op2_contamination"](spark, sf).collect()}
     assert not contaminated & {r["doc_id"] for r in docs.collect()}
-    pieces = corpus_pipeline.run(spark, sf)
-    assert {r["doc_id"] for r in pieces.collect()} == {r["doc_id"] for r in docs.collect()}
+
+
+def test_pipeline_matches_brute_force(spark, sf):
+    """Every stage by plain code over the stage before it, down to the ids of each piece."""
+    docs = sorted((tuple(r[c] for c in ("doc_id", "text", "lang")) for r in table(spark, sf, "documents").collect()), key=lambda r: r[0])
+    known = by_hand([(t, x) for _, t, x in docs if t is not None and x is not None], [t for _, t, _ in docs])
+    docs = [d for d, (lang, score) in zip(docs, known, strict=True) if lang != "und" and score >= corpus_pipeline.MIN_LANGUAGE_SCORE]
+    roots = components([plain_shingles(t) for _, t, _ in docs], similar)
+    docs = [docs[i] for i in sorted(set(roots))]
+    held = {d for d, _ in plain_contamination([d[:2] for d in docs], [(r["item_id"], r["text"]) for r in table(spark, sf, "benchmark").collect()])}
+    texts = {r["doc_id"]: r["text"] for r in QUERIES["op4_pseudonyms"](spark, sf).collect()}
+    check_pieces(corpus_pipeline.run(spark, sf).collect(), {d: library_ids(WORD, texts[d]) for d, _, _ in docs if d not in held})
 
 
 def test_stages_bear_odd_rows_and_empty_tables(spark, sf):

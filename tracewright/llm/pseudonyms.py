@@ -10,11 +10,15 @@ Mail addresses and secrets have no numeric format; they become keyed hashes, whi
 from __future__ import annotations
 
 import re
+import warnings
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: The key is taken from this setting of the session. Whoever knows the key can undo the pseudonyms, so the public one
+#: below, which stands in where none is set, is for tests and demonstrations only.
+KEY_SETTING = "spark.tracewright.pseudonymKey"
 KEY = "pseudonym-key"
 
 #: Length of an account number by country; what follows one is no part of it.
@@ -36,9 +40,10 @@ def _accounts() -> str:
     return rf"\b(?:{'|'.join(by_length)}|(?!{known})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)\b"
 
 
-#: What is looked for, in this order; kind, pattern.
+#: What is looked for, in this order; kind, pattern. Runs without a bound are possessive and entered once (a local part
+#: begins where no character of one is before it, or where the last match ended), so they are linear and not recursive.
 PATTERNS: tuple[tuple[str, str], ...] = (
-    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+    ("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"),
     ("iban", _accounts()),
     ("key", r"\bAKIA[0-9A-Z]{16}\b"),
     ("secret", r"(?i:password|passwd|pwd|secret|token|api_?key)\s*[=:]\s*[\"']?[A-Za-z0-9_+/-]{8,}"),
@@ -49,8 +54,9 @@ PATTERNS: tuple[tuple[str, str], ...] = (
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"),
     ("card", r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9])"),
 )
-#: 1900-01-01 to 2099-12-31 has 73,049 days, which is 17 times 4,297.
-DAYS = (17, 4297)
+#: Days are permuted among those of 1900-01-01 to 2099-12-31 (73,049, which is 17 times 4,297), all others of the years
+#: 1 to 9999 among themselves (3,579,010, which is 10 times 357,901).
+DAYS, OTHER_DAYS = (17, 4297), (10, 357_901)
 
 
 def _any() -> str:
@@ -58,7 +64,7 @@ def _any() -> str:
     out, groups = [], 0
     for _, pattern in PATTERNS:
         out.append("(?:" + re.sub(r"\\([1-9])", lambda m: f"\\{int(m[1]) + groups}", pattern) + ")")
-        groups += re.compile(pattern).groups
+        groups += re.compile(pattern.replace(r"\G", "^")).groups
     return "|".join(out)
 
 
@@ -174,18 +180,25 @@ def _date(m: Column, key: str) -> Column:
     when = F.when(iso, of(x, y, z)).when(us, month_first).otherwise(day_first)
 
     def made(d: Column) -> Column:
-        n = F.datediff(d, F.lit("1900-01-01").cast("date"))
-        out = feistel(F.floor(n / DAYS[1]), n % DAYS[1], F.lit(DAYS[0]), F.lit(DAYS[1]), key, "date")
-        new = F.date_add(F.lit("1900-01-01").cast("date"), _let(out, lambda s: s["a"] * DAYS[1] + s["b"]).cast("int"))
+        day0, span = F.lit("1900-01-01").cast("date"), DAYS[0] * DAYS[1]
+        n = F.datediff(d, day0)
+        inner = n.between(0, span - 1)
+        years = F.when(n < 0, F.datediff(d, F.lit("0001-01-01").cast("date"))).otherwise(n - span + F.datediff(day0, F.lit("0001-01-01").cast("date")))
+        place = F.when(inner, n).otherwise(years)
+        size_a, size_b = (F.when(inner, F.lit(x)).otherwise(F.lit(y)) for x, y in zip(DAYS, OTHER_DAYS, strict=True))
+        out = feistel(F.floor(place / size_b), place % size_b, size_a, size_b, key, "date")
+        early = F.datediff(day0, F.lit("0001-01-01").cast("date"))
+        back = lambda p: F.when(inner, p).when(p < early, p - early).otherwise(p - early + span)
+        new = F.date_add(day0, _let(out, lambda s: back(s["a"] * size_b + s["b"])).cast("int"))
         wide = F.length(m) == 10
 
         def shown(t: Column) -> Column:
             two = lambda v: F.when(wide, F.lpad(v.cast("string"), 2, "0")).otherwise(v.cast("string"))
             sep = F.when(m.contains("/"), F.lit("/")).otherwise(F.lit("."))
             first, second = F.when(us, F.month(t)).otherwise(F.day(t)), F.when(us, F.day(t)).otherwise(F.month(t))
-            return F.when(iso, F.date_format(t, "yyyy-MM-dd")).otherwise(F.concat(two(first), sep, two(second), sep, F.year(t).cast("string")))
+            return F.when(iso, F.date_format(t, "yyyy-MM-dd")).otherwise(F.concat(two(first), sep, two(second), sep, F.lpad(F.year(t).cast("string"), 4, "0")))
 
-        return F.when(n.between(0, DAYS[0] * DAYS[1] - 1), _let(new, shown))
+        return F.when(F.year(d) >= 1, _let(new, shown))
 
     return _let(when, made)
 
@@ -259,6 +272,14 @@ def pseudonymised(text: Column, key: str = KEY) -> Column:
     return F.when(text.rlike("[0-9@=:]"), _let(matches, joined)).otherwise(nothing)
 
 
+def key_of(spark: SparkSession) -> str:
+    """The session's key, or the public one with a warning."""
+    key = spark.conf.get(KEY_SETTING, None)
+    if not key:
+        warnings.warn(f"{KEY_SETTING} is not set: pseudonyms use a public key and can be undone", stacklevel=2)
+    return key or KEY
+
+
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     """docs with text replaced, other columns as they are. Null stays null, empty stays empty; rows are independent."""
     return docs.withColumn("text", pseudonymised(F.col("text"), key)["text"])

@@ -27,7 +27,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonyms.pseudonymise_report(table(spark, sf_dir, "documents"))
+    return pseudonyms.pseudonymise_report(table(spark, sf_dir, "documents"), pseudonyms.key_of(spark))
 
 
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
