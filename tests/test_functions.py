@@ -98,5 +98,5 @@ def test_defaults_do_not_replace_decisions(spark):
 def test_empty_tables(spark):
     events = spark.createDataFrame([], "ord long, src string, attack boolean, " + ", ".join(f"{f} string" for f in contract.FIELDS))
     q = queue.scored(events, events)
-    assert q.count() == 0 and queue.proposals(q).count() == 0 and queue.top(q, 5).count() == 0
+    assert q.count() == 0 and queue.proposals(queue.groups(q)).count() == 0 and queue.top(q, 5).count() == 0
     assert audit.field_presence(events.withColumn("gold", F.lit("x"))).count() == 0

@@ -124,6 +124,22 @@ def violations(event: Column) -> Column:
     )
 
 
+def wrapped_fields(event: Column) -> Column:
+    """map of the fields of a body whose values may go on over lines; what stands before the first field is left out.
+
+    The last of equal keys wins.
+    """
+    pieces = F.filter(F.split(event, r"\n(?=[A-Za-z][A-Za-z0-9_]*:)"), lambda x: x.rlike(r"^[A-Za-z][A-Za-z0-9_]*:"))
+    pairs = F.transform(pieces, lambda x: F.struct(F.substring_index(x, ":", 1).alias("k"), F.regexp_replace(x, r"^[^:]*: ?", "").alias("v")))
+    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: q["k"] == p["k"]))
+    return F.map_from_entries(last)
+
+
+def strict_fields(event: Column) -> Column:
+    """fields_of() a body, null if it has a line without a colon."""
+    return F.when(~F.exists(F.split(event, "\n"), lambda x: ~x.contains(":")), fields_of(event))
+
+
 def fields_of(event: Column) -> Column:
     """struct of the contract fields of a rendered body; lines without a colon are skipped, the last of equal keys wins."""
     lines = F.transform(F.split(event, "\n"), lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("k"), F.regexp_replace(F.regexp_replace(x, r"^[^:]*:", ""), r"^\s+|\s+$", "").alias("v"), x.contains(":").alias("ok")))

@@ -26,6 +26,14 @@ def messages(event: Column, scale: str = "4way", template: str = SYSTEM) -> Colu
     return F.array(one("system", F.lit(system_prompt(scale, template))), one("user", user_text(event)))
 
 
+def model_file(base: str, adapter: str, weights: str, context: int, scale: str = "4way", template: str = SYSTEM, parameters: dict[str, str] | None = None) -> str:
+    """The configuration text of a serving runtime for a tuned model: weights, system prompt and sampling parameters."""
+    head = [f"# Made from the prompt of scale {scale} ({len(SCALES[scale])} severities, severity first); make it anew after a change.", f"# adapter: {adapter}", f"# base: {base}", ""]
+    body = [f"FROM {weights}", "", 'SYSTEM """', system_prompt(scale, template), '"""', ""]
+    values = {"temperature": "0.1", "top_p": "0.9", "repeat_penalty": "1.1", "num_ctx": str(context), "stop": '"<|im_end|>"'} | (parameters or {})
+    return "\n".join([*head, *body, *(f"PARAMETER {k} {v}" for k, v in values.items())]) + "\n"
+
+
 def prompt_hash(scale: str = "4way", template: str = SYSTEM) -> Column:
     return F.sha2(F.lit(system_prompt(scale, template)), 256)
 

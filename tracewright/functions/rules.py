@@ -55,6 +55,17 @@ TACTICS = {
     "Credential Access": "critical", "Command and Control": "critical", "Lateral Movement": "high", "Privilege Escalation": "high", "Persistence": "high",
     "Defense Evasion": "high", "Execution": "high", "Discovery": "medium",
 }
+#: Why a rule proposes what it does.
+REASONS = {
+    "ambient": "occurs on a real working machine or across unrelated captures", "low-score": "no attack signal found; expected to be dropped",
+    "destruction": "shadow copy or backup deletion -- ransomware precursor, no benign reading", "credential-access": "LSASS or secret material access",
+    "encoded-and-hidden": "encoded payload plus deliberate concealment -- intent is not ambiguous", "encoded-command": "base64 / -enc payload",
+    "drop-and-fetch": "remote fetch writing an executable to a user-writable path", "payload-drop": "executable content staged in a writable path",
+    "anomalous-lineage": "parent-child pair that does not occur in normal operation", "remote-fetch": "inline retrieval from an external host",
+    "concealment": "hidden window or execution-policy bypass", "c2-port": "outbound to a port associated with implant defaults",
+    "lolbin": "living-off-the-land binary with no other aggravating signal -- dual-use", "discovery": "enumeration; identical whether run by an admin or an intruder",
+    "unclassified": "no rule matched; needs a human read",
+} | {f"tactic:{t}": f"capture filed under {t.lower()} with no specific behavioural signal" for t in TACTICS}
 EXCULPATORY = ("ambient in real capture", "unrelated captures", "common image/parent pair on a real host")
 CHANGES = (
     ("account_create_or_grant", r"\bnet1?(?:\.exe)?\b[^\n]*?\b(?:user|localgroup|group)\b[^\n]*?/(?:add|delete)"),
@@ -120,6 +131,13 @@ def auto_drop(event_id: Column, target: Column, image: Column, ambient: Column)
     return F.when((event_id == "7") & plain, F.lit("system module")).when(ambient >= 25, F.lit("ambient"))
 
 
+def drop_reason(rule: Column, ambient: Column) -> Column:
+    """The reason of auto_drop() in full, with the count of an ambient signature."""
+    return F.when(rule == "system module", F.lit("system module loaded by a system-path binary -- image loads carry signal only for sideloading")).when(
+        rule == "ambient", F.concat(F.lit("signature occurs "), ambient.cast("string"), F.lit("x in the real benign capture"))
+    )
+
+
 def has(why: Column, needle: str) -> Column:
     return F.exists(why, lambda x: x.contains(needle))
 

@@ -44,9 +44,7 @@ def dirname(path: Column) -> Column:
 
 def cmd_shape(command: Column, image: Column) -> Column:
     """The normalised command line without its leading image, at most 300 characters."""
-    c, b = normalise(command), basename(image)
-    lead = F.concat(F.lit(r'^"?[^"\s]*\Q'), b, F.lit(r'\E"?\s*'))
-    return F.substring(F.when(b != "", F.regexp_replace(c, lead, F.lit(""))).otherwise(c), 1, 300)
+    return shape_of(normalise(command), basename(image))
 
 
 def port_bucket(port: Column) -> Column:
@@ -61,34 +59,40 @@ def port_bucket(port: Column) -> Column:
     )
 
 
-def _detail(eid: Column) -> Column:
-    """What follows image and parent, by kind of event; null where nothing follows."""
-    target = F.substring(normalise(F.col("TargetFilename")), 1, 200)
+def shape_of(normal: Column, base: Column) -> Column:
+    """A normalised command line without its leading image (its name given), at most 300 characters."""
+    lead = F.concat(F.lit(r'^"?[^"\s]*\Q'), base, F.lit(r'\E"?\s*'))
+    return F.substring(F.when(base != "", F.regexp_replace(normal, lead, F.lit(""))).otherwise(normal), 1, 300)
+
+
+def _described() -> Column:
+    """The text that describes an event by its kind: command line or target; null for other kinds."""
+    return F.when(F.col("EventID").isin("1", "4688"), F.col("CommandLine")).when(F.col("EventID").isin("7", "11", "12", "13"), F.col("TargetFilename"))
+
+
+def _detail(eid: Column, text: Column, base: Column) -> Column:
+    """What follows image and parent, by kind of event; null where nothing follows. text: _described(), normalised."""
     dns = F.when(F.coalesce(F.col("DestinationHostname"), F.lit("")) != "", F.lit("dns")).otherwise(F.lit("nodns"))
     return (
-        F.when(eid.isin("1", "4688"), cmd_shape(F.col("CommandLine"), F.col("Image")))
-        .when(eid.isin("7", "11", "12", "13"), target)
+        F.when(eid.isin("1", "4688"), shape_of(text, base))
+        .when(eid.isin("7", "11", "12", "13"), F.substring(text, 1, 200))
         .when(eid == "3", F.concat_ws("|", port_bucket(F.col("DestinationPort")), dns))
         .when(eid.isin("4624", "4625"), F.concat_ws("|", F.coalesce("LogonType", F.lit("")), F.coalesce("AuthPackage", F.lit(""))))
     )
 
 
-def signature() -> Column:
-    """Event, image, folder, parent and detail of the contract columns, joined by bars. Nulls are empty parts."""
-    eid = F.coalesce(F.col("EventID"), F.lit(""))
-    return F.concat_ws("|", eid, basename(F.col("Image")), dirname(F.col("Image")), basename(F.col("ParentImage")), _detail(eid))
-
-
-def coarse_signature() -> Column:
-    return F.concat_ws("|", F.coalesce("EventID", F.lit("")), basename(F.col("Image")), basename(F.col("ParentImage")))
-
-
-def action() -> Column:
-    """The signature without the parent."""
-    eid = F.coalesce(F.col("EventID"), F.lit(""))
-    return F.concat_ws("|", eid, basename(F.col("Image")), dirname(F.col("Image")), _detail(eid))
+def _parts() -> dict[str, Column]:
+    """What the signatures are made of; each normalised text is made once an event."""
+    return {"_eid": F.coalesce("EventID", F.lit("")), "_base": basename(F.col("Image")), "_dir": dirname(F.col("Image")), "_parent": basename(F.col("ParentImage")), "_text": normalise(_described())}
 
 
 def with_behaviour(events: DataFrame) -> DataFrame:
-    """events with signature, coarse and action columns."""
-    return events.withColumns({"signature": signature(), "coarse": coarse_signature(), "action": action()})
+    """events with signature, coarse and action columns.
+
+    signature: event, image, folder, parent and detail, joined by bars, nulls as empty parts; coarse: event, image
+    and parent; action: the signature without the parent. Parts are columns of their own before they are joined.
+    """
+    parts = _parts()
+    out = events.withColumns(parts).withColumn("_detail", _detail(F.col("_eid"), F.col("_text"), F.col("_base")))
+    joined = {"signature": ("_eid", "_base", "_dir", "_parent", "_detail"), "coarse": ("_eid", "_base", "_parent"), "action": ("_eid", "_base", "_dir", "_detail")}
+    return out.withColumns({name: F.concat_ws("|", *of) for name, of in joined.items()}).drop(*parts, "_detail")

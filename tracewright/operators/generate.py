@@ -10,60 +10,70 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions.contract import FIELDS, rendered
-from tracewright.functions.rewriting import HOSTS, LOCAL_USERS, pick
+from tracewright.functions.rewriting import ACCOUNT_KINDS, HOSTS, account, drawn, home_of, pick
 from tracewright.operators.sampling import apportion
 
-S32 = "C:\\Windows\\System32"
+S32, PF = "C:\\Windows\\System32", "C:\\Program Files"
 PS = f"{S32}\\WindowsPowerShell\\v1.0\\powershell.exe"
-PARENTS = (
-    f"{S32}\\cmd.exe", "C:\\Windows\\explorer.exe", PS, f"{S32}\\mmc.exe", f"{S32}\\taskeng.exe", f"{S32}\\svchost.exe",
-)
-DOMAIN = "ICORP"
+SYSTEM, LOCAL_SERVICE = "NT AUTHORITY\\SYSTEM", "NT AUTHORITY\\LOCAL SERVICE"
+OFFICE = f"{PF}\\Microsoft Office\\root\\Office16"
+#: Parents by how a process is started; a family without a parent of its own draws from those that keep its meaning, the
+#: same in every class, so that the parent does not tell the class.
+PARENT_GROUPS: dict[str, tuple[tuple[str, str], ...]] = {
+    "interactive": (
+        (f"{S32}\\cmd.exe", f'"{S32}\\cmd.exe"'), ("C:\\Windows\\explorer.exe", "C:\\Windows\\explorer.exe"), (PS, f'"{PS}" -NoLogo'),
+        (f"{S32}\\mmc.exe", f'"{S32}\\mmc.exe" "{S32}\\services.msc"'), (f"{PF}\\Microsoft VS Code\\Code.exe", f'"{PF}\\Microsoft VS Code\\Code.exe" --type=ptyHost'),
+    ),
+    "scheduled": ((f"{S32}\\taskeng.exe", "taskeng.exe {7C0E5A11-2B44-4B7B-9F11-0A52C1D7E001} S-1-5-18:"), (f"{S32}\\svchost.exe", f"{S32}\\svchost.exe -k netsvcs -p -s Schedule"), (f"{S32}\\cmd.exe", f'"{S32}\\cmd.exe" /c {PF}\\HALVEN\\logon.cmd')),
+    "service": ((f"{S32}\\services.exe", f"{S32}\\services.exe"), (f"{S32}\\svchost.exe", f"{S32}\\svchost.exe -k DcomLaunch -p"), (f"{S32}\\wbem\\WmiPrvSE.exe", f"{S32}\\wbem\\WmiPrvSE.exe -Embedding")),
+}
+DRAWN_FROM = ("interactive", "scheduled")
 #: Share of each EventID.
 MIX = ((1, 0.514), (13, 0.130), (11, 0.122), (3, 0.080), (4624, 0.068), (7, 0.050), (12, 0.032), (4625, 0.002))
-TRIES = 12
+#: How often a family is tried for each event that is wanted.
+TRIES = 40
 
-#: (class, family, EventID, severity, fields); <user>, <home>, <host>, <n> are drawn, a missing ParentImage too.
+#: (class, family, EventID, severity, fields); <home>, <host>, <n> are drawn, and a parent and an account where none is given.
 TEMPLATES: tuple[tuple[str, str, int, str, dict[str, str]], ...] = tuple(
     (kind, family, event_id, severity, dict(zip(names.split(), row, strict=True)))
     for kind, family, event_id, severity, names, rows in (
-        ("benign", "desktop app", 1, "none", "Image CommandLine", [(f"{S32}\\notepad.exe", f'"{S32}\\notepad.exe" <home>\\Documents\\notes<n>.txt'), (f"{S32}\\mspaint.exe", f'"{S32}\\mspaint.exe" <home>\\Pictures\\p<n>.png')]),
-        ("benign", "service host", 1, "none", "Image CommandLine ParentImage User", [(f"{S32}\\svchost.exe", f"{S32}\\svchost.exe -k netsvcs -p -s svc<n>", f"{S32}\\services.exe", "NT AUTHORITY\\SYSTEM"), (f"{S32}\\svchost.exe", f"{S32}\\svchost.exe -k LocalService -s svc<n>", f"{S32}\\services.exe", "NT AUTHORITY\\LOCAL SERVICE")]),
-        ("benign", "vendor updater", 1, "none", "Image CommandLine", [("<home>\\AppData\\Local\\Microsoft\\OneDrive\\OneDrive.exe", '"<home>\\AppData\\Local\\Microsoft\\OneDrive\\OneDrive.exe" /background /i<n>')]),
-        ("benign", "developer tools", 1, "none", "Image CommandLine", [("C:\\Program Files\\nodejs\\node.exe", '"C:\\Program Files\\nodejs\\node.exe" <home>\\src\\app<n>\\build.js'), ("C:\\Program Files\\Git\\cmd\\git.exe", "git.exe log -n <n>")]),
-        ("benign", "office", 1, "none", "Image CommandLine", [("C:\\Program Files\\Microsoft Office\\root\\Office16\\EXCEL.EXE", '"EXCEL.EXE" "<home>\\Documents\\budget<n>.xlsx"')]),
-        ("benign", "system helper", 1, "none", "Image CommandLine ParentImage", [(f"{S32}\\rundll32.exe", f'"{S32}\\rundll32.exe" shell32.dll,Control_RunDLL "{S32}\\main.cpl",,<n>', f"{S32}\\control.exe"), (f"{S32}\\dllhost.exe", f"{S32}\\dllhost.exe /Processid:<n>", f"{S32}\\svchost.exe")]),
-        ("benign", "local admin", 1, "none", "Image CommandLine", [(PS, 'powershell.exe -NoProfile -Command "Get-Service -Name svc<n>"'), (f"{S32}\\ipconfig.exe", f'"{S32}\\ipconfig.exe" /all /n<n>')]),
-        ("benign", "security product", 1, "none", "Image CommandLine ParentImage User", [(f"{S32}\\SecurityHealthService.exe", f'"{S32}\\SecurityHealthService.exe" -i <n>', f"{S32}\\services.exe", "NT AUTHORITY\\SYSTEM")]),
-        ("benign", "unsigned but known", 1, "none", "Image CommandLine Signed", [("C:\\ProgramData\\ICORP\\tools\\assetcheck.exe", '"C:\\ProgramData\\ICORP\\tools\\assetcheck.exe" --report <n>', "false")]),
-        ("benign", "plain tool", 1, "none", "Image CommandLine", [(f"{S32}\\calc.exe", f'"{S32}\\calc.exe" <n>'), (f"{S32}\\charmap.exe", f'"{S32}\\charmap.exe" <n>')]),
-        ("benign", "long command", 1, "none", "Image CommandLine", [("C:\\Program Files\\Java\\bin\\java.exe", "java.exe -cp " + "C:\\libs\\dependency.jar;" * 24 + " Main<n>")]),
-        ("benign", "web worker", 1, "none", "Image CommandLine ParentImage", [(f"{S32}\\inetsrv\\w3wp.exe", f'{S32}\\inetsrv\\w3wp.exe -ap "Pool<n>"', f"{S32}\\svchost.exe")]),
-        ("benign", "logon ui", 1, "none", "Image CommandLine ParentImage User", [(f"{S32}\\LogonUI.exe", f'"{S32}\\LogonUI.exe" /flags:0x<n>', f"{S32}\\winlogon.exe", "NT AUTHORITY\\SYSTEM")]),
-        ("benign", "web browsing", 3, "none", "Image DestinationIp DestinationPort DestinationHostname", [("C:\\Program Files\\Google\\Chrome\\Application\\chrome.exe", "93.184.216.<n>", "443", "www<n>.example.com")]),
-        ("benign", "uncommon port", 3, "none", "Image DestinationIp DestinationPort DestinationHostname", [("C:\\Program Files\\ICORP\\backup.exe", "10.0.4.<n>", "9100", "backup<n>.icorp.local")]),
-        ("benign", "image load", 7, "none", "Image TargetFilename Signed Signer", [("C:\\Windows\\explorer.exe", f"{S32}\\lib<n>.dll", "true", "Microsoft Windows")]),
-        ("benign", "file create", 11, "none", "Image TargetFilename", [("C:\\Program Files\\Microsoft Office\\root\\Office16\\WINWORD.EXE", "<home>\\Documents\\report<n>.docx")]),
-        ("benign", "registry", 12, "none", "Image TargetFilename", [("C:\\Windows\\explorer.exe", "HKU\\S-1-5-21-1\\Software\\App<n>")]),
-        ("benign", "registry", 13, "none", "Image TargetFilename", [("C:\\Windows\\explorer.exe", "HKU\\S-1-5-21-1\\Software\\App<n>\\Window")]),
-        ("benign", "logon", 4624, "none", "LogonType AuthPackage", [("2", "Negotiate"), ("3", "Kerberos"), ("7", "Negotiate")]),
-        ("benign", "logon", 4625, "none", "LogonType AuthPackage", [("2", "Negotiate")]),
-        ("suspicious", "discovery", 1, "medium", "Image CommandLine", [(f"{S32}\\whoami.exe", "whoami /all /n<n>"), (f"{S32}\\net.exe", "net view \\\\server<n>"), (f"{S32}\\nltest.exe", "nltest /dclist:dom<n>")]),
-        ("suspicious", "remote admin", 1, "medium", "Image CommandLine", [(PS, "powershell.exe Enter-PSSession -ComputerName srv<n>"), (f"{S32}\\wbem\\WMIC.exe", "wmic /node:srv<n> os get caption")]),
-        ("suspicious", "internal fetch", 1, "medium", "Image CommandLine", [(PS, "powershell.exe Invoke-WebRequest http://files.icorp.local/pkg<n>.zip -OutFile p.zip")]),
-        ("suspicious", "grey persistence", 1, "medium", "Image CommandLine", [(f"{S32}\\schtasks.exe", "schtasks /query /tn job<n>")]),
-        ("suspicious", "staging", 1, "medium", "Image CommandLine", [("C:\\Program Files\\7-Zip\\7z.exe", "7z a <home>\\Desktop\\share<n>.7z D:\\Shares\\Finance")]),
-        ("suspicious", "shadow recon", 1, "medium", "Image CommandLine", [(f"{S32}\\vssadmin.exe", "vssadmin list shadows /for=C: /n<n>")]),
-        ("suspicious", "account admin", 1, "medium", "Image CommandLine", [(f"{S32}\\net.exe", "net user temp<n> /domain")]),
-        ("suspicious", "dual-use tool", 1, "medium", "Image CommandLine", [("C:\\Tools\\PsExec.exe", "PsExec.exe \\\\srv<n> cmd /c hostname")]),
-        ("suspicious", "unsigned tool", 1, "medium", "Image CommandLine Signed", [("<home>\\Downloads\\scan<n>.exe", "scan<n>.exe 10.0.0.0/24", "false")]),
-        ("suspicious", "network", 3, "medium", "Image DestinationIp DestinationPort", [("<home>\\Downloads\\agent.exe", "198.51.100.<n>", "8443")]),
-        ("suspicious", "image load", 7, "medium", "Image TargetFilename Signed", [("<home>\\Downloads\\viewer.exe", "<home>\\Downloads\\plug<n>.dll", "false")]),
-        ("suspicious", "file", 11, "medium", "Image TargetFilename", [(PS, "C:\\ProgramData\\stage<n>.ps1")]),
-        ("suspicious", "registry", 12, "medium", "Image TargetFilename", [(f"{S32}\\reg.exe", "HKCU\\Software\\Classes\\tool<n>")]),
-        ("suspicious", "registry", 13, "medium", "Image TargetFilename", [(f"{S32}\\reg.exe", "HKCU\\Software\\Vendor\\Policy<n>")]),
-        ("suspicious", "logon", 4624, "medium", "LogonType AuthPackage", [("10", "Negotiate"), ("3", "NTLM")]),
-        ("suspicious", "failed logon", 4625, "medium", "LogonType AuthPackage", [("3", "NTLM")]),
+        ("benign", "desktop app", 1, "none", "Image CommandLine", [(f"{S32}\\notepad.exe", f'"{S32}\\notepad.exe" <home>\\Documents\\notes<n>.txt'), (f"{S32}\\mspaint.exe", f'"{S32}\\mspaint.exe" <home>\\Pictures\\p<n>.png'), ("C:\\Windows\\explorer.exe", "C:\\Windows\\explorer.exe /select,<home>\\Downloads\\scan<n>.pdf"), (f"{S32}\\SnippingTool.exe", f'"{S32}\\SnippingTool.exe" /clip<n>')]),
+        ("benign", "service host", 1, "none", "Image CommandLine ParentImage User", [(f"{S32}\\svchost.exe", f"{S32}\\svchost.exe -k netsvcs -p -s svc<n>", f"{S32}\\services.exe", SYSTEM), (f"{S32}\\svchost.exe", f"{S32}\\svchost.exe -k LocalService -s svc<n>", f"{S32}\\services.exe", LOCAL_SERVICE), (f"{S32}\\spoolsv.exe", f"{S32}\\spoolsv.exe -q<n>", f"{S32}\\services.exe", SYSTEM)]),
+        ("benign", "vendor updater", 1, "low", "Image CommandLine", [("<home>\\AppData\\Local\\Microsoft\\OneDrive\\OneDrive.exe", '"<home>\\AppData\\Local\\Microsoft\\OneDrive\\OneDrive.exe" /background /i<n>'), ("<home>\\AppData\\Local\\slack\\slack.exe", '"<home>\\AppData\\Local\\slack\\slack.exe" --process-start-args=<n>'), (f"{PF} (x86)\\Google\\Update\\GoogleUpdate.exe", "GoogleUpdate.exe /ua /installsource scheduler /c<n>")]),
+        ("benign", "developer tools", 1, "low", "Image CommandLine", [(f"{PF}\\nodejs\\node.exe", f'"{PF}\\nodejs\\node.exe" <home>\\src\\app<n>\\build.js'), (f"{PF}\\Git\\cmd\\git.exe", "git.exe log -n <n>"), ("<home>\\src\\env\\Scripts\\python.exe", "python.exe -m pytest tests\\test_<n>.py"), (f"{PF}\\dotnet\\dotnet.exe", "dotnet.exe build <home>\\src\\web<n>\\web.csproj")]),
+        ("benign", "office", 1, "none", "Image CommandLine", [(f"{OFFICE}\\EXCEL.EXE", '"EXCEL.EXE" "<home>\\Documents\\budget<n>.xlsx"'), (f"{OFFICE}\\WINWORD.EXE", '"WINWORD.EXE" /n "<home>\\Documents\\letter<n>.docx"'), (f"{OFFICE}\\OUTLOOK.EXE", '"OUTLOOK.EXE" /recycle <n>')]),
+        ("benign", "system helper", 1, "low", "Image CommandLine ParentImage", [(f"{S32}\\rundll32.exe", f'"{S32}\\rundll32.exe" shell32.dll,Control_RunDLL "{S32}\\main.cpl",,<n>', f"{S32}\\control.exe"), (f"{S32}\\dllhost.exe", f"{S32}\\dllhost.exe /Processid:<n>", f"{S32}\\svchost.exe"), (f"{S32}\\msiexec.exe", f"{S32}\\msiexec.exe /i \\\\deploy\\pkg<n>.msi /qn", f"{S32}\\svchost.exe")]),
+        ("benign", "local admin", 1, "none", "Image CommandLine", [(PS, 'powershell.exe -NoProfile -Command "Get-Service -Name svc<n>"'), (f"{S32}\\ipconfig.exe", f'"{S32}\\ipconfig.exe" /all /n<n>'), (f"{S32}\\gpupdate.exe", "gpupdate.exe /target:computer /wait:<n>"), (f"{S32}\\chkdsk.exe", "chkdsk.exe D: /scan /perf<n>")]),
+        ("benign", "security product", 1, "low", "Image CommandLine ParentImage User", [(f"{S32}\\SecurityHealthService.exe", f'"{S32}\\SecurityHealthService.exe" -i <n>', f"{S32}\\services.exe", SYSTEM), (f"{PF}\\Windows Defender\\MpCmdRun.exe", f'"{PF}\\Windows Defender\\MpCmdRun.exe" -SignatureUpdate -r<n>', f"{S32}\\svchost.exe", SYSTEM)]),
+        ("benign", "unsigned but known", 1, "low", "Image CommandLine Signed", [("C:\\ProgramData\\HALVEN\\tools\\assetcheck.exe", '"C:\\ProgramData\\HALVEN\\tools\\assetcheck.exe" --report <n>', "false"), ("D:\\plant\\labelprint.exe", "labelprint.exe /queue <n>", "false")]),
+        ("benign", "plain tool", 1, "none", "Image CommandLine", [(f"{S32}\\calc.exe", f'"{S32}\\calc.exe" <n>'), (f"{S32}\\charmap.exe", f'"{S32}\\charmap.exe" <n>'), (f"{S32}\\hostname.exe", "hostname.exe /n<n>"), (f"{S32}\\tasklist.exe", "tasklist.exe /fo csv /n<n>")]),
+        ("benign", "long command", 1, "low", "Image CommandLine", [(f"{PF}\\Java\\bin\\java.exe", "java.exe -cp " + "C:\\libs\\dependency.jar;" * 24 + " Main<n>"), (f"{PF}\\Git\\usr\\bin\\bash.exe", "bash.exe -c 'for f in <n> " + "src/module/file.c " * 30 + "; do cc -c $f; done'")]),
+        ("benign", "web worker", 1, "low", "Image CommandLine ParentImage", [(f"{S32}\\inetsrv\\w3wp.exe", f'{S32}\\inetsrv\\w3wp.exe -ap "Pool<n>"', f"{S32}\\svchost.exe"), ("C:\\Windows\\Microsoft.NET\\Framework64\\v4.0.30319\\csc.exe", "csc.exe /noconfig /fullpaths @tmp<n>.cmdline", f"{S32}\\inetsrv\\w3wp.exe")]),
+        ("benign", "logon ui", 1, "none", "Image CommandLine ParentImage User", [(f"{S32}\\LogonUI.exe", f'"{S32}\\LogonUI.exe" /flags:0x<n>', f"{S32}\\winlogon.exe", SYSTEM), (f"{S32}\\userinit.exe", f"{S32}\\userinit.exe /s<n>", f"{S32}\\winlogon.exe", SYSTEM)]),
+        ("benign", "web browsing", 3, "none", "Image DestinationIp DestinationPort DestinationHostname", [(f"{PF}\\Google\\Chrome\\Application\\chrome.exe", "93.184.216.<n>", "443", "www<n>.example.com"), (f"{PF}\\Mozilla Firefox\\firefox.exe", "198.18.7.<n>", "443", "cdn<n>.example.org"), (f"{OFFICE}\\OUTLOOK.EXE", "192.0.2.<n>", "443", "mail<n>.example.net")]),
+        ("benign", "uncommon port", 3, "low", "Image DestinationIp DestinationPort DestinationHostname", [(f"{PF}\\HALVEN\\backup.exe", "10.0.4.<n>", "9100", "backup<n>.halven.local"), (f"{PF}\\HALVEN\\metrics.exe", "10.0.9.<n>", "8125", "stats<n>.halven.local")]),
+        ("benign", "image load", 7, "none", "Image TargetFilename Signed Signer", [("C:\\Windows\\explorer.exe", f"{S32}\\lib<n>.dll", "true", "Microsoft Windows"), (f"{OFFICE}\\WINWORD.EXE", f"{OFFICE}\\addin<n>.dll", "true", "Microsoft Corporation")]),
+        ("benign", "file create", 11, "none", "Image TargetFilename", [(f"{OFFICE}\\WINWORD.EXE", "<home>\\Documents\\report<n>.docx"), (f"{PF}\\Google\\Chrome\\Application\\chrome.exe", "<home>\\Downloads\\invoice<n>.pdf"), (f"{S32}\\svchost.exe", "C:\\Windows\\Prefetch\\APP<n>.pf")]),
+        ("benign", "registry", 12, "none", "Image TargetFilename", [("C:\\Windows\\explorer.exe", "HKU\\S-1-5-21-1\\Software\\App<n>"), (f"{S32}\\svchost.exe", "HKLM\\Software\\Microsoft\\Cache\\k<n>")]),
+        ("benign", "registry", 13, "none", "Image TargetFilename", [("C:\\Windows\\explorer.exe", "HKU\\S-1-5-21-1\\Software\\App<n>\\Window"), (f"{S32}\\lsass.exe", "HKLM\\System\\CurrentControlSet\\Control\\Lsa\\v<n>"), (f"{OFFICE}\\EXCEL.EXE", "HKU\\S-1-5-21-1\\Software\\Office\\Recent\\f<n>")]),
+        ("benign", "logon", 4624, "none", "LogonType AuthPackage DestinationIp", [("2", "Negotiate", "127.0.0.<n>"), ("3", "Kerberos", "10.0.2.<n>"), ("7", "Negotiate", "127.0.0.<n>"), ("10", "Negotiate", "10.0.3.<n>")]),
+        ("benign", "logon", 4625, "none", "LogonType AuthPackage DestinationIp", [("2", "Negotiate", "127.0.0.<n>"), ("3", "Kerberos", "10.0.2.<n>")]),
+        ("suspicious", "discovery", 1, "medium", "Image CommandLine", [(f"{S32}\\whoami.exe", "whoami /all /n<n>"), (f"{S32}\\net.exe", "net view \\\\server<n>"), (f"{S32}\\nltest.exe", "nltest /dclist:dom<n>"), (f"{S32}\\systeminfo.exe", "systeminfo /s srv<n>"), (f"{S32}\\net.exe", "net group \"Domain Admins\" /domain /n<n>")]),
+        ("suspicious", "remote admin", 1, "medium", "Image CommandLine", [(PS, "powershell.exe Enter-PSSession -ComputerName srv<n>"), (f"{S32}\\wbem\\WMIC.exe", "wmic /node:srv<n> os get caption"), (f"{S32}\\mstsc.exe", "mstsc.exe /v:srv<n> /admin")]),
+        ("suspicious", "internal fetch", 1, "medium", "Image CommandLine", [(PS, "powershell.exe Invoke-WebRequest http://files.halven.local/pkg<n>.zip -OutFile p.zip"), (f"{S32}\\curl.exe", "curl.exe -o t<n>.ps1 http://files.halven.local/t.ps1"), (f"{S32}\\certutil.exe", "certutil.exe -urlcache -f http://pki.halven.local/ca<n>.crl ca.crl")]),
+        ("suspicious", "grey persistence", 1, "medium", "Image CommandLine", [(f"{S32}\\schtasks.exe", "schtasks /query /tn job<n>"), (f"{S32}\\sc.exe", "sc.exe qc svc<n>"), (f"{S32}\\reg.exe", "reg query HKLM\\Software\\Microsoft\\Windows\\CurrentVersion\\Run /v app<n>")]),
+        ("suspicious", "staging", 1, "medium", "Image CommandLine", [(f"{PF}\\7-Zip\\7z.exe", "7z a <home>\\Desktop\\share<n>.7z D:\\Shares\\Finance"), (f"{S32}\\robocopy.exe", "robocopy \\\\fs02\\hr <home>\\hr<n> /e"), (f"{S32}\\tar.exe", "tar.exe -cf <home>\\export<n>.tar D:\\Shares\\Legal")]),
+        ("suspicious", "shadow recon", 1, "medium", "Image CommandLine", [(f"{S32}\\vssadmin.exe", "vssadmin list shadows /for=C: /n<n>"), (f"{S32}\\wbem\\WMIC.exe", "wmic shadowcopy list brief /n<n>")]),
+        ("suspicious", "account admin", 1, "medium", "Image CommandLine", [(f"{S32}\\net.exe", "net user temp<n> /domain"), (f"{S32}\\net.exe", "net localgroup Administrators /n<n>"), (f"{S32}\\dsquery.exe", "dsquery user -name svc<n>*")]),
+        ("suspicious", "dual-use tool", 1, "medium", "Image CommandLine", [("C:\\Tools\\PsExec.exe", "PsExec.exe \\\\srv<n> cmd /c hostname"), ("C:\\Tools\\plink.exe", "plink.exe -P <n> ops@10.0.8.4"), ("C:\\Tools\\ProcessHacker.exe", "ProcessHacker.exe -pid <n>")]),
+        ("suspicious", "unsigned tool", 1, "medium", "Image CommandLine Signed", [("<home>\\Downloads\\scan<n>.exe", "scan<n>.exe 10.0.0.0/24", "false"), ("<home>\\Desktop\\portable\\viewer.exe", "viewer.exe /open d<n>", "false")]),
+        ("suspicious", "network", 3, "medium", "Image DestinationIp DestinationPort", [("<home>\\Downloads\\agent.exe", "198.51.100.<n>", "8443"), (PS, "10.0.6.<n>", "5985"), (f"{S32}\\rundll32.exe", "203.0.113.<n>", "443")]),
+        ("suspicious", "image load", 7, "medium", "Image TargetFilename Signed", [("<home>\\Downloads\\viewer.exe", "<home>\\Downloads\\plug<n>.dll", "false"), (f"{S32}\\rundll32.exe", "C:\\ProgramData\\mod<n>.dll", "false")]),
+        ("suspicious", "file", 11, "medium", "Image TargetFilename", [(PS, "C:\\ProgramData\\stage<n>.ps1"), (f"{S32}\\cmd.exe", "C:\\Windows\\Temp\\out<n>.txt"), ("<home>\\Downloads\\setup.exe", "<home>\\AppData\\Roaming\\helper<n>.exe")]),
+        ("suspicious", "registry", 12, "medium", "Image TargetFilename", [(f"{S32}\\reg.exe", "HKCU\\Software\\Classes\\tool<n>"), (PS, "HKCU\\Software\\Scripts\\s<n>")]),
+        ("suspicious", "registry", 13, "medium", "Image TargetFilename", [(f"{S32}\\reg.exe", "HKCU\\Software\\Vendor\\Policy<n>"), (PS, "HKLM\\System\\CurrentControlSet\\Services\\drv<n>\\Start")]),
+        ("suspicious", "logon", 4624, "medium", "LogonType AuthPackage DestinationIp", [("10", "Negotiate", "203.0.113.<n>"), ("3", "NTLM", "10.0.7.<n>")]),
+        ("suspicious", "failed logon", 4625, "medium", "LogonType AuthPackage DestinationIp", [("3", "NTLM", "10.0.7.<n>"), ("10", "Negotiate", "203.0.113.<n>")]),
     )
     for row in rows
 )
@@ -72,7 +82,7 @@ TEMPLATES: tuple[tuple[str, str, int, str, dict[str, str]], ...] = tuple(
 def generated(spark: SparkSession, n: int, kind: str, mode: str = "backfill", seed: str = "1", prefix: str = "B") -> DataFrame:
     """About n distinct events of a class: id, name, gold, severity, event, the contract fields.
 
-    A quota can stay short where its templates have no more distinct bodies within TRIES times the quota.
+    A quota stays short only where its templates give fewer distinct bodies within TRIES times the quota.
     """
     mix = spark.createDataFrame([(k, s, i) for i, (k, s) in enumerate(MIX)], "key int, share double, ord int")
     own = [t for t in TEMPLATES if t[0] == kind]
@@ -90,18 +100,21 @@ def generated(spark: SparkSession, n: int, kind: str, mode: str = "backfill", se
 
     quota = apportion(mix, n).select(F.col("key").alias("eid"), F.col("n").alias("quota")).where("quota > 0")
     tries = quota.select("eid", "quota", F.explode(F.sequence(F.lit(0).cast("long"), F.col("quota") * TRIES - 1)).alias("at"))
-    drawn = lambda k, *more: F.pmod(F.xxhash64(F.lit(seed), F.lit(kind), "eid", "at", *map(F.lit, more)), k)
-    tries = tries.join(F.broadcast(turns), (tries["eid"] == turns["eid"]) & (F.pmod(tries["at"], turns["turns"].cast("long")) == turns["turn"])).drop(turns["eid"])
-    made = tries.withColumn("variant", drawn(F.col("variants"), "v").cast("int")).join(F.broadcast(table), ["eid", "turn", "variant"])
     key = [F.lit(seed), F.lit(kind), F.col("eid"), F.col("at")]
-    account, host = pick(LOCAL_USERS, *key, F.lit("user")), pick(HOSTS, *key, F.lit("host"))
-    realm = F.when(drawn(F.lit(3), "realm") == 0, F.lit(DOMAIN)).otherwise(host)
-    made = made.withColumns({"_account": account, "_realm": realm, "_host": host, "_n": drawn(F.lit(200), "n").cast("string")})
-    fill = lambda c: F.replace(F.replace(F.replace(F.col(c), F.lit("<home>"), F.concat(F.lit("C:\\Users\\"), F.col("_account"))), F.lit("<host>"), F.col("_host")), F.lit("<n>"), F.col("_n"))
+    number = lambda n, what: F.conv(F.substring(F.sha2(F.concat_ws("|", *key, F.lit(what)), 256), 1, 8), 16, 10).cast("long") % n
+    tries = tries.join(F.broadcast(turns), (tries["eid"] == turns["eid"]) & (F.pmod(tries["at"], turns["turns"].cast("long")) == turns["turn"])).drop(turns["eid"])
+    made = tries.withColumn("variant", number(F.col("variants"), "variant").cast("int")).join(F.broadcast(table), ["eid", "turn", "variant"])
+    at_home = account(("local", "local", "local", "domain", "domain"), *key)
+    personal = F.coalesce("Image", F.lit("")).contains("<home>") | F.coalesce("CommandLine", F.lit("")).contains("<home>") | F.coalesce("TargetFilename", F.lit("")).contains("<home>")
+    user = F.coalesce("User", F.when(personal, at_home).otherwise(account(ACCOUNT_KINDS, *key)))
+    made = made.withColumns({"User": user, "_home": home_of(at_home), "_host": pick(HOSTS, *key, F.lit("on")), "_n": number(F.lit(250), "n").cast("string")})
+    fill = lambda c: F.replace(F.replace(F.replace(F.col(c), F.lit("<home>"), F.col("_home")), F.lit("<host>"), F.col("_host")), F.lit("<n>"), F.col("_n"))
     made = made.withColumns({f: fill(f) for f in FIELDS[2:]})
+    pool = [p for group in DRAWN_FROM for p in PARENT_GROUPS[group]]
+    own = F.get(F.array(*(F.struct(F.lit(i).alias("image"), F.lit(c).alias("command")) for i, c in pool)), drawn(len(pool), *key, F.lit("parent")))
+    made = made.withColumn("_parent", F.when((F.col("eid") == 1) & F.col("ParentImage").isNull(), own))
     made = made.withColumns({
-        "ParentImage": F.when(F.col("eid") == 1, F.coalesce("ParentImage", pick(PARENTS, *key, F.lit("parent")))).otherwise(F.col("ParentImage")),
-        "User": F.coalesce("User", F.concat(F.col("_realm"), F.lit("\\"), F.col("_account"))),
+        "ParentImage": F.coalesce("ParentImage", "_parent.image"), "ParentCommandLine": F.coalesce("ParentCommandLine", "_parent.command"),
         "EventID": F.col("eid").cast("string"), "EventType": F.lit(None).cast("string"),
     })
     bodies = rendered(made, mode)

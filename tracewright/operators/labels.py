@@ -80,6 +80,14 @@ def boundary_changes(rows: DataFrame, train: DataFrame | None = None) -> DataFra
     return out.select("id", "gold", let(verdict(), changed).alias("_c")).where("_c IS NOT NULL").select("id", "gold", "_c.new_gold", "_c.reason")
 
 
+def applied(rows: DataFrame, changes: DataFrame, key: str, **values: str) -> DataFrame:
+    """rows with changes taken over: values names, for a column of rows, the column of changes (a row a key) that holds
+    its new value. A guarded rewrite: without it the changes alone show what would be done. `changed` marks the rows."""
+    new = changes.select(key, *(F.col(c).alias(f"_new_{name}") for name, c in values.items()), F.lit(True).alias("_hit"))
+    out = rows.join(new, key, "left").withColumn("changed", F.coalesce("_hit", F.lit(False)))
+    return out.withColumns({name: F.when(F.col("_hit"), F.col(f"_new_{name}")).otherwise(F.col(name)) for name in values}).drop("_hit", *(f"_new_{name}" for name in values))
+
+
 def with_defaults(decisions: DataFrame, defaults: DataFrame) -> DataFrame:
     """Decisions by signature; where there is none, the default. One full outer join on unique keys."""
     d = defaults.select("signature", *(F.col(c).alias(f"_{c}") for c in defaults.columns if c != "signature"))

@@ -85,6 +85,35 @@ def flips(before: DataFrame, after: DataFrame) -> DataFrame:
     return j.where(F.col("before") != F.col("after")).withColumn("mark", mark)
 
 
+def quantised(answers: DataFrame, current: DataFrame, full: DataFrame) -> DataFrame:
+    """Answers (id, severity) of a smaller model beside the evaluation set (id, gold) and the full model (id, pred).
+
+    id, gold, pred (null where the answer could not be read), before, mark: better, worse or same where the two models
+    disagree. Answers without a row of the evaluation set are left out, a missing full prediction is no disagreement.
+    """
+    pred = F.when(F.col("severity") != "PARSE-FAIL", rules.bucket(F.col("severity")))
+    out = answers.select("id", pred.alias("pred")).join(current.select("id", "gold"), "id").join(full.select("id", F.col("pred").alias("before")), "id", "left")
+    mark = F.when(F.col("pred") == F.col("gold"), "better").when(F.col("before") == F.col("gold"), "worse").otherwise("same")
+    return out.select("id", "gold", "pred", "before", F.when(F.col("pred") != F.col("before"), mark).alias("mark"))
+
+
+def quantised_summary(rows: DataFrame) -> DataFrame:
+    """n read, parse failures, accuracy, threats dismissed, malicious recall, under-call rate and flips of quantised()."""
+    read = F.col("pred").isNotNull()
+    share = lambda c, among: _share(c, read & among)
+    gold, pred, threat = rules.class_rank(F.col("gold")), rules.class_rank(F.col("pred")), F.col("gold") == "malicious"
+    return rows.agg(
+        F.sum(read.cast("long")).alias("n"), F.sum((~read).cast("long")).alias("parse_fail"), share(F.col("pred") == F.col("gold"), F.lit(True)).alias("accuracy"),
+        share(F.col("pred") == "benign", threat).alias("dismissed"), share(F.col("pred") == "malicious", threat).alias("malicious_recall"), share(pred < gold, F.lit(True)).alias("under_call"), F.count("mark").alias("flips"),
+    )
+
+
+def by_number(runs: DataFrame, column: str, final: str | None = None) -> DataFrame:
+    """Checkpoints in the order of the number that ends their name, the final one (by name) last."""
+    number = F.regexp_extract(column, r"-([0-9]+)$", 1).try_cast("long")
+    return runs.orderBy(F.col(column).eqNullSafe(F.lit(final)), F.asc_nulls_last(number), column)
+
+
 def best_run(runs: DataFrame) -> DataFrame:
     """The run with the highest accuracy, then the lowest under-call rate, of (run, accuracy, under_call)."""
     return runs.agg(F.max_by("run", F.struct("accuracy", -F.col("under_call"))).alias("run"))

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions import rules
-from tracewright.functions.contract import body, normalised
+from tracewright.functions.contract import body, lookup, normalised
 from tracewright.functions.signatures import basename, with_behaviour
+from tracewright.sources.writers import staged
 
 
 def profile(benign: DataFrame) -> DataFrame:
@@ -21,7 +22,7 @@ def ubiquity(attack: DataFrame) -> DataFrame:
 
 
 def prepared(attack: DataFrame) -> DataFrame:
-    """attack events with normalised commands, signatures and the rendered body; computed once for all that follows."""
+    """attack events with normalised commands, signatures and the rendered body."""
     return with_behaviour(normalised(attack)).withColumn("event", body())
 
 
@@ -29,9 +30,10 @@ def scored(attack: DataFrame, benign: DataFrame, ambient_min: int = 2) -> DataFr
     """One row an attack event: ord, src, EventID, signature, event, score, prelabel, why, auto, ambient.
 
     The three profile joins are on keys that one aggregate makes unique; Spark broadcasts a profile only
-    if it is small, and otherwise shuffles both sides by signature. Null signatures cannot occur.
+    if it is small, and otherwise shuffles both sides by signature. Null signatures cannot occur. The prepared events
+    are staged: signatures are made once, for the rows and for the captures they occur in.
     """
-    a = prepared(attack)
+    a = staged(prepared(attack), "prepared")
     ambient = profile(benign)  # both counts start from one exchange, which Spark reuses
     fine = ambient.groupBy("signature").agg(F.sum("n").alias("amb"))
     coarse = ambient.groupBy("coarse").agg(F.sum("n").alias("camb"))
@@ -69,22 +71,29 @@ def top(queue: DataFrame, n: int) -> DataFrame:
 
 
 def groups(queue: DataFrame) -> DataFrame:
-    """One row a signature: n, n_src, score with its src and why (earliest of the highest), prelabel and EventID of the first."""
+    """One row a signature: n, n_src, score with its src and why (earliest of the highest), prelabel and EventID of the
+    first, and the rule that dropped its earliest dropped event (null if none did): all in one aggregate."""
     best, first = F.struct("score", -F.col("ord")), F.struct("ord")
     return queue.groupBy("signature").agg(
         F.count("*").alias("n"), F.countDistinct("src").alias("n_src"), F.max("score").alias("score"), F.max_by("src", best).alias("src"), F.max_by("why", best).alias("why"),
         F.min_by("prelabel", first).alias("prelabel"), F.min_by("EventID", first).alias("EventID"), F.min("ord").alias("first_ord"),
+        F.min_by("auto", F.when(F.col("auto").isNotNull(), F.col("ord"))).alias("rule"), F.min_by("amb", F.when(F.col("auto").isNotNull(), F.col("ord"))).alias("rule_amb"),
     )
 
 
-def auto_labels(queue: DataFrame) -> DataFrame:
-    """Signatures that a rule dropped: the reason of the earliest dropped event and the size of the group."""
-    g = queue.groupBy("signature").agg(F.count("*").alias("n"), F.min_by("auto", F.when(F.col("auto").isNotNull(), F.col("ord"))).alias("rule"))
-    return g.where("rule IS NOT NULL")
+def in_order(groups: DataFrame) -> DataFrame:
+    """Groups as they are worked on: highest score first, then the largest, then the earliest."""
+    return groups.orderBy(F.desc("score"), F.desc("n"), "first_ord")
 
 
-def proposals(queue: DataFrame) -> DataFrame:
-    """A suggested severity and rule for every group that no rule dropped."""
-    g = groups(queue).join(auto_labels(queue).select("signature"), "signature", "left_anti")
+def auto_labels(groups: DataFrame) -> DataFrame:
+    """Of groups(): signatures that a rule dropped, with the size of the group, the rule and its reason in full."""
+    g = groups.where("rule IS NOT NULL")
+    return g.select("signature", "n", "rule", rules.drop_reason(F.col("rule"), F.col("rule_amb")).alias("reason"))
+
+
+def proposals(groups: DataFrame) -> DataFrame:
+    """Of groups(): a suggested severity, its rule and the reason for every group that no rule dropped."""
     p = rules.propose(F.col("why"), F.col("score"), F.col("src"))
-    return g.select("signature", "n", p["severity"].alias("severity"), p["rule"].alias("rule"), rules.strength(p["rule"]).alias("strength"))
+    made = groups.where("rule IS NULL").select("signature", "n", p.alias("p"))
+    return made.select("signature", "n", "p.severity", "p.rule", rules.strength(F.col("p.rule")).alias("strength"), lookup(F.col("p.rule"), rules.REASONS).alias("why"))

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewright.functions import rules
+from tracewright.functions.contract import lookup, violations
+from tracewright.functions.signatures import basename
+from tracewright.sources.writers import staged
+
 
 def hash_order(seed: str, *columns: str) -> Column:
     """A reproducible pseudo-random order: SHA-256 of the seed and the values."""
@@ -28,19 +33,55 @@ def first_wins(df: DataFrame, key: Column, order: str) -> DataFrame:
     return best.select(*(F.col("_row")[c].alias(c) for c in rest))
 
 
+def numbered(df: DataFrame, by: list[str], order: list[Column], name: str) -> DataFrame:
+    """df with the place (from 1) of each row in its group, for groups that are few and large.
+
+    A range sort by group and order spreads a group over tasks; each task numbers its part, and one count for each part
+    (at most as many as tasks and groups together) gives the offsets. So no task holds a whole group, as a window's
+    would. Rows that are equal in `order` are placed in any way.
+    """
+    keys = [f"_by{i}" for i in range(len(by))]
+    marked = df.withColumns({k: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for k, c in zip(keys, by, strict=True)})
+    rows = staged(marked.orderBy(*keys, *order).withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    parts = rows.groupBy(F.shiftright("_at", 33).alias("_part"), *keys).agg(F.min("_at").alias("_from"), F.count("*").alias("_n")).orderBy("_part", "_from").collect()
+    before: dict[tuple, int] = {}
+    offsets = []
+    for r in parts:
+        key = tuple(r[k] for k in keys)
+        offsets.append((r["_part"], *key, before.get(key, 0) - r["_from"] + 1))
+        before[key] = before.get(key, 0) + r["_n"]
+    table = df.sparkSession.createDataFrame(offsets, "_part long, " + "".join(f"{k} string, " for k in keys) + "_shift long")
+    return rows.withColumn("_part", F.shiftright("_at", 33)).join(F.broadcast(table), ["_part", *keys]).withColumn(name, F.col("_at") + F.col("_shift")).drop("_part", "_shift", "_at", *keys)
+
+
 def tagged_exclusions(members: DataFrame, held: DataFrame, sig_cap: int, seed: str) -> DataFrame:
-    """members (ord, signature, gold) with a reason: dropped, reserved, over cap, or kept."""
+    """members (ord, signature, gold) with a reason: dropped, reserved, over cap, or kept.
+
+    Only rows within the cap are looked for (a limited window), so a hot signature never meets in one task.
+    """
     out = members.join(held.select("signature").distinct().withColumn("_held", F.lit(True)), "signature", "left")
-    free = (F.col("gold") != "drop") & F.col("_held").isNull()
-    place = F.row_number().over(Window.partitionBy("signature", free).orderBy(hash_order(seed, "signature", "ord"), "ord"))
-    reason = F.when(F.col("gold") == "drop", "dropped").when(F.col("_held"), "reserved").when(place > sig_cap, "over cap").otherwise("kept")
-    return out.withColumn("reason", reason).drop("_held")
+    free = out.where((F.col("gold") != "drop") & F.col("_held").isNull()).select("signature", "ord")
+    within = capped(free, ["signature"], sig_cap, [hash_order(seed, "signature", "ord"), F.col("ord")]).select("ord", F.lit(True).alias("_in"))
+    reason = F.when(F.col("gold") == "drop", "dropped").when(F.col("_held"), "reserved").when(F.col("_in").isNull(), "over cap").otherwise("kept")
+    return out.join(within, "ord", "left").withColumn("reason", reason).drop("_held", "_in")
+
+
+def training_exclusions(members: DataFrame, held: DataFrame, sig_cap: int, image_cap: int, seed: str) -> DataFrame:
+    """members (ord, signature, gold, Image, event) with a reason: those of tagged_exclusions(), then `contract: ` and the
+    first violation of the body, then over image cap: of each class and binary the first image_cap rows by hash stay."""
+    out = tagged_exclusions(members, held, sig_cap, seed)
+    broken = F.get(violations(F.col("event")), F.lit(0))
+    out = out.withColumn("reason", F.when((F.col("reason") == "kept") & broken.isNotNull(), F.concat(F.lit("contract: "), broken)).otherwise(F.col("reason")))
+    left = out.where("reason = 'kept'").select("ord", "gold", basename(F.col("Image")).alias("_image"))
+    within = capped(left, ["gold", "_image"], image_cap, [hash_order(f"{seed}|image", "ord"), F.col("ord")]).select("ord", F.lit(True).alias("_in"))
+    reason = F.when((F.col("reason") == "kept") & F.col("_in").isNull(), "over image cap").otherwise(F.col("reason"))
+    return out.join(within, "ord", "left").withColumn("reason", reason).drop("_in")
 
 
 def alternating_split(rows: DataFrame) -> DataFrame:
     """side: malicious rows all eval; of each (gold, family) the even places by ord eval, the odd ones train."""
-    place = F.row_number().over(Window.partitionBy("gold", "family").orderBy("ord")) - 1
-    return rows.withColumn("side", F.when((F.col("gold") == "malicious") | (place % 2 == 0), "eval").otherwise("train"))
+    out = numbered(rows, ["gold", "family"], [F.col("ord")], "_place")
+    return out.withColumn("side", F.when((F.col("gold") == "malicious") | (F.col("_place") % 2 == 1), "eval").otherwise("train")).drop("_place")
 
 
 def trim_quotas(counts: dict[str, int], size: int) -> dict[str, int]:
@@ -70,8 +111,7 @@ def trimmed(rows: DataFrame, size: int) -> DataFrame:
     quota = F.lit(0)
     for c, n in gone.items():
         quota = F.when(F.col("gold") == c, F.lit(n)).otherwise(quota)
-    place = F.row_number().over(Window.partitionBy("gold").orderBy("ord"))
-    return rows.withColumn("_place", place).where(F.col("_place") > quota).drop("_place")
+    return numbered(rows, ["gold"], [F.col("ord")], "_place").where(F.col("_place") > quota).drop("_place")
 
 
 def majority(rows: DataFrame) -> DataFrame:
@@ -82,11 +122,9 @@ def majority(rows: DataFrame) -> DataFrame:
 
 def validation_signatures(rows: DataFrame, fraction: float, seed: str) -> DataFrame:
     """Signatures for validation: of each majority class the first by hash, max(1, round half even of n * fraction)."""
-    m = majority(rows)
-    w = Window.partitionBy("gold")
-    place = F.row_number().over(w.orderBy(hash_order(seed, "signature"), "signature"))
-    wanted = F.greatest(F.lit(1), F.bround(F.count("*").over(w) * F.lit(fraction)).cast("int"))
-    return m.withColumn("_place", place).withColumn("_wanted", wanted).where(F.col("_place") <= F.col("_wanted")).select("signature", "gold")
+    m = numbered(majority(rows), ["gold"], [hash_order(seed, "signature"), F.col("signature")], "_place")
+    sizes = m.groupBy("gold").agg(F.greatest(F.lit(1), F.bround(F.count("*") * F.lit(fraction)).cast("int")).alias("_wanted"))  # a row a class
+    return m.join(F.broadcast(sizes), "gold").where(F.col("_place") <= F.col("_wanted")).select("signature", "gold")
 
 
 def blind_sample(groups: DataFrame, k: int, seed: str) -> DataFrame:
@@ -118,6 +156,24 @@ def merged(real: DataFrame, synthetic: DataFrame, held: DataFrame, collapse_crit
     return out.withColumn("severity", F.when(F.col("severity") == "critical", "high").otherwise(F.col("severity"))) if collapse_critical else out
 
 
+def expanded_eval(base: DataFrame, blind: DataFrame, candidates: DataFrame, train: DataFrame, old: str = "base", new: str = "expanded") -> DataFrame:
+    """An evaluation set and what a blind pass adds to it: id, gold, severity, event, subset, reason.
+
+    blind: signature, severity; candidates: ord, id, signature, EventID, event, action (of several with one signature the
+    last by ord counts); train: signature, action. Dropped decisions and signatures without a candidate give nothing;
+    where the boundary rules call an event benign or malicious, their class is taken. reason: null for rows that stay
+    in, else why training rules them out (kept in the result, so that they can be counted).
+    """
+    last = candidates.groupBy("signature").agg(F.max_by(F.struct("id", "EventID", "event", "action"), "ord").alias("c"))
+    made = blind.where("severity IS NOT NULL AND severity <> 'drop'").select("signature", "severity").join(last, "signature")
+    made = made.select("signature", "severity", rules.bucket(F.col("severity")).alias("gold"), "c.*")
+    made = made.withColumn("_want", rules.boundary(F.col("id"), F.col("EventID"), F.col("event"))["want"])
+    ruled = F.col("_want").isin("benign", "malicious") & (F.col("_want") != F.col("gold"))
+    made = made.withColumns({"severity": F.when(ruled, lookup(F.col("_want"), rules.CLASS_SEVERITY)).otherwise(F.col("severity")), "gold": F.when(ruled, F.col("_want")).otherwise(F.col("gold"))})
+    added = expansion(made, train).select("id", "gold", "severity", "event", F.lit(new).alias("subset"), F.col("excluded").alias("reason"))
+    return base.select("id", "gold", "severity", "event", F.lit(old).alias("subset"), F.lit(None).cast("string").alias("reason")).unionByName(added)
+
+
 def expansion(candidates: DataFrame, train: DataFrame) -> DataFrame:
     """candidates (id, signature, action) with the reason why training rules them out; null if nothing does."""
     s = train.select("signature").distinct().withColumn("_s", F.lit(True))

@@ -5,7 +5,6 @@ Every text column picks from a short fixed list by an integer expression that Sp
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,14 +77,6 @@ def unique(name: str) -> str:
     return f"{name}_{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> str:
-    """df written to a folder of its own below the cluster's shared one, or below a temporary one in tests."""
-    shared = df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='tracewright-')}"
-    path = f"{shared.rstrip('/')}/{unique(name)}"
-    df.write.parquet(path)
-    return path
-
-
 def quoted(value: str | None) -> str:
     return "NULL" if value is None else "'" + value.replace("'", "''") + "'"
 

@@ -11,6 +11,15 @@ def in_list(values) -> str:
     return "(" + ", ".join(quoted(str(v)) for v in values) + ")"
 
 
+def drawn(n: int, *seeds: str) -> str:
+    """A number from 0 to n - 1, by a hash of the seeds."""
+    return f"(CAST('0x' || substr(sha256(concat_ws('|', {', '.join(seeds)})), 1, 8) AS BIGINT) % {n})"
+
+
+def drawn_of(pool, *seeds: str) -> str:
+    return f"([{', '.join(map(quoted, pool))}])[1 + {drawn(len(pool), *seeds)}]"
+
+
 def norm_cmd(x: str) -> str:
     p = f"replace({x}, '%%', '%')"
     return f"CASE WHEN length({p}) > {c.MAX_COMMAND} THEN substr({p}, 1, {c.MAX_COMMAND}) || '{c.TRUNCATED}' ELSE {p} END"
@@ -135,7 +144,7 @@ GROUPS = f"""{QUEUE}, groups AS (SELECT signature, count(*) AS n, count(DISTINCT
  best AS (SELECT signature, src, why FROM queue QUALIFY row_number() OVER (PARTITION BY signature ORDER BY score DESC, ord) = 1),
  opening AS (SELECT signature, prelabel, EventID FROM queue QUALIFY row_number() OVER (PARTITION BY signature ORDER BY ord) = 1),
  grouped AS (SELECT * FROM groups JOIN best USING (signature) JOIN opening USING (signature)),
- autos AS (SELECT signature, auto AS rule FROM queue WHERE auto IS NOT NULL QUALIFY row_number() OVER (PARTITION BY signature ORDER BY ord) = 1)"""
+ autos AS (SELECT signature, auto AS rule, amb FROM queue WHERE auto IS NOT NULL QUALIFY row_number() OVER (PARTITION BY signature ORDER BY ord) = 1)"""
 LABELLED = f"""{SIGNED_EVENTS}, labelled AS (SELECT *, {SEVERITY_OF} AS severity, {GOLD_OF} AS gold FROM sig WHERE attack QUALIFY row_number() OVER (PARTITION BY signature ORDER BY ord) = 1)"""
 _SHARES = f"SELECT * FROM (SELECT lower(Image) AS path, count(*) AS n, avg(CASE WHEN gold = 'malicious' THEN 1 ELSE 0 END) AS share FROM labelled WHERE coalesce(Image, '') <> ''{{0}} GROUP BY 1) WHERE share >= {{1}} AND NOT {starts('path', rules.PROGRAM_DIRS)}"
 KNOWN_BAD = f"{LABELLED}, bad AS ({_SHARES.format('', 0.3)})"

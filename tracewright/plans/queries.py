@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions import contract, prompts, rewriting, rules, signatures, targets
@@ -12,7 +12,7 @@ from tracewright.operators import audit, decisions, generate, labels, metrics, q
 from tracewright.plans import bridge
 from tracewright.plans import oracles as o
 from tracewright.sources.readers import parse_events
-from tracewright.sources.writers import upserted
+from tracewright.sources.writers import staged, upserted
 from tracewright.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,7 +45,12 @@ def _signed(spark: SparkSession, sf: str) -> DataFrame:
 
 def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     first = labels.first_by(_signed(spark, sf).where("attack"), "signature")
-    return first.withColumns({"severity": F.expr(o.SEVERITY_OF), "gold": F.expr(o.GOLD_OF)})
+    return staged(first.withColumns({"severity": F.expr(o.SEVERITY_OF), "gold": F.expr(o.GOLD_OF)}), "labelled")
+
+
+def _groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups of the queue, a row a signature, staged: work lists read them more than once."""
+    return staged(queue.groups(_queue(spark, sf)), "groups")
 
 
 def _gold_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -153,14 +158,22 @@ def triage_groups(spark: SparkSession, sf: str) -> DataFrame:
     return queue.groups(_queue(spark, sf)).select("signature", "n", "n_src", "score", "src", F.array_join("why", "; ").alias("why"), "prelabel", "EventID")
 
 
-@query(f"{o.GROUPS} SELECT signature, rule, n FROM autos JOIN groups USING (signature)")
+@query(f"""{o.GROUPS} SELECT signature, rule, n, CASE rule WHEN 'ambient' THEN 'signature occurs ' || amb || 'x in the real benign capture' ELSE 'system module loaded by a system-path binary -- image loads carry signal only for sideloading' END AS reason
+ FROM autos JOIN groups USING (signature)""")
 def auto_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return queue.auto_labels(_queue(spark, sf)).select("signature", "rule", "n")
+    return queue.auto_labels(queue.groups(_queue(spark, sf))).select("signature", "rule", "n", "reason")
 
 
-@query(f"{o.GROUPS} SELECT signature, n, {o.PROPOSED_SEVERITY} AS severity, {o.PROPOSED_RULE} AS rule FROM grouped WHERE signature NOT IN (SELECT signature FROM autos)")
+@query(f"""{o.GROUPS}, p AS (SELECT signature, n, {o.PROPOSED_SEVERITY} AS severity, {o.PROPOSED_RULE} AS rule FROM grouped WHERE signature NOT IN (SELECT signature FROM autos))
+ SELECT *, CASE WHEN rule = 'unclassified' THEN 'none' WHEN starts_with(rule, 'tactic:') THEN 'weak' ELSE 'strong' END AS strength, {o.case_of('rule', rules.REASONS)} AS why FROM p""")
 def proposals(spark: SparkSession, sf: str) -> DataFrame:
-    return queue.proposals(_queue(spark, sf)).select("signature", "n", "severity", "rule")
+    return queue.proposals(queue.groups(_queue(spark, sf))).select("signature", "n", "severity", "rule", "strength", "why")
+
+
+@query(f"{o.GROUPS} SELECT row_number() OVER (ORDER BY score DESC, n DESC, first_ord) AS place, signature, score, n FROM grouped ORDER BY score DESC, n DESC, first_ord LIMIT 40")
+def group_order(spark: SparkSession, sf: str) -> DataFrame:
+    first = queue.in_order(queue.groups(_queue(spark, sf))).limit(40)
+    return first.select(F.row_number().over(Window.orderBy(F.desc("score"), F.desc("n"), "first_ord")).alias("place"), "signature", "score", "n")
 
 
 # ---- labels
@@ -239,21 +252,21 @@ def apply_decisions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""{o.GROUPS} SELECT signature, n, score, prelabel FROM grouped WHERE signature NOT IN (SELECT signature FROM autos) AND score >= 1.0 AND prelabel = 'review'""")
 def open_groups(spark: SparkSession, sf: str) -> DataFrame:
-    q = _queue(spark, sf)
-    return decisions.worklist(queue.groups(q), queue.auto_labels(q), 1.0, "review").select("signature", "n", "score", "prelabel")
+    g = _groups(spark, sf)
+    return decisions.worklist(g, queue.auto_labels(g), 1.0, "review").select("signature", "n", "score", "prelabel")
 
 
 @query(f"""{o.GROUPS} SELECT signature, CAST(NULL AS VARCHAR) AS severity, 'drop' AS gold, 'bulk tail drop' AS decided_by, 'below score 0.5 at bulk drop' AS rule, n FROM grouped WHERE signature NOT IN (SELECT signature FROM autos) AND score <= 0.5""")
 def tail_drop(spark: SparkSession, sf: str) -> DataFrame:
-    q = _queue(spark, sf)
-    return decisions.tail_dropped(decisions.worklist(queue.groups(q), queue.auto_labels(q)), 0.5)
+    g = _groups(spark, sf)
+    return decisions.tail_dropped(decisions.worklist(g, queue.auto_labels(g)), 0.5)
 
 
 @query(f"""{o.GROUPS}, proposed AS (SELECT signature, n, {o.PROPOSED_SEVERITY} AS severity, {o.PROPOSED_RULE} AS rule FROM grouped WHERE signature NOT IN (SELECT signature FROM autos))
  SELECT signature, severity, 'malicious' AS gold, 'accepted in bulk' AS decided_by, rule, n FROM proposed WHERE rule = 'payload-drop'""")
 def bulk_accept(spark: SparkSession, sf: str) -> DataFrame:
-    q = _queue(spark, sf)
-    return decisions.accepted(decisions.worklist(queue.groups(q), queue.auto_labels(q)), queue.proposals(q), "payload-drop")
+    g = _groups(spark, sf)
+    return decisions.accepted(decisions.worklist(g, queue.auto_labels(g)), queue.proposals(g), "payload-drop")
 
 
 _HUMAN = "CASE ord % 5 WHEN 0 THEN 'none' WHEN 1 THEN 'high' WHEN 2 THEN 'low' END"
@@ -541,12 +554,11 @@ def xml_events(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"{o.SIGNED_EVENTS}, raw AS (SELECT {o.SIGNATURE} AS signature FROM telemetry) SELECT signature, count(*) AS n FROM raw GROUP BY 1")
 def stream_profile(spark: SparkSession, sf: str) -> DataFrame:
     """The running profile after all events of a file stream have arrived."""
-    records = bridge.telemetry(spark, sf).select(*contract.FIELDS)
-    folder = bridge.staged(records, "stream")
+    records = staged(bridge.telemetry(spark, sf).select(*contract.FIELDS), "stream")
+    folder = records.inputFiles()[0].rsplit("/", 1)[0]
     stream = ingest.running_profile(spark.readStream.schema(records.schema).parquet(folder))
-    name = bridge.unique("profile")
-    stream.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{folder}-state").trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name)
+    ingest.kept_profile(stream, f"{folder}-profile", f"{folder}-state").awaitTermination()
+    return spark.read.parquet(f"{folder}-profile")
 
 
 @query()
@@ -563,14 +575,49 @@ def generated_suspicious(spark: SparkSession, sf: str) -> DataFrame:
 _NAMES, _NEUTRAL = ("tool", "drop", "backdoor"), ("svc", "upd", "helper", "task", "agent")
 
 
-@query()
+@query(f"""{o.SIGNED_EVENTS}, cut AS (SELECT ord, regexp_extract_all(event, '[A-Za-z0-9]+') AS words, string_split_regex(event, '[A-Za-z0-9]+') AS gaps FROM sig),
+ news AS (SELECT ord, gaps, list_transform(words, lambda w: CASE WHEN lower(w) IN {o.in_list(_NAMES)} THEN {o.drawn_of(_NEUTRAL, "'s6'", 'ord', 'lower(w)')} || CASE WHEN {o.drawn(2, "'s6'", 'ord', 'lower(w)', "'half'")} = 0
+ THEN CAST({o.drawn(89, "'s6'", 'ord', 'lower(w)', "'number'")} + 10 AS VARCHAR) ELSE '' END ELSE w END) AS words FROM cut)
+ SELECT ord, array_to_string(list_transform(range(1, len(gaps) + 1), lambda i: gaps[i] || coalesce(words[i], '')), '') AS event FROM news""")
 def scrub_names(spark: SparkSession, sf: str) -> DataFrame:
     return _signed(spark, sf).select("ord", rewriting.scrub_names(F.col("event"), F.col("ord"), _NAMES, _NEUTRAL, "s6").alias("event"))
 
 
-@query()
+#: The bridge's events with hosts of a laboratory, an application pool and a shared profile among them.
+_LAB = "CASE ord % 4 WHEN 0 THEN replace(event, 'CORP', 'IEWIN7') WHEN 1 THEN replace(event, 'CORP', 'IIS APPPOOL') WHEN 2 THEN replace(event, 'Users\\\\alice', 'Users\\\\Public') ELSE event END"
+
+
+@query(f"""{o.SIGNED_EVENTS}, lab AS (SELECT ord, {_LAB.replace(chr(92) * 2, chr(92))} AS event, {o.drawn_of(rewriting.HOSTS, "'s7'", 'ord', "'host'")} AS host, {o.drawn_of(rewriting.LOCAL_USERS, "'s7'", 'ord', "'user'")} AS name, {o.drawn(3, "'s7'", 'ord', "'kind'")} AS kind FROM sig),
+ drawn AS (SELECT *, CASE WHEN kind = 2 THEN '{rewriting.DOMAIN}' ELSE host END AS realm, string_split(event, chr(10)) AS ls FROM lab),
+ lines AS (SELECT ord, realm, name, list_transform(ls, lambda x: CASE WHEN starts_with(x, 'User: ') AND NOT starts_with(upper(x), 'USER: NT AUTHORITY') AND NOT contains(upper(x), 'APPPOOL') THEN 'User: ' || realm || chr(92) || name ELSE x END) AS ls FROM drawn),
+ kept AS (SELECT ord, realm, name, regexp_replace(array_to_string(ls, chr(10)), '(?i)(c:\\\\+users\\\\+)(public|default|all users)([^a-z0-9_.-]|$)', '\\1<\\2>\\3', 'g') AS event FROM lines),
+ named AS (SELECT ord, realm, array_to_string(list_transform(string_split_regex(event, '[Cc]:\\\\+[Uu]sers\\\\+'), lambda x, i: CASE WHEN i > 1 THEN regexp_replace(x, '^[A-Za-z0-9_.-]+', name) ELSE x END), chr(1)) AS event, regexp_extract_all(event, '[Cc]:\\\\+[Uu]sers\\\\+') AS heads FROM kept),
+ back AS (SELECT ord, realm, array_to_string(list_transform(string_split(event, chr(1)), lambda x, i: CASE WHEN i > 1 THEN heads[i - 1] ELSE '' END || x), '') AS event FROM named)
+ SELECT ord, replace(replace(replace(replace(regexp_replace(event, '(?i)<(public|default|all users)>', '\\1', 'g'), 'MSEDGEWIN10' || chr(92), realm || chr(92)), 'IEWIN7' || chr(92), realm || chr(92)), 'PC01' || chr(92), realm || chr(92)), 'insecurebank' || chr(92), realm || chr(92)) AS event FROM back""")
 def identity_rewrite(spark: SparkSession, sf: str) -> DataFrame:
-    return _signed(spark, sf).select("ord", rewriting.rewrite_identity(F.col("event"), F.col("ord"), "s7").alias("event"))
+    lab = spark.sql(f"SELECT ord, {_LAB} AS event FROM {{rows}}", rows=_signed(spark, sf))
+    return lab.select("ord", rewriting.rewrite_identity(F.col("event"), F.col("ord"), "s7").alias("event"))
+
+
+_MOVED = {"tool.exe": "C:\\Users\\Public\\svcupd.exe", "x.exe": "C:\\ProgramData\\run.exe"}
+_NEW = "CASE " + " ".join(f"WHEN suffix(Image, '\\{k}') THEN '{v}'" for k, v in _MOVED.items()) + " END"
+
+
+@query(f"""{o.SIGNED_EVENTS}, moved AS (SELECT ord, event, Image, {_NEW} AS new, regexp_extract(Image, '[^\\\\]*$') AS name FROM sig)
+ SELECT ord, replace(CASE WHEN new IS NULL THEN event ELSE replace(replace(event, Image, new), name, regexp_extract(new, '[^\\\\]*$')) END, 'UACME.exe', 'a.exe') AS event FROM moved""")
+def image_rename(spark: SparkSession, sf: str) -> DataFrame:
+    renames = spark.createDataFrame(list(_MOVED.items()), "_old string, new string")
+    rows = _signed(spark, sf).withColumn("_name", F.substring_index("Image", "\\", -1)).join(F.broadcast(renames), F.col("_name") == F.col("_old"), "left")
+    return rows.select("ord", rewriting.rename_image(F.col("event"), F.col("new")).alias("event"))
+
+
+_CAPTURE = "src || CASE ord % 4 WHEN 0 THEN ' T1059.001 and T1105' WHEN 1 THEN '_T1003' WHEN 2 THEN ' T99' ELSE '' END"
+
+
+@query(f"{o.TELEMETRY}, named AS (SELECT DISTINCT {_CAPTURE} AS capture FROM telemetry) SELECT capture, coalesce(nullif(array_to_string(regexp_extract_all(capture, 'T[0-9]{{4}}(?:[.][0-9]{{3}})?'), ','), ''), '-') AS attck FROM named")
+def techniques(spark: SparkSession, sf: str) -> DataFrame:
+    captures = bridge.telemetry(spark, sf).select(F.expr(_CAPTURE).alias("capture")).distinct()
+    return captures.select("capture", rewriting.techniques(F.col("capture")).alias("attck"))
 
 
 # ---- smaller operators
@@ -616,3 +663,80 @@ def keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
     e = bridge.table(spark, sf, "events")
     count = lambda c: e.where(c).groupBy("event_type").agg(F.count("*").alias("n"))
     return upserted(count("event_id % 2 = 0"), count("event_id % 3 = 0 AND event_type <> 'click'"), "event_type")
+
+
+_WRAPPED = "CASE ord % 3 WHEN 0 THEN event WHEN 1 THEN 'lost line' || chr(10) || event || chr(10) || '  and on' ELSE event || chr(10) || 'Image: second' END"
+
+
+@query(f"""{o.SIGNED_EVENTS}, w AS (SELECT ord, {_WRAPPED} AS event FROM sig), ls AS (SELECT ord, unnest(string_split(event, chr(10))) AS line, unnest(range(1, len(string_split(event, chr(10))) + 1)) AS i FROM w),
+ k AS (SELECT *, CASE WHEN regexp_matches(line, '^[A-Za-z][A-Za-z0-9_]*:') THEN i END AS pos FROM ls), f AS (SELECT *, max(pos) OVER (PARTITION BY ord ORDER BY i) AS field FROM k),
+ v AS (SELECT ord, field, regexp_extract(min(line) FILTER (pos IS NOT NULL), '^[^:]*') AS key, regexp_replace(string_agg(line, chr(10) ORDER BY i), '^[^:]*: ?', '') AS value FROM f WHERE field IS NOT NULL GROUP BY 1, 2),
+ last AS (SELECT ord, key, arg_max(value, field) AS value FROM v GROUP BY 1, 2)
+ SELECT ord, max(value) FILTER (key = 'Image') AS image, max(value) FILTER (key = 'CommandLine') AS command, count(*)::INT AS fields, ord % 3 <> 1 AS strict FROM last GROUP BY ord""")
+def wrapped_fields(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spark.sql(f"SELECT ord, {_WRAPPED} AS event FROM {{rows}}", rows=_signed(spark, sf))
+    m = contract.wrapped_fields(F.col("event"))
+    return rows.select("ord", m["Image"].alias("image"), m["CommandLine"].alias("command"), F.size(m).alias("fields"), contract.strict_fields(F.col("event")).isNotNull().alias("strict"))
+
+
+@query(f"""{o.SIGNED_EVENTS}, broken AS (SELECT ord, signature, Image, {o.GOLD_OF} AS gold, CASE WHEN ord % 10 = 3 THEN 'Extra: 1' || chr(10) || event ELSE event END AS event, ord % 10 = 3 AS bad FROM sig WHERE attack), held AS (SELECT DISTINCT signature FROM sig WHERE NOT attack AND ord % 9 = 0),
+ tagged AS (SELECT *, signature IN (SELECT signature FROM held) AS h FROM broken), placed AS (SELECT *, row_number() OVER (PARTITION BY signature, gold <> 'drop' AND NOT h ORDER BY sha256('s8|' || signature || '|' || ord), ord) AS place FROM tagged),
+ first AS (SELECT *, CASE WHEN gold = 'drop' THEN 'dropped' WHEN h THEN 'reserved' WHEN place > 3 THEN 'over cap' WHEN bad THEN 'contract: off-contract field: Extra' ELSE 'kept' END AS reason FROM placed),
+ imaged AS (SELECT *, row_number() OVER (PARTITION BY gold, {o.basename('Image')}, reason ORDER BY sha256('s8|image|' || ord), ord) AS place2 FROM first)
+ SELECT ord, CASE WHEN reason = 'kept' AND place2 > 4 THEN 'over image cap' ELSE reason END AS reason FROM imaged""")
+def training_exclusions(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _gold_events(spark, sf)
+    event = F.when(F.col("ord") % 10 == 3, F.concat(F.lit("Extra: 1\n"), F.col("event"))).otherwise(F.col("event"))
+    members = rows.where("attack").select("ord", "signature", "Image", "gold", event.alias("event"))
+    return sampling.training_exclusions(members, rows.where("NOT attack AND ord % 9 = 0"), 3, 4, "s8").select("ord", "reason")
+
+
+@query(f"""{o.SIGNED_EVENTS}, g AS (SELECT ord, {o.basename('Image')} AS image, {o.GOLD_OF} AS gold FROM sig WHERE attack) SELECT ord, image, gold FROM g QUALIFY row_number() OVER (PARTITION BY gold, image ORDER BY sha256('s9|' || ord), ord) <= 5""")
+def event_image_cap(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _gold_events(spark, sf).where("attack").select("ord", signatures.basename(F.col("Image")).alias("image"), "gold")
+    return sampling.capped(rows, ["gold", "image"], 5, [sampling.hash_order("s9", "ord"), F.col("ord")])
+
+
+@query(f"""{o.SIGNED_EVENTS}, blind AS (SELECT signature, {o.SEVERITY_OF} AS severity FROM sig WHERE attack AND ord % 2 = 0 QUALIFY row_number() OVER (PARTITION BY signature ORDER BY ord) = 1),
+ cand AS (SELECT ord, 'X' || ord AS id, signature, EventID, event, action FROM sig WHERE attack QUALIFY row_number() OVER (PARTITION BY signature ORDER BY ord DESC) = 1),
+ made AS (SELECT c.*, b.severity, CASE b.severity {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in rules.BUCKET.items())} END AS gold FROM blind b JOIN cand c USING (signature) WHERE b.severity IS NOT NULL),
+ ruled AS (SELECT *, {o.WANT} AS want FROM made), news AS (SELECT id, signature, action, event, CASE WHEN want IN ('benign', 'malicious') AND want <> gold THEN want ELSE gold END AS gold, CASE WHEN want IN ('benign', 'malicious') AND want <> gold THEN CASE want WHEN 'benign' THEN 'none' ELSE 'high' END ELSE severity END AS severity FROM ruled),
+ train AS (SELECT signature, action FROM sig WHERE NOT attack), base AS (SELECT 'E' || ord AS id, {o.GOLD_OF} AS gold, coalesce({o.SEVERITY_OF}, 'none') AS severity FROM sig WHERE NOT attack AND ord % 97 = 0)
+ SELECT id, gold, severity, 'v2' AS subset, CAST(NULL AS VARCHAR) AS reason FROM base UNION ALL
+ SELECT id, gold, severity, 'blind' AS subset, CASE WHEN signature IN (SELECT signature FROM train) THEN 'exact signature in training' WHEN action IN (SELECT action FROM train) THEN 'same action in training' END AS reason FROM news""")
+def expanded_eval(spark: SparkSession, sf: str) -> DataFrame:
+    rows = staged(_gold_events(spark, sf).select("ord", "signature", "action", "EventID", "event", "gold", "severity", "attack"), "events")
+    blind = labels.first_by(rows.where("attack AND ord % 2 = 0").select("signature", "severity", "ord"), "signature")
+    candidates = rows.where("attack").withColumn("id", F.concat(F.lit("X"), F.col("ord")))
+    base = rows.where("NOT attack AND ord % 97 = 0").select(F.concat(F.lit("E"), F.col("ord")).alias("id"), "gold", F.coalesce("severity", F.lit("none")).alias("severity"), "event")
+    return sampling.expanded_eval(base, blind, candidates, rows.where("NOT attack"), "v2", "blind").drop("event")
+
+
+_SMALL = "CASE WHEN id % 17 = 0 THEN 'PARSE-FAIL' WHEN id % 5 = 0 THEN 'high' ELSE severity END"
+
+
+@query(f"""{o.PREDICTIONS}, a AS (SELECT id, gold, CASE {_SMALL} WHEN 'none' THEN 'benign' WHEN 'low' THEN 'benign' WHEN 'medium' THEN 'suspicious' WHEN 'high' THEN 'malicious' END AS pred, CASE WHEN id % 3 <> 0 THEN pred END AS before FROM preds)
+ SELECT id, gold, pred, before, CASE WHEN pred <> before THEN CASE WHEN pred = gold THEN 'better' WHEN before = gold THEN 'worse' ELSE 'same' END END AS mark FROM a""")
+def quantised_answers(spark: SparkSession, sf: str) -> DataFrame:
+    p = _predictions(spark, sf)
+    return metrics.quantised(p.select("id", F.expr(_SMALL).alias("severity")), p, p.where("id % 3 <> 0"))
+
+
+@query(f"""{o.PREDICTIONS}, a AS (SELECT id, gold, CASE {_SMALL} WHEN 'none' THEN 'benign' WHEN 'low' THEN 'benign' WHEN 'medium' THEN 'suspicious' WHEN 'high' THEN 'malicious' END AS p, CASE WHEN id % 3 <> 0 THEN pred END AS before FROM preds)
+ SELECT count(p) AS n, count(*) - count(p) AS parse_fail, round(avg(CASE WHEN p IS NOT NULL THEN CASE WHEN p = gold THEN 1 ELSE 0 END END), 9) AS accuracy, round(avg(CASE WHEN p IS NOT NULL AND gold = 'malicious' THEN CASE WHEN p = 'benign' THEN 1 ELSE 0 END END), 9) AS dismissed,
+ round(avg(CASE WHEN p IS NOT NULL AND gold = 'malicious' THEN CASE WHEN p = gold THEN 1 ELSE 0 END END), 9) AS malicious_recall, round(avg(CASE WHEN p IS NOT NULL THEN CASE WHEN {o.CLASS_RANK.format('p')} < {o.CLASS_RANK.format('gold')} THEN 1 ELSE 0 END END), 9) AS under_call, count(*) FILTER (p <> before) AS flips FROM a""")
+def quantised_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(metrics.quantised_summary(quantised_answers(spark, sf)))
+
+
+@query(f"""{o.KNOWN_BAD_RUN}, flagged AS (SELECT *, coalesce(lower(ParentImage) IN (SELECT path FROM bad), false) OR (EventID = '7' AND coalesce(lower(Image) IN (SELECT path FROM bad), false)) AS bad FROM labelled), ruled AS (SELECT *, {o.FLOOR} AS rule FROM flagged),
+ hit AS (SELECT *, rule IS NOT NULL AND {o.RANK.format('severity')} < 3 AS changed FROM ruled) SELECT signature, CASE WHEN changed THEN 'high' ELSE severity END AS severity, changed FROM hit""")
+def recalibrated(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _labelled(spark, sf)
+    return labels.applied(rows, labels.recalibrations(rows, 0.3), "signature", severity="new_severity").select("signature", "severity", "changed")
+
+
+@query("WITH runs AS (SELECT DISTINCT 'checkpoint-' || (user_id % 120) AS run FROM events UNION ALL SELECT 'final') SELECT row_number() OVER (ORDER BY run = 'final', TRY_CAST(regexp_extract(run, '-([0-9]+)$', 1) AS BIGINT)) AS place, run FROM runs")
+def checkpoint_order(spark: SparkSession, sf: str) -> DataFrame:
+    runs = bridge.table(spark, sf, "events").select(F.concat(F.lit("checkpoint-"), F.col("user_id") % 120).alias("run")).distinct().unionByName(spark.createDataFrame([("final",)], "run string"))
+    return metrics.by_number(runs, "run", "final").coalesce(1).select((F.monotonically_increasing_id() + 1).alias("place"), "run")

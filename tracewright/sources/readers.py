@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.functions.contract import CONTRACT, EVENT_TYPES, FIELDS, event_type, fields_of
+from tracewright.functions import contract
+from tracewright.functions.contract import CONTRACT, EVENT_TYPES, FIELDS, event_type, fields_of, let, lookup
+from tracewright.functions.rules import BUCKET
 
 #: EventData name -> contract field; of several entries for a field the first with a value wins.
 EVENT_DATA = {
@@ -26,14 +28,15 @@ def parse_events(df: DataFrame, xml: str) -> DataFrame:
     DestinationIp and User. Of several entries that name a field the first with a value counts.
     """
     plain = F.regexp_replace(F.regexp_replace(F.col(xml), r"\sxmlns(:\w+)?=(\"[^\"]*\"|'[^']*')", ""), r"<EventID [^>]*>", "<EventID>")
-    parsed = df.withColumn("_e", F.from_xml(plain, XML_SCHEMA)).withColumn("_id", F.trim(F.col("_e.System.EventID")))
+    # a generator between two steps: filters are not pushed below it, so the XML is parsed once
+    once = lambda frame, c, name: frame.select("*", F.explode(F.array(c)).alias(name))
+    parsed = once(df, F.from_xml(plain, XML_SCHEMA), "_e").withColumn("_id", F.trim(F.col("_e.System.EventID")))
     parsed = parsed.where(F.col("_id").isin(*(str(k) for k in EVENT_TYPES)))
-    data = F.filter("_e.EventData.Data", lambda x: x["_VALUE"].isNotNull() & ~F.trim(x["_VALUE"]).isin(*NOTHING))
-
-    def field(name: str) -> Column:
-        names = [k for k, v in EVENT_DATA.items() if v == name] or [name]
-        return F.trim(F.get(F.filter(data, lambda x: x["_Name"].isin(*names)), F.lit(0))["_VALUE"])
-
+    given = F.filter("_e.EventData.Data", lambda x: x["_VALUE"].isNotNull() & ~F.trim(x["_VALUE"]).isin(*NOTHING))
+    names = {f: [k for k, v in EVENT_DATA.items() if v == f] or [f] for f in (*dict.fromkeys(EVENT_DATA.values()), "SignatureStatus")}
+    first = lambda data, wanted: F.trim(F.get(F.filter(data, lambda x: x["_Name"].isin(*wanted)), F.lit(0))["_VALUE"])
+    parsed = once(parsed, let(given, lambda data: F.struct(*(first(data, wanted).alias(f) for f, wanted in names.items()))), "_f")
+    field = lambda name: F.col(f"_f.{name}")
     made = {f: field(f) for f in dict.fromkeys(EVENT_DATA.values())}
     status, cut = field("SignatureStatus"), made["CommandLine"]
     valid = F.when(F.lower(status) == "valid", F.lit("true")).otherwise(F.lit("false"))
@@ -53,9 +56,11 @@ def event_xml(spark: SparkSession, path: str) -> DataFrame:
 
 
 def rendered_files(spark: SparkSession, path: str) -> DataFrame:
-    """id, event, and the contract fields of a folder with one rendered event a .txt file."""
-    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt")
-    named = files.select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.txt$", 1).alias("id"), F.regexp_replace("value", r"\s+$", "").alias("event"))
+    """id, event, and the contract fields of a folder with one rendered event a .txt file, or a folder id=... each."""
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt", recursiveFileLookup=True).withColumn("_file", F.input_file_name())
+    files = files.where(~F.col("_file").rlike("/(labels.json|manifest.tsv)/[^/]*$"))
+    named = files.select(F.regexp_extract("_file", r"(?:/id=([^/]+)/[^/]*$)", 1).alias("_folder"), F.regexp_extract("_file", r"([^/]+)\.txt$", 1).alias("_name"), F.regexp_replace("value", r"\s+$", "").alias("event"))
+    named = named.select(F.when(F.col("_folder") != "", F.col("_folder")).otherwise(F.col("_name")).alias("id"), "event")
     return named.withColumn("_f", fields_of(F.col("event"))).select("id", "event", "_f.*")
 
 
@@ -79,16 +84,31 @@ def labels_file(spark: SparkSession, path: str) -> DataFrame:
     return pairs.select(F.col("key").alias("id"), *(F.get("value", F.lit(i)).alias(c) for i, c in enumerate(("name", "gold", "severity", "rationale"))))
 
 
+MANIFEST = ("file", "source", "event_id", "family", "severity", "attck", "rationale")
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a tab-separated manifest."""
-    schema = "file string, source string, event_id string, family string, severity string, attck string, rationale string"
-    return spark.read.schema(schema).option("sep", "\t").option("header", "true").csv(path)
+    """Rows of a tab-separated manifest; lines with fewer than seven columns, and the heading, are passed over."""
+    cut = spark.read.text(path).select(F.split("value", "\t").alias("c")).where((F.size("c") >= len(MANIFEST)) & (F.get("c", F.lit(0)) != "file"))
+    return cut.select(*(F.get("c", F.lit(i)).alias(name) for i, name in enumerate(MANIFEST)))
 
 
 def class_directory(spark: SparkSession, path: str) -> DataFrame:
-    """Rendered events of a folder with their label and family."""
+    """Rendered events of a folder with their label and family; defects: what breaks the contract in a body, and a
+    severity that is not of the class. What the manifest lacks is '-'."""
     m = manifest(spark, f"{path}/manifest.tsv").select(F.regexp_replace("file", r"\.txt$", "").alias("id"), "family", "source", "attck")
-    return rendered_files(spark, path).join(labels_file(spark, f"{path}/labels.json"), "id").join(m, "id", "left")
+    rows = labels_file(spark, f"{path}/labels.json").join(rendered_files(spark, path), "id").join(m, "id", "left")
+    mismatch = F.when(~lookup(F.col("severity"), BUCKET).eqNullSafe(F.col("gold")), F.concat(F.lit("severity "), F.col("severity"), F.lit(" is not "), F.col("gold")))
+    out = rows.withColumn("defects", F.array_compact(F.concat(contract.violations(F.col("event")), F.array(mismatch))))
+    return out.fillna("-", ["family", "attck"])
+
+
+def checked(rows: DataFrame) -> DataFrame:
+    """rows of class_directory() without defects; ValueError that names a few of those that have some."""
+    wrong = rows.where(F.size("defects") > 0).select("id", "defects").orderBy("id").limit(5).collect()
+    if wrong:
+        raise ValueError("; ".join(f"{r['id']}: {', '.join(r['defects'])}" for r in wrong))
+    return rows.drop("defects")
 
 
 def answers(spark: SparkSession, path: str) -> DataFrame:

@@ -2,10 +2,27 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table of its own below spark.checkpoint.dir, read back: computed once for all that follows.
+
+    Only with a local master a temporary folder stands in where that setting is not made.
+    """
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    path = f"{(shared or f'file://{tempfile.gettempdir()}').rstrip('/')}/tracewright/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def json_lines(df: DataFrame, *paths: str) -> None:
     """Write df to each path, replacing what is there."""
     for path in paths:
@@ -27,6 +44,19 @@ def rendered_events(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("gold").parquet(path)
 
 
+def class_directory(rows: DataFrame, path: str) -> None:
+    """rows (id, event, name, gold, severity, rationale, source, family, attck) as readers.class_directory() reads them:
+    one text file an event, labels.json and manifest.tsv. A folder of files is for sets that people read, so of at most
+    some thousands of events; rendered_events() keeps larger ones."""
+    spark = rows.sparkSession
+    line = F.concat_ws("\t", F.concat("id", F.lit(".txt")), "source", F.regexp_extract("event", r"(?m)^EventID: (.*)$", 1), "family", "severity", "attck", "rationale")
+    labels = F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("id", F.array("name", "gold", "severity", "rationale"))))))
+    heading = spark.createDataFrame([("file\tsource\tevent_id\tfamily\tseverity\tattck\trationale", "")], "value string, id string")
+    rows.select("id", "event").write.mode("overwrite").partitionBy("id").text(f"{path}/events")
+    rows.agg(labels.alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/labels.json")
+    heading.unionByName(rows.select(line.alias("value"), "id")).orderBy("id").coalesce(1).select("value").write.mode("overwrite").text(f"{path}/manifest.tsv")
+
+
 def checksums(spark: SparkSession, path: str) -> DataFrame:
     """path, sha256 of every file below a folder, in order of path."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)

@@ -26,6 +26,12 @@ def append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def kept_profile(profile: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Bring a running profile up to date and write it whole to a Parquet table; nothing of it passes the driver."""
+    write = lambda table, batch: table.write.mode("overwrite").parquet(path)
+    return profile.writeStream.foreachBatch(write).outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def running_profile(stream: DataFrame, by: str = "signature") -> DataFrame:
     """Counts by signature over all that has arrived; the state holds one number a signature."""
     return with_behaviour(stream).groupBy(by).agg(F.count("*").alias("n"))
