@@ -116,8 +116,9 @@ def heuristic_labels(event: Column) -> Column:
     return F.array_compact(F.array(*(F.when(event.rlike(p), F.lit(label)) for p, _, label in HEURISTICS)))
 
 
-def heuristic_score(event: Column) -> Column:
-    return reduce(lambda a, b: a + b, (F.when(event.rlike(p), F.lit(w)).otherwise(F.lit(0.0)) for p, w, _ in HEURISTICS))
+def heuristic_score(labels: Column) -> Column:
+    """The sum of the weights of heuristic_labels()."""
+    return F.aggregate(labels, F.lit(0.0), lambda total, x: total + lookup(x, {label: w for _, w, label in HEURISTICS}))
 
 
 def bad_lineage(parent: Column, image: Column) -> Column:

@@ -41,13 +41,13 @@ def scored(attack: DataFrame, benign: DataFrame, ambient_min: int = 2) -> DataFr
     a = a.withColumns({"amb": F.coalesce("amb", F.lit(0)), "camb": F.coalesce("camb", F.lit(0))})
     ambient, common = F.col("amb") >= ambient_min, F.col("camb") >= 20
     low = F.lower("event")
-    a = a.withColumn("named", F.array_sort(F.filter(rules.source_tokens(F.col("src")), lambda t: low.contains(t))))
+    a = a.withColumn("labels", rules.heuristic_labels(F.col("event"))).withColumn("named", F.array_sort(F.filter(rules.source_tokens(F.col("src")), lambda t: low.contains(t))))
     n_named, lineage = F.size("named"), rules.bad_lineage(F.col("ParentImage"), F.col("Image"))
     score = (
         F.when(ambient, -6.0).when(common, -2.5).otherwise(0.0)
         + F.when(F.col("n_files") >= 8, -4.0).when(F.col("n_files") >= 4, -1.5).when(F.col("n_files") == 1, 1.5).otherwise(0.0)
         + F.when(n_named > 0, 2.0 + 0.5 * n_named).otherwise(0.0)
-        + rules.heuristic_score(F.col("event"))
+        + rules.heuristic_score(F.col("labels"))
         + F.when(lineage, 3.0).otherwise(0.0)
     )
     text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
@@ -55,7 +55,7 @@ def scored(attack: DataFrame, benign: DataFrame, ambient_min: int = 2) -> DataFr
         F.array(F.when(ambient, text("ambient in real capture (x", F.col("amb"), ")")).when(common, text("common image/parent pair on a real host (x", F.col("camb"), ")"))),
         F.array(F.when(F.col("n_files") >= 8, text("appears in ", F.col("n_files"), " unrelated captures")).when(F.col("n_files") >= 4, text("appears in ", F.col("n_files"), " captures")).when(F.col("n_files") == 1, F.lit("unique to this capture"))),
         F.array(F.when(n_named > 0, text("matches sample name (", F.array_join(F.slice("named", 1, 3), ", "), ")"))),
-        rules.heuristic_labels(F.col("event")),
+        F.col("labels"),
         F.array(F.when(lineage, text("anomalous lineage ", basename(F.col("ParentImage")), " -> ", basename(F.col("Image"))))),
     ))
     out = a.select("ord", "src", "EventID", "signature", "event", F.round(score, 2).alias("score"), why.alias("why"), rules.auto_drop(F.col("EventID"), F.col("TargetFilename"), F.col("Image"), F.col("amb")).alias("auto"), "amb")

@@ -56,9 +56,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table of fewer files than cores, dealt to all cores: one file of one row group is one task, whatever is
+    computed from it. Tables of many files are read as they lie, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One contract record for each event, with ord (unique), src (capture) and attack (not part of the benign profile)."""
-    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", F.get_json_object("props", "$.k").cast("long").alias("k"))
+    e = spread(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", "props"))
+    e = e.withColumn("k", F.get_json_object("props", "$.k").cast("long")).drop("props")
     e = e.select("*", F.expr(EVENT_ID).alias("EventID"))
     made = []
     for field in FIELDS[2:]:
