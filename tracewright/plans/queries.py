@@ -405,9 +405,9 @@ def indicators(spark: SparkSession, sf: str) -> DataFrame:
     return _targets(spark, sf).select("ord", F.array_join(F.transform("indicators", lambda x: F.concat(x["key"], F.lit("="), x["value"])), "; ").alias("indicators"))
 
 
-@query(f"{o.TARGETS} SELECT EventID, {o.THREAT} AS threat_type, count(*) AS n FROM argued GROUP BY ALL")
+@query(f"{o.TARGETS} SELECT ord, EventID, {o.THREAT} AS threat_type FROM argued")
 def threat_types(spark: SparkSession, sf: str) -> DataFrame:
-    return _targets(spark, sf).groupBy("EventID", "threat_type").agg(F.count("*").alias("n"))
+    return _targets(spark, sf).select("ord", "EventID", "threat_type")
 
 
 @query(f"""{o.TARGETS}, typed AS (SELECT ord, CASE ord % 3 WHEN 0 THEN 'none' WHEN 1 THEN 'medium' ELSE 'high' END AS severity, {o.THREAT} AS threat_type FROM argued)
@@ -533,12 +533,19 @@ def chat_messages(spark: SparkSession, sf: str) -> DataFrame:
     return bridge.table(spark, sf, "conversations").select("conv_id", "turn", prompts.prompt_hash().alias("prompt_hash"), m[0]["content"].alias("system"), m[1]["content"].alias("user"))
 
 
-@query(f"""{_MAJORITY}, val AS (SELECT signature FROM major QUALIFY row_number() OVER (PARTITION BY gold ORDER BY sha256('s4|' || signature), signature) <= greatest(1, CAST(round_even(count(*) OVER (PARTITION BY gold) * 0.1, 0) AS BIGINT)))
- SELECT ord AS id, CASE ord % 3 WHEN 0 THEN 'none' WHEN 1 THEN 'medium' ELSE 'high' END AS severity, CASE WHEN signature IN (SELECT signature FROM val) THEN 'val' ELSE 'train' END AS split FROM sig""")
+_COMPLETION = """'{"severity":"' || severity || '","isThreat":' || CASE gold WHEN 'benign' THEN 'false' ELSE 'true' END || ',"threatType":' || coalesce(CAST(to_json(threat_type) AS VARCHAR), 'null') || ',"indicators":{'
+ || array_to_string(list_transform(indicators, lambda x: CAST(to_json(x.key) AS VARCHAR) || ':' || CAST(to_json(x.value) AS VARCHAR)), ',') || '},"reasoning":' || CAST(to_json(reasoning) AS VARCHAR) || '}'"""
+
+
+@query(f"""{o.TARGETS}, counted AS (SELECT signature, {o.GOLD_OF} AS gold, count(*) AS n, min(ord) AS seen FROM sig GROUP BY 1, 2), major AS (SELECT signature, gold FROM counted QUALIFY row_number() OVER (PARTITION BY signature ORDER BY n DESC, seen) = 1),
+ val AS (SELECT signature FROM major QUALIFY row_number() OVER (PARTITION BY gold ORDER BY sha256('s4|' || signature), signature) <= greatest(1, CAST(round_even(count(*) OVER (PARTITION BY gold) * 0.1, 0) AS BIGINT))),
+ said AS (SELECT *, CASE ord % 3 WHEN 0 THEN 'none' WHEN 1 THEN 'medium' ELSE 'high' END AS severity, {o.THREAT} AS threat_type, {o.REASONING} AS reasoning, {_RENDER} AS body FROM argued)
+ SELECT said.ord AS id, severity, CASE WHEN sig.signature IN (SELECT signature FROM val) THEN 'val' ELSE 'train' END AS split, {_SYSTEM_SQL} AS system, 'Event:' || chr(10) || body || chr(10) || chr(10) || 'Classify.' AS user, {_COMPLETION} AS completion FROM said JOIN sig ON said.ord = sig.ord""")
 def training_pairs(spark: SparkSession, sf: str) -> DataFrame:
     signed = _gold_events(spark, sf)
     rows = _targets(spark, sf).join(signed.select("ord", "signature"), "ord").withColumn("id", F.col("ord"))
-    return prompts.training_pairs(rows, sampling.validation_signatures(signed, 0.1, "s4")).select("id", "severity", "split")
+    pairs = prompts.training_pairs(rows, sampling.validation_signatures(signed, 0.1, "s4"))
+    return pairs.select("id", "severity", "split", F.col("prompt")[0]["content"].alias("system"), F.col("prompt")[1]["content"].alias("user"), "completion")
 
 
 _CARRIED = [f for f in contract.FIELDS[2:] if f in bridge.CHOICES and f not in ("ParentCommandLine",)]
