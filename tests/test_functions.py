@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracewright.functions import contract, rules, signatures
-from tracewright.operators import audit, labels, metrics, queue, sampling
+from tracewright.operators import audit, decisions, labels, metrics, queue, sampling
 
 
 def values(spark, rows, expression, schema="x string"):
@@ -100,3 +100,12 @@ def test_empty_tables(spark):
     q = queue.scored(events, events)
     assert q.count() == 0 and queue.proposals(queue.groups(q)).count() == 0 and queue.top(q, 5).count() == 0
     assert audit.field_presence(events.withColumn("gold", F.lit("x"))).count() == 0
+
+
+def test_blind_work_lists_and_completeness(spark):
+    groups = spark.createDataFrame([("a", 2.0, "review", 1), ("b", 0.5, "drop", 2), ("c", 3.0, "review", 3)], "signature string, score double, prelabel string, n int")
+    decided = spark.createDataFrame([("c",)], "signature string")
+    assert sorted(map(tuple, decisions.worklist(groups, decided, blind=True).collect())) == [("a", 1), ("b", 2)]
+    assert [r["signature"] for r in decisions.worklist(groups, decided, 1.0, "review").collect()] == ["a"]
+    rows = spark.createDataFrame([("x",), ("y",)], "id string")
+    assert decisions.complete(rows, rows) and not decisions.complete(rows, rows.limit(1))

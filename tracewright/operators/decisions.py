@@ -16,11 +16,19 @@ ESCALATED_THREATS = ("lateral_movement", "data_exfiltration", "ransomware", "pri
 CONFIDENCE = {"none": 0.05, "low": 0.2, "medium": 0.5, "high": 0.85, "critical": 0.95}
 
 
-def worklist(groups: DataFrame, decided: DataFrame, min_score: float | None = None, prelabel: str | None = None) -> DataFrame:
-    """groups that are not decided, from a score on, of one prelabel."""
+#: What a blind reader must not see.
+JUDGED = ("score", "why", "prelabel", "rule", "rule_amb")
+
+
+def worklist(groups: DataFrame, decided: DataFrame, min_score: float | None = None, prelabel: str | None = None, blind: bool = False) -> DataFrame:
+    """groups that are not decided, from a score on, of one prelabel; blind: without anything that a rule said of them.
+
+    For a blind pass `decided` holds human decisions only, so that groups that a rule decided are read as well.
+    """
     out = groups.join(decided.select("signature"), "signature", "left_anti")
     out = out if min_score is None else out.where(F.col("score") >= min_score)
-    return out if prelabel is None else out.where(F.col("prelabel") == prelabel)
+    out = out if prelabel is None else out.where(F.col("prelabel") == prelabel)
+    return out.drop(*JUDGED) if blind else out
 
 
 def decision(severity: Column, by: str) -> list[Column]:

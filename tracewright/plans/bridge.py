@@ -57,10 +57,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of a table of fewer files than cores, dealt to all cores: one file of one row group is one task, whatever is
-    computed from it. Tables of many files are read as they lie, without a shuffle."""
+    """Rows of a table that is read by fewer tasks than there are cores, dealt to all cores: a small file is one task,
+    whatever is computed from it. Larger tables are read as they lie, without a shuffle."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
