@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tracewright.llm import contamination as c
 from tracewright.llm import licences
+from tracewright.llm import mixing as m
 from tracewright.llm import pseudonyms as p
 
 
@@ -100,3 +101,45 @@ def _pseudonyms() -> str:
 
 
 PSEUDONYMS = _pseudonyms()
+
+
+def _key(*parts: str) -> str:
+    """32 bits of the MD5 of the parts."""
+    return f"('0x' || substr(md5(concat_ws(':', {', '.join(parts)})), 1, 8))::BIGINT"
+
+
+def _keys(name: str, n: str) -> str:
+    h = lambda what: _key(str(m.SEED), name, "r", quoted(what))
+    return f"""list_transform(range(1, {m.ROUNDS + 1}), lambda r: {{'x': ({h("k")} * {1 << 31} + {h("l")}) % greatest({n}, 1), 'a': {h("a")} % {m.PRIME}, 'b': {h("b")} % {m.PRIME}, 'c': {h("c")} % {m.PRIME}}})"""
+
+
+def _permuted(x: str, n: str, keys: str) -> str:
+    other = f"((k.x - s.x) % {n} + {n}) % {n}"
+    most = f"greatest(s.x, {other})"
+    bit = f"(({most} // {1 << 31}) * k.a + ({most} % {1 << 31} % {m.PRIME}) * k.b + k.c) % {m.PRIME} > {m.PRIME // 2}"
+    return f"list_reduce({keys}, lambda s, k: {{'x': CASE WHEN {bit} THEN {other} ELSE s.x END, 'a': k.a, 'b': k.b, 'c': k.c}}, {{'x': {x}, 'a': 0::BIGINT, 'b': 0::BIGINT, 'c': 0::BIGINT}}).x"
+
+
+MIXING = f"""WITH sizes AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents),
+ranked AS (SELECT source, sum(size)::BIGINT AS size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid FROM sizes GROUP BY source),
+weighed AS (SELECT *, ({list(m.WEIGHTS)})[sid % {len(m.WEIGHTS)} + 1]::BIGINT AS w FROM ranked),
+rest AS (SELECT *, sum(size) OVER () - coalesce(sum({m.MOST} * size) OVER lower, 0) AS rest, sum(w) OVER () - coalesce(sum(w) OVER lower, 0) AS free FROM weighed
+ WINDOW lower AS (ORDER BY size / w, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+held AS (SELECT *, w * rest > {m.MOST} * size * free AS over FROM rest),
+shared AS (SELECT (sum(size) - coalesce(sum({m.MOST} * size) FILTER (over), 0))::DOUBLE AS rest, greatest(sum(w) FILTER (NOT over), 1)::DOUBLE AS free FROM held),
+aimed AS (SELECT sid, source, size, CASE WHEN over THEN ({m.MOST} * size)::DOUBLE ELSE w * shared.rest / shared.free END AS target, ceil(size / {m.BLOCK})::BIGINT AS blocks FROM held, shared),
+counted AS (SELECT *, CASE WHEN size > 0 THEN floor(target * blocks / size + 0.5) ELSE 0 END::BIGINT AS slots FROM aimed),
+sources AS (SELECT *, coalesce(sum(slots) OVER (ORDER BY sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first FROM counted),
+docs AS (SELECT d.doc_id, d.size, s.sid, s.size AS source_size, s.target, coalesce(sum(d.size) OVER (PARTITION BY s.sid
+ ORDER BY {_key(str(m.SEED), "d.doc_id", "d.size")} % (SELECT greatest(1, round_even(sqrt(count(*)), 0))::BIGINT FROM sizes), d.doc_id NULLS LAST, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+ FROM sizes d JOIN sources s ON d.source IS NOT DISTINCT FROM s.source),
+mixed AS (SELECT sum(slots)::BIGINT AS n FROM sources),
+drawn AS (SELECT i // {m.SHARD} AS shard, {_permuted("i", "n", "made")} AS spot FROM (SELECT n, {_keys("'mix'", "n")} AS made, unnest(range(n)) AS i FROM mixed)),
+counts AS (SELECT shard, sid, count(*) AS n FROM drawn JOIN sources ON first <= spot AND spot < first + slots GROUP BY shard, sid),
+runs AS (SELECT sid, n, coalesce(sum(n) OVER (PARTITION BY sid ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS lo FROM counts),
+indexes AS (SELECT sid, unnest(range(lo, lo + n)) AS i FROM runs),
+passes AS (SELECT sid, blocks, pass, {_keys("concat_ws('/', sid, pass)", "blocks")} AS made FROM (SELECT sid, blocks, unnest(range((slots - 1) // blocks + 1)) AS pass FROM sources WHERE slots > 0)),
+used AS (SELECT sid, block, count(*) AS times FROM (SELECT i.sid, {_permuted("i.i % p.blocks", "p.blocks", "p.made")} AS block FROM indexes i JOIN passes p ON i.sid = p.sid AND i.i // p.blocks = p.pass) GROUP BY ALL),
+pieces AS (SELECT *, unnest(range(start // {m.BLOCK}, (start + size - 1) // {m.BLOCK} + 1)) AS block FROM docs WHERE size > 0),
+taken AS (SELECT p.sid, p.start, sum((least((p.block + 1) * {m.BLOCK}, p.start + p.size) - greatest(p.block * {m.BLOCK}, p.start)) * u.times) AS taken FROM pieces p JOIN used u ON p.sid = u.sid AND p.block = u.block GROUP BY p.sid, p.start)
+SELECT d.doc_id, d.size, d.source_size, d.target, coalesce(t.taken, 0)::BIGINT AS taken FROM docs d LEFT JOIN taken t ON d.sid = t.sid AND d.start = t.start AND d.size > 0"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import contamination, language, licences, neighbours, oracles, packing, pseudonyms, resampling, simhash, token_output, toxicity
+from tracewright.llm import contamination, language, licences, mixing, neighbours, oracles, packing, pseudonyms, resampling, simhash, token_output, toxicity
 from tracewright.llm.common import crc_mod, table
 from tracewright.llm.tokenizing import tokenizer_path
 
@@ -63,6 +63,10 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_documents(table(spark, sf_dir, "documents")).drop("licences")
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op2_contamination": op2_contamination,
@@ -74,10 +78,12 @@ QUERIES: dict[str, Query] = {
     "op8_neighbours": op8_neighbours,
     "op9_packing": op9_packing,
     "op10_licences": op10_licences,
+    "op13_mixing": op13_mixing,
 }
 #: XXH64, tokenizers, trained models and unrounded double products have no SQL; tests compare these with brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_contamination": oracles.CONTAMINATION,
     "op4_pseudonyms": oracles.PSEUDONYMS,
     "op10_licences": oracles.LICENCES,
+    "op13_mixing": oracles.MIXING,
 }
