@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm import contamination, language, licences, mixing, neighbours, oracles, packing, pseudonyms, resampling, simhash, token_output, toxicity
+from tracewright.llm import contamination, language, licences, mixing, neighbours, oracles, packing, pseudonyms, resampling, simhash, token_output, toxicity, variants, whitening
 from tracewright.llm.common import crc_mod, table
 from tracewright.llm.tokenizing import tokenizer_path
 
@@ -63,6 +63,14 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_documents(table(spark, sf_dir, "documents")).drop("licences")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(table(spark, sf_dir, "documents"))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -78,6 +86,8 @@ QUERIES: dict[str, Query] = {
     "op8_neighbours": op8_neighbours,
     "op9_packing": op9_packing,
     "op10_licences": op10_licences,
+    "op11_whitening": op11_whitening,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_mixing": op13_mixing,
 }
 #: XXH64, tokenizers, trained models and unrounded double products have no SQL; tests compare these with brute force.
