@@ -33,7 +33,7 @@ SEED = 42
 #: A prime; the products of two numbers below it, and their sums, fit into a long.
 PRIME = (1 << 31) - 1
 #: Slots that one task numbers.
-_TASK = 1 << 20
+_TASK = 1 << 17
 
 
 def number(*parts: Column | int | str) -> Column:
@@ -164,6 +164,8 @@ def slots(sources: DataFrame, shard: int = SHARD, seed: int = SEED) -> DataFrame
     """(shard, sid, index, pass, block) of every slot of the mix."""
     counts = written(shard_counts(sources, shard, seed).withColumn("bucket", F.shiftright("shard", 10)), "counts")
     runs = before(counts, "n", ["sid"], "bucket", ["shard"], "lo")
+    total = sources.agg(F.sum("slots")).first()[0] or 0
+    runs = runs.repartition(max(1, -(-total // _TASK)), "shard", "sid")  # few bytes, but many slots
     each = runs.select("shard", "sid", F.explode(F.sequence(F.col("lo"), F.col("lo") + F.col("n") - 1)).alias("index"))
     passes = sources.where("slots > 0").select("sid", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.expr("(slots - 1) div blocks"))).alias("pass"))
     passes = written(passes.withColumn("made", keys(seed, F.concat_ws("/", "sid", "pass"), F.col("blocks"))), "passes")
