@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions import contract, prompts, rewriting
 from tracewright.operators import generate, metrics, sampling
-from tracewright.sources import readers, writers
+from tracewright.sources import committed, readers, writers
 
 
 @pytest.mark.parametrize("kind", ["benign", "suspicious"])
@@ -16,7 +16,7 @@ def test_quotas_bodies_and_contract(spark, kind):
     n = 300
     rows = generate.generated(spark, n, kind, seed="7").cache()
     got = rows.collect()
-    wanted = {r["key"]: r["n"] for r in sampling.apportion(spark.createDataFrame([(k, s, i) for i, (k, s) in enumerate(generate.MIX)], "key int, share double, ord int"), n).collect()}
+    wanted = {r["key"]: r["n"] for r in sampling.apportion(spark.createDataFrame([(k, s, i) for i, (k, s) in enumerate(generate.mix_of(kind))], "key int, share double, ord int"), n).collect()}
     assert Counter(int(r["EventID"]) for r in got) == {k: v for k, v in wanted.items() if v}
     assert len({r["event"] for r in got}) == len({r["id"] for r in got}) == n
     assert rows.where(F.size(contract.violations(F.col("event"))) > 0).count() == 0
@@ -66,7 +66,7 @@ def test_bodies_with_wrapped_lines(spark):
 
 def test_a_class_folder_is_read_as_it_was_written(spark, tmp_path):
     rows = spark.createDataFrame([("B001", "EventID: 1\nImage: x", "n", "benign", "none", "why", "s", "fam", "-"), ("B002", "Image: x\nEventID: 1", "n", "benign", "high", "why", "s", "fam", "T1003")], "id string, event string, name string, gold string, severity string, rationale string, source string, family string, attck string")
-    writers.class_directory(rows, str(tmp_path / "c"))
+    committed.write_event_folder(rows, str(tmp_path / "c"))
     got = {r["id"]: r for r in readers.class_directory(spark, str(tmp_path / "c")).collect()}
     assert got["B001"]["defects"] == [] and (got["B001"]["event"], got["B001"]["family"], got["B002"]["attck"]) == ("EventID: 1\nImage: x", "fam", "T1003")
     assert got["B002"]["defects"] == ["field order violated", "severity high is not benign"]

@@ -85,3 +85,43 @@ def test_prompts(spark):
     rows = spark.createDataFrame([(1, "s", "e", "high", "malicious", "{}"), (2, "t", "e", "odd", "benign", "{}")], "id int, signature string, event string, severity string, gold string, target string")
     got = prompts.training_pairs(rows, rows.select("signature").where("signature = 's'")).collect()
     assert [(r["id"], r["split"], r["prompt"][1]["content"]) for r in got] == [(1, "val", "Event:\ne\n\nClassify.")]
+
+
+def test_checksums_of_a_file_larger_than_an_array(spark, tmp_path):
+    """A sparse file of 3 GB, in pieces; the digest is that of so many zeros."""
+    import hashlib
+
+    size = 3 << 30
+    with open(tmp_path / "big.bin", "wb") as f:
+        f.truncate(size)
+    (tmp_path / "small.txt").write_text("abc")
+    zeros, piece = hashlib.sha256(), bytes(1 << 24)
+    for _ in range(size >> 24):
+        zeros.update(piece)
+    got = {r["path"].rsplit("/", 1)[1]: (r["length"], r["sha256"]) for r in writers.checksums(spark, str(tmp_path)).collect()}
+    assert got == {"big.bin": (size, zeros.hexdigest()), "small.txt": (3, hashlib.sha256(b"abc").hexdigest())}
+
+
+def test_only_parts_with_changed_keys_are_written(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(1_000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("old").alias("v"))
+    writers.keyed_table(rows, path, ["k"], 16)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    changes = spark.createDataFrame([(5, "new"), (None, "new"), (5_000, "new")], "k long, v string")
+    n = writers.upsert_table(changes, path, ["k"], 16)
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    assert 1 <= n <= 3 and len({p.parent for p in before if p not in after}) <= n and sum(p in after for p in before) >= len(before) - n
+    got = {r["k"]: r["v"] for r in writers.read_keyed(spark, path).collect()}
+    assert len(got) == 1_001 and {k for k, v in got.items() if v == "new"} == {5, None, 5_000}
+    assert writers.upsert_table(changes.where("k < 0"), path, ["k"], 16) == 0
+
+
+def test_json_lines_of_records(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"EventID": "1", "Image": "x", "_src": "a.evtx", "other": 1}\n\n{"EventID": "3"}\n')
+    got = readers.records(spark, str(tmp_path / "a.jsonl")).orderBy("EventID").collect()
+    assert [(r["EventID"], r["Image"], r["_src"]) for r in got] == [("1", "x", "a.evtx"), ("3", None, None)]
+
+
+def test_home_folders(spark):
+    df = spark.createDataFrame([("CORP\\ann",), ("bob",), ("NT AUTHORITY\\SYSTEM",)], "u string")
+    assert [r[0] for r in df.select(rewriting.home_of(F.col("u"))).collect()] == ["C:\\Users\\ann", "C:\\Users\\bob", "C:\\Users\\SYSTEM"]

@@ -126,10 +126,14 @@ def bad_lineage(parent: Column, image: Column) -> Column:
     return pair.isin(*(f"{p}>{i}" for p, i in BAD_LINEAGE))
 
 
+#: Fixed value: a signature that is so frequent in benign captures is dropped without a reader.
+AMBIENT_DROP = 25
+
+
 def auto_drop(event_id: Column, target: Column, image: Column, ambient: Column) -> Column:
     """Why a rule may drop an event without a reader; null if none may."""
     plain = (F.coalesce(target, F.lit("")) != "") & ~F.coalesce(target, F.lit("")).rlike(WRITABLE) & ~F.coalesce(image, F.lit("")).rlike(WRITABLE)
-    return F.when((event_id == "7") & plain, F.lit("system module")).when(ambient >= 25, F.lit("ambient"))
+    return F.when((event_id == "7") & plain, F.lit("system module")).when(ambient >= AMBIENT_DROP, F.lit("ambient"))
 
 
 def drop_reason(rule: Column, ambient: Column) -> Column:

@@ -1,17 +1,20 @@
 """Synthetic benign and suspicious events: a table of templates, drawn by hashes of a seed and a running number.
 
-Quotas follow an EventID mix; families of an EventID take turns; bodies that were made before are passed over; the
-rest is numbered. The same seed gives the same events in any partitioning.
+Quotas follow an EventID mix and are met exactly. Families of an EventID take turns. Events are tried in rounds: each round
+tries as many numbers of an EventID as its quota is short of, and some more, spread over all tasks; bodies that were
+made before are passed over, of the rest those with the smallest numbers stay. The same seed gives the same events in
+any partitioning.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.functions.contract import FIELDS, rendered
 from tracewright.functions.rewriting import ACCOUNT_KINDS, HOSTS, account, drawn, home_of, pick
-from tracewright.operators.sampling import apportion
+from tracewright.operators.sampling import apportion, numbered
+from tracewright.sources.writers import staged
 
 S32, PF = "C:\\Windows\\System32", "C:\\Program Files"
 PS = f"{S32}\\WindowsPowerShell\\v1.0\\powershell.exe"
@@ -30,8 +33,13 @@ PARENT_GROUPS: dict[str, tuple[tuple[str, str], ...]] = {
 DRAWN_FROM = ("interactive", "scheduled")
 #: Share of each EventID.
 MIX = ((1, 0.514), (13, 0.130), (11, 0.122), (3, 0.080), (4624, 0.068), (7, 0.050), (12, 0.032), (4625, 0.002))
-#: How often a family is tried for each event that is wanted.
-TRIES = 40
+#: Kinds of events that one class has no template for, and the EventID that takes their share.
+FOLDED = {"suspicious": {7: 1}}
+#: Families that take more turns than one.
+TURNS = {"plain tool": 3}
+#: Tries of a round for each event that is missing, tries that one task makes, and rounds without a new event before the
+#: templates are found to be exhausted.
+MORE, TASK, IDLE = 1.25, 50_000, 3
 
 #: (class, family, EventID, severity, fields); <home>, <host>, <n> are drawn, and a parent and an account where none is given.
 TEMPLATES: tuple[tuple[str, str, int, str, dict[str, str]], ...] = tuple(
@@ -48,16 +56,18 @@ TEMPLATES: tuple[tuple[str, str, int, str, dict[str, str]], ...] = tuple(
         ("benign", "unsigned but known", 1, "low", "Image CommandLine Signed", [("C:\\ProgramData\\HALVEN\\tools\\assetcheck.exe", '"C:\\ProgramData\\HALVEN\\tools\\assetcheck.exe" --report <n>', "false"), ("D:\\plant\\labelprint.exe", "labelprint.exe /queue <n>", "false")]),
         ("benign", "plain tool", 1, "none", "Image CommandLine", [(f"{S32}\\calc.exe", f'"{S32}\\calc.exe" <n>'), (f"{S32}\\charmap.exe", f'"{S32}\\charmap.exe" <n>'), (f"{S32}\\hostname.exe", "hostname.exe /n<n>"), (f"{S32}\\tasklist.exe", "tasklist.exe /fo csv /n<n>")]),
         ("benign", "long command", 1, "low", "Image CommandLine", [(f"{PF}\\Java\\bin\\java.exe", "java.exe -cp " + "C:\\libs\\dependency.jar;" * 24 + " Main<n>"), (f"{PF}\\Git\\usr\\bin\\bash.exe", "bash.exe -c 'for f in <n> " + "src/module/file.c " * 30 + "; do cc -c $f; done'")]),
-        ("benign", "web worker", 1, "low", "Image CommandLine ParentImage", [(f"{S32}\\inetsrv\\w3wp.exe", f'{S32}\\inetsrv\\w3wp.exe -ap "Pool<n>"', f"{S32}\\svchost.exe"), ("C:\\Windows\\Microsoft.NET\\Framework64\\v4.0.30319\\csc.exe", "csc.exe /noconfig /fullpaths @tmp<n>.cmdline", f"{S32}\\inetsrv\\w3wp.exe")]),
+        ("benign", "web worker", 1, "low", "Image CommandLine ParentImage", [(f"{S32}\\inetsrv\\w3wp.exe", f'{S32}\\inetsrv\\w3wp.exe -ap "Pool<n>"', f"{S32}\\svchost.exe"), (f"{S32}\\inetsrv\\appcmd.exe", f'"{S32}\\inetsrv\\appcmd.exe" recycle apppool /apppool.name:"Pool<n>"', f"{S32}\\cmd.exe"), ("C:\\Windows\\Microsoft.NET\\Framework64\\v4.0.30319\\csc.exe", "csc.exe /noconfig /fullpaths @tmp<n>.cmdline", f"{S32}\\inetsrv\\w3wp.exe")]),
+        ("benign", "web worker", 3, "low", "Image User DestinationIp DestinationPort DestinationHostname", [(f"{S32}\\inetsrv\\w3wp.exe", "IIS APPPOOL\\Pool<o>", "10.20.<p>.<o>", "1433", "sql<n>.halven.local"), (f"{S32}\\inetsrv\\w3wp.exe", "IIS APPPOOL\\Portal", "10.21.<p>.<o>", "443", "api<n>.halven.local")]),
+        ("benign", "web worker", 11, "low", "Image User TargetFilename", [(f"{S32}\\inetsrv\\w3wp.exe", "IIS APPPOOL\\Pool<o>", "C:\\inetpub\\temp\\IIS Temporary Compressed Files\\Pool<o>\\page<n>.css.gz"), (f"{S32}\\inetsrv\\w3wp.exe", "IIS APPPOOL\\Portal", "C:\\inetpub\\logs\\LogFiles\\W3SVC<o>\\u_ex<n>.log")]),
         ("benign", "logon ui", 1, "none", "Image CommandLine ParentImage User", [(f"{S32}\\LogonUI.exe", f'"{S32}\\LogonUI.exe" /flags:0x<n>', f"{S32}\\winlogon.exe", SYSTEM), (f"{S32}\\userinit.exe", f"{S32}\\userinit.exe /s<n>", f"{S32}\\winlogon.exe", SYSTEM)]),
-        ("benign", "web browsing", 3, "none", "Image DestinationIp DestinationPort DestinationHostname", [(f"{PF}\\Google\\Chrome\\Application\\chrome.exe", "93.184.216.<n>", "443", "www<n>.example.com"), (f"{PF}\\Mozilla Firefox\\firefox.exe", "198.18.7.<n>", "443", "cdn<n>.example.org"), (f"{OFFICE}\\OUTLOOK.EXE", "192.0.2.<n>", "443", "mail<n>.example.net")]),
-        ("benign", "uncommon port", 3, "low", "Image DestinationIp DestinationPort DestinationHostname", [(f"{PF}\\HALVEN\\backup.exe", "10.0.4.<n>", "9100", "backup<n>.halven.local"), (f"{PF}\\HALVEN\\metrics.exe", "10.0.9.<n>", "8125", "stats<n>.halven.local")]),
+        ("benign", "web browsing", 3, "none", "Image DestinationIp DestinationPort DestinationHostname", [(f"{PF}\\Google\\Chrome\\Application\\chrome.exe", "93.184.<p>.<o>", "443", "www<n>.example.com"), (f"{PF}\\Mozilla Firefox\\firefox.exe", "198.18.<p>.<o>", "443", "cdn<n>.example.org"), (f"{OFFICE}\\OUTLOOK.EXE", "192.0.<p>.<o>", "443", "mail<n>.example.net")]),
+        ("benign", "uncommon port", 3, "low", "Image DestinationIp DestinationPort DestinationHostname", [(f"{PF}\\HALVEN\\backup.exe", "10.0.<p>.<o>", "9100", "backup<n>.halven.local"), (f"{PF}\\HALVEN\\metrics.exe", "10.0.<p>.<o>", "8125", "stats<n>.halven.local")]),
         ("benign", "image load", 7, "none", "Image TargetFilename Signed Signer", [("C:\\Windows\\explorer.exe", f"{S32}\\lib<n>.dll", "true", "Microsoft Windows"), (f"{OFFICE}\\WINWORD.EXE", f"{OFFICE}\\addin<n>.dll", "true", "Microsoft Corporation")]),
         ("benign", "file create", 11, "none", "Image TargetFilename", [(f"{OFFICE}\\WINWORD.EXE", "<home>\\Documents\\report<n>.docx"), (f"{PF}\\Google\\Chrome\\Application\\chrome.exe", "<home>\\Downloads\\invoice<n>.pdf"), (f"{S32}\\svchost.exe", "C:\\Windows\\Prefetch\\APP<n>.pf")]),
         ("benign", "registry", 12, "none", "Image TargetFilename", [("C:\\Windows\\explorer.exe", "HKU\\S-1-5-21-1\\Software\\App<n>"), (f"{S32}\\svchost.exe", "HKLM\\Software\\Microsoft\\Cache\\k<n>")]),
         ("benign", "registry", 13, "none", "Image TargetFilename", [("C:\\Windows\\explorer.exe", "HKU\\S-1-5-21-1\\Software\\App<n>\\Window"), (f"{S32}\\lsass.exe", "HKLM\\System\\CurrentControlSet\\Control\\Lsa\\v<n>"), (f"{OFFICE}\\EXCEL.EXE", "HKU\\S-1-5-21-1\\Software\\Office\\Recent\\f<n>")]),
-        ("benign", "logon", 4624, "none", "LogonType AuthPackage DestinationIp", [("2", "Negotiate", "127.0.0.<n>"), ("3", "Kerberos", "10.0.2.<n>"), ("7", "Negotiate", "127.0.0.<n>"), ("10", "Negotiate", "10.0.3.<n>")]),
-        ("benign", "logon", 4625, "none", "LogonType AuthPackage DestinationIp", [("2", "Negotiate", "127.0.0.<n>"), ("3", "Kerberos", "10.0.2.<n>")]),
+        ("benign", "logon", 4624, "none", "LogonType AuthPackage DestinationIp", [("2", "Negotiate", "127.0.<p>.<o>"), ("3", "Kerberos", "10.0.<p>.<o>"), ("7", "Negotiate", "127.0.<p>.<o>"), ("10", "Negotiate", "10.0.<p>.<o>")]),
+        ("benign", "logon", 4625, "none", "LogonType AuthPackage DestinationIp", [("2", "Negotiate", "127.0.<p>.<o>"), ("3", "Kerberos", "10.0.<p>.<o>")]),
         ("suspicious", "discovery", 1, "medium", "Image CommandLine", [(f"{S32}\\whoami.exe", "whoami /all /n<n>"), (f"{S32}\\net.exe", "net view \\\\server<n>"), (f"{S32}\\nltest.exe", "nltest /dclist:dom<n>"), (f"{S32}\\systeminfo.exe", "systeminfo /s srv<n>"), (f"{S32}\\net.exe", "net group \"Domain Admins\" /domain /n<n>")]),
         ("suspicious", "remote admin", 1, "medium", "Image CommandLine", [(PS, "powershell.exe Enter-PSSession -ComputerName srv<n>"), (f"{S32}\\wbem\\WMIC.exe", "wmic /node:srv<n> os get caption"), (f"{S32}\\mstsc.exe", "mstsc.exe /v:srv<n> /admin")]),
         ("suspicious", "internal fetch", 1, "medium", "Image CommandLine", [(PS, "powershell.exe Invoke-WebRequest http://files.halven.local/pkg<n>.zip -OutFile p.zip"), (f"{S32}\\curl.exe", "curl.exe -o t<n>.ps1 http://files.halven.local/t.ps1"), (f"{S32}\\certutil.exe", "certutil.exe -urlcache -f http://pki.halven.local/ca<n>.crl ca.crl")]),
@@ -67,58 +77,102 @@ TEMPLATES: tuple[tuple[str, str, int, str, dict[str, str]], ...] = tuple(
         ("suspicious", "account admin", 1, "medium", "Image CommandLine", [(f"{S32}\\net.exe", "net user temp<n> /domain"), (f"{S32}\\net.exe", "net localgroup Administrators /n<n>"), (f"{S32}\\dsquery.exe", "dsquery user -name svc<n>*")]),
         ("suspicious", "dual-use tool", 1, "medium", "Image CommandLine", [("C:\\Tools\\PsExec.exe", "PsExec.exe \\\\srv<n> cmd /c hostname"), ("C:\\Tools\\plink.exe", "plink.exe -P <n> ops@10.0.8.4"), ("C:\\Tools\\ProcessHacker.exe", "ProcessHacker.exe -pid <n>")]),
         ("suspicious", "unsigned tool", 1, "medium", "Image CommandLine Signed", [("<home>\\Downloads\\scan<n>.exe", "scan<n>.exe 10.0.0.0/24", "false"), ("<home>\\Desktop\\portable\\viewer.exe", "viewer.exe /open d<n>", "false")]),
-        ("suspicious", "network", 3, "medium", "Image DestinationIp DestinationPort", [("<home>\\Downloads\\agent.exe", "198.51.100.<n>", "8443"), (PS, "10.0.6.<n>", "5985"), (f"{S32}\\rundll32.exe", "203.0.113.<n>", "443")]),
-        ("suspicious", "image load", 7, "medium", "Image TargetFilename Signed", [("<home>\\Downloads\\viewer.exe", "<home>\\Downloads\\plug<n>.dll", "false"), (f"{S32}\\rundll32.exe", "C:\\ProgramData\\mod<n>.dll", "false")]),
+        ("suspicious", "network", 3, "medium", "Image DestinationIp DestinationPort", [("<home>\\Downloads\\agent.exe", "198.51.<p>.<o>", "8443"), (PS, "10.0.<p>.<o>", "5985"), (f"{S32}\\rundll32.exe", "203.0.<p>.<o>", "443")]),
         ("suspicious", "file", 11, "medium", "Image TargetFilename", [(PS, "C:\\ProgramData\\stage<n>.ps1"), (f"{S32}\\cmd.exe", "C:\\Windows\\Temp\\out<n>.txt"), ("<home>\\Downloads\\setup.exe", "<home>\\AppData\\Roaming\\helper<n>.exe")]),
         ("suspicious", "registry", 12, "medium", "Image TargetFilename", [(f"{S32}\\reg.exe", "HKCU\\Software\\Classes\\tool<n>"), (PS, "HKCU\\Software\\Scripts\\s<n>")]),
         ("suspicious", "registry", 13, "medium", "Image TargetFilename", [(f"{S32}\\reg.exe", "HKCU\\Software\\Vendor\\Policy<n>"), (PS, "HKLM\\System\\CurrentControlSet\\Services\\drv<n>\\Start")]),
-        ("suspicious", "logon", 4624, "medium", "LogonType AuthPackage DestinationIp", [("10", "Negotiate", "203.0.113.<n>"), ("3", "NTLM", "10.0.7.<n>")]),
-        ("suspicious", "failed logon", 4625, "medium", "LogonType AuthPackage DestinationIp", [("3", "NTLM", "10.0.7.<n>"), ("10", "Negotiate", "203.0.113.<n>")]),
+        ("suspicious", "logon", 4624, "medium", "LogonType AuthPackage DestinationIp", [("10", "Negotiate", "203.0.<p>.<o>"), ("3", "NTLM", "10.0.<p>.<o>")]),
+        ("suspicious", "failed logon", 4625, "medium", "LogonType AuthPackage DestinationIp", [("3", "NTLM", "10.0.<p>.<o>"), ("10", "Negotiate", "203.0.<p>.<o>")]),
     )
     for row in rows
 )
 
 
-def generated(spark: SparkSession, n: int, kind: str, mode: str = "backfill", seed: str = "1", prefix: str = "B") -> DataFrame:
-    """About n distinct events of a class: id, name, gold, severity, event, the contract fields.
+def mix_of(kind: str) -> list[tuple[int, float]]:
+    """Shares of each EventID, with those of kinds that a class has no template for where they go."""
+    shares = dict(MIX)
+    for event_id, to in FOLDED.get(kind, {}).items():
+        shares[to] += shares.pop(event_id)
+    return list(shares.items())
+
 
-    A quota stays short only where its templates give fewer distinct bodies within TRIES times the quota.
+def tried(spark: SparkSession, kind: str, ranges: dict[int, tuple[int, int]], numbers: int, mode: str, seed: str) -> DataFrame:
+    """The events (eid, at, name, severity, event, contract fields) of the numbers from..to of each EventID.
+
+    Which template, account, parent and numbers (below `numbers`) an event has follows from hashes of the seed, the
+    class, its EventID and its own number.
     """
-    mix = spark.createDataFrame([(k, s, i) for i, (k, s) in enumerate(MIX)], "key int, share double, ord int")
-    own = [t for t in TEMPLATES if t[0] == kind]
     families: dict[int, list[str]] = {}
     variants: dict[tuple[int, str], int] = {}
     rows = []
-    for _, family, event_id, severity, fields in own:
+    for _, family, event_id, severity, fields in (t for t in TEMPLATES if t[0] == kind):
         turn = families.setdefault(event_id, [])
         if family not in turn:
             turn.append(family)
         v = variants[event_id, family] = variants.get((event_id, family), 0) + 1
-        rows.append((event_id, turn.index(family), v - 1, family, severity, *(fields.get(f) for f in FIELDS[2:])))
-    table = spark.createDataFrame(rows, "eid int, turn int, variant int, name string, severity string, " + ", ".join(f"{f} string" for f in FIELDS[2:]))
-    turns = spark.createDataFrame([(e, i, len(f), variants[e, x]) for e, f in families.items() for i, x in enumerate(f)], "eid int, turn int, turns int, variants int")
+        rows.append((event_id, family, v - 1, severity, *(fields.get(f) for f in FIELDS[2:])))
+    table = spark.createDataFrame(rows, "eid int, name string, variant int, severity string, " + ", ".join(f"{f} string" for f in FIELDS[2:]))
+    order = {e: [x for x in f for _ in range(TURNS.get(x, 1))] for e, f in families.items()}
+    turns = spark.createDataFrame([(e, i, len(f), x, variants[e, x]) for e, f in order.items() for i, x in enumerate(f)], "eid int, turn int, turns int, name string, variants int")
 
-    quota = apportion(mix, n).select(F.col("key").alias("eid"), F.col("n").alias("quota")).where("quota > 0")
-    tries = quota.select("eid", "quota", F.explode(F.sequence(F.lit(0).cast("long"), F.col("quota") * TRIES - 1)).alias("at"))
+    total, eid, at = 0, F.lit(None).cast("int"), F.lit(None).cast("long")
+    for event_id, (lo, hi) in ranges.items():
+        own = (F.col("id") >= total) & (F.col("id") < total + hi - lo)
+        eid, at = F.when(own, F.lit(event_id)).otherwise(eid), F.when(own, F.col("id") - total + lo).otherwise(at)
+        total += hi - lo
+    tries = spark.range(0, total, 1, max(1, -(-total // TASK))).select(eid.alias("eid"), at.alias("at"))
     key = [F.lit(seed), F.lit(kind), F.col("eid"), F.col("at")]
     number = lambda n, what: F.conv(F.substring(F.sha2(F.concat_ws("|", *key, F.lit(what)), 256), 1, 8), 16, 10).cast("long") % n
     tries = tries.join(F.broadcast(turns), (tries["eid"] == turns["eid"]) & (F.pmod(tries["at"], turns["turns"].cast("long")) == turns["turn"])).drop(turns["eid"])
-    made = tries.withColumn("variant", number(F.col("variants"), "variant").cast("int")).join(F.broadcast(table), ["eid", "turn", "variant"])
+    made = tries.withColumn("variant", number(F.col("variants"), "variant").cast("int")).join(F.broadcast(table), ["eid", "name", "variant"])
     at_home = account(("local", "local", "local", "domain", "domain"), *key)
     personal = F.coalesce("Image", F.lit("")).contains("<home>") | F.coalesce("CommandLine", F.lit("")).contains("<home>") | F.coalesce("TargetFilename", F.lit("")).contains("<home>")
     user = F.coalesce("User", F.when(personal, at_home).otherwise(account(ACCOUNT_KINDS, *key)))
-    made = made.withColumns({"User": user, "_home": home_of(at_home), "_host": pick(HOSTS, *key, F.lit("on")), "_n": number(F.lit(250), "n").cast("string")})
-    fill = lambda c: F.replace(F.replace(F.replace(F.col(c), F.lit("<home>"), F.col("_home")), F.lit("<host>"), F.col("_host")), F.lit("<n>"), F.col("_n"))
+    drawn_text = {"<home>": home_of(at_home), "<host>": pick(HOSTS, *key, F.lit("on")), "<n>": number(numbers, "n").cast("string"), "<o>": number(250, "o").cast("string"), "<p>": number(250, "p").cast("string")}
+    made = made.withColumns({"User": user} | {f"_{k[1:-1]}": v for k, v in drawn_text.items()})
+
+    def fill(c: str) -> Column:
+        out = F.col(c)
+        for k in drawn_text:
+            out = F.replace(out, F.lit(k), F.col(f"_{k[1:-1]}"))
+        return out
+
     made = made.withColumns({f: fill(f) for f in FIELDS[2:]})
     pool = [p for group in DRAWN_FROM for p in PARENT_GROUPS[group]]
-    own = F.get(F.array(*(F.struct(F.lit(i).alias("image"), F.lit(c).alias("command")) for i, c in pool)), drawn(len(pool), *key, F.lit("parent")))
-    made = made.withColumn("_parent", F.when((F.col("eid") == 1) & F.col("ParentImage").isNull(), own))
+    parent = F.get(F.array(*(F.struct(F.lit(i).alias("image"), F.lit(c).alias("command")) for i, c in pool)), drawn(len(pool), *key, F.lit("parent")))
+    made = made.withColumn("_parent", F.when((F.col("eid") == 1) & F.col("ParentImage").isNull(), parent))
     made = made.withColumns({
         "ParentImage": F.coalesce("ParentImage", "_parent.image"), "ParentCommandLine": F.coalesce("ParentCommandLine", "_parent.command"),
         "EventID": F.col("eid").cast("string"), "EventType": F.lit(None).cast("string"),
     })
-    bodies = rendered(made, mode)
-    fresh = bodies.withColumn("_first", F.row_number().over(Window.partitionBy("event").orderBy("eid", "at"))).where("_first = 1")
-    kept = fresh.withColumn("_place", F.row_number().over(Window.partitionBy("eid").orderBy("at"))).where("_place <= quota")
-    order = Window.orderBy("eid", "at")  # n events of a configuration, numbered one after another
-    return kept.withColumn("id", F.format_string(f"{prefix}%03d", F.row_number().over(order))).select("id", "name", F.lit(kind).alias("gold"), "severity", "event", *FIELDS)
+    return rendered(made, mode).select("eid", "at", "name", "severity", "event", *FIELDS)
+
+
+def generated(spark: SparkSession, n: int, kind: str, mode: str = "backfill", seed: str = "1", prefix: str = "B") -> DataFrame:
+    """n distinct events of a class, as many of each EventID as its share asks for: id, name, gold, severity, event, the
+    contract fields. ValueError where the templates do not give so many distinct bodies."""
+    mix = spark.createDataFrame([(k, s, i) for i, (k, s) in enumerate(mix_of(kind))], "key int, share double, ord int")
+    quota = {r["key"]: r["n"] for r in apportion(mix, n).collect() if r["n"]}  # a row an EventID
+    numbers = max(250, 4 * n)
+    kept: DataFrame | None = None
+    short, start, idle = dict(quota), dict.fromkeys(quota, 0), 0
+    while any(short.values()):
+        ranges = {e: (start[e], start[e] + int(s * MORE) + 16) for e, s in short.items() if s}
+        start |= {e: hi for e, (_, hi) in ranges.items()}
+        rows = staged(tried(spark, kind, ranges, numbers, mode, seed), "tried")
+        first = rows.groupBy("event").agg(F.min(F.struct("eid", "at")).alias("k")).select("event", "k.eid", "k.at")
+        if kept is not None:
+            first = first.join(kept.select("event"), "event", "left_anti")
+        wanted = F.element_at(F.create_map(*(F.lit(x) for e, s in short.items() for x in (e, s))), F.col("eid"))
+        places = numbered(first.select("eid", "at"), ["eid"], [F.col("at")], "place").where(F.col("place") <= wanted)
+        new = staged(rows.join(places.select("eid", "at"), ["eid", "at"], "left_semi"), "made")
+        kept = new if kept is None else kept.unionByName(new)
+        found = {r["eid"]: r["count"] for r in new.groupBy("eid").count().collect()}
+        short = {e: s - found.get(e, 0) for e, s in short.items()}
+        idle = 0 if found else idle + 1
+        if idle >= IDLE:
+            raise ValueError(f"templates do not give {n} distinct events; missing by EventID: {short}")
+    if kept is None:
+        kept = tried(spark, kind, dict.fromkeys(quota, (0, 0)), numbers, mode, seed)
+    places = numbered(kept.select("eid", "at"), [], [F.col("eid"), F.col("at")], "_place")
+    return kept.join(places, ["eid", "at"]).withColumn("id", F.format_string(f"{prefix}%03d", F.col("_place"))).select("id", "name", F.lit(kind).alias("gold"), "severity", "event", *FIELDS)

@@ -58,6 +58,26 @@ def softmax_margin(scores: DataFrame) -> DataFrame:
     return out.withColumns({"severity": best(SEVERITIES), "pred": best(CLASSES), "margin": F.get(ordered, F.lit(0)) - F.get(ordered, F.lit(1))})
 
 
+def paired(human: DataFrame, machine: DataFrame) -> DataFrame:
+    """signature, human, auto, rule of signatures that both have decided (signature, severity; a rule of the machine's)."""
+    rule = F.col("rule") if "rule" in machine.columns else F.lit(None).cast("string").alias("rule")
+    m = machine.select("signature", F.col("severity").alias("auto"), rule)
+    return human.select("signature", F.col("severity").alias("human")).join(m, "signature")
+
+
+def disagreements(pairs: DataFrame) -> DataFrame:
+    """Pairs with different severities (null: drop), and on which side the machine is: under the human one or over it."""
+    h, a = (F.coalesce(F.col(c), F.lit("drop")) for c in ("human", "auto"))
+    side = F.when(rules.ranked_severity(a) < rules.ranked_severity(h), "under").otherwise("over")
+    return pairs.where(h != a).select("signature", h.alias("human"), a.alias("auto"), "rule", side.alias("side"))
+
+
+def histograms(decisions: DataFrame, columns: list[str]) -> DataFrame:
+    """of, value, groups, events: how many decisions (with n events each) have each value of each column, in one aggregate."""
+    counted = decisions.select("n", F.explode(F.array(*(F.struct(F.lit(c).alias("of"), F.col(c).cast("string").alias("value")) for c in columns))).alias("x"))
+    return counted.groupBy("x.of", "x.value").agg(F.count("*").alias("groups"), F.sum("n").alias("events"))
+
+
 def agreement(pairs: DataFrame) -> DataFrame:
     """n, exact, same_class, under, over of severities (human, auto) by joined signature."""
     h, a = rules.ranked_severity(F.col("human")), rules.ranked_severity(F.col("auto"))
@@ -119,19 +139,63 @@ def best_run(runs: DataFrame) -> DataFrame:
     return runs.agg(F.max_by("run", F.struct("accuracy", -F.col("under_call"))).alias("run"))
 
 
+#: Ranges that a pass counts for each place that is looked for.
+RANGES = 1_024
+
+
+def values_at(rows: DataFrame, column: str, places: list[int], ranges: int = RANGES) -> list:
+    """The values at these places (from 0) of the ascending order of a numeric column; nulls and NaN have no place.
+
+    A pass divides the range that a place is known to lie in into equal parts and counts the values of each, with
+    their least and largest; the next pass looks into one part only. It ends when a part holds one value. Each pass is one
+    aggregate, combined before the shuffle, whose few rows come to the driver; no rows are sorted. Beyond the last
+    place: None.
+    """
+    v = F.col(column)
+    known = rows.where(v.isNotNull() & ~F.isnan(v.cast("double"))).select(v.alias("v"))
+    low, high, n = known.agg(F.min("v"), F.max("v"), F.count("*")).first()
+    found: dict[int, object] = {k: None for k in places}
+    open_: dict[tuple, list[int]] = {(low, high, 0): sorted({k for k in places if 0 <= k < n})} if n else {}
+    while open_:
+        for part in [p for p in open_ if p[0] == p[1]]:
+            found |= dict.fromkeys(open_.pop(part), part[0])
+        if not open_:
+            break
+        parts = list(open_)
+
+        def place(i: int, lo, hi) -> Column:
+            inside = F.col("v").between(F.lit(lo), F.lit(hi))
+            width = float(hi) - float(lo)
+            if width == float("inf"):  # too far apart for a double: the ends by themselves, and by sign
+                at = F.when(F.col("v") == F.lit(lo), 0).when(F.col("v") == F.lit(hi), 3).otherwise(F.when(F.col("v") > 0, 2).otherwise(1))
+            elif width > 0:
+                at = F.least(F.floor((F.col("v").cast("double") - float(lo)) / width * ranges), F.lit(ranges - 1)).cast("int")
+            else:  # too close for doubles
+                at = (F.col("v") - F.lit(lo)).cast("int") if isinstance(lo, int) else (F.col("v") != F.lit(lo)).cast("int")
+            return F.when(inside, F.struct(F.lit(i).alias("part"), at.alias("at")))
+
+        each = known.select("v", F.explode(F.array_compact(F.array(*(place(i, lo, hi) for i, (lo, hi, _) in enumerate(parts))))).alias("p"))
+        counted = each.groupBy("p").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("p").collect()
+        after: dict[tuple, list[int]] = {}
+        for i, (_, _, before) in enumerate(parts):
+            for r in (r for r in counted if r["p"]["part"] == i):
+                inside = [k for k in open_[parts[i]] if before <= k < before + r["n"]]
+                if inside:
+                    after[r["lo"], r["hi"], before] = inside
+                before += r["n"]
+        open_ = after
+    return [found[k] for k in places]
+
+
 def length_percentiles(rows: DataFrame, column: str) -> DataFrame:
     """n, p50, p95, longest: values at the places n // 2 and int(n * 0.95) of the ascending order, without interpolation.
 
-    Equal values are counted first, so the one ordered pass is over distinct lengths.
+    Nulls do not count. No rows: n is 0 and the values are null.
     """
-    from pyspark.sql import Window
-
-    counts = rows.groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    upto = counts.withColumn("upto", F.sum("n").over(w))
-    total = rows.count()
-    at = lambda k: F.min(F.when(F.col("upto") > k, F.col("v")))
-    return upto.agg(F.sum("n").alias("n"), at(total // 2).alias("p50"), at(int(total * 0.95)).alias("p95"), F.max("v").alias("longest"))
+    n = rows.agg(F.count(column)).first()[0]
+    p50, p95, longest = values_at(rows, column, [n // 2, int(n * 0.95), n - 1])
+    kind = rows.schema[column].dataType.simpleString()
+    return rows.sparkSession.createDataFrame([(n, p50, p95, longest)], f"n long, p50 {kind}, p95 {kind}, longest {kind}")
 
 
 def refreshed(results: DataFrame, current: DataFrame) -> DataFrame:

@@ -11,6 +11,12 @@ from tracewright.functions.signatures import basename, with_behaviour
 from tracewright.sources.writers import staged
 
 
+# How frequent a signature is ambient and a coarse one common; scores of the captures a signature is in.
+AMBIENT_MIN, COARSE_MIN = 2, 20
+FILE_BANDS = ((8, -4.0), (4, -1.5))
+ALONE = 1.5
+
+
 def profile(benign: DataFrame) -> DataFrame:
     """How often each signature, with its coarse one, occurs in benign events."""
     return with_behaviour(benign).groupBy("signature", "coarse").agg(F.count("*").alias("n"))
@@ -26,7 +32,33 @@ def prepared(attack: DataFrame) -> DataFrame:
     return with_behaviour(normalised(attack)).withColumn("event", body())
 
 
-def scored(attack: DataFrame, benign: DataFrame, ambient_min: int = 2) -> DataFrame:
+def own_parts(a: DataFrame) -> DataFrame:
+    """prepared() events with what they say by themselves: labels of heuristics, words of the capture's name that they hold, an odd
+    lineage, and the part of the score that these make."""
+    low = F.lower("event")
+    a = a.withColumn("labels", rules.heuristic_labels(F.col("event"))).withColumn("named", F.array_sort(F.filter(rules.source_tokens(F.col("src")), lambda t: low.contains(t))))
+    n_named = F.size("named")
+    a = a.withColumn("lineage", rules.bad_lineage(F.col("ParentImage"), F.col("Image")))
+    return a.withColumn("own", F.when(n_named > 0, 2.0 + 0.5 * n_named).otherwise(0.0) + rules.heuristic_score(F.col("labels")) + F.when(F.col("lineage"), 3.0).otherwise(0.0))
+
+
+def file_band(n: int) -> int:
+    """Which captures are told apart: none, one, some, and those from each bound of FILE_BANDS on."""
+    return min(n, 2) + sum(n >= bound for bound, _ in FILE_BANDS)
+
+
+def judged(a: DataFrame, ambient_min: int = AMBIENT_MIN) -> DataFrame:
+    """own_parts() rows with their profile (amb, camb, n_files): score, the rule that drops them, and prelabel."""
+    files = F.when(F.col("n_files") == 1, ALONE)
+    for bound, value in reversed(FILE_BANDS):
+        files = F.when(F.col("n_files") >= bound, value).otherwise(files)
+    profile = F.when(F.col("amb") >= ambient_min, -6.0).when(F.col("camb") >= COARSE_MIN, -2.5).otherwise(0.0) + F.coalesce(files, F.lit(0.0))
+    out = a.withColumns({"score": F.round(profile + F.col("own"), 2), "auto": rules.auto_drop(F.col("EventID"), F.col("TargetFilename"), F.col("Image"), F.col("amb"))})
+    prelabel = F.when(F.col("auto").isNotNull(), "drop").when(F.col("score") >= 4.0, "malicious").when(F.col("score") >= 1.0, "review").otherwise("drop")
+    return out.withColumn("prelabel", prelabel)
+
+
+def scored(attack: DataFrame, benign: DataFrame, ambient_min: int = AMBIENT_MIN) -> DataFrame:
     """One row an attack event: ord, src, EventID, signature, event, score, prelabel, why, auto, ambient.
 
     The three profile joins are on keys that one aggregate makes unique; Spark broadcasts a profile only
@@ -38,29 +70,17 @@ def scored(attack: DataFrame, benign: DataFrame, ambient_min: int = 2) -> DataFr
     fine = ambient.groupBy("signature").agg(F.sum("n").alias("amb"))
     coarse = ambient.groupBy("coarse").agg(F.sum("n").alias("camb"))
     a = a.join(fine, "signature", "left").join(ubiquity(a), "signature").join(coarse, "coarse", "left")
-    a = a.withColumns({"amb": F.coalesce("amb", F.lit(0)), "camb": F.coalesce("camb", F.lit(0))})
-    ambient, common = F.col("amb") >= ambient_min, F.col("camb") >= 20
-    low = F.lower("event")
-    a = a.withColumn("labels", rules.heuristic_labels(F.col("event"))).withColumn("named", F.array_sort(F.filter(rules.source_tokens(F.col("src")), lambda t: low.contains(t))))
-    n_named, lineage = F.size("named"), rules.bad_lineage(F.col("ParentImage"), F.col("Image"))
-    score = (
-        F.when(ambient, -6.0).when(common, -2.5).otherwise(0.0)
-        + F.when(F.col("n_files") >= 8, -4.0).when(F.col("n_files") >= 4, -1.5).when(F.col("n_files") == 1, 1.5).otherwise(0.0)
-        + F.when(n_named > 0, 2.0 + 0.5 * n_named).otherwise(0.0)
-        + rules.heuristic_score(F.col("labels"))
-        + F.when(lineage, 3.0).otherwise(0.0)
-    )
+    a = own_parts(a.withColumns({"amb": F.coalesce("amb", F.lit(0)), "camb": F.coalesce("camb", F.lit(0))}))
+    ambient, common = F.col("amb") >= ambient_min, F.col("camb") >= COARSE_MIN
     text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
     why = F.array_compact(F.concat(
         F.array(F.when(ambient, text("ambient in real capture (x", F.col("amb"), ")")).when(common, text("common image/parent pair on a real host (x", F.col("camb"), ")"))),
         F.array(F.when(F.col("n_files") >= 8, text("appears in ", F.col("n_files"), " unrelated captures")).when(F.col("n_files") >= 4, text("appears in ", F.col("n_files"), " captures")).when(F.col("n_files") == 1, F.lit("unique to this capture"))),
-        F.array(F.when(n_named > 0, text("matches sample name (", F.array_join(F.slice("named", 1, 3), ", "), ")"))),
+        F.array(F.when(F.size("named") > 0, text("matches sample name (", F.array_join(F.slice("named", 1, 3), ", "), ")"))),
         F.col("labels"),
-        F.array(F.when(lineage, text("anomalous lineage ", basename(F.col("ParentImage")), " -> ", basename(F.col("Image"))))),
+        F.array(F.when(F.col("lineage"), text("anomalous lineage ", basename(F.col("ParentImage")), " -> ", basename(F.col("Image"))))),
     ))
-    out = a.select("ord", "src", "EventID", "signature", "event", F.round(score, 2).alias("score"), why.alias("why"), rules.auto_drop(F.col("EventID"), F.col("TargetFilename"), F.col("Image"), F.col("amb")).alias("auto"), "amb")
-    prelabel = F.when(F.col("auto").isNotNull(), "drop").when(F.col("score") >= 4.0, "malicious").when(F.col("score") >= 1.0, "review").otherwise("drop")
-    return out.withColumn("prelabel", prelabel)
+    return judged(a, ambient_min).select("ord", "src", "EventID", "signature", "event", "score", why.alias("why"), "auto", "amb", "prelabel")
 
 
 def top(queue: DataFrame, n: int) -> DataFrame:

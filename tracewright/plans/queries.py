@@ -2,34 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions import contract, prompts, rewriting, rules, signatures, targets
 from tracewright.operators import audit, decisions, generate, labels, metrics, queue, sampling
-from tracewright.plans import bridge
+from tracewright.plans import bridge, stateful  # noqa: F401 (its queries are registered)
 from tracewright.plans import oracles as o
+from tracewright.plans.registry import ORACLE_SQL, QUERIES, query
 from tracewright.sources.readers import parse_events
 from tracewright.sources.writers import staged, upserted
 from tracewright.streaming import ingest
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 def _attack(spark: SparkSession, sf: str) -> DataFrame:
     return bridge.telemetry(spark, sf).where("attack")
 
@@ -548,14 +532,11 @@ def training_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select("id", "severity", "split", F.col("prompt")[0]["content"].alias("system"), F.col("prompt")[1]["content"].alias("user"), "completion")
 
 
-_CARRIED = [f for f in contract.FIELDS[2:] if f in bridge.CHOICES and f not in ("ParentCommandLine",)]
-
-
-@query(f"{o.TELEMETRY} SELECT ord, EventID, {', '.join(f'CASE WHEN length({f}) > 512 THEN substr({f}, 1, 512) || {bridge.quoted("...")} ELSE {f} END AS {f}' if f == 'CommandLine' else f for f in _CARRIED)} FROM telemetry WHERE coalesce(Image, TargetFilename, DestinationIp, \"User\") IS NOT NULL")
+@query(stateful.EVENTS_SQL)
 def xml_events(spark: SparkSession, sf: str) -> DataFrame:
-    data = F.concat_ws("", *(F.when(F.col(f).isNotNull(), F.concat(F.lit(f"<Data Name='{ {'AuthPackage': 'AuthenticationPackageName'}.get(f, f) }'>"), F.col(f), F.lit("</Data>"))) for f in _CARRIED))
+    data = F.concat_ws("", *(F.when(F.col(f).isNotNull(), F.concat(F.lit(f"<Data Name='{stateful.NAMED.get(f, f)}'>"), F.col(f), F.lit("</Data>"))) for f in stateful.CARRIED))
     xml = F.concat(F.lit('<Event xmlns="http://schemas.microsoft.com/win/2004/08/events/event"><System><EventID Qualifiers="0">'), F.col("EventID"), F.lit("</EventID></System><EventData>"), data, F.lit("</EventData></Event>"))
-    return parse_events(bridge.telemetry(spark, sf).select("ord", xml.alias("xml")), "xml").select("ord", "EventID", *_CARRIED)
+    return parse_events(bridge.telemetry(spark, sf).select("ord", xml.alias("xml")), "xml").select("ord", "EventID", *stateful.CARRIED)
 
 
 @query(f"{o.SIGNED_EVENTS}, raw AS (SELECT {o.SIGNATURE} AS signature FROM telemetry) SELECT signature, count(*) AS n FROM raw GROUP BY 1")
@@ -650,13 +631,14 @@ def prediction_spread(spark: SparkSession, sf: str) -> DataFrame:
     return _predictions(spark, sf).groupBy("severity", "pred").agg(F.count("*").alias("n"))
 
 
-_OWN = "SELECT 'S' || id AS signature, CASE WHEN id % 2 = 0 THEN 'high' END AS severity FROM range(0, 300)"
-_DEFAULT = "SELECT 'S' || id AS signature, 'low' AS severity FROM range(200, 500)"
+_OWN = "SELECT 'S' || user_id AS signature, CASE WHEN max(event_id) % 2 = 0 THEN 'high' END AS severity FROM {} WHERE event_type = 'click' GROUP BY user_id"
+_DEFAULT = "SELECT 'S' || user_id AS signature, 'low' AS severity FROM {} WHERE event_type = 'error' GROUP BY user_id"
 
 
-@query(f"WITH own AS ({_OWN.replace('FROM range', 'FROM (SELECT range AS id FROM range')})), rest AS ({_DEFAULT.replace('FROM range', 'FROM (SELECT range AS id FROM range')})) SELECT * FROM own UNION ALL SELECT * FROM rest WHERE signature NOT IN (SELECT signature FROM own)")
+@query(f"WITH own AS ({_OWN.format('events')}), rest AS ({_DEFAULT.format('events')}) SELECT * FROM own UNION ALL SELECT * FROM rest WHERE signature NOT IN (SELECT signature FROM own)")
 def default_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return labels.with_defaults(spark.sql(_OWN), spark.sql(_DEFAULT))
+    e = bridge.table(spark, sf, "events")
+    return labels.with_defaults(spark.sql(_OWN.format("{e}"), e=e), spark.sql(_DEFAULT.format("{e}"), e=e))
 
 
 @query("SELECT round(sum(l_extendedprice * l_quantity) / sum(l_quantity), 4) AS loss FROM lineitem")

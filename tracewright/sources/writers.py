@@ -1,24 +1,33 @@
-"""Sinks: JSON lines, keyed tables with upsert, folders of rendered events, checksums."""
+"""Sinks: JSON lines, keyed tables with upsert, tables of rendered events, checksums."""
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracewright.sources.files import located, on_workers
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table of its own below spark.checkpoint.dir, read back: computed once for all that follows.
+
+def fresh(spark: SparkSession, name: str) -> str:
+    """A new path below spark.checkpoint.dir, which driver and executors share.
 
     Only with a local master a temporary folder stands in where that setting is not made.
     """
-    spark = df.sparkSession
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    path = f"{(shared or f'file://{tempfile.gettempdir()}').rstrip('/')}/tracewright/{name}-{uuid.uuid4().hex}"
+    return f"{(shared or f'file://{tempfile.gettempdir()}').rstrip('/')}/tracewright/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table of its own in a fresh() path, read back: computed once for all that follows."""
+    spark, path = df.sparkSession, fresh(df.sparkSession, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -34,6 +43,43 @@ def upserted(current: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return current.join(changes.select(key), key, "left_anti").unionByName(changes, allowMissingColumns=True)
 
 
+#: Parts that a keyed table is written in.
+BUCKETS = 64
+
+
+def _bucketed(rows: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    return rows.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def keyed_table(rows: DataFrame, path: str, keys: list[str], buckets: int = BUCKETS) -> None:
+    """Write rows (keys are unique) as a table that upsert_table() can change, in parts by a hash of the keys."""
+    _bucketed(rows, keys, buckets).repartition(buckets, "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(path)
+
+
+def upsert_table(changes: DataFrame, path: str, keys: list[str], buckets: int = BUCKETS) -> int:
+    """Put changes (unique keys, columns of the table or fewer) in place of the rows with their keys, or beside them.
+
+    Only parts that a changed key lies in are read and written again, as copies that replace the old ones when all are
+    there; the files of other parts stay as they are. `buckets` is that of keyed_table(). Returns how many parts were written.
+    """
+    spark = changes.sparkSession
+    new = staged(_bucketed(changes, keys, buckets), "changes")
+    touched = sorted(r[0] for r in new.select("_bucket").distinct().collect())  # at most `buckets` numbers
+    if not touched:
+        return 0
+    table = spark.read.parquet(path)
+    old = table.where(F.col("_bucket").isin(touched))
+    same = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
+    stay = old.alias("o").join(new.select("_bucket", *keys).alias("n"), [F.col("o._bucket") == F.col("n._bucket"), *same], "left_anti")
+    rows = stay.unionByName(new, allowMissingColumns=True).select(table.columns)
+    rows.repartition(len(touched), "_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path)
+    return len(touched)
+
+
+def read_keyed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("_bucket")
+
+
 def append_decisions(decisions: DataFrame, path: str) -> None:
     """Add decisions to the log; nothing that is written is changed, so a crash loses none."""
     decisions.write.mode("append").parquet(path)
@@ -44,20 +90,28 @@ def rendered_events(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("gold").parquet(path)
 
 
-def class_directory(rows: DataFrame, path: str) -> None:
-    """rows (id, event, name, gold, severity, rationale, source, family, attck) as readers.class_directory() reads them:
-    one text file an event, labels.json and manifest.tsv. A folder of files is for sets that people read, so of at most
-    some thousands of events; rendered_events() keeps larger ones."""
-    spark = rows.sparkSession
-    line = F.concat_ws("\t", F.concat("id", F.lit(".txt")), "source", F.regexp_extract("event", r"(?m)^EventID: (.*)$", 1), "family", "severity", "attck", "rationale")
-    labels = F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("id", F.array("name", "gold", "severity", "rationale"))))))
-    heading = spark.createDataFrame([("file\tsource\tevent_id\tfamily\tseverity\tattck\trationale", "")], "value string, id string")
-    rows.select("id", "event").write.mode("overwrite").partitionBy("id").text(f"{path}/events")
-    rows.agg(labels.alias("value")).coalesce(1).write.mode("overwrite").text(f"{path}/labels.json")
-    heading.unionByName(rows.select(line.alias("value"), "id")).orderBy("id").coalesce(1).select("value").write.mode("overwrite").text(f"{path}/manifest.tsv")
+#: Bytes of a file that are in memory at once.
+PIECE = 1 << 20
 
 
 def checksums(spark: SparkSession, path: str) -> DataFrame:
-    """path, sha256 of every file below a folder, in order of path."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.sha2("content", 256).alias("sha256")).orderBy("path")
+    """path, length, sha256 of every file below a folder, in order of path.
+
+    Spark lists the files without their content; tasks read them in pieces, so files of any size take the same memory.
+    """
+    on_workers(spark)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for name in batch.column("path").to_pylist():
+                digest = hashlib.sha256()
+                store, at = located(name)
+                with store.open_input_stream(at) as file:
+                    while piece := file.read(PIECE):
+                        digest.update(piece)
+                found.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=["path", "length", "sha256"])
+
+    return files.mapInArrow(digests, "path string, length long, sha256 string").orderBy("path")
