@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import pyarrow as pa
@@ -38,8 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
 WIDE_ROWS = {"compression": "uncompressed", "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1", "parquet.enable.dictionary": "false"}
 
 
-#: Tables written inside each open temporary() block.
-_open: list[list[DataFrame]] = []
+#: Tables written inside each open temporary() block of a thread, the innermost block last.
+_open: ContextVar[tuple[list[DataFrame], ...]] = ContextVar("open", default=())
 
 
 def written(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
@@ -52,27 +53,30 @@ def written(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
     df.write.options(**(WIDE_ROWS if wide else {})).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
-    if _open:
-        _open[-1].append(out)
+    if blocks := _open.get():
+        blocks[-1].append(out)
     return out
 
 
 @contextmanager
 def temporary() -> Iterator[None]:
     """Tables that are written inside are deleted at its end, but those that kept() names."""
-    _open.append([])
+    own: list[DataFrame] = []
+    before = _open.set((*_open.get(), own))
     try:
         yield
     finally:
-        for table in _open.pop():
+        _open.reset(before)
+        for table in own:
             discard(table)
 
 
 def kept(df: DataFrame) -> DataFrame:
     """A written table that outlives the temporary() block it was written in."""
-    _open[-1].remove(df)
-    if len(_open) > 1:
-        _open[-2].append(df)
+    *outer, own = _open.get()
+    own.remove(df)
+    if outer:
+        outer[-1].append(df)
     return df
 
 

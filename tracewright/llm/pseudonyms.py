@@ -30,21 +30,26 @@ ACCOUNTS = {
 }
 
 
+_KNOWN = "|".join(c for names in ACCOUNTS.values() for c in names.split())
+
+
 def _accounts() -> str:
-    """Accounts of the known countries by their lengths; of other countries any length."""
-    known = "|".join(c for names in ACCOUNTS.values() for c in names.split())
+    """What may be an account: of the known countries by their lengths, of other countries of any length."""
     by_length = []
     for length, names in ACCOUNTS.items():
         groups, rest = divmod(length - 4, 4)
         by_length.append(rf"(?:{names.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (rf" ?[A-Z0-9]{{{rest}}}" if rest else ""))
-    return rf"\b(?:{'|'.join(by_length)}|(?!{known})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)\b"
+    return rf"(?:{'|'.join(by_length)}|(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)\b"
 
 
+#: Every place where an account or a card may begin, with what it may be; places may lie within one another.
+ACCOUNT = rf"\b(?=({_accounts()}))"
+CARD = r"(?<![0-9])(?=((?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\3[0-9]{5})(?![0-9])))"
 #: What is looked for, in this order; kind, pattern. Runs without a bound are possessive and entered once (a local part
 #: begins where no character of one is before it, or where the last match ended), so they are linear and not recursive.
 PATTERNS: tuple[tuple[str, str], ...] = (
     ("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"),
-    ("iban", _accounts()),
+    ("iban", ""),  # the accounts of the text whose check digits hold: accounts_in()
     ("key", r"\bAKIA[0-9A-Z]{16}\b"),
     ("secret", r"(?i:password|passwd|pwd|secret|token|api_?key)\s*[=:]\s*[\"']?[A-Za-z0-9_+/-]{8,}"),
     ("hex", r"\b(?:[0-9a-f]{32,}|[0-9A-F]{32,})\b"),
@@ -52,20 +57,56 @@ PATTERNS: tuple[tuple[str, str], ...] = (
     ("date", r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\1[0-9]{4})(?![0-9]|[./-][0-9])"),
     ("phone", r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])|\+[0-9]{1,3}[ .-]?\(?[0-9]{1,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9.-])[0-9]{3}([.-])[0-9]{3}\1[0-9]{4}(?![0-9]|[.-][0-9])|(?<![0-9.-])1([ .-])[0-9]{3}\2[0-9]{3}\2[0-9]{4}(?![0-9]|[.-][0-9])|(?<![0-9.-])1[ .-]?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9]|[.-][0-9])|(?<![0-9.-])[0-9]{3} [0-9]{3} [0-9]{4}(?![0-9]|[.-][0-9])"),
     ("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"),
-    ("card", r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{5})(?![0-9])"),
+    ("card", ""),  # likewise: cards_in()
 )
 #: Days are permuted among those of 1900-01-01 to 2099-12-31 (73,049, which is 17 times 4,297), all others of the years
 #: 1 to 9999 among themselves (3,579,010, which is 10 times 357,901).
 DAYS, OTHER_DAYS = (17, 4297), (10, 357_901)
 
 
-def _any() -> str:
-    """One alternation of all patterns; references to groups count from the first pattern on."""
-    out, groups = [], 0
-    for _, pattern in PATTERNS:
-        out.append("(?:" + re.sub(r"\\([1-9])", lambda m: f"\\{int(m[1]) + groups}", pattern) + ")")
+def _any(found: dict[str, Column]) -> Column:
+    """One alternation of all patterns; of kinds without a pattern, the numbers found. References to groups count from the
+    first pattern on."""
+    out: list[Column] = []
+    groups = 0
+    for kind, pattern in PATTERNS:
+        if not pattern:
+            no = "[A-Za-z0-9]" if kind == "iban" else "[0-9]"
+            out.append(F.when(F.size(found[kind]) > 0, F.concat(F.lit(f"(?<!{no})(?:"), F.array_join(found[kind], "|"), F.lit(f")(?!{no})"))))
+            continue
+        out.append(F.lit("(?:" + re.sub(r"\\([1-9])", lambda m: f"\\{int(m[1]) + groups}", pattern) + ")"))
         groups += re.compile(pattern.replace(r"\G", "^")).groups
-    return "|".join(out)
+    return F.concat_ws("|", *out)
+
+
+def _longest_first(found: Column) -> Column:
+    order = F.array_sort(F.transform(F.array_distinct(F.array_compact(found)), lambda x: F.struct((-F.length(x)).alias("n"), x.alias("x"))))
+    return F.transform(order, lambda s: s["x"])
+
+
+def cards_in(text: Column) -> Column:
+    """The distinct card numbers of a text whose check digit holds, the longest first; digits before or after one that do
+    not belong to it leave it as it is."""
+    good = lambda d: luhn_digit(F.substr(d, F.lit(1), F.length(d) - 1)) == F.substr(d, F.length(d), F.lit(1))
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(CARD), F.lit(1)))
+    return _longest_first(F.filter(found, lambda m: _let(_digits(m), good)))
+
+
+def accounts_in(text: Column) -> Column:
+    """The distinct accounts of a text whose check digits hold, the longest first.
+
+    Of a known country an account has its length; of another one it ends at the last space or end where the check digits
+    hold. What only looks like an account is none, and leaves the numbers in it to the other patterns.
+    """
+
+    def account(m: Column) -> Column:
+        plain = lambda i: F.regexp_replace(F.substr(m, F.lit(1), i), " ", "")
+        known = m.rlike(f"^(?:{_KNOWN})")
+        ends = F.filter(F.sequence(F.length(m), F.lit(12), F.lit(-1)), lambda i: F.when(known, i == F.length(m)).otherwise(F.substr(m, i + 1, F.lit(1)).isin("", " ")) & ~F.substr(m, i, F.lit(1)).isin(" ") & (_mod97(plain(i)) == 1))
+        return _let(F.get(ends, F.lit(0)), lambda end: F.substr(m, F.lit(1), end))
+
+    found = F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(ACCOUNT), F.lit(1))), account)
+    return _longest_first(found)
 
 
 def _keyed(key: str, tag: str, *values: Column) -> Column:
@@ -229,9 +270,7 @@ def _iban(m: Column, key: str) -> Column:
 
         return F.when(_digits(body).rlike("^[0-9]{1,30}$"), _let(new, checked))
 
-    # of a country without a known length: up to the last space or end where the check digits hold; the rest is put back
-    ends = F.filter(F.sequence(F.length(m), F.lit(12), F.lit(-1)), lambda i: F.substr(m, i + 1, F.lit(1)).isin("", " ") & (_mod97(F.regexp_replace(F.substr(m, F.lit(1), i), " ", "")) == 1))
-    return _let(F.get(ends, F.lit(0)), lambda end: F.concat(_let(F.substr(m, F.lit(1), end), made), F.substr(m, end + 1, F.length(m))))
+    return made(m)
 
 
 def _hashed(value: Column, key: str, tag: str, n: Column) -> Column:
@@ -241,7 +280,7 @@ def _hashed(value: Column, key: str, tag: str, n: Column) -> Column:
     return F.substr(F.repeat(F.concat(one, two), F.ceil(n / 128).cast("int")), F.lit(1), n)
 
 
-def pseudonym(m: Column, key: str = KEY) -> Column:
+def pseudonym(m: Column, numbers: dict[str, Column], key: str = KEY) -> Column:
     """struct<kind, value> for a match of the patterns; value is null where the match is not valid."""
     value_of = F.regexp_extract(m, "([A-Za-z0-9_+/-]+)$", 1)
     email = F.concat(F.lit("u"), _hashed(F.lower(m), key, "email", F.lit(12)), F.lit("@"), F.substr(_hashed(F.lower(F.split_part(m, F.lit("@"), F.lit(2))), key, "domain", F.lit(8)), F.lit(1), F.lit(8)), F.lit(".invalid"))
@@ -253,23 +292,29 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
     }
     out: Column | None = None
     for kind, pattern in PATTERNS:
-        fits, found = m.rlike(f"^(?:{pattern})$"), F.struct(F.lit(kind).alias("kind"), made[kind].alias("value"))
+        fits = m.rlike(f"^(?:{pattern})$") if pattern else F.array_contains(numbers[kind], m)
+        found = F.struct(F.lit(kind).alias("kind"), made[kind].alias("value"))
         out = F.when(fits, found) if out is None else out.when(fits, found)
     return out
 
 
 def pseudonymised(text: Column, key: str = KEY) -> Column:
     """struct<text, found: array<struct<kind, value>>>; found holds the matches in order, value null if kept."""
-    pattern = F.lit(_any())
-    matches = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda m: F.struct(m.alias("old"), pseudonym(m, key).alias("new")))
-    gaps = F.split(text, _any(), -1)
 
-    def joined(found: Column) -> Column:
-        pieces = F.zip_with(gaps, found, lambda gap, x: F.concat(gap, F.coalesce(x["new"]["value"], x["old"], F.lit(""))))
-        return F.struct(F.array_join(pieces, "").alias("text"), F.transform(found, lambda x: x["new"]).alias("found"))
+    def replaced(given: Column) -> Column:
+        numbers = {"iban": given["iban"], "card": given["card"]}
+        pattern = _any(numbers)
+        matches = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda m: F.struct(m.alias("old"), pseudonym(m, numbers, key).alias("new")))
+        gaps = F.split(text, pattern, -1)
+
+        def joined(found: Column) -> Column:
+            pieces = F.zip_with(gaps, found, lambda gap, x: F.concat(gap, F.coalesce(x["new"]["value"], x["old"], F.lit(""))))
+            return F.struct(F.array_join(pieces, "").alias("text"), F.transform(found, lambda x: x["new"]).alias("found"))
+
+        return _let(matches, joined)
 
     nothing = F.struct(text.alias("text"), F.array().cast("array<struct<kind: string, value: string>>").alias("found"))
-    return F.when(text.rlike("[0-9@=:]"), _let(matches, joined)).otherwise(nothing)
+    return F.when(text.rlike("[0-9@=:]"), _let(F.struct(accounts_in(text).alias("iban"), cards_in(text).alias("card")), replaced)).otherwise(nothing)
 
 
 def key_of(spark: SparkSession) -> str:
@@ -281,12 +326,20 @@ def key_of(spark: SparkSession) -> str:
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """docs with text replaced, other columns as they are. Null stays null, empty stays empty; rows are independent."""
+    """docs with text replaced, other columns as they are, whatever their names.
+
+    Null stays null, empty stays empty; texts of any length are read whole, in time linear in their length. Rows are
+    independent: repeated rows and rows with a null doc_id are replaced like any other, and an empty table stays empty.
+    """
     return docs.withColumn("text", pseudonymised(F.col("text"), key)["text"])
 
 
 def pseudonymise_report(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """doc_id, text, n_replaced, kinds (distinct kinds that were replaced, ascending, joined by commas) of each row."""
+    """doc_id, text, n_replaced, kinds (distinct kinds that were replaced, ascending, joined by commas) of each row.
+
+    Null and empty texts stay as they are, with 0 and no kinds. Rows with a null or repeated doc_id give a row each; empty
+    docs give none; other columns are ignored.
+    """
     out = docs.select("doc_id", pseudonymised(F.col("text"), key).alias("p"))
     replaced = F.filter(F.coalesce("p.found", F.array().cast("array<struct<kind: string, value: string>>")), lambda x: x["value"].isNotNull())
     kinds = F.array_join(F.array_sort(F.array_distinct(F.transform(replaced, lambda x: x["kind"]))), ",")
