@@ -1,7 +1,7 @@
 """Licence scan: parts of a text against licence templates by the Dice coefficient over word bigrams.
 
-Compared are the whole text, its paragraphs, lines and sentences, and every run of as many words as a template has, so a
-licence of several paragraphs is found in the middle of a longer text. Size bounds prune: a part can only reach the
+Compared are the whole text, its paragraphs, lines and sentences, and every run of its words, so a licence of several
+paragraphs, shortened or not, is found in the middle of a longer text. Size bounds prune: a part can only reach the
 threshold with templates of a similar number of bigrams, and a text only with those whose bigrams it shares enough of.
 """
 
@@ -10,10 +10,11 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -125,8 +126,8 @@ def parts(text: str) -> Iterator[str]:
 class Scanner:
     def __init__(self, templates: tuple[tuple[str, str], ...], threshold: float = THRESHOLD):
         self.threshold = threshold
-        made = sorted(((len(g), name, g, len(w)) for name, t in templates if (g := bigrams(w := words(t)))), key=lambda x: (x[0], x[1]))
-        self.sizes, self.names, self.grams, self.lengths = ([x[i] for x in made] for i in range(4))
+        made = sorted(((len(g), name, g) for name, t in templates if (g := bigrams(words(t)))), key=lambda x: (x[0], x[1]))
+        self.sizes, self.names, self.grams = ([x[i] for x in made] for i in range(3))
         self.holders: dict[tuple[str, str], list[int]] = {}
         for i, grams in enumerate(self.grams):
             for gram in grams:
@@ -139,23 +140,37 @@ class Scanner:
         counts = Counter(i for g in grams & self.holders.keys() for i in self.holders[g])
         return {i: n for i, n in counts.items() if n >= self.least[i]}
 
-    def _windows(self, grams: list[tuple[str, str]], i: int) -> float:
-        """The largest coefficient of template i over all runs of as many words as it has."""
-        wanted, m, span, best = self.grams[i], self.sizes[i], self.lengths[i] - 1, 0.0
-        inside: Counter = Counter()
-        shared = 0
-        for at, gram in enumerate(grams):
-            inside[gram] += 1
-            shared += inside[gram] == 1 and gram in wanted
-            if at >= span:
-                old = grams[at - span]
-                inside[old] -= 1
-                if not inside[old]:
-                    del inside[old]
-                    shared -= old in wanted
-            if at >= span - 1 and shared >= self.least[i]:
-                best = max(best, 2 * shared / (len(inside) + m))
-        return best
+    def _windows(self, grams: list[tuple[str, str]], possible: Iterable[int]) -> Iterator[tuple[int, float]]:
+        """Of each of these templates the largest coefficient over all runs of words.
+
+        The best run begins with a shared bigram that it has nowhere else (else it could begin later), and has at most
+        m (2 - t) / t distinct ones. So for each shared bigram the runs that begin with it and end before it comes again are
+        looked at, all ends at once: a bigram counts at its first place within the run.
+        """
+        numbers: dict[tuple[str, str], int] = {}
+        ids = np.fromiter((numbers.setdefault(g, len(numbers)) for g in grams), np.int64, len(grams))
+        order = np.argsort(ids, kind="stable")
+        before, after = np.full(len(ids), -1), np.full(len(ids), len(ids))
+        same = ids[order[1:]] == ids[order[:-1]]
+        before[order[1:][same]], after[order[:-1][same]] = order[:-1][same], order[1:][same]
+        for i in possible:
+            wanted = np.zeros(len(numbers), bool)
+            wanted[[numbers[g] for g in self.grams[i] if g in numbers]] = True
+            shared, m, best = wanted[ids], self.sizes[i], 0.0
+            most = int(m * (2 - self.threshold) / self.threshold + 1e-9)
+            for at in np.flatnonzero(shared).tolist():
+                span, last = 2 * most, int(after[at])
+                while True:
+                    first = before[at : min(at + span, last)] < at
+                    n = np.cumsum(first)
+                    if n[-1] > most or at + span >= last:
+                        break
+                    span *= 2
+                end = int(np.searchsorted(n, most, "right"))
+                both = np.cumsum(first[:end] & shared[at : at + end])
+                if both[-1] >= self.least[i]:
+                    best = max(best, float((2 * both / (n[:end] + m)).max()))
+            yield i, best
 
     def scan(self, text: str | None) -> dict[str, float]:
         """Licences whose Dice coefficient with some part of the text reaches the threshold, and the largest."""
@@ -170,8 +185,8 @@ class Scanner:
             if dice >= self.threshold and dice > found.get(self.names[i], 0):
                 found[self.names[i]] = dice
 
-        for i in possible:
-            keep(i, self._windows(grams, i))
+        for i, dice in self._windows(grams, possible):
+            keep(i, dice)
         t = self.threshold
         for part in parts(text):
             own = bigrams(words(part))
@@ -207,8 +222,8 @@ def licences_of(spark, text: str = "text", templates: tuple[tuple[str, str], ...
 def scan_documents(docs: DataFrame, templates: tuple[tuple[str, str], ...] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, licence, dice, n_licences, licences of every row of docs.
 
-    licence and dice are the best match over the whole text, its paragraphs, lines and sentences and all runs of as
-    many words as a template has; null and 0 where no template reaches the threshold, as for null and empty texts. Repeated rows are scanned alike; an empty
+    licence and dice are the best match over the whole text, its paragraphs, lines and sentences and all runs of its words,
+    of any length; null and 0 where no template reaches the threshold, as for null and empty texts. Repeated rows are scanned alike; an empty
     table gives no rows; other columns are ignored.
     """
     found = docs.select("doc_id", licences_of(docs.sparkSession, "text", templates, threshold).alias("licences"))

@@ -51,14 +51,18 @@ _WORDS = "regexp_extract_all(replace(lower({0}), '_', ' '), '[\\p{{L}}\\p{{N}}]+
 _BREAKS = "string_split_regex(regexp_replace(text, '([.!?;])\\s+', '\\1' || chr(1), 'g'), chr(1) || '|\\n+')"
 _GRAMS = "list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])"
 _ENOUGH = "len(list_intersect({0}, t.grams)) >= {1} * len(t.grams) - 1e-6"
-LICENCES = f"""WITH templates AS (SELECT licence, {_PAIRS} AS grams, len(ws) AS n FROM (SELECT licence, {_WORDS.format('body')} AS ws FROM (VALUES {', '.join(f'({quoted(n)}, {quoted(t)})' for n, t in licences.templates_of())}) t(licence, body))),
+LICENCES = f"""WITH templates AS (SELECT licence, body, {_PAIRS} AS grams FROM (SELECT licence, body, {_WORDS.format('body')} AS ws FROM (VALUES {', '.join(f'({quoted(n)}, {quoted(t)})' for n, t in licences.templates_of())}) t(licence, body))),
  whole AS (SELECT doc_id, {_GRAMS} AS seq, {_PAIRS} AS grams FROM (SELECT doc_id, {_WORDS.format('text')} AS ws FROM (SELECT DISTINCT doc_id, text FROM documents))),
- possible AS (SELECT doc_id, licence, t.grams, t.n, seq FROM whole w JOIN templates t ON {_ENOUGH.format('w.grams', licences.THRESHOLD / (2 - licences.THRESHOLD))}),
- windows AS (SELECT doc_id, licence, grams AS tgrams, list_distinct(seq[s:s + n - 2]) AS grams FROM (SELECT *, unnest(range(1, len(seq) - n + 3)) AS s FROM possible)),
+ possible AS (SELECT doc_id, licence, t.body, t.grams, seq FROM whole w JOIN templates t ON {_ENOUGH.format('w.grams', licences.THRESHOLD / (2 - licences.THRESHOLD))}),
+ held AS (SELECT doc_id, licence, body, len(grams) AS m, grams AS tgrams, unnest(seq) AS g, unnest(range(len(seq))) AS j FROM possible),
+ marked AS (SELECT doc_id, licence, body, m, j, list_contains(tgrams, g) AS shared, coalesce(lag(j) OVER same, -1) AS before, coalesce(lead(j) OVER same, 1000000000) AS after FROM held WINDOW same AS (PARTITION BY doc_id, licence, body, g ORDER BY j)),
+ grown AS (SELECT a.doc_id, a.licence, a.m, count(*) FILTER (b.before < a.j) OVER run AS n, count(*) FILTER (b.before < a.j AND b.shared) OVER run AS both
+ FROM marked a JOIN marked b ON a.doc_id = b.doc_id AND a.licence = b.licence AND a.body = b.body AND b.j >= a.j AND b.j < a.after WHERE a.shared WINDOW run AS (PARTITION BY a.doc_id, a.licence, a.body, a.j ORDER BY b.j)),
+ windows AS (SELECT doc_id, licence, max(2 * both / (n + m)) AS dice FROM grown GROUP BY 1, 2),
  parts AS (SELECT DISTINCT doc_id, part FROM (SELECT doc_id, text AS part FROM documents UNION ALL SELECT doc_id, unnest(string_split_regex(text, '\\n\\s*\\n')) FROM documents UNION ALL SELECT doc_id, unnest(string_split(text, chr(10))) FROM documents
  UNION ALL SELECT doc_id, unnest({_BREAKS}) FROM documents)), grams AS (SELECT doc_id, {_PAIRS} AS grams FROM (SELECT doc_id, {_WORDS.format('part')} AS ws FROM parts SEMI JOIN possible USING (doc_id))),
- pairs AS (SELECT doc_id, licence, g.grams AS g, t.grams AS t FROM grams g JOIN templates t ON len(g.grams) > 0 AND 2.0 * least(len(g.grams), len(t.grams)) >= {licences.THRESHOLD} * (len(g.grams) + len(t.grams)) - 1e-6 UNION ALL SELECT doc_id, licence, grams, tgrams FROM windows),
- scored AS (SELECT doc_id, licence, 2 * len(list_intersect(g, t)) / (len(g) + len(t)) AS dice FROM pairs),
+ pairs AS (SELECT doc_id, licence, g.grams AS g, t.grams AS t FROM grams g JOIN templates t ON len(g.grams) > 0 AND 2.0 * least(len(g.grams), len(t.grams)) >= {licences.THRESHOLD} * (len(g.grams) + len(t.grams)) - 1e-6),
+ scored AS (SELECT doc_id, licence, 2 * len(list_intersect(g, t)) / (len(g) + len(t)) AS dice FROM pairs UNION ALL SELECT doc_id, licence, dice FROM windows),
  best AS (SELECT doc_id, licence, max(dice) AS dice FROM scored WHERE dice >= {licences.THRESHOLD} GROUP BY 1, 2),
  firsts AS (SELECT doc_id, licence, dice, count(*) OVER (PARTITION BY doc_id) AS n FROM best QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, licence) = 1)
  SELECT doc_id, licence, coalesce(dice, 0.0)::DOUBLE AS dice, coalesce(n, 0)::INT AS n_licences FROM documents LEFT JOIN firsts USING (doc_id)"""
