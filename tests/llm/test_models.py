@@ -111,10 +111,36 @@ def test_toxicity_on_held_out_documents(spark):
     assert all(r["predicted"] == (r["score"] >= 0.5) and 0 <= r["score"] <= 1 for r in got.values())
 
 
+SIGNS = "\u0e00-\u0eff\u1000-\u10bf\u1780-\u17ff\u3000-\u9fff"
+
+
+def terms_of(text):
+    """Whole words of ASCII letters, digits and all that is not ASCII; of scripts without spaces pairs of neighbours."""
+    out = []
+    for run in re.findall("[0-9a-z\x80-\U0010ffff]+", (text or "").lower()):
+        for part in re.findall(f"[{SIGNS}]+|[^{SIGNS}]+", run):
+            signs = re.match(f"[{SIGNS}]", part)
+            out += [part[i : i + 2] for i in range(len(part) - 1)] if signs and len(part) > 1 else [part]
+    return out
+
+
+def test_terms_are_whole_words_and_pairs_of_signs():
+    texts = ["nationalism nationality", "превосходный превратный", "我喜欢学习中文。", "中", "ภาษาไทย and ខ្មែរ", "über-all ÄÖ1 café", "한국어 단어", "x" * 300_000 + " " + "漢字" * 200_000, "", None, "a\n中b"]
+    seen = {}
+    for text in texts:
+        own = [tuple(np.concatenate([h for _, h in features.tokens([text], marks=False, signs=True)] or [np.zeros(0, np.uint64)]).tolist())]
+        want = terms_of(text)
+        assert len(own[0]) == len(want)
+        for h, n in Counter(own[0]).items():
+            seen.setdefault(h, set()).add((text, n))
+        assert sorted(Counter(own[0]).values()) == sorted(Counter(want).values())
+    assert len(seen) == len({w for t in texts for w in terms_of(t)})
+
+
 def test_toxicity_query_matches_brute_force(spark, sf):
     """Scores again from dense vectors: all words, plain counts, every cosine."""
     docs, labels = table(spark, sf, "documents").collect(), table(spark, sf, "labels").collect()
-    words = lambda t: Counter(w[: toxicity.STEM] for w in re.findall(rb"[0-9a-z\x80-\xff]+", (t or "").lower().encode()))
+    words = lambda t: Counter(terms_of(t))
     held = {d: zlib.crc32(str(d).encode()) % 5 for d in (r["doc_id"] for r in docs)}
     text_of = {r["doc_id"]: r["text"] for r in docs}
     label = {r["doc_id"]: r["toxic"] for r in labels if r["toxic"] is not None and held.get(r["doc_id"])}

@@ -16,7 +16,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 
-_SPACE, _WORD, _MARK = 0, 1, 2
+_SPACE, _WORD, _MARK, _SIGN = 0, 1, 2, 3
 _BYTE_CLASS = np.full(256, _MARK, np.uint8)
 _BYTE_CLASS[128:] = _WORD
 for _c in b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ":
@@ -71,23 +71,39 @@ def windows(texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[str]]]:
         yield np.array(numbers), parts
 
 
-def tokens(texts: list[str | None], marks: bool, stem: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _signs(a: np.ndarray) -> np.ndarray:
+    """Where characters of scripts without spaces between words begin in UTF-8 bytes: kana and ideographs (lead bytes E3
+    to E9), Thai and Lao (E0 B8 to BB), Burmese (E1 80 to 82) and Khmer (E1 9E and 9F); all have three bytes."""
+    second = np.append(a[1:], np.uint8(0))
+    thai, burmese = (a == 0xE0) & (second >= 0xB8) & (second <= 0xBB), (a == 0xE1) & (((second >= 0x80) & (second <= 0x82)) | (second == 0x9E) | (second == 0x9F))
+    found = np.flatnonzero(((a >= 0xE3) & (a <= 0xE9)) | thai | burmese)
+    return found[found + 3 <= len(a)]
+
+
+def tokens(texts: list[str | None], marks: bool, signs: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(number of the text, 64-bit hash) of the lower-cased tokens in order: runs of letters and digits and, with
-    marks, runs of other visible characters. With `stem`, the first so many bytes stand for a longer token."""
+    marks, runs of other visible characters. With signs, neighbours in a run of characters of scripts without spaces
+    are a token each (after all others of a window), and a character alone is one."""
     for numbers, parts in windows(texts):
         raw = [p.lower().encode("utf-8", "surrogatepass") for p in parts]
         a = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
         kind = _BYTE_CLASS[a]
+        at = _signs(a) if signs else np.zeros(0, np.int64)
+        if len(at):
+            kind[(at[:, None] + np.arange(3)).ravel()] = _SIGN
         edges = np.flatnonzero(kind[1:] != kind[:-1]) + 1
         starts = np.concatenate(([0], edges))
         ends = np.concatenate((edges, [len(a)]))
-        kept = kind[starts] != _SPACE if marks else kind[starts] == _WORD
+        kept = (kind[starts] == _WORD) | (kind[starts] == _MARK) if marks else kind[starts] == _WORD
         starts, ends = starts[kept], ends[kept]
+        if len(at):
+            next_to = np.append(at[1:] == at[:-1] + 3, False)
+            alone = ~next_to & ~np.concatenate(([False], next_to[:-1]))
+            starts, ends = np.concatenate((starts, at[next_to], at[alone])), np.concatenate((ends, at[next_to] + 6, at[alone] + 3))
         sums = np.zeros(len(a) + 1, np.uint64)
         np.cumsum((a.astype(np.uint64) + _U(1)) * _power(_BASE, len(a)), out=sums[1:])
         back = _power(_BASE_INVERSE, len(a))
         docs = numbers[np.searchsorted(np.cumsum([len(r) + 1 for r in raw]), starts, side="right")]
-        ends = ends if stem is None else np.minimum(ends, starts + stem)
         yield docs, mixed((sums[ends] - sums[starts]) * back[starts])
 
 

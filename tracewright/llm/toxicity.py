@@ -1,7 +1,7 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes.
 
-A bounded sample of labelled rows gives the examples and the vocabulary, all of their words; document frequencies are
-counted over all documents. A term's weight is its TF-IDF times how strongly its presence goes with the label (the
+A bounded sample of labelled rows gives the examples and the vocabulary: all of their words, whole, and of scripts
+without spaces all pairs of neighbouring characters. Document frequencies are counted over all documents. A term's weight is its TF-IDF times how strongly its presence goes with the label (the
 absolute phi coefficient, with a floor, so that no term is without weight): plain TF-IDF finds texts on the same
 subject rather than of the same kind. For each text the k nearest examples are found exactly: blocks of examples whose
 upper bound is below the k-th best are passed over. Their distance-weighted votes, calibrated on examples set
@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 from tracewright.llm.common import batch_of, crc_mod, discard, slices, small_batches, written
 from tracewright.llm.features import tokens
 
-#: Terms are words; of longer ones the first so many bytes, so that inflected and compound forms fall together.
-STEM = 8
 #: Labelled rows of each label that are learned from (about), and distinct terms of all of them together: longer texts
 #: mean fewer rows. Both bound the sample, so what the driver and the index hold does not grow with the tables.
 ROWS_PER_LABEL = 4_000
@@ -61,14 +59,14 @@ class Vocabulary:
 
 def distinct_terms(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """The distinct terms of a text as 64-bit hashes, ascending, and their counts."""
-    return np.unique(np.concatenate([h for _, h in tokens([text], marks=False, stem=STEM)] or [np.zeros(0, np.uint64)]), return_counts=True)
+    return np.unique(np.concatenate([h for _, h in tokens([text], marks=False, signs=True)] or [np.zeros(0, np.uint64)]), return_counts=True)
 
 
 def term_counts(texts: list[str | None], known: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row starts, places, counts): the distinct terms of each text that the vocabulary has, ascending."""
     n_terms = max(1, len(known.terms))
     keys = [np.zeros(0, np.int64)]
-    for docs, hashes in tokens(texts, marks=False, stem=STEM):
+    for docs, hashes in tokens(texts, marks=False, signs=True):
         places = known.places(hashes)
         inside = np.flatnonzero(places >= 0)
         keys.append(docs[inside].astype(np.int64) * n_terms + places[inside])
