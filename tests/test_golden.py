@@ -8,11 +8,25 @@ from tracewright.functions.contract import FIELDS
 from tracewright.operators import metrics
 from tracewright.sources import readers
 
-#: (gold, predicted): events, of two published runs of one model over 50 events, by confusion.
+#: Margins of the events of two published runs of one model over 50 events, by (gold, predicted) class.
 RUNS = {
-    "first": {("benign", "benign"): 16, ("suspicious", "benign"): 11, ("malicious", "benign"): 22, ("malicious", "malicious"): 1},
-    "strict": {("benign", "benign"): 14, ("benign", "malicious"): 2, ("suspicious", "benign"): 9, ("suspicious", "malicious"): 2, ("malicious", "benign"): 10, ("malicious", "malicious"): 13},
-}
+    "first": {
+        ("benign", "benign"): [0.546, 0.6153, 0.5687, 0.6003, 0.7788, 0.7034, 0.7332, 0.6463, 0.5747, 0.6611, 0.612, 0.744, 0.661, 0.626, 0.5633, 0.7737],
+        ("suspicious", "benign"): [0.6187, 0.5456, 0.537, 0.5655, 0.6302, 0.58, 0.6791, 0.541, 0.4534, 0.2041, 0.4423],
+        ("malicious", "benign"): [0.6285, 0.5277, 0.4493, 0.5503, 0.1727, 0.0871, 0.6743, 0.5373, 0.4095, 0.1703, 0.6973, 0.6046, 0.3022, 0.6095, 0.6562, 0.4748, 0.5197, 0.5468, 0.305, 0.3955, 0.5527, 0.6249],
+        ("malicious", "malicious"): [0.0727],
+    },
+    "strict": {
+        ("benign", "benign"): [0.4558, 0.3647, 0.375, 0.3179, 0.4935, 0.0326, 0.514, 0.3343, 0.0231, 0.1518, 0.4138, 0.5564, 0.5194, 0.3867],
+        ("benign", "malicious"): [0.1407, 0.0882],
+        ("suspicious", "benign"): [0.6208, 0.2393, 0.0055, 0.21, 0.2627, 0.3619, 0.2738, 0.0578, 0.0735],
+        ("suspicious", "malicious"): [0.1049, 0.0296],
+        ("malicious", "benign"): [0.3344, 0.2719, 0.3372, 0.043, 0.2626, 0.4869, 0.2753, 0.4078, 0.039, 0.2642],
+        ("malicious", "malicious"): [0.0463, 0.6885, 0.1287, 0.2499, 0.235, 0.41, 0.0398, 0.0007, 0.4511, 0.3966, 0.2967, 0.2224, 0.3716],
+    },
+}
+#: The published mean margins of right and of wrong predictions.
+MARGINS = {"first": (0.617, 0.494), "strict": (0.314, 0.226)}
 #: The figures published for them, in percent.
 PUBLISHED = {
     "first": {"accuracy": 34.0, "under_call": 66.0, "over_call": 0.0, "malicious_recall": 4.3, "suspicious_recall": 0.0, "benign_precision": 32.7, "missed_threat": 95.7},
@@ -22,12 +36,12 @@ PUBLISHED = {
 
 @pytest.mark.parametrize("run", sorted(RUNS))
 def test_metrics_are_those_published(spark, tmp_path, run):
-    rows = [f'{{"id": "{g}-{p}-{i}", "gold": "{g}", "pred": "{p}", "margin": {0.5 if g == p else 0.25}, "sev_probs": {{"none": 1.0}}}}' for (g, p), n in RUNS[run].items() for i in range(n)]
+    rows = [f'{{"id": "{g}-{p}-{i}", "gold": "{g}", "pred": "{p}", "margin": {m}, "sev_probs": {{"none": 1.0}}}}' for (g, p), margins in RUNS[run].items() for i, m in enumerate(margins)]
     (tmp_path / "run.json").write_text("[" + ",\n".join(rows) + "]")
     predictions = readers.predictions(spark, str(tmp_path / "run.json"))
     got = metrics.class_metrics(predictions).first()
     assert got["n"] == 50 and {k: round(100 * got[k], 1) for k in PUBLISHED[run]} == PUBLISHED[run]
-    assert (got["margin_correct"], got["margin_wrong"]) == (0.5, 0.25)
+    assert (round(got["margin_correct"], 3), round(got["margin_wrong"], 3)) == MARGINS[run]
     spread = {r["pred"]: r["n"] for r in predictions.groupBy("pred").agg(F.count("*").alias("n")).collect()}
     assert spread == {"first": {"benign": 49, "malicious": 1}, "strict": {"benign": 33, "malicious": 17}}[run]
     met = {r["metric"]: r["met"] for r in metrics.gates(metrics.class_metrics(predictions)).collect()}

@@ -38,6 +38,15 @@ def prompt_hash(scale: str = "4way", template: str = SYSTEM) -> Column:
     return F.sha2(F.lit(system_prompt(scale, template)), 256)
 
 
+#: Fixed value: how the event of a row begins that stands for an event still to be pasted in.
+PLACEHOLDER = "PASTE_"
+
+
+def filled_in(rows: DataFrame) -> DataFrame:
+    """rows whose event is there, not a placeholder for one: only these can be scored."""
+    return rows.where(~F.col("event").startswith(PLACEHOLDER))
+
+
 def training_pairs(rows: DataFrame, validation: DataFrame, scale: str = "4way") -> DataFrame:
     """rows (with targets) as prompt and completion, split by signature; rows outside the scale are left out."""
     marked = rows.where(F.col("severity").isin(*SCALES[scale])).join(validation.select("signature", F.lit(True).alias("_v")), "signature", "left")

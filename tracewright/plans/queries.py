@@ -332,6 +332,21 @@ def split_overlap(spark: SparkSession, sf: str) -> DataFrame:
     return audit.overlap(rows.where("attack"), rows.where("NOT attack"), "signature")
 
 
+@query(f"{o.SIGNED_EVENTS}, sides AS (SELECT ord % 1000 AS id, event, attack FROM sig) SELECT 'id' AS key, CAST(id AS VARCHAR) AS value FROM (SELECT id FROM sides WHERE attack INTERSECT SELECT id FROM sides WHERE NOT attack) UNION ALL SELECT 'event', event FROM (SELECT event FROM sides WHERE attack INTERSECT SELECT event FROM sides WHERE NOT attack)")
+def split_body_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    """Ids and bodies on both sides of a split."""
+    rows = _signed(spark, sf).select((F.col("ord") % 1000).alias("id"), "event", "attack")
+    sides = rows.where("attack"), rows.where("NOT attack")
+    both = [audit.overlap(*sides, key).select(F.lit(key).alias("key"), F.col(key).cast("string").alias("value")) for key in ("id", "event")]
+    return both[0].unionByName(both[1])
+
+
+@query(f"{o.SIGNED_EVENTS} SELECT ord FROM sig WHERE ord % 7 <> 3")
+def filled_in_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _signed(spark, sf).select("ord", F.expr("CASE WHEN ord % 7 = 3 THEN 'PASTE_' || event ELSE event END").alias("event"))
+    return prompts.filled_in(rows).select("ord")
+
+
 _SIDES = f"{o.CORPUS}, sides AS (SELECT ord, gold, family, CASE WHEN gold = 'malicious' OR (row_number() OVER (PARTITION BY gold, family ORDER BY ord) - 1) % 2 = 0 THEN 'eval' ELSE 'train' END AS side FROM corpus)"
 
 
@@ -526,7 +541,7 @@ _COMPLETION = """'{"severity":"' || severity || '","isThreat":' || CASE gold WHE
  said AS (SELECT *, CASE ord % 3 WHEN 0 THEN 'none' WHEN 1 THEN 'medium' ELSE 'high' END AS severity, {o.THREAT} AS threat_type, {o.REASONING} AS reasoning, {_RENDER} AS body FROM argued)
  SELECT said.ord AS id, severity, CASE WHEN sig.signature IN (SELECT signature FROM val) THEN 'val' ELSE 'train' END AS split, {_SYSTEM_SQL} AS system, 'Event:' || chr(10) || body || chr(10) || chr(10) || 'Classify.' AS user, {_COMPLETION} AS completion FROM said JOIN sig ON said.ord = sig.ord""")
 def training_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    signed = _gold_events(spark, sf)
+    signed = staged(_gold_events(spark, sf).select("ord", "signature", "gold"), "signed")
     rows = _targets(spark, sf).join(signed.select("ord", "signature"), "ord").withColumn("id", F.col("ord"))
     pairs = prompts.training_pairs(rows, sampling.validation_signatures(signed, 0.1, "s4"))
     return pairs.select("id", "severity", "split", F.col("prompt")[0]["content"].alias("system"), F.col("prompt")[1]["content"].alias("user"), "completion")
@@ -571,6 +586,23 @@ def scrub_names(spark: SparkSession, sf: str) -> DataFrame:
     return _signed(spark, sf).select("ord", rewriting.scrub_names(F.col("event"), F.col("ord"), _NAMES, _NEUTRAL, "s6").alias("event"))
 
 
+_TOOL = f"([{', '.join(map(bridge.quoted, rewriting.TOOL_NAMES))}])[1 + ord % {len(rewriting.TOOL_NAMES)}]"
+_NEW = f"""({o.drawn_of(rewriting.NEUTRAL_NAMES, "'scrub'", 'ord', 'tool')} || CASE WHEN {o.drawn(2, "'scrub'", 'ord', 'tool', "'half'")} = 0 THEN CAST({o.drawn(89, "'scrub'", 'ord', 'tool', "'number'")} + 10 AS VARCHAR) ELSE '' END)"""
+
+
+def _with_tools(name: str, same: str) -> str:
+    """A line that names a tool alone, in capitals, with a suffix, and as part of other words."""
+    return f"event || chr(10) || 'ParentCommandLine: run ' || {name} || ' /x C:/' || {same} || '.exe ' || tool || 'x z' || tool"
+
+
+@query(f"{o.SIGNED_EVENTS}, named AS (SELECT ord, event, {_TOOL} AS tool FROM sig), drawn AS (SELECT *, {_NEW} AS new FROM named) SELECT ord, {_with_tools('new', 'new')} AS event FROM drawn")
+def scrub_all_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Every tool name of the list, one an event."""
+    tool = F.element_at(F.array(*map(F.lit, rewriting.TOOL_NAMES)), (F.col("ord") % len(rewriting.TOOL_NAMES) + 1).cast("int"))
+    named = _signed(spark, sf).withColumn("tool", tool)
+    return named.select("ord", rewriting.scrub_names(F.expr(_with_tools("tool", "upper(tool)")), F.col("ord")).alias("event"))
+
+
 #: The bridge's events with hosts of a laboratory, an application pool and a shared profile among them.
 _LAB = "CASE ord % 4 WHEN 0 THEN replace(event, 'CORP', 'IEWIN7') WHEN 1 THEN replace(event, 'CORP', 'IIS APPPOOL') WHEN 2 THEN replace(event, 'Users\\\\alice', 'Users\\\\Public') ELSE event END"
 
