@@ -83,6 +83,34 @@ TEMPLATES: tuple[tuple[str, str, int, str, dict[str, str]], ...] = tuple(
         ("suspicious", "registry", 13, "medium", "Image TargetFilename", [(f"{S32}\\reg.exe", "HKCU\\Software\\Vendor\\Policy<n>"), (PS, "HKLM\\System\\CurrentControlSet\\Services\\drv<n>\\Start")]),
         ("suspicious", "logon", 4624, "medium", "LogonType AuthPackage DestinationIp", [("10", "Negotiate", "203.0.<p>.<o>"), ("3", "NTLM", "10.0.<p>.<o>")]),
         ("suspicious", "failed logon", 4625, "medium", "LogonType AuthPackage DestinationIp", [("3", "NTLM", "10.0.<p>.<o>"), ("10", "Negotiate", "203.0.<p>.<o>")]),
+        # further forms of the families above
+        ("benign", "desktop app", 1, "none", "Image CommandLine", [(f"{S32}\\wordpad.exe", f'"{S32}\\wordpad.exe" <home>\\Documents\\memo<n>.rtf'), (f"{PF}\\VideoLAN\\VLC\\vlc.exe", f'"{PF}\\VideoLAN\\VLC\\vlc.exe" --started-from-file <home>\\Videos\\clip<n>.mp4'), (f"{PF}\\Adobe\\Acrobat DC\\Acrobat\\Acrobat.exe", '"Acrobat.exe" "<home>\\Downloads\\contract<n>.pdf"'), (f"{S32}\\Taskmgr.exe", f'"{S32}\\Taskmgr.exe" /<n>')]),
+        ("benign", "service host", 1, "none", "Image CommandLine ParentImage User", [(f"{S32}\\svchost.exe", f"{S32}\\svchost.exe -k NetworkService -p -s net<n>", f"{S32}\\services.exe", "NT AUTHORITY\\NETWORK SERVICE"), (f"{S32}\\SearchIndexer.exe", f"{S32}\\SearchIndexer.exe /Embedding /i<n>", f"{S32}\\services.exe", SYSTEM), (f"{S32}\\WUDFHost.exe", f'"{S32}\\WUDFHost.exe" -HostGUID:<n> -IoEventPortName:p<o>', f"{S32}\\services.exe", LOCAL_SERVICE)]),
+        ("benign", "vendor updater", 1, "low", "Image CommandLine", [("<home>\\AppData\\Local\\Programs\\signal-desktop\\Signal.exe", '"<home>\\AppData\\Local\\Programs\\signal-desktop\\Signal.exe" --update-check=<n>'), (f"{PF} (x86)\\Microsoft\\EdgeUpdate\\MicrosoftEdgeUpdate.exe", "MicrosoftEdgeUpdate.exe /ua /installsource core /r<n>"), ("<home>\\AppData\\Local\\Zoom\\bin\\Zoom.exe", '"<home>\\AppData\\Local\\Zoom\\bin\\Zoom.exe" --action=update --seq=<n>')]),
+        ("benign", "developer tools", 1, "low", "Image CommandLine", [(f"{PF}\\Java\\jdk-21\\bin\\javac.exe", "javac.exe -d out src\\Main<n>.java"), (f"{PF}\\Docker\\Docker\\resources\\bin\\docker.exe", "docker.exe build -t app:<n> ."), ("<home>\\.cargo\\bin\\cargo.exe", "cargo.exe test --package crate<n>"), (f"{PF}\\PowerShell\\7\\pwsh.exe", "pwsh.exe -File <home>\\src\\tools\\lint<n>.ps1")]),
+        ("benign", "office", 1, "none", "Image CommandLine", [(f"{OFFICE}\\POWERPNT.EXE", '"POWERPNT.EXE" "<home>\\Documents\\review<n>.pptx"'), (f"{OFFICE}\\ONENOTE.EXE", '"ONENOTE.EXE" /hyperlink onenote:page<n>'), (f"{OFFICE}\\MSACCESS.EXE", '"MSACCESS.EXE" "<home>\\Documents\\stock<n>.accdb"')]),
+        ("benign", "system helper", 1, "low", "Image CommandLine ParentImage", [(f"{S32}\\regsvr32.exe", f'"{S32}\\regsvr32.exe" /s "{PF}\\HALVEN\\shell<n>.dll"', f"{S32}\\msiexec.exe"), (f"{S32}\\mshta.exe", f'"{S32}\\mshta.exe" "{PF}\\HALVEN\\help\\topic<n>.hta"', "C:\\Windows\\explorer.exe"), (f"{S32}\\cscript.exe", f'cscript.exe //nologo {S32}\\slmgr.vbs /dlv <n>', f"{S32}\\cmd.exe")]),
+        ("benign", "local admin", 1, "none", "Image CommandLine", [(f"{S32}\\sc.exe", "sc.exe query svc<n>"), (f"{S32}\\netsh.exe", "netsh.exe interface show interface name=lan<n>"), (f"{S32}\\robocopy.exe", "robocopy.exe D:\\install\\set<n> E:\\install\\set<n> /mir"), (f"{S32}\\defrag.exe", "defrag.exe C: /A /n<n>")]),
+        ("benign", "security product", 1, "low", "Image CommandLine ParentImage User", [(f"{PF}\\Windows Defender\\MsMpEng.exe", f'"{PF}\\Windows Defender\\MsMpEng.exe" -s<n>', f"{S32}\\services.exe", SYSTEM), (f"{PF}\\Sysinternals\\Sysmon64.exe", "Sysmon64.exe -c cfg<n>.xml", f"{S32}\\services.exe", SYSTEM), (f"{PF}\\HALVEN\\edr\\sensor.exe", "sensor.exe --scan quick --id <n>", f"{S32}\\services.exe", SYSTEM)]),
+        ("benign", "unsigned but known", 1, "low", "Image CommandLine Signed", [(f"{PF}\\HALVEN\\legacy\\invoice.exe", "invoice.exe /month <n>", "false"), ("E:\\cnc\\postproc.exe", "postproc.exe job<n>.nc", "false"), ("<home>\\src\\out\\debug\\app.exe", "app.exe --case <n>", "false")]),
+        ("benign", "web browsing", 3, "none", "Image DestinationIp DestinationPort DestinationHostname", [(f"{PF} (x86)\\Microsoft\\Edge\\Application\\msedge.exe", "198.18.<p>.<o>", "443", "news<n>.example.com"), (f"{PF}\\HALVEN\\edr\\sensor.exe", "192.0.<p>.<o>", "443", "telemetry<n>.example.net"), (f"{S32}\\svchost.exe", "198.18.<p>.<o>", "80", "update<n>.example.org")]),
+        ("benign", "uncommon port", 3, "low", "Image DestinationIp DestinationPort DestinationHostname", [(f"{PF}\\HALVEN\\printmon.exe", "10.0.<p>.<o>", "9101", "printer<n>.halven.local"), (f"{PF}\\Git\\usr\\bin\\ssh.exe", "10.0.<p>.<o>", "2222", "git<n>.halven.local"), (f"{PF}\\MQTT\\client.exe", "10.0.<p>.<o>", "8883", "broker<n>.halven.local")]),
+        ("benign", "image load", 7, "none", "Image TargetFilename Signed Signer", [(f"{S32}\\svchost.exe", f"{S32}\\mod<n>.dll", "true", "Microsoft Windows"), (f"{PF}\\Google\\Chrome\\Application\\chrome.exe", f"{PF}\\Google\\Chrome\\Application\\ext<n>.dll", "true", "Google LLC"), (f"{PF}\\Adobe\\Acrobat DC\\Acrobat\\Acrobat.exe", f"{PF}\\Adobe\\Acrobat DC\\Acrobat\\plug<n>.api", "true", "Adobe Inc.")]),
+        ("benign", "file create", 11, "none", "Image TargetFilename", [(f"{OFFICE}\\EXCEL.EXE", "<home>\\AppData\\Local\\Temp\\~book<n>.tmp"), ("C:\\Windows\\explorer.exe", "<home>\\Desktop\\New folder<n>\\desktop.ini"), (f"{PF}\\Windows Defender\\MsMpEng.exe", "C:\\ProgramData\\Microsoft\\Windows Defender\\Scans\\h<n>.bin")]),
+        ("benign", "registry", 12, "none", "Image TargetFilename", [(f"{S32}\\services.exe", "HKLM\\System\\CurrentControlSet\\Services\\upd<n>"), (f"{OFFICE}\\WINWORD.EXE", "HKU\\S-1-5-21-1\\Software\\Office\\Word\\Recent<n>")]),
+        ("benign", "registry", 13, "none", "Image TargetFilename", [(f"{S32}\\svchost.exe", "HKLM\\Software\\Microsoft\\Cache\\v<n>\\Time"), (f"{PF}\\Google\\Chrome\\Application\\chrome.exe", "HKU\\S-1-5-21-1\\Software\\Google\\Chrome\\State\\s<n>")]),
+        ("suspicious", "remote admin", 1, "medium", "Image CommandLine", [(f"{S32}\\winrs.exe", "winrs.exe -r:srv<n> ipconfig"), (f"{S32}\\query.exe", "query.exe session /server:srv<n>"), (f"{S32}\\schtasks.exe", "schtasks /query /s srv<n> /v")]),
+        ("suspicious", "internal fetch", 1, "medium", "Image CommandLine", [(f"{S32}\\bitsadmin.exe", "bitsadmin /transfer j<n> http://files.halven.local/a.msi C:\\Temp\\a.msi"), (f"{S32}\\ftp.exe", "ftp.exe -s:get<n>.txt files.halven.local"), (PS, "powershell.exe (New-Object Net.WebClient).DownloadString('http://files.halven.local/v<n>.txt')")]),
+        ("suspicious", "grey persistence", 1, "medium", "Image CommandLine", [(f"{S32}\\schtasks.exe", "schtasks /create /tn backup<n> /tr D:\\jobs\\backup.cmd /sc daily"), (f"{S32}\\sc.exe", "sc.exe config svc<n> start= demand"), (f"{S32}\\reg.exe", "reg export HKCU\\Software\\Microsoft\\Windows\\CurrentVersion\\Run run<n>.reg")]),
+        ("suspicious", "staging", 1, "medium", "Image CommandLine", [(f"{PF}\\WinRAR\\Rar.exe", "Rar.exe a -r <home>\\Desktop\\bundle<n>.rar D:\\Shares\\Plans"), (f"{S32}\\xcopy.exe", "xcopy.exe \\\\fs03\\board E:\\usb<n> /s"), (PS, "powershell.exe Compress-Archive D:\\Shares\\Sales <home>\\sales<n>.zip")]),
+        ("suspicious", "shadow recon", 1, "medium", "Image CommandLine", [(f"{S32}\\diskshadow.exe", "diskshadow.exe /s list<n>.txt"), (PS, "powershell.exe Get-CimInstance Win32_ShadowCopy -First <n>")]),
+        ("suspicious", "account admin", 1, "medium", "Image CommandLine", [(PS, "powershell.exe Get-ADUser temp<n> -Properties *"), (f"{S32}\\net.exe", "net accounts /domain /n<n>"), (f"{S32}\\whoami.exe", "whoami /groups /fo csv /n<n>")]),
+        ("suspicious", "dual-use tool", 1, "medium", "Image CommandLine", [("C:\\Tools\\nmap\\nmap.exe", "nmap.exe -sn 10.0.<p>.0/24"), ("C:\\Tools\\procdump.exe", "procdump.exe -ma app<n>.exe app.dmp"), ("C:\\Tools\\AdExplorer.exe", "AdExplorer.exe -snapshot dc01 snap<n>.dat")]),
+        ("suspicious", "network", 3, "medium", "Image DestinationIp DestinationPort", [(f"{S32}\\cmd.exe", "203.0.<p>.<o>", "8080"), ("C:\\Tools\\plink.exe", "10.0.<p>.<o>", "22"), (f"{S32}\\mstsc.exe", "198.51.<p>.<o>", "3389")]),
+        ("suspicious", "file", 11, "medium", "Image TargetFilename", [("C:\\Windows\\explorer.exe", "<home>\\Downloads\\tool<n>.exe"), (f"{S32}\\cscript.exe", "C:\\Users\\Public\\log<n>.vbs"), (f"{OFFICE}\\WINWORD.EXE", "<home>\\AppData\\Roaming\\Microsoft\\Templates\\m<n>.dotm")]),
+        ("suspicious", "registry", 12, "medium", "Image TargetFilename", [("<home>\\Downloads\\setup.exe", "HKCU\\Software\\Setup\\k<n>"), (f"{S32}\\mmc.exe", "HKLM\\Software\\Policies\\Extra\\p<n>")]),
+        ("suspicious", "registry", 13, "medium", "Image TargetFilename", [(f"{S32}\\regedit.exe", "HKLM\\Software\\Policies\\Vendor\\v<n>"), ("<home>\\Downloads\\setup.exe", "HKCU\\Software\\Setup\\Version\\v<n>")]),
+        ("suspicious", "logon", 4624, "medium", "LogonType AuthPackage DestinationIp", [("9", "Negotiate", "10.0.<p>.<o>"), ("8", "Negotiate", "10.0.<p>.<o>")]),
     )
     for row in rows
 )
