@@ -56,9 +56,9 @@ LICENCES = f"""WITH templates AS (SELECT licence, body, {_PAIRS} AS grams FROM (
  possible AS (SELECT doc_id, licence, t.body, t.grams, seq FROM whole w JOIN templates t ON {_ENOUGH.format('w.grams', licences.THRESHOLD / (2 - licences.THRESHOLD))}),
  held AS (SELECT doc_id, licence, body, len(grams) AS m, grams AS tgrams, unnest(seq) AS g, unnest(range(len(seq))) AS j FROM possible),
  marked AS (SELECT doc_id, licence, body, m, j, list_contains(tgrams, g) AS shared, coalesce(lag(j) OVER same, -1) AS before, coalesce(lead(j) OVER same, 1000000000) AS after FROM held WINDOW same AS (PARTITION BY doc_id, licence, body, g ORDER BY j)),
- grown AS (SELECT a.doc_id, a.licence, a.m, count(*) FILTER (b.before < a.j) OVER run AS n, count(*) FILTER (b.before < a.j AND b.shared) OVER run AS both
+ grown AS (SELECT a.doc_id, a.licence, a.m, count(*) FILTER (b.before < a.j) OVER run AS n, count(*) FILTER (b.before < a.j AND b.shared) OVER run AS hits
  FROM marked a JOIN marked b ON a.doc_id = b.doc_id AND a.licence = b.licence AND a.body = b.body AND b.j >= a.j AND b.j < a.after WHERE a.shared WINDOW run AS (PARTITION BY a.doc_id, a.licence, a.body, a.j ORDER BY b.j)),
- windows AS (SELECT doc_id, licence, max(2 * both / (n + m)) AS dice FROM grown GROUP BY 1, 2),
+ windows AS (SELECT doc_id, licence, max(2 * hits / (n + m)) AS dice FROM grown GROUP BY 1, 2),
  parts AS (SELECT DISTINCT doc_id, part FROM (SELECT doc_id, text AS part FROM documents UNION ALL SELECT doc_id, unnest(string_split_regex(text, '\\n\\s*\\n')) FROM documents UNION ALL SELECT doc_id, unnest(string_split(text, chr(10))) FROM documents
  UNION ALL SELECT doc_id, unnest({_BREAKS}) FROM documents)), grams AS (SELECT doc_id, {_PAIRS} AS grams FROM (SELECT doc_id, {_WORDS.format('part')} AS ws FROM parts SEMI JOIN possible USING (doc_id))),
  pairs AS (SELECT doc_id, licence, g.grams AS g, t.grams AS t FROM grams g JOIN templates t ON len(g.grams) > 0 AND 2.0 * least(len(g.grams), len(t.grams)) >= {licences.THRESHOLD} * (len(g.grams) + len(t.grams)) - 1e-6),
