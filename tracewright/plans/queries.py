@@ -343,7 +343,7 @@ def split_body_overlap(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"{o.SIGNED_EVENTS} SELECT ord FROM sig WHERE ord % 7 <> 3")
 def filled_in_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _signed(spark, sf).select("ord", F.expr("CASE WHEN ord % 7 = 3 THEN 'PASTE_' || event ELSE event END").alias("event"))
+    rows = staged(_signed(spark, sf).select("ord", F.expr("CASE WHEN ord % 7 = 3 THEN 'PASTE_' || event ELSE event END").alias("event")), "rows")
     return prompts.filled_in(rows).select("ord")
 
 

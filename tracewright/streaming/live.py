@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tracewright.functions import rules
+from tracewright.functions.contract import normalised
+from tracewright.functions.signatures import with_behaviour
 from tracewright.operators import queue
 from tracewright.sources.committed import log_decisions, logged_decisions
 from tracewright.sources.files import on_workers
@@ -96,7 +98,10 @@ class Profiles(StatefulProcessor):
 def bands(events: DataFrame, ambient_min: int = queue.AMBIENT_MIN) -> DataFrame:
     """A stream of BAND rows from a stream of contract records with src and attack."""
     on_workers(events.sparkSession)
-    signed = queue.prepared(events).select("signature", "coarse", "src", "attack")
+    # as in queue.scored(): commands of attacks are normalised first, those of benign captures are taken as they are
+    rows = normalised(events.withColumn("_given", F.col("CommandLine")))
+    rows = rows.withColumn("CommandLine", F.when(F.col("attack"), F.col("CommandLine")).otherwise(F.col("_given")))
+    signed = with_behaviour(rows).select("signature", "coarse", "src", "attack")
     partial = signed.mapInArrow(_added_up, _PARTIAL)
     return partial.groupBy("level", "key").transformWithStateInPandas(statefulProcessor=Profiles(ambient_min), outputStructType=BAND, outputMode="Update", timeMode="None")
 
