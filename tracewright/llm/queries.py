@@ -90,7 +90,7 @@ QUERIES: dict[str, Query] = {
     "op12_spelling_variants": op12_spelling_variants,
     "op13_mixing": op13_mixing,
 }
-#: XXH64, tokenizers, trained models and unrounded double products have no SQL; tests compare these with brute force.
+#: XXH64, CRC-32, tokenizers, trained models, eigenvectors and unrounded double products have no SQL; tests compare these with brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_contamination": oracles.CONTAMINATION,
     "op4_pseudonyms": oracles.PSEUDONYMS,
