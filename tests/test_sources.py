@@ -102,6 +102,22 @@ def test_checksums_of_a_file_larger_than_an_array(spark, tmp_path):
     assert got == {"big.bin": (size, zeros.hexdigest()), "small.txt": (3, hashlib.sha256(b"abc").hexdigest())}
 
 
+def test_tasks_list_the_files_not_the_driver(spark, tmp_path):
+    """No file is in the plan, as it is where the driver lists them; all levels are found, hidden names are not."""
+    import hashlib
+
+    names = ["a.txt", "p/b.txt", "p/q/c d.txt", "p/k=1/e.txt", "p/_hidden.txt", ".git/f.txt", "_pending/g.txt"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    found = writers.checksums(spark, str(tmp_path))
+    assert not any(f.endswith(".txt") for f in found.inputFiles())
+    assert [tuple(r) for r in found.collect()] == sorted((f"file:{tmp_path}/{n}", len(n), hashlib.sha256(n.encode()).hexdigest()) for n in names[:4])
+    assert [r["length"] for r in writers.checksums(spark, f"file://{tmp_path}/a.txt").collect()] == [5]
+    (tmp_path / "none").mkdir()
+    assert writers.checksums(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_only_parts_with_changed_keys_are_written(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(1_000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("old").alias("v"))
