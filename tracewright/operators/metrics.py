@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions import rules
+from tracewright.functions.contract import let
 
 SEVERITIES = ("none", "low", "medium", "high")
 CLASSES = ("benign", "suspicious", "malicious")
@@ -48,14 +49,18 @@ def softmax_margin(scores: DataFrame) -> DataFrame:
 
     The predicted class sums the probabilities of its severities, so it can differ from the class of the top severity.
     """
-    top = F.greatest(*(F.col(f"ll_{s}") for s in SEVERITIES))
-    raw = {s: F.exp(F.col(f"ll_{s}") - top) for s in SEVERITIES}
-    total = reduce(lambda a, b: a + b, raw.values())
-    out = scores.withColumns({f"p_{s}": e / total for s, e in raw.items()})
-    out = out.withColumns({f"p_{c}": reduce(lambda a, b: a + b, [F.col(f"p_{s}") for s in SEVERITIES if rules.BUCKET[s] == c]) for c in CLASSES})
-    best = lambda names: F.array_max(F.array(*(F.struct(F.col(f"p_{n}").alias("p"), F.lit(-i).alias("i"), F.lit(n).alias("name")) for i, n in enumerate(names))))["name"]
-    ordered = F.sort_array(F.array(*(F.col(f"p_{c}") for c in CLASSES)), asc=False)
-    return out.withColumns({"severity": best(SEVERITIES), "pred": best(CLASSES), "margin": F.get(ordered, F.lit(0)) - F.get(ordered, F.lit(1))})
+    log = {s: F.col(f"ll_{s}") for s in SEVERITIES}
+    # each step is bound once: a filter on the result, moved below it, would else repeat every exponential in every place that uses it
+    raw = let(F.greatest(*log.values()), lambda top: F.struct(*(F.exp(c - top).alias(s) for s, c in log.items())))
+    shares = let(raw, lambda e: let(reduce(lambda a, b: a + b, [e[s] for s in SEVERITIES]), lambda total: F.struct(*((e[s] / total).alias(f"p_{s}") for s in SEVERITIES))))
+    classes = lambda p: [reduce(lambda a, b: a + b, [p[f"p_{s}"] for s in SEVERITIES if rules.BUCKET[s] == c]).alias(f"p_{c}") for c in CLASSES]
+    both = let(shares, lambda p: F.struct(*(p[f"p_{s}"].alias(f"p_{s}") for s in SEVERITIES), *classes(p)))
+    best = lambda p, names: F.array_max(F.array(*(F.struct(p[f"p_{n}"].alias("p"), F.lit(-i).alias("i"), F.lit(n).alias("name")) for i, n in enumerate(names))))["name"]
+    ordered = lambda p: F.sort_array(F.array(*(p[f"p_{c}"] for c in CLASSES)), asc=False)
+    margin = lambda p: let(ordered(p), lambda x: F.get(x, F.lit(0)) - F.get(x, F.lit(1)))
+    names = [f"p_{n}" for n in (*SEVERITIES, *CLASSES)]
+    made = let(both, lambda p: F.struct(*(p[n].alias(n) for n in names), best(p, SEVERITIES).alias("severity"), best(p, CLASSES).alias("pred"), margin(p).alias("margin")))
+    return scores.withColumn("_made", made).select(*scores.columns, *(F.col("_made")[n].alias(n) for n in (*names, "severity", "pred", "margin")))
 
 
 def paired(human: DataFrame, machine: DataFrame) -> DataFrame:
