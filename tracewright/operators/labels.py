@@ -60,7 +60,8 @@ def boundary_changes(rows: DataFrame, train: DataFrame | None = None) -> DataFra
     With train, an observation is reconciled: if all training rows of the same action are of lower class, the highest
     of these classes is taken. Training classes meet rows by an aggregate on the action and one join.
     """
-    verdict = lambda: rules.boundary(F.col("id"), F.col("EventID"), F.col("event"))
+    # bound once: where the filter below is moved to where the body is made, it would be made again for every pattern
+    verdict = lambda: let(F.col("event"), lambda e: rules.boundary(F.col("id"), F.col("EventID"), e))
     if train is None:
         out = rows.withColumn("_top", F.lit(None).cast("int"))
     else:
