@@ -21,3 +21,8 @@ def test_filters_stay_above_the_shuffle(spark, sf, capsys):
         QUERIES[name](spark, sf).explain()
         above, *below = re.split(r"Exchange hashpartitioning\(event_id", capsys.readouterr().out)
         assert below and "Filter " in above + "".join(below) and not any(re.search(r"^.*\+- \*?(\(\d+\) )?Filter ", b.split("FileScan")[0], re.M) for b in below)
+
+
+def test_indicators_are_not_made_again_for_a_filter(spark, sf, capsys):
+    QUERIES["indicator_frequency"](spark, sf).explain()
+    assert not re.search(r"Filter \(+size\(", capsys.readouterr().out)

@@ -290,6 +290,7 @@ def with_targets(events: DataFrame) -> DataFrame:
 
 def indicator_frequency(events: DataFrame) -> DataFrame:
     """key, n of with_targets(), with 0 for indicators of the vocabulary that never occur."""
-    n = events.select(F.explode("indicators.key").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    # a plain explode would have Spark filter on the size of the array first, that is, make it once more for each condition; it is never empty
+    n = events.select(F.explode_outer("indicators.key").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
     names = events.sparkSession.createDataFrame([(k,) for k in PHRASES], "key string")
     return names.join(n, "key", "left").select("key", F.coalesce("n", F.lit(0)).alias("n"))
