@@ -58,3 +58,33 @@ def test_groups_are_those_of_brute_force(spark):
     kept = simhash.keep_one(documents(spark, list(enumerate(texts))))
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(roots))
     assert [len(near_copies.shingles(t)) for t in texts] == [len(s) for s in sets]
+
+
+def test_links_of_the_trie_are_candidates_and_confirmed(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "bands", lambda found: np.zeros(0, np.uint64))  # only the trie is left
+    rng, texts = np.random.default_rng(5), ["a a a a", "a a a a a"]  # one fingerprint, other shingles
+    while len(texts) < 12:
+        words = prose(rng, 400)
+        other = " ".join(edited(rng, words, 1))
+        if (simhash.fingerprint(" ".join(words)) ^ simhash.fingerprint(other)).bit_count() <= simhash.BUDGET:
+            texts += [" ".join(words), other]
+    kept = simhash.keep_one(documents(spark, list(enumerate(texts))))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 4, 6, 8, 10]
+
+
+def test_pairs_of_a_group_with_a_common_block_grow_with_the_group(spark, monkeypatch):
+    joined, plain = [], near_copies.sharing
+
+    def counted(rare, met):
+        joined.append(plain(rare, met).count())
+        return plain(rare, met)
+
+    monkeypatch.setattr(near_copies, "sharing", counted)
+    for n in (50, 200):
+        rng = np.random.default_rng(n)
+        base, block = prose(rng, 150), prose(rng, 60)
+        texts = [" ".join(edited(rng, base, 1) + block) for _ in range(n)] + [" ".join(edited(rng, base, 1)) for _ in range(n + n // 5)]
+        roots = components([plain_shingles(t) for t in texts], similar)
+        kept = simhash.keep_one(documents(spark, list(enumerate(texts))))
+        assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(roots))
+    assert joined[1] <= 5 * joined[0] + 200

@@ -6,10 +6,12 @@ these are as many pairs as there are places in buckets, however large a group of
 
 What is then not connected is found without comparing all pairs of a hub's group. Let h be the hub together with the shingles
 that over half of the group has and the hub lacks, and x a set that is not connected to the group's largest component. For any y, |x & y| <= min(|x & h|, |y & h|) + |(x - h) & (y - h)|.
-So x and y are compared only if they share a shingle that h lacks (a join on those that sets of several components have) or if the first term alone is
-enough (for which x must share nearly as much with h as a link takes). No other pair can be similar.
+So x and y are compared only if the first term alone is enough (for which x must share nearly as much with h as a link takes) or if they
+share, of the shingles that h lacks, one of the rarest: so many that a similar set cannot miss them all. No other pair can be similar. Where
+these shingles would still make many more pairs than places, the sets of each are first compared with one of them, its centre, which
+joins those that are copies of each other; rounds of this go on while they join anything.
 
-Two texts of similarity s are missed only if they share no band, with probability (1 - s ** ROWS) ** BANDS (at 0.8: 0.00007).
+Other candidates may be given beside these. Two texts of similarity s are missed only if they are not among those and share no band, with probability (1 - s ** ROWS) ** BANDS (at 0.8: 0.00007).
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ BANDS, ROWS = 24, 5
 SEED = 42
 #: Similarity of at least 4 / 5: of two sets of a and b shingles, 9 * shared >= 4 * (a + b).
 _CHUNK = 1 << 9
+#: Rounds by centres are made, at most so many, while there are more than so many pairs a place.
+ROUNDS, PAIRS = 10, 4
 _rng = np.random.default_rng(SEED)
 _FACTOR = _rng.integers(0, 2**64, BANDS * ROWS, dtype=np.uint64)[:, None] | np.uint64(1)
 _OFFSET = _rng.integers(0, 2**64, BANDS * ROWS, dtype=np.uint64)[:, None]
@@ -128,15 +132,70 @@ def _spokes(nodes: DataFrame) -> DataFrame:
     return members.join(hubs, "band").select("hub", "id", "size").distinct()
 
 
-def components(nodes: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _placed(spokes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the hubs whose group is not one component: with their root, the group's largest and the least size."""
+    placed = spokes.join(roots, spokes["v"] == roots["node"], "left").select(F.col("u").alias("hub"), F.col("v").alias("id"), "size", "shared", "own", F.coalesce("root", "v").alias("root"))
+    counts = placed.groupBy("hub", "root").agg(F.count("*").alias("n"), F.min("size").alias("size"))
+    largest = counts.groupBy("hub").agg(F.count("*").alias("roots"), F.max(F.struct("n", "root")).alias("most"), F.min("size").alias("least")).where("roots > 1").select("hub", F.col("most.root").alias("largest"), "least")
+    return placed.join(largest, "hub")
+
+
+def _rare(placed: DataFrame) -> DataFrame:
+    """A row for each of a member's shingles beyond its group's reference set that a similar set must share one of.
+
+    They are placed by how many of the group have them, the rarest first (`at`; of `n`). A set of a shingles, of which the
+    reference set has r, shares at least t = 4 / 9 * (a + b) - r of the others with any set of b that is similar to it, so two such sets share
+    one of the first n - t + 1 of either. What most of a group has is last and hardly ever among these.
+    """
+    every = placed.select("hub", "id", F.explode("own").alias("shingle"))
+    common = every.groupBy("hub", "shingle").agg(F.count("*").alias("k")).where("k > 1")
+    found = every.join(common, ["hub", "shingle"]).groupBy("hub", "id").agg(F.array_sort(F.collect_list(F.struct("k", "shingle"))).alias("found"))
+    partner = F.greatest("least", F.floor((F.col("size") * 4 + 4) / 5))
+    t = F.floor(((F.col("size") + partner) * 4 + 8) / 9) - F.col("shared")
+    rows = placed.join(found, ["hub", "id"]).withColumns({"n": F.size("own"), "last": F.size("own") - F.greatest(t, F.lit(1))})
+    rows = rows.select("hub", "id", "size", "root", "shared", "largest", "n", "last", (F.col("n") - F.size("found")).alias("lone"), F.posexplode("found").alias("at", "f"))
+    return rows.withColumn("at", F.col("at") + F.col("lone")).where("at <= last").select("hub", "id", "size", "root", "shared", "largest", "n", "at", "f.shingle")
+
+
+def _shared_apart(rare: DataFrame) -> DataFrame:
+    """(hub, shingle, among, outside, centre) of the shingles that sets of two components have; centre shares most with others."""
+    weights = rare.groupBy("hub", "shingle").agg(F.count("*").alias("among"), F.count_if(F.col("root") != F.col("largest")).alias("outside"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").drop("lo", "hi")
+    met = rare.join(weights, ["hub", "shingle"])
+    weight = met.groupBy("hub", "id").agg(F.sum("among").alias("weight"))
+    centres = met.join(weight, ["hub", "id"]).groupBy("hub", "shingle").agg(F.max(F.struct("weight", "id", "root")).alias("centre"))
+    return weights.join(centres, ["hub", "shingle"])
+
+
+def _by_centre(rare: DataFrame, met: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of each shingle's centre to the sets of other components that have the shingle: one comparison a place."""
+    pairs = rare.join(met, ["hub", "shingle"]).where(F.col("root") != F.col("centre.root"))
+    return _confirmed(written(pairs.select(F.least("id", "centre.id").alias("u"), F.greatest("id", "centre.id").alias("v")).distinct(), "centres"), sets)
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    return _compared(pairs, sets).where(_near(F.size("a"), F.size("b"), F.size(F.array_intersect("a", "b")))).select("u", "v")
+
+
+def sharing(rare: DataFrame, met: DataFrame) -> DataFrame:
+    """(u, v): all pairs of different components that share one of their rare shingles and, by their places, can share enough."""
+    there = rare.join(met.select("hub", "shingle"), ["hub", "shingle"])
+    here = there.where("root <> largest").select("hub", "shingle", *(F.col(c).alias(f"{c}2") for c in ("id", "size", "root", "shared", "n", "at")))
+    once = (F.col("root") == F.col("largest")) | (F.col("id") < F.col("id2"))
+    left = F.least(F.col("n") - F.col("at"), F.col("n2") - F.col("at2"))
+    can = _near(F.col("size"), F.col("size2"), F.least(F.least("size", "size2"), F.least("shared", "shared2") + left))
+    return there.join(here, ["hub", "shingle"]).where((F.col("root") != F.col("root2")) & once & can).select(F.least("id", "id2").alias("u"), F.greatest("id", "id2").alias("v"))
+
+
+def components(nodes: DataFrame, texts: Callable[[DataFrame], DataFrame], candidates: DataFrame) -> DataFrame:
     """(node, root) of what links join; nodes: id, size, bands of every distinct set (written); texts gives (id, text)
-    of a table of ids."""
+    of a table of ids; candidates: pairs (u, v) of ids that may be similar whether or not they share a band (written)."""
     spokes = written(_spokes(nodes), "spokes")
-    sets = _sets(spokes.select("id").distinct(), texts)
+    ids = [spokes.select("id"), candidates.select(F.col("u").alias("id")), candidates.select(F.col("v").alias("id"))]
+    sets = _sets(ids[0].unionByName(ids[1]).unionByName(ids[2]).distinct(), texts)
     shared, own = F.size(F.array_intersect("a", "b")), F.array_except("b", "a")
     spokes = written(_compared(spokes.select(F.col("hub").alias("u"), F.col("id").alias("v"), "size"), sets).select("u", "v", "size", F.size("a").alias("hub_size"), shared.alias("shared"), own.alias("own")), "spokes")
     links = spokes.where((F.col("u") != F.col("v")) & _near(F.col("hub_size"), F.col("size"), F.col("shared"))).select("u", "v")
-    roots = written(_components(links), "roots")
+    links = links.unionByName(written(_confirmed(candidates, sets), "links"))
 
     # the reference set of a group is its hub with what most of the group has and the hub lacks
     group = spokes.groupBy("u").agg(F.count("*").alias("n"))
@@ -144,23 +203,22 @@ def components(nodes: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> Dat
     often = often.groupBy("u").agg(F.collect_set("shingle").alias("often"))
     own = F.array_except("own", F.coalesce("often", F.array().cast("array<long>")))
     spokes = spokes.join(often, "u", "left").withColumn("own", own).withColumn("shared", F.col("size") - F.size("own"))
-    placed = spokes.join(roots, spokes["v"] == roots["node"], "left").select(F.col("u").alias("hub"), F.col("v").alias("id"), "size", "shared", "own", F.coalesce("root", "v").alias("root"))
-    counts = placed.groupBy("hub", "root").agg(F.count("*").alias("n"), F.min("size").alias("size"))
-    largest = counts.groupBy("hub").agg(F.count("*").alias("roots"), F.max(F.struct("n", "root")).alias("most"), F.min("size").alias("least")).where("roots > 1").select("hub", F.col("most.root").alias("largest"), "least")
-    placed = written(placed.join(largest, "hub"), "placed")
-    outside = placed.where("root <> largest").select("hub", F.col("id").alias("id2"), F.col("size").alias("size2"), F.col("root").alias("root2"), F.col("shared").alias("shared2"), F.col("own").alias("own2"), "least")
-    apart = (F.col("root") != F.col("root2")) & _near(F.col("size"), F.col("size2"), F.least("size", "size2"))
-    bound = lambda more: _near(F.col("size"), F.col("size2"), F.least("shared", "shared2") + more)
-    pair = [F.least("id", "id2").alias("u"), F.greatest("id", "id2").alias("v")]
-    # a shingle that the reference set lacks is shared, by sets of two components at least: within one there is nothing to find
-    there = placed.select("hub", "id", "size", "root", "shared", F.explode("own").alias("shingle"))
-    apart_at = there.groupBy("hub", "shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("hub", "shingle")
-    there = there.join(apart_at, ["hub", "shingle"])
-    here = outside.select("hub", "id2", "size2", "root2", "shared2", F.explode("own2").alias("shingle"))
-    same = there.join(here, ["hub", "shingle"]).where(apart).groupBy("hub", "id", "id2", "size", "size2", "shared", "shared2").agg(F.count("*").alias("more"))
+    for turn in range(ROUNDS + 1):
+        placed = written(_placed(spokes, written(_components(links), "roots")), "placed")
+        rare = written(_rare(placed), "rare")
+        met = written(_shared_apart(rare), "met")
+        places, pairs = rare.count(), met.agg(F.sum(F.col("among") * F.col("outside"))).first()[0] or 0
+        if turn == ROUNDS or pairs <= PAIRS * places:
+            break
+        more = written(_by_centre(rare, met, sets), "links")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+
     # what both share with the reference set is enough
-    there, here = placed.where(_near(F.col("size"), F.col("least"), F.col("shared"))).drop("own", "least", "largest"), outside.where(_near(F.col("size2"), F.col("least"), F.col("shared2"))).drop("own2", "least")
-    enough = there.join(here, "hub").where(apart & bound(F.lit(0)))
-    pairs = written(same.where(bound(F.col("more"))).select(*pair).unionByName(enough.select(*pair)).distinct(), "pairs")
-    second = _compared(pairs, sets).where(_near(F.size("a"), F.size("b"), shared)).select("u", "v")
-    return _components(links.unionByName(second))
+    outside = placed.where("root <> largest").select("hub", *(F.col(c).alias(f"{c}2") for c in ("id", "size", "root", "shared")), "least")
+    apart = (F.col("root") != F.col("root2")) & _near(F.col("size"), F.col("size2"), F.least("size", "size2"))
+    there, here = placed.where(_near(F.col("size"), F.col("least"), F.col("shared"))).drop("own", "least", "largest"), outside.where(_near(F.col("size2"), F.col("least"), F.col("shared2"))).drop("least")
+    enough = there.join(here, "hub").where(apart & _near(F.col("size"), F.col("size2"), F.least("shared", "shared2"))).select(F.least("id", "id2").alias("u"), F.greatest("id", "id2").alias("v"))
+    pairs = written(sharing(rare, met).unionByName(enough).distinct(), "pairs")
+    return _components(links.unionByName(_confirmed(pairs, sets)))

@@ -265,24 +265,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return marked.join(found, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("smallest").alias("component_id"))
 
 
+def _candidates(nodes: DataFrame) -> DataFrame:
+    """(u, v) of nodes (id, fp): the trie's links between the first nodes of two fingerprints, and the others of a fingerprint with its first."""
+    first = written(nodes.groupBy("fp").agg(F.min("id").alias("first")), "first")
+    same = nodes.select("id", "fp").join(first, "fp").where("id <> first").select(F.col("first").alias("u"), F.col("id").alias("v"))
+    a, b = (first.select(F.col("fp").alias(end), F.col("first").alias(name)) for end, name in (("a", "u"), ("b", "v")))
+    return same.unionByName(links(first.select("fp")).join(a, "a").join(b, "b").select("u", "v"))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """docs with one row of each group of near copies, that of the smallest doc_id (null last), all columns kept.
 
-    Near copies are linked by the similarity of their five-word shingles (near_copies), not by the fingerprint.
+    Links of the fingerprint's trie, and texts that share a band of min-hashes, for what differs in more bits, are candidates; each is
+    confirmed by the similarity of five-word shingles (near_copies).
     Of repeated rows one stays; null and empty texts are one group; empty docs give no rows. Rows are numbered, and
     the numbers of those that go are joined against the rows, so no text is shuffled where these are few.
     """
-    mark, row = (next(x for x in (name, f"_{name}", f"__{name}", f"___{name}") if x not in docs.columns) for name in ("mark", "row_number"))
+    mark, row, print_ = (next(x for x in (name, f"_{name}", f"__{name}", f"___{name}") if x not in docs.columns) for name in ("mark", "row_number", "fingerprint"))
     with temporary():
-        marked = written(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(mark, near_copies.described(docs.sparkSession)), "marked")
+        marked = written(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(mark, near_copies.described(docs.sparkSession)).withColumn(print_, fingerprint_of(docs.sparkSession)), "marked")
         who = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col(row).alias("row"))
-        nodes = written(marked.groupBy(F.col(mark)["id"].alias("id")).agg(F.min(who).alias("first"), F.first(F.col(mark)["size"]).alias("size"), F.first(F.col(mark)["bands"]).alias("bands")), "nodes")
+        nodes = written(marked.groupBy(F.col(mark)["id"].alias("id")).agg(F.min(who).alias("first"), F.first(F.col(mark)["size"]).alias("size"), F.first(F.col(mark)["bands"]).alias("bands"), F.min(print_).alias("fp")), "nodes")
 
         def texts(ids: DataFrame) -> DataFrame:
             wanted = written(nodes.join(ids, "id").select("id", F.col("first.row").alias("row")), "wanted")
             return joined(marked.select(F.col(row).alias("row"), "text"), wanted, ["row"]).select("id", "text")
 
-        members = near_copies.components(nodes, texts)
+        members = near_copies.components(nodes, texts, written(_candidates(nodes), "candidates"))
         roots = nodes.join(members, nodes["id"] == members["node"], "left").select("first", F.coalesce("root", "id").alias("root"))
         stay = written(roots.groupBy("root").agg(F.min("first").alias("smallest")).select(F.col("smallest.row").alias(row)), "stay")
         go = written(marked.select(row).join(stay, row, "left_anti"), "go")
