@@ -88,3 +88,25 @@ def test_pairs_of_a_group_with_a_common_block_grow_with_the_group(spark, monkeyp
         kept = simhash.keep_one(documents(spark, list(enumerate(texts))))
         assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(roots))
     assert joined[1] <= 5 * joined[0] + 200
+
+
+def test_texts_go_to_python_once(spark, capsys):
+    """One function a stage: a second one has a worker of its own beside every core, with the texts again."""
+    text, fp = "a few words of one text", simhash.fingerprint("a few words of one text")
+    rows = documents(spark, [(1, text), (2, None)]).select("doc_id", near_copies.described(spark, simhash.fingerprint).alias("mark"))
+    rows.explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
+    found = {r["doc_id"]: r["mark"] for r in rows.collect()}
+    assert (found[1]["size"], found[1]["fp"] % 2**64, found[2]["size"], found[2]["fp"]) == (2, fp, 0, 0)
+
+
+def test_stage_writes_texts_through_one_function(spark, monkeypatch):
+    plans, plain = [], simhash.written
+
+    def seen(df, name, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython"))
+        return plain(df, name, *more)
+
+    monkeypatch.setattr(simhash, "written", seen)
+    simhash.keep_one(documents(spark, [(1, "a few words"), (2, None)])).collect()
+    assert max(plans) == 1

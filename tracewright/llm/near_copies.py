@@ -76,17 +76,25 @@ def _long(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
 
-def described(spark, text: str = "text") -> Column:
-    """struct<id, size, bands>: the hash of the shingle set, its size and the keys of its bands."""
+def _signed(value: int) -> int:
+    return value - (value >> 63 << 64)
 
-    @F.pandas_udf("id long, size long, bands array<long>")
+
+def described(spark, fingerprint: Callable[[str | None], int], text: str = "text") -> Column:
+    """struct<id, size, bands, fp>: the hash of the shingle set, its size, the keys of its bands and the fingerprint of the text.
+
+    All come from one function: each function that Python works in a stage has a worker of its own beside every core, and gets all texts again.
+    """
+
+    @F.pandas_udf("id long, size long, bands array<long>, fp long")
     def make(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for text in batch:
-                found = shingles(text if isinstance(text, str) else None)
-                rows.append((int(np.int64(np.uint64(xxhash.xxh64_intdigest(found.tobytes(), SEED)))), len(found), _long(bands(found))))
-            yield pd.DataFrame(rows, columns=["id", "size", "bands"])
+                text = text if isinstance(text, str) else None
+                found = shingles(text)
+                rows.append((_signed(xxhash.xxh64_intdigest(found.tobytes(), SEED)), len(found), _long(bands(found)), _signed(fingerprint(text))))
+            yield pd.DataFrame(rows, columns=["id", "size", "bands", "fp"])
 
     small_batches(spark)
     return make(F.col(text))

@@ -281,11 +281,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Of repeated rows one stays; null and empty texts are one group; empty docs give no rows. Rows are numbered, and
     the numbers of those that go are joined against the rows, so no text is shuffled where these are few.
     """
-    mark, row, print_ = (next(x for x in (name, f"_{name}", f"__{name}", f"___{name}") if x not in docs.columns) for name in ("mark", "row_number", "fingerprint"))
+    mark, row = (next(x for x in (name, f"_{name}", f"__{name}", f"___{name}") if x not in docs.columns) for name in ("mark", "row_number"))
     with temporary():
-        marked = written(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(mark, near_copies.described(docs.sparkSession)).withColumn(print_, fingerprint_of(docs.sparkSession)), "marked")
+        marked = written(docs.withColumn(row, F.monotonically_increasing_id()).withColumn(mark, near_copies.described(docs.sparkSession, fingerprint)), "marked")
         who = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col(row).alias("row"))
-        nodes = written(marked.groupBy(F.col(mark)["id"].alias("id")).agg(F.min(who).alias("first"), F.first(F.col(mark)["size"]).alias("size"), F.first(F.col(mark)["bands"]).alias("bands"), F.min(print_).alias("fp")), "nodes")
+        nodes = written(marked.groupBy(F.col(mark)["id"].alias("id")).agg(F.min(who).alias("first"), F.first(F.col(mark)["size"]).alias("size"), F.first(F.col(mark)["bands"]).alias("bands"), F.min(F.col(mark)["fp"]).alias("fp")), "nodes")
 
         def texts(ids: DataFrame) -> DataFrame:
             wanted = written(nodes.join(ids, "id").select("id", F.col("first.row").alias("row")), "wanted")
