@@ -94,6 +94,22 @@ def test_scores_follow_the_profile(spark, sf, tmp_path):
     assert rows.count() < 8 * rows.select("level", "key").distinct().count()  # a row a bound, not a row an event
 
 
+def test_texts_are_worked_once_an_event_by_all_tasks(spark, sf, tmp_path, monkeypatch):
+    """A batch is one file here; its signatures are made for profiles and scores together, in as many tasks as shuffles have."""
+    events = staged(bridge.telemetry(spark, sf), "events")
+    want = {r["ord"]: (r["score"], r["prelabel"]) for r in queue.scored(events.where("attack"), events.where("NOT attack")).collect()}
+    names = [str(tmp_path / x) for x in ("in", "log", "state", "kept", "kept_state")]
+    events.coalesce(1).write.parquet(names[0])
+    live.kept_signed(spark.readStream.schema(events.schema).parquet(names[0]), names[3], names[4]).awaitTermination()
+    monkeypatch.setattr(live, "with_behaviour", None)  # not again
+    live.kept_bands(spark.readStream.schema(live.SIGNED).parquet(names[3]), names[1], names[2]).awaitTermination()
+    kept = spark.read.schema(live.SIGNED).parquet(names[3])
+    got = {r["ord"]: (r["score"], r["prelabel"]) for r in live.scores(spark, kept.where("attack"), names[1]).collect()}
+    assert got == want
+    parts = kept.groupBy(F.input_file_name()).count().count()
+    assert parts == max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def test_bands_of_files():
     assert [queue.file_band(n) for n in (0, 1, 2, 3, 4, 7, 8, 100)] == [0, 1, 2, 2, 3, 3, 4, 4]
 

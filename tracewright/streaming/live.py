@@ -1,7 +1,8 @@
 """Review scores while captures arrive: profiles as state, scores from what an event says and what the profiles say now.
 
 A score has a part that the event alone decides and one that depends on how often its signature and its coarse
-signature were seen in benign captures and in how many captures of attacks. The first is made once an event. For the second, the state
+signature were seen in benign captures and in how many captures of attacks. The first is made once an event, with the signatures
+that profiles and scores share. For the second, the state
 of a signature is a number and at most FILES names, and a row comes out only when one of them passes a bound that
 scores depend on. As both only grow, the largest of these rows is the newest.
 """
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tracewright.functions import rules
-from tracewright.functions.contract import normalised
+from tracewright.functions.contract import body, normalised
 from tracewright.functions.signatures import with_behaviour
 from tracewright.operators import queue
 from tracewright.sources.committed import log_decisions, logged_decisions
@@ -29,6 +30,8 @@ from tracewright.streaming.session import state_in_files
 FILES = max(bound for bound, _ in queue.FILE_BANDS)
 
 BAND = "level string, key string, n long, files long"
+#: What is kept of an event; own is null where it is not of an attack.
+SIGNED = "ord long, src string, attack boolean, EventID string, TargetFilename string, Image string, signature string, coarse string, own double"
 _PARTIAL = "level string, key string, n long, files string"
 _partial = pa.schema([("level", pa.string()), ("key", pa.string()), ("n", pa.int64()), ("files", pa.string())])
 #: Keys that a task adds up before it passes them on.
@@ -95,14 +98,18 @@ class Profiles(StatefulProcessor):
         pass
 
 
-def bands(events: DataFrame, ambient_min: int = queue.AMBIENT_MIN) -> DataFrame:
-    """A stream of BAND rows from a stream of contract records with src and attack."""
-    on_workers(events.sparkSession)
+def signed(events: DataFrame) -> DataFrame:
+    """Contract records with src and attack, with signature, coarse and action."""
     # as in queue.scored(): commands of attacks are normalised first, those of benign captures are taken as they are
     rows = normalised(events.withColumn("_given", F.col("CommandLine")))
-    rows = rows.withColumn("CommandLine", F.when(F.col("attack"), F.col("CommandLine")).otherwise(F.col("_given")))
-    signed = with_behaviour(rows).select("signature", "coarse", "src", "attack")
-    partial = signed.mapInArrow(_added_up, _PARTIAL)
+    return with_behaviour(rows.withColumn("CommandLine", F.when(F.col("attack"), F.col("CommandLine")).otherwise(F.col("_given"))))
+
+
+def bands(events: DataFrame, ambient_min: int = queue.AMBIENT_MIN) -> DataFrame:
+    """A stream of BAND rows from a stream of contract records with src and attack, or of kept_signed() rows."""
+    on_workers(events.sparkSession)
+    rows = events if {"signature", "coarse"} <= set(events.columns) else signed(events)
+    partial = rows.select("signature", "coarse", "src", "attack").mapInArrow(_added_up, _PARTIAL)
     return partial.groupBy("level", "key").transformWithStateInPandas(statefulProcessor=Profiles(ambient_min), outputStructType=BAND, outputMode="Update", timeMode="None")
 
 
@@ -122,8 +129,22 @@ def kept_events(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     return own.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def kept_signed(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Add what has arrived to a Parquet table of SIGNED rows, then stop.
+
+    The texts of an event are worked once, for its profile and its score. Rows are dealt to as many tasks as shuffles have: the files
+    of a batch may be few and large.
+    """
+    spark = events.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = signed(events.repartition(tasks, "ord")).withColumn("event", F.when(F.col("attack"), body()))
+    own = F.when(F.col("attack"), F.col("own")).alias("own")
+    kept = queue.own_parts(rows).select("ord", "src", "attack", "EventID", "TargetFilename", "Image", "signature", "coarse", own)
+    return kept.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def scores(spark: SparkSession, events: DataFrame, path: str, ambient_min: int = queue.AMBIENT_MIN) -> DataFrame:
-    """ord, src, EventID, signature, score, prelabel of kept_events() as the profiles at path say now."""
+    """ord, src, EventID, signature, score, prelabel of kept_events(), or of the attacks of kept_signed(), as the profiles at path say now."""
     newest = logged_decisions(spark, path, BAND).groupBy("level", "key").agg(F.max("n").alias("n"), F.max("files").alias("files"))
     fine = newest.where("level = 'fine'").select(F.col("key").alias("signature"), F.col("n").alias("amb"), F.col("files").alias("n_files"))
     coarse = newest.where("level = 'coarse'").select(F.col("key").alias("coarse"), F.col("n").alias("camb"))
