@@ -1,8 +1,10 @@
 import json
+import time
 
 from pyspark.sql import functions as F
 
 from tracewright.functions import prompts, rewriting
+from tracewright.plans import stateful
 from tracewright.sources import readers, writers
 from tracewright.streaming import ingest
 
@@ -118,6 +120,43 @@ def test_tasks_list_the_files_not_the_driver(spark, tmp_path):
     assert writers.checksums(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_each_file_is_digested_once(spark, tmp_path, monkeypatch):
+    """In order of path, and large files, dealt out by themselves, too."""
+    import hashlib
+    from types import SimpleNamespace
+
+    log, root = str(tmp_path / "log"), tmp_path / "in"
+
+    def sha256():
+        with open(log, "a") as f:
+            f.write("x")
+        return hashlib.sha256()
+
+    want = []
+    for i in range(40):
+        at = root / f"part-{i % 3}" / f"E{i}.txt"
+        at.parent.mkdir(parents=True, exist_ok=True)
+        at.write_text("x" * i)
+        want.append((f"file:{at}", i, hashlib.sha256(b"x" * i).hexdigest()))
+    monkeypatch.setattr(writers, "hashlib", SimpleNamespace(sha256=sha256))
+    monkeypatch.setattr(writers, "AHEAD", 7, raising=False)
+    for runs, bound in ((1, 1 << 20), (2, 30)):
+        monkeypatch.setattr(writers, "LARGE", bound, raising=False)
+        assert [tuple(r) for r in writers.checksums(spark, str(root)).collect()] == sorted(want)
+        assert len(open(log).read()) == 40 * runs
+
+
+def test_ids_of_files_come_from_the_name_alone(spark, sf, monkeypatch):
+    """A pattern over the whole path takes the square of its longest part, which here is a minute."""
+    monkeypatch.setattr(stateful, "write_event_folder", lambda rows, path: None)
+    given = [(f"file:/{'x' * 60_000}.txt/E{i}.txt", i, "s") for i in range(8)] + [("file:/x/.txt", 8, "s"), ("file:/x.txt/y", 9, "s")]
+    monkeypatch.setattr(stateful, "checksums", lambda spark, path: spark.createDataFrame(given, "path string, length long, sha256 string"))
+    began = time.perf_counter()
+    got = stateful.folder_checksums(spark, sf).collect()
+    assert [r["id"] for r in got] == [f"E{i}" for i in range(8)] + ["", ""]
+    assert time.perf_counter() - began < 10
+
+
 def test_only_parts_with_changed_keys_are_written(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(1_000).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("old").alias("v"))
